@@ -29,7 +29,7 @@ DEADLINE_PATTERNS: tuple[str, ...] = (
 def native_deadline(c: Column | str) -> Column:
     """ISO date from the native layouts, NULL when none fits."""
     s = col_(c)
-    parsed = F.coalesce(*[F.try_to_date(s, F.lit(p)) for p in DEADLINE_PATTERNS])
+    parsed = F.coalesce(*[F.try_to_date(s, p) for p in DEADLINE_PATTERNS])
     return F.date_format(parsed, "yyyy-MM-dd")
 
 
@@ -58,7 +58,7 @@ def mail_date(date_header: Column | str) -> Column:
     The ``d MMM yyyy`` part is read as written (no UTC shift); '' when absent.
     """
     part = F.regexp_extract(F.coalesce(col_(date_header), F.lit("")), r"(\d{1,2} [A-Za-z]{3} \d{4})", 1)
-    return F.coalesce(F.date_format(F.try_to_date(part, F.lit("d MMM yyyy")), "yyyy-MM-dd"), F.lit(""))
+    return F.coalesce(F.date_format(F.try_to_date(part, "d MMM yyyy"), "yyyy-MM-dd"), F.lit(""))
 
 
 def base64url_text(body: Column | str) -> Column:

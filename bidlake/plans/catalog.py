@@ -40,3 +40,149 @@ SELECT {_OWNED},
        CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos
 FROM accepted
 """)(PN.notice_ingest)
+
+_NOTICE_BASE = f"WITH {O.ITEMS_CTE.strip()},\n{O.MASTER_CTE.strip()},\n{O.PASSED_CTE.strip()}"
+_KEYED = f"k AS (SELECT ord, {O.blank_sql('noticeId')} AS noticeId, {O.blank_sql('naicsCode')} AS naicsCode, " \
+         f"fullParentPathName, postedDate, title, organizationCode FROM items)"
+
+
+def _days_before(run_date: str, days: int) -> str:
+    from datetime import date, timedelta
+    return (date.fromisoformat(run_date) - timedelta(days=days)).isoformat()
+
+
+def _mdy(iso: str) -> str:
+    y, m, d = iso.split("-")
+    return f"{m}/{d}/{y}"
+
+
+_SECTOR = " OR ".join(f"starts_with(naicsCode, {O.q(p)})" for p in PN.STANDIN_SETTINGS.excluded_prefixes)
+
+register("sector_prefix_filter", f"""{_NOTICE_BASE},
+{_KEYED}
+SELECT ord, noticeId, naicsCode FROM k WHERE naicsCode = '' OR NOT ({_SECTOR})
+""")(PN.sector_prefix_filter)
+
+register("exact_code_filter", f"""{_NOTICE_BASE},
+{_KEYED}
+SELECT ord, noticeId, naicsCode FROM k
+WHERE naicsCode = '' OR naicsCode NOT IN {O.in_list(PN.STANDIN_SETTINGS.excluded_codes)}
+""")(PN.exact_code_filter)
+
+register("department_filter", f"""{_NOTICE_BASE},
+{_KEYED}
+SELECT ord, noticeId, fullParentPathName FROM k WHERE {O.dept_ok_sql('fullParentPathName')}
+""")(PN.department_filter)
+
+_LB_FROM = _days_before(S.STANDIN_RUN_DATE, PN.STANDIN_SETTINGS.days_back)
+register("lookback_window", f"""{_NOTICE_BASE},
+{_KEYED}
+SELECT ord, noticeId, substr(coalesce(postedDate, ''), 1, 10) AS postedDate FROM k
+WHERE substr(coalesce(postedDate, ''), 1, 10) >= '{_LB_FROM}' AND substr(coalesce(postedDate, ''), 1, 10) <= '{S.STANDIN_RUN_DATE}'
+""")(PN.lookback_window)
+
+_SQ = PN.SOURCE_QUERY
+register("source_predicates", f"""{_NOTICE_BASE},
+{_KEYED}
+SELECT ord, noticeId, title, organizationCode FROM k
+WHERE substr(coalesce(postedDate, ''), 1, 10) >= '{_SQ['posted_from']}'
+  AND substr(coalesce(postedDate, ''), 1, 10) <= '{_SQ['posted_to']}'
+  AND organizationCode = '{_SQ['organization_code']}'
+  AND contains(lower(coalesce(title, '')), '{_SQ['keyword']}')
+""")(PN.source_predicates)
+
+register("first_wins_dedup", f"""{_NOTICE_BASE}
+SELECT ord, _nid AS noticeId, _code AS naicsCode FROM firsts
+""")(PN.first_wins_dedup)
+
+register("anti_join_master", f"""{_NOTICE_BASE}
+SELECT ord, _nid AS noticeId FROM keyed
+WHERE _nid <> '' AND _nid NOT IN (SELECT _nid FROM master_keys)
+""")(PN.anti_join_master)
+
+register("strict_cap", f"""{_NOTICE_BASE},
+{O.accepted_cte(PN.TEN_PAGES, S.STANDIN_RUN_TS)}
+SELECT ord, noticeId, postedDate FROM accepted
+""")(PN.strict_cap)
+
+_PS = PN.STANDIN_SETTINGS.page_size
+register("stable_sort_pages", f"""{_NOTICE_BASE},
+{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS)},
+pos AS (SELECT *, CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos FROM accepted)
+SELECT noticeId, postedDate, row_pos, CAST(floor((row_pos - 1) / {_PS}) AS BIGINT) AS page,
+       CAST((row_pos - 1) % {_PS} AS BIGINT) AS slot
+FROM pos
+""")(PN.stable_sort_pages)
+
+_AGENCY_COUNTS = f"""{_NOTICE_BASE},
+{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS, agency='organizationCode')},
+codes_q AS (SELECT CAST(r_regionkey AS BIGINT) AS code_seq, CAST(r_regionkey AS VARCHAR) AS agencyCode FROM region),
+counted AS (SELECT agencyCodeQueried AS agencyCode, count(*) AS n FROM accepted GROUP BY 1),
+agency_counts AS (
+  SELECT code_seq, agencyCode, CAST(coalesce(n, 0) AS BIGINT) AS newRows
+  FROM codes_q LEFT JOIN counted USING (agencyCode)
+)"""
+
+register("agency_counts", f"""{_AGENCY_COUNTS}
+SELECT * FROM agency_counts
+""")(PN.agency_counts)
+
+register("run_log_row", f"""{_AGENCY_COUNTS}
+SELECT {O.q(S.STANDIN_RUN_TS)} AS runAtUTC,
+       '{_mdy(_LB_FROM)}' AS postedFrom,
+       '{_mdy(S.STANDIN_RUN_DATE)}' AS postedTo,
+       coalesce(string_agg(agencyCode, ',' ORDER BY code_seq), 'ALL') AS agencies,
+       '' AS keyword,
+       CAST(coalesce(sum(newRows), 0) AS BIGINT) AS newRows,
+       coalesce(string_agg(CASE WHEN newRows > 0 THEN agencyCode || ':' || CAST(newRows AS VARCHAR) END, '; '
+                           ORDER BY code_seq), 'no new rows') AS notes
+FROM agency_counts
+""")(PN.run_log_row)
+
+_OLD_MASTER_COLS = [c for c in NOTICE_COLUMNS if c not in ("deadline", "oppUrl")] + [
+    "fitLabel", "reviewSummary", "deadlineNote", "deadlineISO", "reviewedAtUTC", "emailedAtUTC"]
+_EVOLVED = _OLD_MASTER_COLS + ["oppUrl", "deadline"]
+register("schema_evolution_union", f"""{_NOTICE_BASE},
+{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS)}
+SELECT {', '.join(_OLD_MASTER_COLS)}, '' AS oppUrl, '' AS deadline FROM master
+UNION ALL
+SELECT {', '.join(c if c in NOTICE_COLUMNS else "'' AS " + c for c in _EVOLVED)} FROM accepted
+""")(PN.schema_evolution_union)
+
+# --- feed C ------------------------------------------------------------------
+
+_RECHECK_BASE = f"""{_NOTICE_BASE},
+{O.FRESH_CTE.strip()},
+{O.recheck_cte(S.STANDIN_RUN_DATE).strip()}"""
+
+register("recheck_join", f"""{_RECHECK_BASE}
+SELECT noticeId, _mposted AS postedDate, fresh_ord, fresh_title, fresh_naicsCode, fresh_type, fresh_deadline
+FROM matched
+""")(PN.recheck_join)
+
+register("recheck_diff", f"""{_RECHECK_BASE}
+SELECT noticeId, postedDate, CAST(fresh_ord IS NOT NULL AS INTEGER) AS matched, changed_fields FROM diffed2
+""")(PN.recheck_diff)
+
+_MASTER_COLS = list(NOTICE_COLUMNS) + ["fitLabel", "reviewSummary", "deadlineNote", "deadlineISO",
+                                       "reviewedAtUTC", "emailedAtUTC"]
+
+
+def _upsert_col(c: str) -> str:
+    if c in ("title", "naicsCode", "type", "deadline"):
+        return f"CASE WHEN _chg_{c} THEN fresh_{c} ELSE {c} END AS {c}"
+    if c in ("fitLabel", "reviewSummary", "deadlineNote", "reviewedAtUTC"):
+        return f"CASE WHEN changed THEN '' ELSE {c} END AS {c}"
+    return c
+
+
+register("recheck_upsert", f"""{_RECHECK_BASE}
+SELECT {', '.join(_MASTER_COLS)} FROM master
+WHERE NOT (lower({O.blank_sql('fitLabel')}) = 'high' AND coalesce(noticeId, '') <> '')
+UNION ALL
+SELECT {', '.join(_upsert_col(c) for c in _MASTER_COLS)} FROM diffed2
+""")(PN.recheck_upsert)
+
+register("recheck_counts", f"""{_RECHECK_BASE}
+SELECT CAST(count(*) AS BIGINT) AS checked, CAST(count_if(changed) AS BIGINT) AS updated FROM diffed2
+""")(PN.recheck_counts)

@@ -7,7 +7,7 @@ second, engine-independent formulation over the same parquet tables.
 
 from __future__ import annotations
 
-from bidlake.functions.text import WS
+from bidlake.functions.text import WS, WS_CHARS
 from bidlake.settings import EXCLUDED_CODES, EXCLUDED_SECTOR_PREFIXES
 from bidlake.sources.standins import (
     COPY_STRIDE,
@@ -30,7 +30,7 @@ def in_list(values) -> str:
 
 def strip_sql(expr: str) -> str:
     """Python ``strip()`` in SQL."""
-    return f"regexp_replace({expr}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+    return f"trim({expr}, {q(WS_CHARS)})"
 
 
 def blank_sql(expr: str) -> str:
@@ -129,3 +129,59 @@ def accepted_cte(cap: int | None, pulled_at: str, agency: str = "''") -> str:
     capped = f"capped AS (SELECT * FROM fresh_rows{limit})"
     return f"""{capped},
 accepted AS ({project_sql('capped', agency, pulled_at, ', ord, organizationCode')})"""
+
+
+FRESH_CTE = f"""
+fresh_base AS (
+  SELECT ord, noticeId,
+         CASE WHEN _priority = '2-HIGH' THEN title || ' (amended)' ELSE title END AS title,
+         CASE WHEN _priority = '3-MEDIUM' THEN CAST(_orderdate - INTERVAL 1 DAY AS VARCHAR) ELSE postedDate END AS postedDate,
+         CASE WHEN _priority = '1-URGENT' THEN CAST(_orderdate + INTERVAL 44 DAY AS VARCHAR) ELSE responseDeadLine END AS responseDeadLine,
+         type, naicsCode, _status, _priority
+  FROM items WHERE ord < {COPY_STRIDE} AND _priority <> '4-NOT SPECIFIED'
+),
+fresh_all AS (
+  SELECT ord, noticeId, title, postedDate, responseDeadLine, type, naicsCode FROM fresh_base
+  UNION ALL
+  SELECT ord + {COPY_STRIDE}, noticeId, title, postedDate, responseDeadLine, 'X', naicsCode
+  FROM fresh_base WHERE _status = 'F' AND _priority = '1-URGENT'
+),
+fresh_p AS (
+  SELECT {blank_sql('noticeId')} AS noticeId, coalesce(title, '') AS title, {blank_sql('naicsCode')} AS naicsCode,
+         coalesce(type, '') AS type, substr(coalesce(responseDeadLine, ''), 1, 10) AS deadline,
+         TRY_CAST(substr(coalesce(postedDate, ''), 1, 10) AS DATE) AS _fposted, ord
+  FROM fresh_all
+)"""
+
+
+def recheck_cte(run_date: str) -> str:
+    hi = f"lower({blank_sql('fitLabel')}) = 'high' AND coalesce(noticeId, '') <> ''"
+    chg = {c: f"(fresh_ord IS NOT NULL AND coalesce({c}, '') <> fresh_{c})"
+           for c in ("title", "naicsCode", "type", "deadline")}
+    return f"""
+high AS (SELECT *, coalesce(postedDate, '') AS _mposted FROM master WHERE {hi}),
+rkeys AS (
+  SELECT noticeId, _mposted,
+         coalesce(TRY_CAST(strptime(substr(_mposted, 1, 10), '%Y-%m-%d') AS DATE), DATE '{run_date}' - 365) AS _from
+  FROM (SELECT DISTINCT noticeId, _mposted FROM high) d
+),
+cand AS (
+  SELECT k.noticeId, k._mposted, f.ord AS fresh_ord, f.title AS fresh_title, f.naicsCode AS fresh_naicsCode,
+         f.type AS fresh_type, f.deadline AS fresh_deadline,
+         row_number() OVER (PARTITION BY k.noticeId, k._mposted ORDER BY f.ord) AS _rn
+  FROM rkeys k JOIN fresh_p f ON f.noticeId = k.noticeId
+  WHERE f._fposted <= DATE '{run_date}' AND f._fposted >= k._from
+),
+matched AS (SELECT * EXCLUDE (_rn) FROM cand WHERE _rn = 1),
+diffed AS (
+  SELECT h.*, m.fresh_ord, m.fresh_title, m.fresh_naicsCode, m.fresh_type, m.fresh_deadline,
+         {chg['title']} AS _chg_title, {chg['naicsCode']} AS _chg_naicsCode,
+         {chg['type']} AS _chg_type, {chg['deadline']} AS _chg_deadline
+  FROM high h LEFT JOIN matched m ON m.noticeId = h.noticeId AND m._mposted = h._mposted
+),
+diffed2 AS (
+  SELECT *, concat_ws(',', CASE WHEN _chg_title THEN 'title' END, CASE WHEN _chg_naicsCode THEN 'naicsCode' END,
+                           CASE WHEN _chg_type THEN 'type' END, CASE WHEN _chg_deadline THEN 'deadline' END) AS changed_fields,
+         (_chg_title OR _chg_naicsCode OR _chg_type OR _chg_deadline) AS changed
+  FROM diffed
+)"""

@@ -121,7 +121,7 @@ def notice_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("deadlineISO"),
         F.lit(MASTER_PULLED_TS).alias("reviewedAtUTC"),
         F.lit("").alias("emailedAtUTC"),
-    ).drop("_priority", "_status", "_orderdate", "o_orderkey", "organizationCode")
+    ).drop("ord", "_priority", "_status", "_orderdate", "o_orderkey", "organizationCode")
 
 
 def fresh_items(spark: SparkSession, sf_dir: str) -> DataFrame:
