@@ -186,3 +186,47 @@ SELECT {', '.join(_upsert_col(c) for c in _MASTER_COLS)} FROM diffed2
 register("recheck_counts", f"""{_RECHECK_BASE}
 SELECT CAST(count(*) AS BIGINT) AS checked, CAST(count_if(changed) AS BIGINT) AS updated FROM diffed2
 """)(PN.recheck_counts)
+
+# --- feed B, relational half -------------------------------------------------
+
+from bidlake.plans import mail as PM  # noqa: E402
+from bidlake.settings import PIPELINE_COLUMNS  # noqa: E402
+
+register("normalize_text", f"""
+SELECT doc_id, {O.normalize_text_sql('text')} AS normalized FROM documents
+""")(PM.normalize_text)
+
+register("language_flag", f"""
+SELECT doc_id, {O.language_sql('text')} AS language FROM documents
+""")(PM.language_flag)
+
+_MAIL_BASE = f"WITH {O.mail_opps_cte().strip()}"
+
+register("duplicate_key", f"""{_MAIL_BASE}
+SELECT ord, source, duplicateKey FROM mail_keyed
+""")(PM.duplicate_key)
+
+register("mail_append_classified", f"""{_MAIL_BASE}
+SELECT ord, appendStatus FROM mail_class
+""")(PM.mail_append_classified)
+
+
+def _pipeline_col(c: str) -> str:
+    exprs = {
+        "source": "source", "opportunityTitle": "coalesce(text, '')", "donorClient": "coalesce(lang, '')",
+        "countryRegion": "coalesce(countryRegion, '')", "language": O.language_sql("text"),
+        "duplicateKey": "duplicateKey", "processedAtUTC": O.q(S.STANDIN_RUN_TS), "pipelineStatus": "'New'",
+    }
+    return f"{exprs.get(c, chr(39) * 2)} AS {c}"
+
+
+register("mail_new_rows", f"""{_MAIL_BASE}
+SELECT ord, {', '.join(_pipeline_col(c) for c in PIPELINE_COLUMNS)} FROM mail_class WHERE appendStatus = 'new'
+""")(PM.mail_new_rows)
+
+register("append_summary", f"""{_MAIL_BASE}
+SELECT CAST(count_if(appendStatus = 'new') AS BIGINT) AS appended,
+       CAST(count_if(appendStatus <> 'new') AS BIGINT) AS skipped,
+       CAST(count(*) AS BIGINT) AS total_processed
+FROM mail_class
+""")(PM.append_summary)

@@ -185,3 +185,60 @@ diffed2 AS (
          (_chg_title OR _chg_naicsCode OR _chg_type OR _chg_deadline) AS changed
   FROM diffed
 )"""
+
+
+def nfkd_marks_sql(expr: str) -> str:
+    """NFKD followed by mark removal for canonically accented letters:
+    every accented character becomes its base letter plus a space (the
+    space stands for the combining mark that normalisation turns into one)."""
+    chars = f"string_split({expr}, '')"
+    fix = "lambda ch: CASE WHEN strip_accents(ch) <> ch THEN strip_accents(ch) || ' ' ELSE ch END"
+    return f"CASE WHEN regexp_full_match({expr}, '[\\x00-\\x7F]*') THEN {expr} " \
+           f"ELSE array_to_string(list_transform({chars}, {fix}), '') END"
+
+
+def normalize_text_sql(expr: str) -> str:
+    """X5 in SQL: NFKD, lower, non-word to space, collapse, strip."""
+    from bidlake.functions.text import WORD
+
+    s = f"coalesce({expr}, '')"
+    spaced = f"regexp_replace(lower({nfkd_marks_sql(s)}), '[^{WORD}{WS}]', ' ', 'g')"
+    return f"trim(regexp_replace({spaced}, '[{WS}]+', ' ', 'g'), ' ')"
+
+
+def language_sql(expr: str) -> str:
+    from bidlake.functions.normalize import SPANISH_MARKERS
+    from bidlake.functions.text import WORD
+
+    pat = f"(?i)(^|[^{WORD}])(" + "|".join(SPANISH_MARKERS) + f")([^{WORD}]|$)"
+    s = f"coalesce({expr}, '')"
+    return f"CASE WHEN {s} = '' THEN '' WHEN regexp_matches({s}, {q(pat)}) THEN 'Spanish' ELSE 'English' END"
+
+
+def mail_opps_cte() -> str:
+    src = "CASE WHEN lang IN ('en', 'de') THEN 'devex' ELSE 'developmentaid' END"
+    label = "CASE WHEN lang IN ('en', 'de') THEN 'Devex' ELSE 'DevelopmentAid' END"
+    key = (f"lower({label}) || ' | ' || {normalize_text_sql('text')} || ' | ' || "
+           f"{normalize_text_sql('lang')} || ' | ' || {normalize_text_sql('source')}")
+    return f"""
+opps AS (
+  SELECT doc_id AS ord, doc_id, text, lang, source FROM documents
+  UNION ALL
+  SELECT {COPY_STRIDE} + doc_id AS ord, doc_id, text, lang, source FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels)
+),
+mail_keyed AS (
+  SELECT ord, doc_id, {label} AS source, {src} AS mailSource, text, lang, source AS countryRegion,
+         {key} AS duplicateKey
+  FROM opps
+),
+mail_master AS (
+  SELECT DISTINCT {key} AS duplicateKey FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+),
+mail_firsts AS (SELECT duplicateKey, min(ord) AS ord, count(*) AS copies FROM mail_keyed GROUP BY 1),
+mail_class AS (
+  SELECT k.*, CASE WHEN k.duplicateKey IN (SELECT duplicateKey FROM mail_master) THEN 'dup_master'
+                   WHEN k.ord IN (SELECT ord FROM mail_firsts) THEN 'new' ELSE 'dup_batch' END AS appendStatus
+  FROM mail_keyed k
+)"""
