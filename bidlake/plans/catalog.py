@@ -230,3 +230,63 @@ SELECT CAST(count_if(appendStatus = 'new') AS BIGINT) AS appended,
        CAST(count(*) AS BIGINT) AS total_processed
 FROM mail_class
 """)(PM.append_summary)
+
+# --- pages: URL rules and links ----------------------------------------------
+
+from bidlake.functions import urls as _U  # noqa: E402
+from bidlake.operators import filters as _F  # noqa: E402
+from bidlake.plans import pages as PP  # noqa: E402
+
+register("clean_url", f"""
+SELECT page_id, {O.clean_url_sql('url')} AS clean_url FROM pages
+""")(PP.clean_url)
+
+register("tracking_decode", f"""
+SELECT page_id, {O.decode_tracking_sql(O.q(PP.TRACKER_BASE) + ' || url_encode(url)')} AS decoded FROM pages
+""")(PP.tracking_decode)
+
+register("url_deny_list", f"""
+SELECT page_id,
+       CAST(regexp_matches(coalesce(url, ''), {O.q(_U.DEVEX_SKIP_PATTERN)}) AS INTEGER) AS devex_skip,
+       CAST(regexp_matches(coalesce(url, ''), {O.q(_U.DA_SKIP_PATTERN)}) AS INTEGER) AS da_skip,
+       CAST(regexp_matches(coalesce(url, ''), {O.q(_U.DA_LISTING_PATTERN)}) AS INTEGER) AS da_listing
+FROM pages
+""")(PP.url_deny_list)
+
+_LINKS = f"WITH {O.anchors_cte().strip()}"
+
+register("page_links", f"""{_LINKS}
+SELECT page_id, link_pos, href, text AS title FROM links
+""")(PP.page_links)
+
+
+def _generic_sql(title: str, generic) -> str:
+    return f"CASE WHEN lower({title}) IN {O.in_list(generic)} THEN '' ELSE {title} END"
+
+
+register("link_dedup_title", f"""{_LINKS},
+dec AS (SELECT page_id, link_pos, {O.decode_tracking_sql(O.strip_sql('href'))} AS url, text FROM links),
+kept AS (
+  SELECT page_id, link_pos, url, {_generic_sql('text', _F.GENERIC_TITLES_DEVEX)} AS title FROM dec
+  WHERE NOT regexp_matches(coalesce(url, ''), {O.q(_U.DEVEX_SKIP_PATTERN)})
+),
+ok AS (
+  SELECT *, lower({O.strip_sql('title')}) AS _tkey FROM kept
+  WHERE length(title) >= {PP.PAGES_MIN_TITLE_LEN} AND NOT regexp_matches(title, {O.q(_F.GENERIC_LABEL_PATTERN)})
+)
+SELECT page_id, link_pos, url, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY page_id, _tkey ORDER BY link_pos) AS _rn FROM ok) t
+WHERE _rn = 1
+""")(PP.link_dedup_title)
+
+register("link_dedup_url", f"""{_LINKS},
+abs_links AS (SELECT page_id, link_pos, {O.strip_sql(O.q(PP.DA_LISTING_BASE) + ' || href')} AS href, text FROM links),
+kept AS (
+  SELECT page_id, link_pos, href, {_generic_sql('text', _F.GENERIC_TITLES_DA)} AS title FROM abs_links
+  WHERE NOT regexp_matches(href, {O.q(_U.DA_SKIP_PATTERN)}) AND regexp_matches(href, {O.q(_U.DA_LISTING_PATTERN)})
+),
+ok AS (SELECT *, {O.clean_url_sql('href')} AS url FROM kept WHERE title <> '' AND length(title) >= {PP.PAGES_MIN_TITLE_LEN})
+SELECT page_id, link_pos, url, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY link_pos) AS _rn FROM ok) t
+WHERE _rn = 1
+""")(PP.link_dedup_url)

@@ -242,3 +242,46 @@ mail_class AS (
                    WHEN k.ord IN (SELECT ord FROM mail_firsts) THEN 'new' ELSE 'dup_batch' END AS appendStatus
   FROM mail_keyed k
 )"""
+
+
+def clean_url_sql(expr: str) -> str:
+    from bidlake.functions.urls import TRACKING_PARAM_PATTERN
+
+    dropped = f"regexp_replace(coalesce({expr}, ''), {q(TRACKING_PARAM_PATTERN)}, '', 'g')"
+    return f"regexp_replace({dropped}, '[?&]+$', '')"
+
+
+def decode_tracking_sql(expr: str) -> str:
+    from bidlake.functions.urls import TRACKER_PATTERN
+
+    m = f"regexp_extract(coalesce({expr}, ''), {q(TRACKER_PATTERN)}, 1)"
+    return f"CASE WHEN {m} <> '' THEN url_decode({m}) ELSE {expr} END"
+
+
+def unescape_sql(expr: str) -> str:
+    from bidlake.operators.links import ENTITIES
+
+    for ent, ch in ENTITIES:
+        expr = f"replace({expr}, {q(ent)}, {q(ch)})"
+    return expr
+
+
+def collapse_sql(expr: str) -> str:
+    return strip_sql(f"regexp_replace({expr}, '[{WS}]+', ' ', 'g')")
+
+
+def anchors_cte() -> str:
+    from bidlake.operators.links import ANCHOR_PATTERN, TAG_PATTERN
+
+    text = collapse_sql(unescape_sql(f"regexp_replace(inner_html, {q(TAG_PATTERN)}, ' ', 'g')"))
+    return f"""
+anc AS (
+  SELECT page_id,
+         regexp_extract_all(coalesce(html, ''), {q(ANCHOR_PATTERN)}, 1) AS hrefs,
+         regexp_extract_all(coalesce(html, ''), {q(ANCHOR_PATTERN)}, 2) AS inners
+  FROM pages
+),
+raw_links AS (
+  SELECT page_id, unnest(range(len(hrefs))) AS _i, unnest(hrefs) AS href, unnest(inners) AS inner_html FROM anc
+),
+links AS (SELECT page_id, CAST(_i AS BIGINT) AS link_pos, href, {text} AS text FROM raw_links)"""
