@@ -29,6 +29,17 @@ def first_wins(df: DataFrame, keys: list[str | Column], order: list[str | Column
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def first_n(df: DataFrame, keys: list[str | Column], order: list[str | Column], n: int | None) -> DataFrame:
+    """At most ``n`` rows per key in ``order`` (no limit when ``n`` is None/0).
+
+    ``row_number() <= n`` gets a partial ``WindowGroupLimit`` before the shuffle.
+    """
+    if not n:
+        return df
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
 def key_set(master: DataFrame, key_col: str, out_col: str | None = None, strip: bool = True) -> DataFrame:
     """Distinct non-blank keys of a master table (missing column -> empty set)."""
     out = out_col or key_col

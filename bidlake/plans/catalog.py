@@ -290,3 +290,93 @@ SELECT page_id, link_pos, url, title FROM (
   SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY link_pos) AS _rn FROM ok) t
 WHERE _rn = 1
 """)(PP.link_dedup_url)
+
+# --- conversations / events / dates ------------------------------------------
+
+from bidlake.plans import parts as PX  # noqa: E402
+from bidlake.settings import PREVIEW_ROWS  # noqa: E402
+
+_W = "WINDOW w AS (PARTITION BY conv_id ORDER BY turn)"
+register("sibling_metadata", f"""
+SELECT conv_id, turn, donor, country, deadline, status FROM (
+  SELECT conv_id, turn, role,
+         coalesce(lead({O.strip_sql('text')}, 1) OVER w, '') AS donor,
+         coalesce(lead({O.strip_sql('text')}, 2) OVER w, '') AS country,
+         coalesce(lead({O.strip_sql('text')}, 3) OVER w, '') AS deadline,
+         {O.strip_sql("coalesce(string_split(text, chr(10))[2], '')")} AS status
+  FROM conversations {_W}) t
+WHERE role = 'user'
+""")(PX.sibling_metadata)
+
+register("first_body_part", f"""
+SELECT conv_id AS message_id,
+       coalesce(arg_min(text, CASE WHEN role = '{PX.BODY_MIME}' AND coalesce(text, '') <> '' THEN turn END), '') AS body
+FROM conversations GROUP BY conv_id
+""")(PX.first_body_part)
+
+register("header_map", f"""
+SELECT conv_id,
+       {', '.join(f"coalesce(arg_max(text, turn) FILTER (WHERE lower(role) = '{r}'), '') AS {n}" for n, r in PX.HEADER_ROLES.items())},
+       CAST(count(DISTINCT lower(role)) AS BIGINT) AS n_headers
+FROM conversations GROUP BY conv_id
+""")(PX.header_map)
+
+_LABEL_KEY = ("lower(" + O.strip_sql("regexp_replace(" + O.strip_sql(
+    "' ' || upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) || ':'") + ", ':+$', '')") + ")")
+_LABELS = f"""WITH lr AS (
+  SELECT user_id, ts, event_id, {_LABEL_KEY} AS label, json_extract_string(props, '$.k') AS value FROM events
+),
+last AS (
+  SELECT user_id, label, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, label ORDER BY ts DESC, event_id DESC) AS _rn
+    FROM lr WHERE label <> '') t
+  WHERE _rn = 1
+)"""
+
+register("label_value_map", f"""{_LABELS}
+SELECT user_id, label, value FROM last
+""")(PX.label_value_map)
+
+_SYN = ", ".join(f"max(CASE WHEN label = '{k}' THEN value END)" for k in PX.EVENT_SYNONYMS)
+register("synonym_lookup", f"""{_LABELS}
+SELECT user_id, substr(coalesce({_SYN}, ''), 1, 100) AS value FROM last GROUP BY user_id
+""")(PX.synonym_lookup)
+
+register("per_source_limit", f"""
+SELECT event_type, event_id FROM (
+  SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS _rn FROM events) t
+WHERE _rn <= {PX.PER_SOURCE_LIMIT}
+""")(PX.per_source_limit)
+
+register("mail_date", f"""
+SELECT o_orderkey, strftime(o_orderdate, '%a, %-d %b %Y') || '{PX.RFC_TIME_SUFFIX}' AS date_header,
+       strftime(o_orderdate, '%Y-%m-%d') AS email_date
+FROM orders
+""")(PX.mail_date)
+
+register("deadline_iso", """
+SELECT o_orderkey,
+       CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%B %-d, %Y')
+                            WHEN '2-HIGH' THEN strftime(o_orderdate, '%d %b, %Y')
+                            WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%-d/%-m/%Y')
+                            WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d')
+                            ELSE '' END AS deadline,
+       CASE WHEN o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE '' END AS deadlineISO
+FROM orders
+""")(PX.deadline_iso)
+
+_PV = ", ".join(f"rpad(substr({O.q('')} || {c}, 1, {cut}), {w}, ' ') AS {c}" for c, (cut, w) in PX.PREVIEW_WIDTHS.items())
+register("preview", f"""{_MAIL_BASE},
+pv AS (
+  SELECT ord, source, '' AS emailDate, '' AS alertName, coalesce(text, '') AS opportunityTitle, '' AS url
+  FROM mail_keyed ORDER BY ord LIMIT {PREVIEW_ROWS}
+)
+SELECT {_PV}, CAST(row_number() OVER (ORDER BY ord) AS BIGINT) AS row_pos FROM pv
+""")(PX.preview)
+
+register("preview_counts", f"""{_MAIL_BASE}
+SELECT CAST(count(DISTINCT doc_id) AS BIGINT) AS emails_found, CAST(count(*) AS BIGINT) AS opportunities,
+       CAST(greatest(count(*) - {PREVIEW_ROWS}, 0) AS BIGINT) AS more
+FROM mail_keyed
+""")(PX.preview_counts)
