@@ -380,3 +380,27 @@ SELECT CAST(count(DISTINCT doc_id) AS BIGINT) AS emails_found, CAST(count(*) AS
        CAST(greatest(count(*) - {PREVIEW_ROWS}, 0) AS BIGINT) AS more
 FROM mail_keyed
 """)(PX.preview_counts)
+
+# --- pages through the DOM facts ---------------------------------------------
+
+register("dom_page_links", f"""{_LINKS}
+SELECT page_id, link_pos, href, text AS title FROM links
+""")(PP.dom_page_links)
+
+register("dom_devex_listings", f"""{_LINKS},
+dec AS (SELECT page_id, link_pos, {O.decode_tracking_sql(O.strip_sql('href'))} AS url, text FROM links),
+kept AS (
+  SELECT page_id, link_pos, url, {_generic_sql('text', _F.GENERIC_TITLES_DEVEX)} AS title FROM dec
+  WHERE NOT regexp_matches(coalesce(url, ''), {O.q(_U.DEVEX_SKIP_PATTERN)})
+),
+ok AS (
+  SELECT *, lower({O.strip_sql('title')}) AS _tkey FROM kept
+  WHERE length(title) >= {PP.PAGES_MIN_TITLE_LEN} AND NOT regexp_matches(title, {O.q(_F.GENERIC_LABEL_PATTERN)})
+)
+SELECT page_id, link_pos, title AS opportunityTitle, url, '' AS donorClient, '' AS countryRegion, '' AS deadline,
+       'Tenders & Grants' AS opportunityType, '' AS status, '' AS alertName
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id, _tkey ORDER BY link_pos) AS _rn FROM ok) t
+WHERE _rn = 1
+""")(PP.dom_devex_listings)
+
+register("dom_da_listings", None)(PP.dom_da_listings)
