@@ -60,3 +60,70 @@ def append_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: appended / skipped / total_processed."""
     e = _enriched(spark, sf_dir)
     return dedup.append_summary(e, _mail_master(spark, sf_dir), "duplicateKey", "ord")
+
+
+# --- end-to-end runs over landed mail -------------------------------------------
+
+def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
+    """P5/P6 per record by source, then U2: the extracted opportunities of all
+    records with arrival ordinal (source_seq, message_id, link_pos)."""
+    from bidlake.operators import extract, html
+
+    docs = recs.select(
+        F.concat_ws(":", "source", "message_id").alias("doc_id"), "subject",
+        F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq")
+    docs = docs.where(F.col("html") != "")
+    nodes = html.dom_nodes(docs)
+    devex_docs = docs.where(F.col("source") == "devex")
+    da_docs = docs.where(F.col("source") == "developmentaid")
+    dx = extract.devex_listings(nodes, devex_docs)
+    da = extract.da_listings(nodes, html.dom_strings(da_docs), da_docs, run_date)
+    opps = dx.unionByName(da, allowMissingColumns=True)
+    ctx = docs.select("doc_id", F.col("source").alias("mailSource"), F.col("email_date").alias("emailDate"),
+                      F.col("subject").alias("emailSubject"), "source_seq", "message_id")
+    out = opps.join(ctx, "doc_id")
+    return out.withColumn("ord", F.struct("source_seq", "message_id", "link_pos"))
+
+
+def ingest_landed_mail(spark: SparkSession, messages_path: str, parts_path: str, table_path: str,
+                       run_date: str, run_ts: str, batch_id: int, days: int = 7, limit: int | None = None,
+                       source_filter: str = "all") -> dict:
+    """Feed B end to end: search -> fetch -> extract -> enrich -> first-wins
+    append against the opportunity table.  Returns appended/skipped/total.
+
+    The enriched batch is cut from its lineage once (checkpoint in the
+    cluster's shared folder) so the append and the summary reuse it.
+    """
+    from bidlake.session import cut_lineage
+    from bidlake.sources import mail as mail_src
+    from bidlake.sources import tables
+
+    recs = mail_src.fetch(mail_src.read_messages(spark, messages_path), mail_src.read_parts(spark, parts_path),
+                          run_date, days, limit, source_filter)
+    enriched = cut_lineage(mail.enrich(extract_records(recs, run_date), run_date, run_ts))
+    master = tables.open_or_create(spark, table_path, PIPELINE_COLUMNS)
+    if tables.BATCH_COL in master.columns:
+        master = master.where(F.col(tables.BATCH_COL) != batch_id)
+    header = tables.evolve_header([c for c in master.columns if c != tables.BATCH_COL], PIPELINE_COLUMNS)
+    fresh = dedup.new_rows(enriched, master, "duplicateKey", "ord")
+    tables.append_batch(fresh.orderBy("ord"), table_path, header, batch_id)
+    row = dedup.append_summary(enriched, master, "duplicateKey", "ord").first()
+    return row.asDict()
+
+
+def dry_run(spark: SparkSession, messages_path: str, parts_path: str, run_date: str, run_ts: str,
+            days: int = 7, limit: int | None = None, source_filter: str = "all") -> tuple[dict, DataFrame]:
+    """Counts and the 30-row preview; nothing is written."""
+    from bidlake.settings import PREVIEW_ROWS
+    from bidlake.sources import mail as mail_src
+
+    recs = mail_src.fetch(mail_src.read_messages(spark, messages_path), mail_src.read_parts(spark, parts_path),
+                          run_date, days, limit, source_filter)
+    enriched = mail.enrich(extract_records(recs, run_date), run_date, run_ts)
+    counts = {"emails": recs.count(), "opportunities": enriched.count()}
+    counts["more"] = max(counts["opportunities"] - PREVIEW_ROWS, 0)
+    widths = {"source": (15, 15), "emailDate": (12, 12), "alertName": (18, 20), "opportunityTitle": (38, 40),
+              "url": (28, 30)}
+    first = enriched.orderBy("ord").limit(PREVIEW_ROWS)
+    cells = [F.rpad(F.substring(F.col(c), 1, cut), width, " ").alias(c) for c, (cut, width) in widths.items()]
+    return counts, first.orderBy("ord").select(*cells)

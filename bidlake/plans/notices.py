@@ -180,3 +180,44 @@ def recheck_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     master, fresh = _recheck_inputs(spark, sf_dir)
     return recheck.counts(master, fresh, S.STANDIN_RUN_DATE)
 
+
+
+# --- end-to-end runs over landed files ------------------------------------------
+
+def ingest_landed_notices(spark: SparkSession, landing: str, master_path: str, run_log_path: str,
+                          settings: JobSettings, run_date: str, run_ts: str, batch_id: int,
+                          codes: DataFrame | None = None) -> dict:
+    """Feed A end to end: landed pages -> filters/dedup/anti-join/cap -> sorted
+    batch appended to the master -> run-log row.  Returns the run's counters.
+
+    The accepted batch is written once; the counts and the log are computed
+    from the written partition, so the plan runs once.
+    """
+    from bidlake.operators import aggregates
+    from bidlake.settings import RUN_LOG_COLUMNS
+    from bidlake.sources import notices as landed
+
+    master = tables.open_or_create(spark, master_path, NOTICE_COLUMNS)
+    if tables.BATCH_COL in master.columns:
+        # a retried batch must not see its own earlier attempt
+        master = master.where(F.col(tables.BATCH_COL) != batch_id)
+    header = tables.evolve_header([c for c in master.columns if c != tables.BATCH_COL], NOTICE_COLUMNS)
+    raw = landed.items(landed.read_pages(spark, landing))
+    window = raw.where(filters.lookback("postedDate", run_date, settings.days_back))
+    if settings.keyword:
+        window = window.where(F.lower(F.coalesce(F.col("title"), F.lit(""))).contains(settings.keyword.lower()))
+    agency_col = "organizationCode" if settings.agency_codes else None
+    batch = notices.accepted_notices(window, master, settings, run_ts, agency_col=agency_col)
+    ordered = notices.sort_batch(batch, with_position=settings.max_records is not None)
+    tables.append_batch(ordered, master_path, header, batch_id)
+
+    written = spark.read.parquet(master_path).where(F.col(tables.BATCH_COL) == batch_id)
+    if codes is None:
+        seeded = [(i, c) for i, c in enumerate(settings.agency_codes)] or [(0, "ALL")]
+        codes = spark.createDataFrame(seeded, "code_seq bigint, agencyCode string")
+    counts = aggregates.per_agency_counts(written, codes)
+    log = aggregates.run_log_row(counts, run_date, run_ts, settings.days_back, settings.keyword,
+                                 unrestricted=not settings.agency_codes)
+    tables.append_run_log(log, run_log_path)
+    row = log.first()
+    return {c: row[c] for c in RUN_LOG_COLUMNS}
