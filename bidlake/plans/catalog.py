@@ -404,3 +404,17 @@ WHERE _rn = 1
 """)(PP.dom_devex_listings)
 
 register("dom_da_listings", None)(PP.dom_da_listings)
+
+# --- streaming -----------------------------------------------------------------
+
+from bidlake.plans import streams as PS  # noqa: E402
+
+register("stream_dedup_master", """
+SELECT event_id, user_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS _rn FROM events) t
+WHERE _rn = 1
+""")(PS.stream_dedup_master)
+
+register("stream_dedup_watermark", """
+SELECT DISTINCT user_id, event_type FROM events
+""")(PS.stream_dedup_watermark)
