@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bidlake.functions.text import WORD, WS, col_
-from bidlake.functions.udfs import nfkd
+from bidlake.functions.text import WORD, col_
+from bidlake.functions.udfs import nfkd_normal_form
 
 # --- fixed values -----------------------------------------------------------
 # Words marking a Spanish title (matched case-insensitively as whole words).
@@ -40,14 +40,20 @@ def is_ascii(c: Column | str) -> Column:
 
 
 def normalize_text(c: Column | str) -> Column:
-    """NFKD, lower-case, punctuation to space, whitespace collapsed; NULL -> ''."""
+    """NFKD, lower-case, punctuation to space, whitespace collapsed; NULL -> ''.
+
+    Punctuation-to-space followed by whitespace collapsing equals replacing
+    every run of non-word characters (whitespace included) by one space, so
+    one regex pass suffices.  ASCII rows stay in the JVM (NFKD is the
+    identity there, and the word class is ``[a-z0-9_]`` after lower-casing);
+    the rest go once, whole, to the Arrow helper.
+    """
     s = F.coalesce(col_(c), F.lit(""))
-    # The UDF sees NULL for ASCII rows (NFKD is the identity there).
-    decomposed = F.coalesce(nfkd(F.when(~is_ascii(s), s)), s)
-    lowered = F.lower(decomposed)
-    spaced = F.regexp_replace(lowered, f"[^{WORD}{WS}]", " ")
-    collapsed = F.regexp_replace(spaced, f"[{WS}]+", " ")
-    return F.regexp_replace(collapsed, r"^ | \z", "")
+    ascii_row = is_ascii(s)
+    jvm = F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9_]+", " "))
+    # The helper receives NULL for ASCII rows, so it only works on the others.
+    python = nfkd_normal_form(F.when(~ascii_row, s))
+    return F.when(ascii_row, jvm).otherwise(python)
 
 
 def infer_language(title: Column | str) -> Column:

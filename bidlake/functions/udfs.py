@@ -8,6 +8,7 @@ runs for every row), so the Python side only sees the residue.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from datetime import datetime
 
@@ -23,6 +24,23 @@ def nfkd(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKD", v) if isinstance(v, str) else None)
 
 
+_NON_WORD_RUN = re.compile(r"[^\w]+")
+
+
+def _normal_form(v: str) -> str:
+    return _NON_WORD_RUN.sub(" ", unicodedata.normalize("NFKD", v).lower()).strip(" ")
+
+
+@F.pandas_udf(StringType())
+def nfkd_normal_form(values: pd.Series) -> pd.Series:
+    """NFKD, lower-case, every run of non-word characters to one space, trimmed.
+
+    (Replacing punctuation by spaces and then collapsing whitespace is the
+    same as collapsing each run of non-word characters, whitespace included.)
+    """
+    return values.map(lambda v: _normal_form(v) if isinstance(v, str) else None)
+
+
 def lenient_day_first(text: str | None, default: datetime) -> str | None:
     """Day-first lenient parse (``dateutil``) -> ISO date, or None.
 

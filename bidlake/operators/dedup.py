@@ -106,11 +106,13 @@ def classify_append(df: DataFrame, master: DataFrame, key_col: str = "duplicateK
 
 
 def new_rows(df: DataFrame, master: DataFrame, key_col: str = "duplicateKey", order_col: str = "ord") -> DataFrame:
-    """The rows an append writes: first copy of each key not yet in the master."""
-    firsts = first_ordinals(df, key_col, order_col)
+    """W2 + J2: the rows an append writes: first copy of each key not yet in the master.
+
+    One pass over ``df``: first-wins (partial ``WindowGroupLimit`` before the
+    shuffle, so a hot key ships one row per map task) then the anti-join.
+    """
     keys = key_set(master, key_col, strip=False)
-    fresh_firsts = firsts.join(keys, on=key_col, how="left_anti").select(order_col)
-    return df.join(fresh_firsts, on=order_col, how="left_semi")
+    return first_wins(df, [key_col], order_col).join(keys, on=key_col, how="left_anti")
 
 
 def append_summary(df: DataFrame, master: DataFrame, key_col: str = "duplicateKey", order_col: str = "ord") -> DataFrame:

@@ -1,9 +1,11 @@
 """Row filters of both feeds (F1..F16) as plain Catalyst predicates.
 
-The code rules are written as ``NOT startswith`` chains and ``NOT IN``
-literal sets so they push down to the Parquet scan (``rlike`` does not).
-Blank/NULL keeps are explicit OR branches: ``NOT startswith(NULL)`` is
-NULL and would silently drop the row.
+The code rules are literal-set tests: ``substring(code, 1, k) NOT IN
+(prefixes of length k)`` and ``code NOT IN (codes)`` (both compile to a
+hash-set ``InSet``).  A chain of 18 ``NOT startswith`` tests over the same
+stripped expression repeats it 18 times and measured ~3x slower.
+Blank/NULL keeps are explicit OR branches: a NULL comparison would
+silently drop the row.
 """
 
 from __future__ import annotations
@@ -23,9 +25,17 @@ def non_blank_id(id_col: str = "noticeId") -> Column:
 
 
 def sector_allowed(code: Column | str, prefixes: tuple[str, ...]) -> Column:
-    """code does not start with an excluded two-digit sector."""
+    """code does not start with any excluded sector prefix.
+
+    ``startswith(c, p)`` equals ``substring(c, 1, len(p)) == p``, so prefixes
+    are grouped by length and each group is one set-membership test.
+    """
     c = T.col_(code)
-    return reduce(lambda a, b: a & b, [~c.startswith(p) for p in prefixes], F.lit(True))
+    by_len: dict[int, list[str]] = {}
+    for p in prefixes:
+        by_len.setdefault(len(p), []).append(p)
+    tests = [~F.substring(c, 1, n).isin(group) for n, group in sorted(by_len.items())]
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
 def code_allowed(code: Column | str, prefixes: tuple[str, ...], excluded: tuple[str, ...]) -> Column:

@@ -216,3 +216,46 @@ def dom_strings(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html")
 def anchors(nodes: DataFrame) -> DataFrame:
     """Elements ``a`` carrying an ``href`` attribute, in document order (node_id)."""
     return nodes.where((F.col("tag") == "a") & F.col("href").isNotNull())
+
+
+FACTS_SCHEMA = (
+    "fact string, doc_id string, node_id int, parent_id int, tag string, child_pos int, tag_pos int, "
+    "href string, text_sp string, text_cat string, anc_chain array<int>, tr_chain array<int>, "
+    "table_chain array<int>, cells array<string>, link_seq int, seq int, kind string, text string"
+)
+_FACT_COLS = ["fact"] + _NODE_COLS + ["seq", "kind", "text"]
+
+
+def _facts_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for doc_id, html in zip(pdf["doc_id"], pdf["html"]):
+            f = flatten(html)
+            doc = str(doc_id)
+            rows.extend(("node", *r, None, None, None) for r in _node_rows(doc, f))
+            rows.extend(("string", doc, None, parent_id, None, None, None, None, None, None, None, None, None,
+                         None, None, seq, kind, text) for seq, parent_id, kind, text in f.strings)
+        out = pd.DataFrame(rows, columns=_FACT_COLS)
+        for c in ("node_id", "parent_id", "child_pos", "tag_pos", "link_seq", "seq"):
+            out[c] = out[c].astype("Int32")
+        yield out
+
+
+def dom_facts(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html",
+              materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(nodes, strings)`` from ONE parse of every document.
+
+    Extraction plans read the facts many times (anchors, rows, tables,
+    parents); with ``materialize`` the facts are written once to the
+    session's shared checkpoint folder, so the Python parse never reruns and
+    a lost executor re-reads files instead of re-parsing.
+    """
+    from bidlake.session import cut_lineage
+
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(html_col).alias("html"))
+    facts = src.mapInPandas(_facts_batches, FACTS_SCHEMA)
+    if materialize:
+        facts = cut_lineage(facts)
+    nodes = facts.where(F.col("fact") == "node").select(*_NODE_COLS)
+    strings = facts.where(F.col("fact") == "string").select("doc_id", "seq", "parent_id", "kind", "text")
+    return nodes, strings

@@ -73,11 +73,11 @@ def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
         F.concat_ws(":", "source", "message_id").alias("doc_id"), "subject",
         F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq")
     docs = docs.where(F.col("html") != "")
-    nodes = html.dom_nodes(docs)
+    nodes, strings = html.dom_facts(docs)
     devex_docs = docs.where(F.col("source") == "devex")
     da_docs = docs.where(F.col("source") == "developmentaid")
     dx = extract.devex_listings(nodes, devex_docs)
-    da = extract.da_listings(nodes, html.dom_strings(da_docs), da_docs, run_date)
+    da = extract.da_listings(nodes, strings, da_docs, run_date)
     opps = dx.unionByName(da, allowMissingColumns=True)
     ctx = docs.select("doc_id", F.col("source").alias("mailSource"), F.col("email_date").alias("emailDate"),
                       F.col("subject").alias("emailSubject"), "source_seq", "message_id")

@@ -70,13 +70,13 @@ def _page_docs(spark: SparkSession, sf_dir: str, href_prefix: str | None = None)
                         F.col("html"))
 
 
-def _nodes(docs: DataFrame, href_prefix: str | None = None) -> DataFrame:
+def _facts(docs: DataFrame, href_prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
     from bidlake.operators import html
 
-    nodes = html.dom_nodes(docs)
+    nodes, strings = html.dom_facts(docs)
     if href_prefix:
         nodes = nodes.withColumn("href", F.when(F.col("href").isNotNull(), F.concat(F.lit(href_prefix), "href")))
-    return nodes
+    return nodes, strings
 
 
 def dom_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def dom_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bidlake.functions import text as T
     from bidlake.operators import html
 
-    a = html.anchors(_nodes(_page_docs(spark, sf_dir)))
+    a = html.anchors(_facts(_page_docs(spark, sf_dir))[0])
     return a.select(F.col("doc_id").cast("bigint").alias("page_id"), F.col("link_seq").cast("bigint").alias("link_pos"),
                     "href", T.collapse_ws("text_sp").alias("title"))
 
@@ -94,16 +94,16 @@ def dom_devex_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bidlake.operators import extract
 
     docs = _page_docs(spark, sf_dir)
-    out = extract.devex_listings(_nodes(docs), docs, PAGES_MIN_TITLE_LEN)
+    out = extract.devex_listings(_facts(docs)[0], docs, PAGES_MIN_TITLE_LEN)
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumnRenamed("doc_id", "page_id")
 
 
 def dom_da_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 over pages through the DOM facts, anchors placed under a listing section;
     scoping to the "Open" section (F13) applies where a page's text says open."""
-    from bidlake.operators import extract, html
+    from bidlake.operators import extract
 
     docs = _page_docs(spark, sf_dir)
-    nodes = _nodes(docs, DA_LISTING_BASE)
-    out = extract.da_listings(nodes, html.dom_strings(docs), docs, S.STANDIN_RUN_DATE, PAGES_MIN_TITLE_LEN)
+    nodes, strings = _facts(docs, DA_LISTING_BASE)
+    out = extract.da_listings(nodes, strings, docs, S.STANDIN_RUN_DATE, PAGES_MIN_TITLE_LEN)
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumnRenamed("doc_id", "page_id")

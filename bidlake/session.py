@@ -41,6 +41,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guarantee scan parallelism: round-robin repartition only when the scan
+    yields fewer partitions than the cluster can run at once.
+
+    Large tables arrive in many file splits and pass through untouched; a
+    small single-row-group file (one split, one task) is spread so per-row
+    work (regex, Python helpers, HTML parsing) uses every core.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared lineage-cut folder named by the cluster.
 
