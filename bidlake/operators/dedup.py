@@ -55,17 +55,24 @@ def anti_join_master(incoming: DataFrame, master: DataFrame, key_col: str, maste
     return incoming.join(keys, on=key_col, how="left_anti")
 
 
-def strict_cap(df: DataFrame, n: int | None, order_col: str = "ord") -> DataFrame:
+def strict_cap(df: DataFrame, n: int | None, order_col: str = "ord", materialize: bool = True) -> DataFrame:
     """The first ``n`` rows by a unique ordinal (no cap when ``n`` is None).
 
-    The n-th ordinal is found by a top-n over the single ordinal column and
-    used as a scalar-subquery threshold, so the plan stays lazy and the wide
-    rows are never funnelled through one task.
+    The n-th ordinal is found by a top-n over the single ordinal column (each
+    task ships at most ``n`` longs) and applied as a scalar-subquery
+    threshold, so the wide rows are never funnelled through one task.  With
+    ``materialize`` the uncapped rows are first written once to the shared
+    checkpoint folder, so the threshold and the rows read the same files
+    instead of recomputing the upstream plan twice.
     """
     if n is None:
         return df
     if n <= 0:
         return df.limit(0)
+    if materialize:
+        from bidlake.session import cut_lineage
+
+        df = cut_lineage(df)
     nth = df.select(order_col).orderBy(order_col).limit(n).agg(F.max(order_col).alias("_nth"))
     return df.where(F.col(order_col) <= nth.scalar())
 
