@@ -6,6 +6,17 @@ DataFrame/SQL API; Python only runs inside Arrow-batched UDFs where Spark
 has no built-in (NFKD normalisation, HTML tree flattening, lenient dates).
 """
 
+import sys
+
 from bidlake.settings import JobSettings, RunContext
 
+# Python helpers (Arrow UDFs, the HTML flattener) travel to the workers by
+# value, so executors need no installed copy of this package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship the package with addPyFile
+    pass
+
 __all__ = ["JobSettings", "RunContext"]
