@@ -74,10 +74,11 @@ def filter_departments_by_table(df: DataFrame, departments: DataFrame, path_col:
     The table is a configured list (tens of rows), so it is broadcast.
     """
     keyed = df.withColumn("_top", top_department(path_col))
-    excluded = F.broadcast(departments.select(F.col(departments.columns[0]).alias("_top")).distinct())
-    blanks = keyed.where(F.coalesce(F.col(path_col), F.lit("")) == "")
-    rest = keyed.where(F.coalesce(F.col(path_col), F.lit("")) != "").join(excluded, "_top", "left_anti")
-    return blanks.unionByName(rest).drop("_top")
+    excluded = F.broadcast(
+        departments.select(F.col(departments.columns[0]).alias("_top")).distinct().withColumn("_excluded", F.lit(True)))
+    flagged = keyed.join(excluded, "_top", "left")
+    keep = (F.coalesce(F.col(path_col), F.lit("")) == "") | F.col("_excluded").isNull()
+    return flagged.where(keep).drop("_top", "_excluded")
 
 
 def posted_between(posted: Column | str, start: str, end: str) -> Column:

@@ -418,3 +418,8 @@ WHERE _rn = 1
 register("stream_dedup_watermark", """
 SELECT DISTINCT user_id, event_type FROM events
 """)(PS.stream_dedup_watermark)
+
+register("mail_source_counts", f"""{_MAIL_BASE}
+SELECT mailSource AS source, CAST(count(*) AS BIGINT) AS opportunities, CAST(count(DISTINCT doc_id) AS BIGINT) AS messages
+FROM mail_keyed GROUP BY mailSource
+""")(PM.mail_source_counts)

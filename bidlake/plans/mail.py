@@ -127,3 +127,14 @@ def dry_run(spark: SparkSession, messages_path: str, parts_path: str, run_date:
     first = enriched.orderBy("ord").limit(PREVIEW_ROWS)
     cells = [F.rpad(F.substring(F.col(c), 1, cut), width, " ").alias(c) for c, (cut, width) in widths.items()]
     return counts, first.orderBy("ord").select(*cells)
+
+
+def mail_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: messages and extracted opportunities per source."""
+    from bidlake.operators import aggregates
+
+    opps = S.mail_opportunities(spark, sf_dir)
+    per = aggregates.per_source_totals(opps, "mailSource").withColumnRenamed("n", "opportunities")
+    msgs = opps.groupBy("mailSource").agg(
+        F.count_distinct(F.col("ord") % F.lit(S.COPY_STRIDE)).cast("bigint").alias("messages"))
+    return per.join(msgs, "mailSource").withColumnRenamed("mailSource", "source")

@@ -10,8 +10,6 @@ instead of duplicating rows.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -31,7 +29,8 @@ def run_log_schema() -> StructType:
     ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def pathpath_exists(spark: SparkSession, path: str) -> bool:
+    """Does a table folder exist (on whatever file system the path names)?"""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -43,7 +42,7 @@ def open_or_create(spark: SparkSession, path: str, columns) -> DataFrame:
 
     ``mergeSchema`` reunites batches written under older headers.
     """
-    if _exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.option("mergeSchema", "true").parquet(path)
     return spark.createDataFrame([], string_schema(columns))
 
@@ -73,11 +72,6 @@ def append_batch(batch: DataFrame, path: str, header, batch_id: int) -> None:
         .parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, columns=()) -> DataFrame:
-    df = open_or_create(spark, path, columns)
-    return df
-
-
 def ordered_view(master: DataFrame, sort_cols) -> DataFrame:
     """S13: "prepend" semantics on read: newest batch first, then its own order."""
     if BATCH_COL not in master.columns:
@@ -93,7 +87,7 @@ def replace_snapshot(df: DataFrame, path: str) -> str:
     """
     version = 0
     base = path.rstrip("/")
-    while _exists(df.sparkSession, f"{base}.v{version}"):
+    while path_exists(df.sparkSession, f"{base}.v{version}"):
         version += 1
     target = f"{base}.v{version}"
     df.write.mode("errorifexists").parquet(target)
@@ -103,7 +97,7 @@ def replace_snapshot(df: DataFrame, path: str) -> str:
 def latest_snapshot(spark: SparkSession, path: str) -> str | None:
     base = path.rstrip("/")
     version, found = 0, None
-    while _exists(spark, f"{base}.v{version}"):
+    while path_exists(spark, f"{base}.v{version}"):
         found = f"{base}.v{version}"
         version += 1
     return found
@@ -112,9 +106,3 @@ def latest_snapshot(spark: SparkSession, path: str) -> str | None:
 def append_run_log(row: DataFrame, path: str) -> None:
     """Append the run's audit row; read newest first via ``runAtUTC``."""
     row.select(*RUN_LOG_COLUMNS).write.mode("append").parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A table location under the session's warehouse (tests / local runs)."""
-    wh = spark.conf.get("spark.sql.warehouse.dir")
-    return os.path.join(wh.replace("file:", ""), name)

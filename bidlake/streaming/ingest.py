@@ -52,14 +52,14 @@ def first_wins_batch_writer(master_path: str, key_cols: list[str], order_cols: l
     """The ``foreachBatch`` function (idempotent per epoch)."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
+        from bidlake.sources.tables import path_exists
+
         spark = batch.sparkSession
         firsts = dedup.first_wins(batch, key_cols, order_cols)
-        try:
+        if path_exists(spark, master_path):
             master = spark.read.parquet(master_path).where(F.col(BATCH_COL) != epoch_id)
             fresh = firsts.join(master.select(*key_cols).distinct(), key_cols, "left_anti")
-        except Exception as exc:  # no master yet (first epoch)
-            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-                raise
+        else:  # first epoch: no master yet
             fresh = firsts
         (fresh.withColumn(BATCH_COL, F.lit(epoch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

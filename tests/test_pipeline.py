@@ -206,3 +206,18 @@ def test_mail_ingest_end_to_end(spark):
     counts, preview = PM.dry_run(spark, mp, pp, "2026-07-16", "2026-07-16T12:00:00+00:00")
     assert counts == {"emails": 2, "opportunities": 4, "more": 0}
     assert all(len(r["opportunityTitle"]) == 40 for r in preview.collect())
+
+
+def test_snapshot_and_prepend_view(spark):
+    base = scratch()
+    path = os.path.join(base, "t")
+    first = spark.createDataFrame([("a", "2026-01-02"), ("b", "2026-01-03")], "id string, postedDate string")
+    second = spark.createDataFrame([("c", "2026-01-01"), ("d", "2026-01-05")], "id string, postedDate string")
+    tables.append_batch(first, path, ["id", "postedDate"], 1)
+    tables.append_batch(second, path, ["id", "postedDate"], 2)
+    view = tables.ordered_view(spark.read.parquet(path), [F.col("postedDate").desc()])
+    assert [r["id"] for r in view.collect()] == ["d", "c", "b", "a"]   # newest batch on top
+    v0 = tables.replace_snapshot(spark.read.parquet(path), path)
+    v1 = tables.replace_snapshot(spark.read.parquet(v0).where(F.col("id") != "a"), path)
+    assert tables.latest_snapshot(spark, path) == v1
+    assert spark.read.parquet(v1).count() == 3 and spark.read.parquet(v0).count() == 4
