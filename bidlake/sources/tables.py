@@ -29,7 +29,7 @@ def run_log_schema() -> StructType:
     ])
 
 
-def pathpath_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Does a table folder exist (on whatever file system the path names)?"""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
