@@ -49,7 +49,7 @@ DRIVER_TABLES = (
 FIXED_SIZE_TABLES = ("region", "nation")
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from bidlake.session import spread
 
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _READS:
         df = spark.read.parquet(path)
         _READS[key] = df if name in FIXED_SIZE_TABLES else spread(df)
