@@ -423,3 +423,70 @@ register("mail_source_counts", f"""{_MAIL_BASE}
 SELECT mailSource AS source, CAST(count(*) AS BIGINT) AS opportunities, CAST(count(DISTINCT doc_id) AS BIGINT) AS messages
 FROM mail_keyed GROUP BY mailSource
 """)(PM.mail_source_counts)
+
+# --- landed JSON pages (feed A from files) -----------------------------------
+
+_LANDED_PASSED = _NOTICE_BASE.replace(
+    "keyed AS (SELECT *,",
+    "agency_ord AS (SELECT * FROM (SELECT * REPLACE (CAST(organizationCode AS BIGINT) * 1000000000000 + "
+    "row_number() OVER (PARTITION BY organizationCode ORDER BY ord) - 1 AS ord) FROM items) t "
+    f"WHERE substr(coalesce(postedDate, ''), 1, 10) >= '{_LB_FROM}' "
+    f"AND substr(coalesce(postedDate, ''), 1, 10) <= '{S.STANDIN_RUN_DATE}'),\n"
+    "keyed AS (SELECT *,").replace("FROM items),\npassed AS", "FROM agency_ord),\npassed AS")
+
+register("landed_notice_batch", f"""{_LANDED_PASSED},
+{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS, agency='organizationCode')}
+SELECT {_OWNED},
+       CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos
+FROM accepted
+""")(PN.landed_notice_batch)
+
+# --- pages landed as alert mail (feed B end to end) ------------------------------
+
+from bidlake.functions.normalize import STABLE_ID_PARAM, STABLE_ID_PREFIX  # noqa: E402
+from bidlake.functions.text import WORD as _WORD  # noqa: E402
+
+
+def _mail_pages_sql() -> str:
+    alert = O.strip_sql(f"regexp_extract(subject, {O.q('(?i)Business Alert[:' + O.WS + ']+(.+?)$')}, 1)")
+    title_ok = (f"length(title) >= 15 AND NOT regexp_matches(title, {O.q(_F.GENERIC_LABEL_PATTERN)}) "
+                f"AND NOT (alertName <> '' AND lower({O.strip_sql('title')}) = lower({O.strip_sql('alertName')}))")
+    sid = f"regexp_extract(coalesce(url, ''), {O.q('[?&]' + STABLE_ID_PARAM + '=([' + _WORD + '-]+)')}, 1)"
+    key = (f"CASE WHEN {sid} <> '' THEN 'devex | {STABLE_ID_PREFIX}' || {sid} "
+           f"ELSE 'devex | ' || {O.normalize_text_sql('title')} || ' |  | ' END")
+    return f"""{_LINKS},
+msg AS (
+  SELECT page_id, CAST(page_id AS VARCHAR) AS message_id,
+         {O.q(PM.SUBJECT_PREFIX)} || regexp_extract(coalesce(html, ''), {O.q(PM.TITLE_PATTERN)}, 1) AS subject
+  FROM pages
+),
+dec AS (
+  SELECT l.page_id, m.message_id, m.subject, {alert} AS alertName, l.link_pos,
+         {O.decode_tracking_sql(O.strip_sql('l.href'))} AS url,
+         {_generic_sql('l.text', _F.GENERIC_TITLES_DEVEX)} AS title
+  FROM links l JOIN msg m ON m.page_id = l.page_id
+),
+ok AS (
+  SELECT *, lower({O.strip_sql('title')}) AS _tkey FROM dec
+  WHERE NOT regexp_matches(coalesce(url, ''), {O.q(_U.DEVEX_SKIP_PATTERN)}) AND {title_ok}
+),
+listed AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, _tkey ORDER BY link_pos) AS _rn FROM ok) t
+  WHERE _rn = 1
+),
+keyed AS (SELECT *, {key} AS duplicateKey FROM listed),
+firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY duplicateKey ORDER BY message_id, link_pos) AS _rk
+                 FROM keyed) t
+  WHERE _rk = 1
+)
+SELECT message_id, link_pos, 'Devex' AS source, '{PM.MAIL_RUN_DATE}' AS emailDate, subject AS emailSubject,
+       alertName, title AS opportunityTitle, '' AS donorClient, '' AS countryRegion,
+       'Tenders & Grants' AS opportunityType, '' AS status, '' AS deadline, '' AS deadlineISO, url,
+       {O.language_sql('title')} AS language, '' AS fitScore, '' AS fitLabel, '' AS reviewSummary, duplicateKey,
+       {O.q(PM.MAIL_RUN_TS)} AS processedAtUTC, '' AS owner, 'New' AS pipelineStatus
+FROM firsts
+"""
+
+
+register("mail_pipeline_pages", _mail_pages_sql())(PM.mail_pipeline_pages)

@@ -138,3 +138,62 @@ def mail_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = opps.groupBy("mailSource").agg(
         F.count_distinct(F.col("ord") % F.lit(S.COPY_STRIDE)).cast("bigint").alias("messages"))
     return per.join(msgs, "mailSource").withColumnRenamed("mailSource", "source")
+
+
+# --- pages landed as alert mail (feed B from files, end to end) --------------------
+
+MAIL_RUN_DATE = "2026-07-16"
+MAIL_RUN_TS = "2026-07-16T12:00:00+00:00"
+MAIL_DATE_HEADER = "Thu, 16 Jul 2026 08:00:00 -0500"
+MAIL_SENDER = "Devex Alerts <alerts@devex.com>"
+SUBJECT_PREFIX = "Business Alert: "
+TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
+
+
+def _b64url(c):
+    return F.regexp_replace(F.translate(F.base64(F.encode(c, "UTF-8")), "+/", "-_"), "=+$", "")
+
+
+def land_pages_as_mail(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Every page as one alert e-mail of the first publisher: headers plus a
+    three-part MIME tree (container, plain-text URL, HTML body), landed as
+    JSON under the shared checkpoint folder."""
+    import os
+    import uuid
+
+    from bidlake.session import checkpoint_dir
+
+    pages = S.table(spark, sf_dir, "pages")
+    mid = F.col("page_id").cast("string")
+    subject = F.concat(F.lit(SUBJECT_PREFIX), F.regexp_extract(F.coalesce("html", F.lit("")), TITLE_PATTERN, 1))
+    hdr = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
+    messages = pages.select(
+        F.lit(None).cast("string").alias("source"), mid.alias("id"),
+        F.array(hdr("Subject", subject), hdr("From", F.lit(MAIL_SENDER)), hdr("Date", F.lit(MAIL_DATE_HEADER)))
+        .alias("headers"))
+    part = lambda seq, mime, body: F.struct(
+        mid.alias("message_id"), F.lit(seq).alias("part_seq"), F.lit(mime).alias("mime_type"), body.alias("body_b64"))
+    parts = pages.select(F.explode(F.array(
+        part(0, "multipart/alternative", F.lit("")),
+        part(1, "text/plain", _b64url(F.col("url"))),
+        part(2, "text/html", _b64url(F.col("html"))),
+    )).alias("p")).select("p.*")
+    base = os.path.join(checkpoint_dir(spark), f"landing-mail-{uuid.uuid4().hex}")
+    messages.write.json(os.path.join(base, "messages"))
+    parts.write.json(os.path.join(base, "parts"))
+    return os.path.join(base, "messages"), os.path.join(base, "parts")
+
+
+def mail_pipeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4..S7 + X21/X22 + P5 + P3 + W2/J2: landed mail -> rows appended to an
+    empty opportunity table, with their arrival position."""
+    from bidlake.sources import mail as mail_src
+
+    mp, pp = land_pages_as_mail(spark, sf_dir)
+    recs = mail_src.fetch(mail_src.read_messages(spark, mp), mail_src.read_parts(spark, pp), MAIL_RUN_DATE, 7,
+                          None, "devex")
+    enriched = mail.enrich(extract_records(recs, MAIL_RUN_DATE), MAIL_RUN_DATE, MAIL_RUN_TS)
+    empty = spark.createDataFrame([], "duplicateKey string")
+    fresh = dedup.new_rows(enriched, empty, "duplicateKey", "ord")
+    return fresh.select(F.col("ord.message_id").alias("message_id"), F.col("ord.link_pos").alias("link_pos"),
+                        *PIPELINE_COLUMNS)

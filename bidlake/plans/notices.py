@@ -221,3 +221,42 @@ def ingest_landed_notices(spark: SparkSession, landing: str, master_path: str, r
     tables.append_run_log(log, run_log_path)
     row = log.first()
     return {c: row[c] for c in RUN_LOG_COLUMNS}
+
+
+LANDED_AGENCIES = ("0", "1", "2", "3", "4")
+
+
+def land_standin_pages(spark: SparkSession, sf_dir: str, page_size: int = STANDIN_SETTINGS.page_size) -> str:
+    """Write the stand-in notices as landed JSON pages (one folder per call,
+    under the session's shared checkpoint folder); returns the folder."""
+    import os
+    import uuid
+
+    from pyspark.sql import Window
+
+    from bidlake.session import checkpoint_dir
+    from bidlake.sources import notices as landed
+
+    items = S.notice_items(spark, sf_dir)
+    # arrival order inside each agency's result list = the stand-in ordinal
+    pos = F.row_number().over(Window.partitionBy("organizationCode").orderBy("ord")) - 1
+    shaped = items.select(F.col("organizationCode").cast("int").alias("agency_seq"),
+                          F.col("organizationCode").alias("agency_code"), pos.alias("pos"), *landed.ITEM_FIELDS)
+    path = os.path.join(checkpoint_dir(spark), f"landing-notices-{uuid.uuid4().hex}")
+    landed.landing_pages_from(shaped, page_size).write.json(path)
+    return path
+
+
+def landed_notice_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + X23 + S3 + feed A: landed JSON pages walked, flattened and run
+    through filters, first-wins, anti-join, cap and ordering (per-agency
+    counts come from ``organizationCode``)."""
+    from bidlake.sources import notices as landed
+
+    path = land_standin_pages(spark, sf_dir)
+    raw = landed.items(landed.read_pages(spark, path))
+    window = raw.where(filters.lookback("postedDate", S.STANDIN_RUN_DATE, STANDIN_SETTINGS.days_back))
+    settings = JobSettings(excluded_departments=S.STANDIN_DEPARTMENTS, agency_codes=LANDED_AGENCIES)
+    batch = notices.accepted_notices(window, S.notice_master(spark, sf_dir), settings, S.STANDIN_RUN_TS,
+                                     agency_col="organizationCode")
+    return notices.sort_batch(batch).select(*NOTICE_COLUMNS, "row_pos")
