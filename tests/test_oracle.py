@@ -27,7 +27,7 @@ def duck():
 def test_every_query_is_registered_with_sql_or_listed():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"dom_da_listings"}
-    assert len(QUERIES) >= 45
+    assert len(QUERIES) >= 47
 
 
 def test_entry_runs(spark):
