@@ -126,3 +126,34 @@ def test_mail_date_and_base64(spark):
     raw = "Año – ok ✓".encode()
     b = base64.urlsafe_b64encode(raw).decode().rstrip("=")
     assert col_values(spark, D.base64url_text("v"), [b]) == [raw.decode()]
+
+
+def spec_clean_url(url):
+    url = re.sub(r"[?&](utm_[^&]+|ref=[^&]+|source=[^&]+)", "", url)
+    return url.rstrip("?&")
+
+
+_URL_CHARS = st.sampled_from(list("ab/?&=_.:") + ["utm_", "ref=", "source=", "x", "%2F", "#", "é", " "])
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(_URL_CHARS, max_size=12).map("".join), min_size=1, max_size=15))
+def test_clean_url_property(spark, urls):
+    assert col_values(spark, U.clean_url("v"), urls) == [spec_clean_url(u) for u in urls]
+
+
+def spec_lookup(fields, keys):
+    for k in keys:
+        if k in fields:
+            return fields[k][:100]
+    return ""
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.sampled_from(["donor", "client", "x", "funding agency"]),
+                                st.text(max_size=120), max_size=4), min_size=1, max_size=10))
+def test_first_present_property(spark, maps):
+    keys = ("funding agency", "donor", "client")
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(maps)], "i int, m map<string,string>")
+    got = [r[0] for r in df.orderBy("i").select(T.first_present("m", keys)).collect()]
+    assert got == [spec_lookup(m, keys) for m in maps]
