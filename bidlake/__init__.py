@@ -8,7 +8,7 @@ has no built-in (NFKD normalisation, HTML tree flattening, lenient dates).
 
 import sys
 
-from bidlake.settings import JobSettings, RunContext
+from bidlake.settings import JobSettings
 
 # Python helpers (Arrow UDFs, the HTML flattener) travel to the workers by
 # value, so executors need no installed copy of this package.
@@ -19,4 +19,4 @@ try:
 except Exception:  # pragma: no cover - older cloudpickle: ship the package with addPyFile
     pass
 
-__all__ = ["JobSettings", "RunContext"]
+__all__ = ["JobSettings"]

@@ -2,7 +2,7 @@
 
 ``normalize_text`` = NFKD -> lower -> non-word to space -> collapse -> strip.
 Spark has no NFKD, so only rows holding a non-ASCII character are sent
-(Arrow-batched) to the ``nfkd`` helper; ASCII rows never leave the JVM.
+(Arrow-batched) to the ``nfkd_normal_form`` helper; ASCII rows never leave the JVM.
 The character class is spelled ``[^\\p{L}\\p{N}_<ws>]`` on purpose: Java's
 ``(?U)\\w`` keeps combining marks while Python's ``\\w`` does not, so an
 accented letter must become ``base + ' '`` (``Consultoría`` ->

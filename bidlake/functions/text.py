@@ -42,10 +42,6 @@ def blank(c: Column | str) -> Column:
     return trim_ws(F.coalesce(col_(c), F.lit("")))
 
 
-def is_blank(c: Column | str) -> Column:
-    return blank(c) == F.lit("")
-
-
 def collapse_ws(c: Column | str) -> Column:
     """Collapse whitespace runs to one space and strip."""
     return trim_ws(F.regexp_replace(col_(c), f"[{WS}]+", " "))
@@ -119,6 +115,6 @@ def contains_word(c: Column | str, word: str) -> Column:
     return F.coalesce(col_(c), F.lit("")).rlike(f"(?iu)(^|[^{WORD}]){word}([^{WORD}]|$)")
 
 
-def fixed_width(c: Column | str, width: int) -> Column:
-    """Preview cell: first ``width`` characters, right-padded to ``width + 2``."""
-    return F.rpad(F.substring(F.coalesce(col_(c), F.lit("")), 1, width), width + 2, " ")
+def fixed_width(c: Column | str, cut: int, width: int) -> Column:
+    """Preview cell: first ``cut`` characters, right-padded with spaces to ``width``."""
+    return F.rpad(F.substring(F.coalesce(col_(c), F.lit("")), 1, cut), width, " ")

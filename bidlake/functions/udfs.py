@@ -18,12 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-@F.pandas_udf(StringType())
-def nfkd(values: pd.Series) -> pd.Series:
-    """Unicode NFKD decomposition; NULL stays NULL."""
-    return values.map(lambda v: unicodedata.normalize("NFKD", v) if isinstance(v, str) else None)
-
-
 _NON_WORD_RUN = re.compile(r"[^\w]+")
 
 

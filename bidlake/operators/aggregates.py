@@ -1,4 +1,4 @@
-"""Aggregations of both feeds (A1, A2, A5, A6, A8) and the run-log row.
+"""Aggregations of both feeds (A1, A2, A5, A6) and the run-log row.
 
 All are ordinary grouped aggregates with partial (map-side) aggregation;
 ordered string folds sort a bounded list (one entry per configured agency
@@ -7,7 +7,7 @@ code) instead of relying on ``collect_list`` order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
@@ -71,7 +71,3 @@ def last_wins_map(df: DataFrame, group_cols: list[str], key: Column, value: Colu
     return last.groupBy(*group_cols).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("_k", "_v")))).alias(out_col))
 
-
-def exists_in_group(flag: Column, group_cols: list[str]) -> Column:
-    """Does any row of the group satisfy ``flag``."""
-    return F.max(flag.cast("int")).over(Window.partitionBy(*group_cols)) == 1

@@ -160,9 +160,3 @@ def da_link_ok(href: Column | str) -> Column:
     """F7 + F8."""
     return ~U.da_skip(href) & U.da_listing(href)
 
-
-def source_selected(source_col: str, source_filter: str) -> Column:
-    """F16: ``devex`` / ``developmentaid`` / ``all``."""
-    if source_filter == "all":
-        return F.col(source_col).isin("devex", "developmentaid")
-    return F.col(source_col) == F.lit(source_filter)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from bidlake.functions import dates as D
 from bidlake.functions import normalize as N
-from bidlake.settings import PIPELINE_COLUMNS
 
 # --- fixed values -----------------------------------------------------------
 SOURCE_LABELS = {"devex": "Devex", "developmentaid": "DevelopmentAid"}
@@ -61,7 +60,3 @@ def enrich(opps: DataFrame, run_date: str, run_ts: str, lenient_dates: bool = Tr
         F.lit(NEW_STATUS).alias("pipelineStatus"),
     )
 
-
-def table_rows(enriched: DataFrame) -> DataFrame:
-    """The 20 columns in table order."""
-    return enriched.select(*PIPELINE_COLUMNS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
 from bidlake.operators import dedup, filters
-from bidlake.settings import NOTICE_COLUMNS, JobSettings
+from bidlake.settings import JobSettings
 
 
 def project_notice(items: DataFrame, agency_code: Column | str | None, pulled_at: str,
@@ -39,11 +39,6 @@ def project_notice(items: DataFrame, agency_code: Column | str | None, pulled_at
     return items.select(*owned, *extra)
 
 
-def align_to_header(df: DataFrame, header: list[str] | tuple[str, ...]) -> DataFrame:
-    """Columns in the live header order, by name; missing ones are ''."""
-    return df.select(*[F.col(h) if h in df.columns else F.lit("").alias(h) for h in header])
-
-
 def fresh_projection(items: DataFrame) -> DataFrame:
     """The re-check view of a fresh notice (blank-coalesced)."""
     return items.select(

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
+from bidlake.operators.filters import high_priority
 from bidlake.operators.notices import fresh_projection
 from bidlake.settings import DIFF_FIELDS, RESCORE_FIELDS
 
@@ -29,10 +30,8 @@ def has_needed_columns(master: DataFrame) -> bool:
 
 
 def high_rows(master: DataFrame) -> DataFrame:
-    """F14 rows with the lower bound of their look-up window."""
-    return master.where(
-        (F.lower(T.blank("fitLabel")) == "high") & (F.coalesce(F.col("noticeId"), F.lit("")) != "")
-    )
+    """reviewed rows labelled high with a present id."""
+    return master.where(high_priority())
 
 
 def matched_fresh(master: DataFrame, fresh_items: DataFrame, run_date: str) -> DataFrame:
@@ -81,8 +80,7 @@ def upsert(master: DataFrame, fresh_items: DataFrame, run_date: str) -> DataFram
     cols = master.columns
     if not has_needed_columns(master):
         return master
-    is_high = (F.lower(T.blank("fitLabel")) == "high") & (F.coalesce(F.col("noticeId"), F.lit("")) != "")
-    others = master.where(~is_high)
+    others = master.where(~high_priority())
     merged = diff(master, matched_fresh(master, fresh_items, run_date))
     updated_cols = []
     for c in cols:

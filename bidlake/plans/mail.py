@@ -122,10 +122,11 @@ def dry_run(spark: SparkSession, messages_path: str, parts_path: str, run_date:
     enriched = mail.enrich(extract_records(recs, run_date), run_date, run_ts)
     counts = {"emails": recs.count(), "opportunities": enriched.count()}
     counts["more"] = max(counts["opportunities"] - PREVIEW_ROWS, 0)
-    widths = {"source": (15, 15), "emailDate": (12, 12), "alertName": (18, 20), "opportunityTitle": (38, 40),
-              "url": (28, 30)}
+    from bidlake.functions.text import fixed_width
+    from bidlake.plans.parts import PREVIEW_WIDTHS
+
     first = enriched.orderBy("ord").limit(PREVIEW_ROWS)
-    cells = [F.rpad(F.substring(F.col(c), 1, cut), width, " ").alias(c) for c, (cut, width) in widths.items()]
+    cells = [fixed_width(c, cut, width).alias(c) for c, (cut, width) in PREVIEW_WIDTHS.items()]
     return counts, first.orderBy("ord").select(*cells)
 
 

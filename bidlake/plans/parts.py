@@ -146,7 +146,7 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     e = mail.enrich(S.mail_opportunities(spark, sf_dir), S.STANDIN_RUN_DATE, S.STANDIN_RUN_TS)
     first = e.orderBy("ord").limit(PREVIEW_ROWS)
-    cells = [F.rpad(F.substring(F.col(c), 1, cut), width, " ").alias(c) for c, (cut, width) in PREVIEW_WIDTHS.items()]
+    cells = [T.fixed_width(c, cut, width).alias(c) for c, (cut, width) in PREVIEW_WIDTHS.items()]
     return dedup.stable_order(first.select("ord", *cells), [F.col("ord")], "row_pos").drop("ord")
 
 

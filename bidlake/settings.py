@@ -8,7 +8,7 @@ broadcast tables (a few dozen rows: a proven size bound).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values -----------------------------------------------------------
 # Two-digit industry sectors whose codes are always excluded.
@@ -84,24 +84,3 @@ class JobSettings:
     excluded_departments: tuple[str, ...] = EXCLUDED_DEPARTMENTS
     keyword: str | None = None
     min_title_len: int = DEFAULT_MIN_TITLE_LEN
-
-    def agencies_label(self) -> str:
-        return ",".join(self.agency_codes) if self.agency_codes else "ALL"
-
-
-@dataclass(frozen=True)
-class RunContext:
-    """The run instant, fixed once per run so every row of a run agrees.
-
-    ``run_date`` is ``yyyy-MM-dd``; ``run_ts`` is the ISO-8601 UTC stamp
-    written to ``apiPulledAtUTC`` / ``processedAtUTC`` / ``runAtUTC``.
-    """
-
-    run_date: str = "2026-07-16"
-    run_ts: str = "2026-07-16T12:00:00+00:00"
-    batch_id: int = 0
-    extra: dict = field(default_factory=dict)
-
-    @staticmethod
-    def from_date(run_date: str, batch_id: int = 0) -> "RunContext":
-        return RunContext(run_date=run_date, run_ts=f"{run_date}T00:00:00+00:00", batch_id=batch_id)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bidlake.settings import RUN_LOG_COLUMNS
 
@@ -23,12 +23,6 @@ def string_schema(columns) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def run_log_schema() -> StructType:
-    return StructType([
-        StructField(c, LongType() if c == "newRows" else StringType(), True) for c in RUN_LOG_COLUMNS
-    ])
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does a table folder exist (on whatever file system the path names)?"""
     jvm = spark.sparkContext._jvm
