@@ -45,13 +45,22 @@ def key_set(master: DataFrame, key_col: str, out_col: str | None = None, strip:
     out = out_col or key_col
     if key_col not in master.columns:
         return master.sparkSession.createDataFrame([], f"`{out}` string")
-    k = T.blank(key_col) if strip else F.coalesce(F.col(key_col), F.lit(""))
-    return master.select(k.alias(out)).where(F.col(out) != "").distinct()
+    if strip:
+        return master.select(T.blank(key_col).alias(out)).where(F.col(out) != "").distinct()
+    # stored keys used as they are: a bucketed master keeps its partitioning
+    k = F.col(key_col)
+    return master.where(k.isNotNull() & (k != "")).select(k.alias(out)).distinct()
 
 
-def anti_join_master(incoming: DataFrame, master: DataFrame, key_col: str, master_key_col: str | None = None) -> DataFrame:
-    """Rows whose key is not already in the master."""
-    keys = key_set(master, master_key_col or key_col, out_col=key_col)
+def anti_join_master(incoming: DataFrame, master: DataFrame, key_col: str, master_key_col: str | None = None,
+                     strip: bool = True) -> DataFrame:
+    """Rows whose key is not already in the master.
+
+    ``strip=False`` compares the stored keys as they are (they were stripped
+    when written), which lets a master bucketed on the key join without a
+    shuffle of its own.
+    """
+    keys = key_set(master, master_key_col or key_col, out_col=key_col, strip=strip)
     return incoming.join(keys, on=key_col, how="left_anti")
 
 

@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="bidlake-warehouse-"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BIDLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -44,6 +45,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores``.
+
+    Partitions target ``partition_bytes`` (spill-safe for executors with a
+    few GB per core) and never fall below two waves of the cluster; AQE then
+    coalesces small ones and splits skewed ones at run time.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Guarantee scan parallelism: round-robin repartition only when the scan
     yields fewer partitions than the cluster can run at once *and* holds

@@ -100,3 +100,15 @@ def latest_snapshot(spark: SparkSession, path: str) -> str | None:
 def append_run_log(row: DataFrame, path: str) -> None:
     """Append the run's audit row; read newest first via ``runAtUTC``."""
     row.select(*RUN_LOG_COLUMNS).write.mode("append").parquet(path)
+
+
+def save_bucketed_master(df: DataFrame, table: str, key_col: str, buckets: int) -> None:
+    """A master that no longer broadcasts, stored bucketed and sorted by its key.
+
+    Anti-joins and key-set aggregates on ``key_col`` then read the master
+    already hash-partitioned: only the (much smaller) incoming batch is
+    shuffled, into the same ``buckets`` partitions.
+    """
+    (df.write.mode("overwrite").format("parquet")
+       .bucketBy(buckets, key_col).sortBy(key_col)
+       .saveAsTable(table))

@@ -14,6 +14,7 @@ from bidlake.plans import notices as PN
 from bidlake.settings import EXCLUDED_CODES, EXCLUDED_DEPARTMENTS, EXCLUDED_SECTOR_PREFIXES, NOTICE_COLUMNS, JobSettings
 from bidlake.sources import notices as landed
 from bidlake.sources import standins as S
+from bidlake.functions import text as T
 from bidlake.sources import tables
 from tests.conftest import SF001
 from tests.fixtures import DA_HTML, DA_SUBJECT, DEVEX_HTML, DEVEX_SUBJECT
@@ -221,3 +222,36 @@ def test_snapshot_and_prepend_view(spark):
     v1 = tables.replace_snapshot(spark.read.parquet(v0).where(F.col("id") != "a"), path)
     assert tables.latest_snapshot(spark, path) == v1
     assert spark.read.parquet(v1).count() == 3 and spark.read.parquet(v0).count() == 4
+
+
+def test_bucketed_master_anti_join_shuffles_only_the_batch(spark):
+    master = S.notice_master(spark, SF001).select("noticeId", "title")
+    tables.save_bucketed_master(master, "master_bucketed", "noticeId", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        incoming = S.notice_items(spark, SF001).select("ord", T.blank("noticeId").alias("noticeId"))
+        out = dedup.anti_join_master(incoming, spark.table("master_bucketed"), "noticeId", strip=False)
+        lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert any("master_bucketed" in l and "Bucketed: true" in l for l in lines)
+        # no exchange has the bucketed master below it: only the batch shuffles
+        for i, line in enumerate(lines):
+            if "Exchange" in line and "Broadcast" not in line:
+                depth = len(line) - len(line.lstrip(" :+-"))
+                below = []
+                for nxt in lines[i + 1:]:
+                    if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                        break
+                    below.append(nxt)
+                assert not any("master_bucketed" in b for b in below), line
+        want = incoming.join(master.select(T.blank("noticeId").alias("noticeId")).distinct(), "noticeId", "left_anti")
+        assert out.count() == want.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sizing():
+    from bidlake.session import sizing
+
+    conf = sizing(100 * 10**12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 16000
+    assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
