@@ -147,7 +147,6 @@ class _Flattener(HTMLParser):
         self.strings.append((len(self.strings), self.stack[-1].node_id, "comment", data))
 
     def finish(self):
-        self.close()
         self._flush()
         while len(self.stack) > 1:
             self._close(self.stack.pop())
@@ -155,9 +154,15 @@ class _Flattener(HTMLParser):
 
 
 def flatten(html: str | None) -> _Flattener:
+    """One document -> its facts.  Markup the parser rejects ends the document
+    there (open elements are closed) instead of failing the whole job."""
     f = _Flattener()
-    if html:
-        f.feed(html)
+    try:
+        if html:
+            f.feed(html)
+        f.close()
+    except Exception:  # noqa: BLE001 - malformed input: keep what was read
+        pass
     f.finish()
     return f
 

@@ -100,3 +100,9 @@ def test_dom_text_rules(spark):
     div = [n for n in f.done if n.tag == "div"][0]
     assert " ".join(div.pieces) == "a b c"
     assert "".join(div.pieces) == "abc"
+
+
+def test_dom_survives_malformed_markup():
+    for bad in ["<a href='x'>unclosed <b>bold", "</td></tr><p>stray end tags</p>", "<![if", "<div " * 3, None, ""]:
+        f = html.flatten(bad)
+        assert f.done[-1].tag == html.ROOT_TAG   # the root is always emitted
