@@ -103,13 +103,19 @@ def first_ordinals(df: DataFrame, key_col: str, order_col: str = "ord") -> DataF
 
 
 def classify_append(df: DataFrame, master: DataFrame, key_col: str = "duplicateKey",
-                    order_col: str = "ord") -> DataFrame:
+                    order_col: str = "ord", materialize: bool = True) -> DataFrame:
     """A3 + W2 + J2: every incoming row tagged ``new`` / ``dup_master`` / ``dup_batch``.
 
     Batch duplicates are found from per-key first ordinals (aggregated before
     the shuffle) joined back on the unique ordinal, so a key holding a third
-    of the batch never lands in one task.
+    of the batch never lands in one task.  The batch is read twice, so with
+    ``materialize`` it is first cut from its lineage (shared checkpoint
+    folder) instead of being recomputed.
     """
+    if materialize:
+        from bidlake.session import cut_lineage
+
+        df = cut_lineage(df)
     firsts = first_ordinals(df, key_col, order_col).select(order_col, F.lit(True).alias("_first"))
     keys = key_set(master, key_col, strip=False).withColumn("_in_master", F.lit(True))
     tagged = df.join(firsts, on=order_col, how="left").join(keys, on=key_col, how="left")
