@@ -68,11 +68,13 @@ def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
     """P5/P6 per record by source, then U2: the extracted opportunities of all
     records with arrival ordinal (source_seq, message_id, link_pos)."""
     from bidlake.operators import extract, html
+    from bidlake.session import cut_lineage
 
     docs = recs.select(
         F.concat_ws(":", "source", "message_id").alias("doc_id"), "subject",
         F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq")
-    docs = docs.where(F.col("html") != "")
+    # read four times below (facts, two publishers, context): decode the bodies once
+    docs = cut_lineage(docs.where(F.col("html") != ""))
     nodes, strings = html.dom_facts(docs)
     devex_docs = docs.where(F.col("source") == "devex")
     da_docs = docs.where(F.col("source") == "developmentaid")
