@@ -255,3 +255,11 @@ def test_sizing():
     conf = sizing(100 * 10**12, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 16000
     assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_recheck_precondition_is_a_noop(spark):
+    master, fresh = S.notice_master(spark, SF001), S.fresh_items(spark, SF001)
+    partial = master.drop("fitLabel")
+    assert recheck.upsert(partial, fresh, S.STANDIN_RUN_DATE) is partial
+    c = recheck.counts(partial, fresh, S.STANDIN_RUN_DATE).first()
+    assert (c["checked"], c["updated"]) == (0, 0)
