@@ -28,13 +28,17 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mail_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The opportunity table already holding the good-quality documents,
+    stored once (a real table is read, not recomputed)."""
+    from bidlake.session import cut_lineage
+
     docs = S.mail_master_docs(spark, sf_dir)
     opps = docs.select(
         F.col("doc_id").alias("ord"),
         F.when(F.col("lang").isin("en", "de"), F.lit("devex")).otherwise(F.lit("developmentaid")).alias("mailSource"),
         F.col("text").alias("opportunityTitle"), F.col("lang").alias("donorClient"),
         F.col("source").alias("countryRegion"))
-    return mail.enrich(opps, S.STANDIN_RUN_DATE, S.STANDIN_RUN_TS).select(*PIPELINE_COLUMNS)
+    return cut_lineage(mail.enrich(opps, S.STANDIN_RUN_DATE, S.STANDIN_RUN_TS).select(*PIPELINE_COLUMNS))
 
 
 def duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:

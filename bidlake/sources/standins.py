@@ -125,15 +125,20 @@ def notice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(resent)
 
 
-def notice_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The already-ingested master: finished orders, 13 owned + review columns."""
+def notice_master(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """The already-ingested master: finished orders, 13 owned + review columns.
+
+    A real master is a stored table; ``materialize`` stores the stand-in once
+    (shared checkpoint folder).  Off by default: rebuilding it is a scan plus
+    broadcast joins, cheaper than the extra write job at these scales.
+    """
     from bidlake.operators.notices import project_notice
 
     items = _notice_item(order_facts(spark, sf_dir).where(F.col("o_orderstatus") == "F"), 0)
     owned = project_notice(items, agency_code=F.lit(""), pulled_at=MASTER_PULLED_TS)
     prio = F.col("_priority")
     fit = F.when(prio == "1-URGENT", F.lit(" High ")).when(prio == "2-HIGH", F.lit("high")).otherwise(F.lit(""))
-    return owned.select(
+    master = owned.select(
         "*",
         fit.alias("fitLabel"),
         F.lit("reviewed").alias("reviewSummary"),
@@ -142,6 +147,11 @@ def notice_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(MASTER_PULLED_TS).alias("reviewedAtUTC"),
         F.lit("").alias("emailedAtUTC"),
     ).drop("ord", "_priority", "_status", "_orderdate", "o_orderkey", "organizationCode")
+    if materialize:
+        from bidlake.session import cut_lineage
+
+        master = cut_lineage(master)
+    return master
 
 
 def fresh_items(spark: SparkSession, sf_dir: str) -> DataFrame:
