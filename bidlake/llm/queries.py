@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidlake.llm import mixing, urlfilter
+from bidlake.llm import mixing, neardup, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_source_mix")
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.DedupSettings(words=3, percent=85))
