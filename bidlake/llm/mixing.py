@@ -146,7 +146,7 @@ def mixed_blocks(docs: DataFrame, settings: MixSettings = MixSettings()) -> Data
     sized = stored(sized_documents(docs))
     targets = stored(source_targets(sized, settings))
     spans = block_spans(placed_documents(sized, targets, settings), settings)
-    return drawn_slots(targets, settings).join(spans.select("source_no", "block", "doc_id", "start", "words"), ["source_no", "block"])
+    return drawn_slots(targets, settings).hint("merge").join(spans.select("source_no", "block", "doc_id", "start", "words"), ["source_no", "block"])
 
 
 def mix(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
@@ -163,7 +163,8 @@ def mix(docs: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     placed = placed_documents(sized, targets, settings)
     uses = drawn_slots(targets, settings).groupBy("source_no", "block").agg(F.count("*").alias("times"))
     kept = ["doc_id", "size", "source_size", "target"]
-    worded = (block_spans(placed, settings).join(uses, ["source_no", "block"], "left")
+    # the slots are as many as the blocks: a broadcast on their small stored parent would grow with the input
+    worded = (block_spans(placed, settings).join(uses.hint("merge"), ["source_no", "block"], "left")
               .groupBy("source_no", "start", *kept)
               .agg(F.sum(F.col("words") * F.coalesce(F.col("times"), F.lit(0))).alias("taken")))
     wordless = sized.where("size = 0").join(targets, sized["source"].eqNullSafe(targets["source"])).select(*kept, F.lit(0).cast("long").alias("taken"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidlake.llm import mixing, neardup, urlfilter
+from bidlake.llm import langid, mixing, neardup, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,13 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.DedupSettings(words=3, percent=85))
+
+
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_ids(table(spark, sf_dir, "documents"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
