@@ -35,9 +35,10 @@ class LanguageSettings:
     """``sample`` bounds the documents per language that centroids are fitted on; document frequencies count all."""
     dimensions: int = 8192
     centroids: int = 4
-    sample: int = 1500
-    rounds: int = 8
-    slack: float = 0.5
+    sample: int = 800
+    rounds: int = 6
+    windows: tuple[int, ...] = (40, 160, 640)
+    slack: float = 0.4
 
 
 @dataclass
@@ -66,6 +67,12 @@ def unit_vector(data: bytes, weight: np.ndarray) -> np.ndarray:
     return v / max(float(np.linalg.norm(v)), 1e-9)
 
 
+def windows_of(data: bytes, settings: LanguageSettings) -> list[bytes]:
+    """The whole text and a short piece of each length from its middle, so that centroids know short texts too."""
+    half = len(data) // 2
+    return [data, *(data[half - n // 2:half + n // 2] for n in settings.windows if n < len(data))]
+
+
 def cluster(vectors: np.ndarray, settings: LanguageSettings) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from farthest-first starts: centroids and each row's cosine to its own."""
     centres = [vectors.mean(axis=0)]
@@ -107,10 +114,10 @@ def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = Langua
         return LanguageModel([], np.zeros((0, dims), np.float32), np.zeros(0, int), np.zeros(0), np.ones(dims, np.float32))
     frequency = np.zeros(dims)
     frequency[list(sums)] = list(sums.values())
-    weight = (np.log((1 + rows) / (1 + frequency)) + 1e-3).astype(np.float32)
+    weight = np.log(1 + (1 + rows) / (1 + frequency)).astype(np.float32)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.stack([unit_vector(x, weight) for x in frame.sort_values("order")["data"]])
+        vectors = np.stack([unit_vector(x, weight) for data in frame.sort_values("order")["data"] for x in windows_of(data, settings)])
         centres, cosines = cluster(vectors, settings)
         own = cosines.argmax(axis=1)
         floors = [settings.slack * float(cosines[own == i, i].min()) if (own == i).any() else 0.0 for i in range(len(centres))]

@@ -4,7 +4,8 @@ A word's log-odds compare the labelled toxic and clean documents that hold it.
 The estimate has a Dirichlet prior centred on the word's beginning (its first
 6, 5, 4 and 3 letters, each with the shorter one as prior), so unseen forms of
 a known stem score like the stem.  Other words score below zero.  One linear
-scan finds all maximal-scoring segments of a text.  Chance segments of clean
+scan finds all maximal-scoring segments of a text.  As the odds count documents,
+the k-th use of a word in a text adds 1 / k^2 of its score.  Chance segments of clean
 documents have an exponential tail: the expected number with score s or more
 in n words is K n exp(-lambda s).  Segments that beat it are the significant
 passages, and their summed excess, put on a probability scale, is the score.
@@ -36,7 +37,7 @@ class ToxicitySettings:
     prior: float = 2.0
     drift: float = 0.25
     least_documents: int = 3
-    least_ratio: float = 2.0
+    least_ratio: float = 3.0
     tail_from: float = 1.0
     significant: float = 0.05
     threshold: float = 0.3
@@ -102,13 +103,14 @@ class Scanner:
         memo, score, drift = self.memo, self.model.token_score, self.model.settings.drift
         if len(memo) > self.model.settings.memo:
             memo.clear()
-        found = []
+        found, times = [], {}
         for i, w in enumerate(words):
             s = memo.get(w)
             if s is None:
                 s = memo[w] = score(w)
             if s != -drift:
-                found.append((i, s))
+                times[w] = k = times.get(w, 0) + 1
+                found.append((i, s / k / k if s > 0 else s))
         return len(words), maximal_segments(found, drift)
 
     def excess(self, words: int, segments: list[tuple[int, int, float]]) -> float:
@@ -142,15 +144,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float,
 def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: ToxicitySettings = ToxicitySettings()) -> ToxicityModel:
     """Fit on labelled rows where ``eligible`` holds.
 
-    A bounded sample per class is halved by a hash: one half gives the word
-    counts (summed per task, then by word), the other the tail and the
+    A bounded sample per class is split by a hash: three quarters give the
+    word counts (summed per task, then by word), the rest the tail and the
     probability scale.  Only words with evidence reach the driver.
     """
     model = ToxicityModel(settings)
     truth = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.where(eligible & F.col("text").isNotNull()).select("doc_id", "text").join(truth, "doc_id")
-    sample = stored(bounded_sample(rows, F.col("toxic"), F.col("doc_id"), settings.sample).withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))))
-    sizes = {(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", "half").agg(F.count("*").alias("n")).collect()}
+    sample = stored(bounded_sample(rows, F.col("toxic"), F.col("doc_id"), settings.sample).withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) == 0).cast("int")))
+    sizes = {(r["toxic"], r["part"]): r["n"] for r in sample.groupBy("toxic", "part").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get((1, 0), 0), sizes.get((0, 0), 0)
     if not bad or not good:
         return model
@@ -165,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: Toxici
             units = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array([seen[1][u] for u in units], pa.int64()), pa.array([seen[0][u] for u in units], pa.int64())], names=["unit", "bad", "good"])
 
-    counted = stored(sample.where("half = 0").select("text", "toxic").mapInArrow(count, "unit string, bad long, good long")
+    counted = stored(sample.where("part = 0").select("text", "toxic").mapInArrow(count, "unit string, bad long, good long")
                      .groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= 1))
     expected = F.col("good") * (bad / good)
     telling = counted.where((F.col("bad") >= settings.least_documents) & (F.col("bad") + settings.prior >= settings.least_ratio * (expected + settings.prior)))
@@ -193,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: Toxici
             r = (a + settings.prior * parent(unit)) / (b + settings.prior)
             if r >= settings.least_ratio or parent(unit) >= settings.least_ratio:
                 model.words[unit] = float(np.log(r))
-    calibrate(model, sample.where("half = 1").select("text", "toxic"))
+    calibrate(model, sample.where("part = 1").select("text", "toxic"))
     return model
 
 
