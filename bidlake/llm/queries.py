@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidlake.llm import langid, mixing, neardup, toxicity, urlfilter
+from bidlake.llm import langid, mixing, neardup, quality, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
