@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidlake.llm import langid, mixing, neardup, quality, toxicity, urlfilter
+from bidlake.llm import decontam, langid, mixing, neardup, quality, topk, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +76,27 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
+@register("op3_exact_topk", _OP3_SQL)
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
