@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import decontam, langid, mixing, neardup, quality, topk, toxicity, urlfilter
+from bidlake.llm import decontam, htmltext, langid, mixing, neardup, quality, topk, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,8 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 @register("op3_exact_topk", _OP3_SQL)
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op8_main_text")
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
