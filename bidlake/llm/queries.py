@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import decontam, htmltext, langid, mixing, neardup, quality, topk, toxicity, urlfilter
+from bidlake.llm import decontam, htmltext, langid, lmscore, mixing, neardup, quality, topk, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +105,8 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_main_text")
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_documents(table(spark, sf_dir, "documents"))
