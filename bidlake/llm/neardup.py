@@ -209,3 +209,23 @@ def _linked_roots(docs: DataFrame, members: DataFrame, vertices: DataFrame, sett
             roots = stored(components(links))
         centres *= 8
     return roots
+
+
+def deduplicated(docs: DataFrame, settings: DedupSettings = DedupSettings()) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the smallest doc_id's.
+
+    Of repeated rows of one id, the one with the smallest hash of its text
+    stays.  Rows without words or with a null doc_id have no duplicates and
+    all stay.
+    """
+    found = stored(near_duplicates(docs, settings))
+    dropped = found.where("not kept").select("doc_id").distinct()
+    rest = docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = stored(repeated)
+    if repeated.isEmpty():
+        return rest
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    single = rest.join(repeated, "doc_id", "left_anti").select(*rest.columns).unionByName(rest.where(~worded).join(repeated, "doc_id", "left_semi").select(*rest.columns))
+    several = rest.where(worded).join(repeated, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), F.xxhash64("text").alias("order"))
+    return single.unionByName(several.groupBy("row.doc_id").agg(F.min_by("row", "order").alias("row")).select("row.*"))
