@@ -5,9 +5,9 @@ bin copies the value of a full one along a pseudorandom order of bins that is
 the same for all texts.  Bands of bins give buckets.  Texts with the same
 shingle set are one vertex from the start.  In a bucket, links are star
 shaped: every member is compared with one centre, on full shingle sets.
-Members that the centre did not catch are tried again with further centres,
-one for each component that is still apart, until none is left; pairs stay
-bounded by members times components, not by members squared.
+Buckets that still hold several components get further centres, until a turn
+links nothing more; pairs stay bounded by members times a constant, not by
+members squared.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ BINS = 256
 
 @dataclass(frozen=True)
 class DedupSettings:
-    """Shingle length, link threshold in percent, bins per band.
+    """Shingle length, link threshold in percent, bins per band, components of a bucket compared in one turn.
 
     With 6 of 256 bins a band, two texts at similarity 0.85 share no bucket
     with probability 3e-9, at 0.8 with 3e-6.
@@ -37,6 +37,7 @@ class DedupSettings:
     words: int = 5
     percent: int = 80
     band_rows: int = 6
+    centres: int = 8
 
     @property
     def bands(self) -> int:
@@ -156,59 +157,59 @@ def near_duplicates(docs: DataFrame, settings: DedupSettings = DedupSettings())
     signed = stored(signed_documents(docs, settings))
     linked = signed.where("set_id is not null and doc_id is not null")
     vertices = stored(linked.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets")))
-    entries = vertices.select("set_id", "n_shingles", F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
+    entries = vertices.select("set_id", "least_id", "n_shingles", F.explode("buckets").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(entries.join(shared, "bucket"))
-
+    nodes = stored(members.groupBy("set_id").agg(F.first("least_id").alias("least_id"), F.sum("n").alias("reach")))
     repeated = not linked.groupBy("doc_id", "set_id").count().where("count > 1").isEmpty()
-    roots = _linked_roots(docs, members, vertices, settings, repeated)
-    rooted = vertices.select("set_id", "least_id").join(roots, F.col("set_id") == F.col("vertex"), "left").select(
-        "set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("set_id", "component_id")
+    sets = stored(shingle_table(docs, nodes.select("set_id", F.col("least_id").alias("doc_id")), settings, repeated))
+    ranked = stored(members.join(nodes.select("set_id", "reach"), "set_id").select("bucket", F.struct("reach", "set_id", "n_shingles").alias("rank")))
+    labels = _labels(nodes, ranked, sets, settings)
+    smallest = labels.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    classes = labels.join(smallest, "root").select("set_id", "component_id")
+    classes = vertices.select("set_id", "least_id").join(classes, "set_id", "left").select("set_id", F.coalesce("component_id", "least_id").alias("component_id"))
     named = linked.select("doc_id", "n_shingles", "set_id").join(classes, "set_id").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("set_id is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return named.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _linked_roots(docs: DataFrame, members: DataFrame, vertices: DataFrame, settings: DedupSettings, repeated: bool) -> DataFrame:
-    """vertex and root of the confirmed links among the members of shared buckets."""
-    spark = docs.sparkSession
-    holders = members.select("set_id").distinct().join(vertices.select("set_id", F.col("least_id").alias("doc_id")), "set_id")
-    sets = stored(shingle_table(docs, holders, settings, repeated))
+def _labels(nodes: DataFrame, ranked: DataFrame, sets: DataFrame, settings: DedupSettings) -> DataFrame:
+    """set_id, least_id and root (the same for linked sets) of all members of shared buckets.
 
-    links, tested, roots, centres = None, None, spark.createDataFrame([], "vertex long, root long"), 1
+    The first centre of a bucket is its member with the most company over all
+    bands: copies of one text, however they differ among each other, have that
+    text as the centre.  Later turns look at buckets that hold several
+    components: up to ``centres`` of them are all compared with the other
+    members, in more divided buckets the next one, as long as a turn links
+    something.
+    """
+    first = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
+    links = stored(confirmed(_pairs(ranked.join(first, "bucket").where("rank.set_id != centre.set_id"), settings), sets, settings))
+    root = components(links).withColumnRenamed("vertex", "set_id")
+    labels = stored(nodes.select("set_id", "least_id").join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
+    turn = 0
     while True:
-        labelled = members.join(roots, F.col("set_id") == F.col("vertex"), "left").select("bucket", "set_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
-        parts = labelled.groupBy("bucket", "root").agg(F.min(F.struct("set_id", "n_shingles")).alias("centre"))
-        apart = parts.groupBy("bucket").agg(F.count("*").alias("_parts")).where("_parts > 1")
-        if centres == 1:
-            chosen = parts.groupBy("bucket").agg(F.min("centre").alias("centre"), F.min_by("root", "centre").alias("centre_root"))
-            most = None
-        else:
-            apart = stored(apart)
-            most = apart.agg(F.max("_parts")).first()[0] or 0
-            if most < 2:
-                break
-            rank = Window.partitionBy("bucket").orderBy("centre")
-            chosen = (parts.join(apart.select("bucket"), "bucket", "left_semi").withColumn("_rank", F.row_number().over(rank))
-                      .where(F.col("_rank") <= centres).select("bucket", "centre", F.col("root").alias("centre_root")))
-        pairs = (labelled.join(chosen, "bucket").where("root != centre_root")
-                 .where(F.least("n_shingles", "centre.n_shingles") * 100 >= F.greatest("n_shingles", "centre.n_shingles") * settings.percent)
-                 .select(F.greatest("set_id", "centre.set_id").alias("a"), F.least("set_id", "centre.set_id").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        if pairs.isEmpty():
-            if most is not None and centres >= most:
-                break
-        else:
-            new = stored(confirmed(pairs, sets, settings))
-            links = new if links is None else links.unionByName(new)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            roots = stored(components(links))
-        centres *= 8
-    return roots
+        turn += 1
+        labelled = ranked.join(labels.select("set_id", "root"), F.col("rank.set_id") == F.col("set_id")).select("bucket", "root", "rank")
+        parts = labelled.groupBy("bucket", "root").agg(F.max("rank").alias("centre")).withColumnRenamed("root", "centre_root")
+        bucket = Window.partitionBy("bucket")
+        parts = parts.withColumn("_parts", F.count("*").over(bucket)).withColumn("_place", F.row_number().over(bucket.orderBy(F.desc("centre"))))
+        chosen = parts.where((F.col("_parts") > 1) & ((F.col("_parts") <= settings.centres) | (F.col("_place") == turn + 1))).drop("_parts", "_place")
+        pairs = _pairs(labelled.join(chosen, "bucket").where("root != centre_root"), settings)
+        new = stored(confirmed(pairs, sets, settings))
+        if new.isEmpty():
+            return labels
+        ends = [labels.select(F.col("set_id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
+        joined = components(new.join(ends[0], "a").join(ends[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        joined = stored(joined.select(F.col("vertex").alias("root"), F.col("root").alias("_joined")))
+        labels = stored(labels.join(joined, "root", "left").select("set_id", "least_id", F.coalesce("_joined", "root").alias("root")))
+
+
+def _pairs(compared: DataFrame, settings: DedupSettings) -> DataFrame:
+    """Distinct pairs (a, b) of a member and its centre whose set sizes allow the threshold."""
+    mine, other = F.col("rank"), F.col("centre")
+    sizes = F.least(mine["n_shingles"], other["n_shingles"]) * 100 >= F.greatest(mine["n_shingles"], other["n_shingles"]) * settings.percent
+    return compared.where(sizes).select(F.greatest(mine["set_id"], other["set_id"]).alias("a"), F.least(mine["set_id"], other["set_id"]).alias("b")).distinct()
 
 
 def deduplicated(docs: DataFrame, settings: DedupSettings = DedupSettings()) -> DataFrame:
