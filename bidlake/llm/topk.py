@@ -26,8 +26,8 @@ from bidlake.llm.common import stored
 class TopkSettings:
     k: int = 20
     scale: int = 64
-    shard_rows: int = 8192
-    block_queries: int = 1024
+    shard_rows: int = 4096
+    block_queries: int = 512
     leaf_rows: int = 128
 
 
@@ -98,26 +98,35 @@ class KDTree:
         return sorted(best, reverse=True)
 
 
-def searched(pairs: DataFrame, settings: TopkSettings) -> DataFrame:
-    """query_id, vec_id and score for each row of ``pairs`` (shard, rows, queries): one shard against one block."""
+def searched(trees: DataFrame, blocks: DataFrame, shards: int, settings: TopkSettings) -> DataFrame:
+    """query_id, vec_id and score of the vectors in ``trees`` (shard, rows) for the query blocks sent to each shard.
+
+    A task reads its shard's vectors, then the blocks one by one; it holds one
+    tree and one batch of blocks.
+    """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, tree = None, None
         for batch in batches:
+            shard, kind, rows = batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("rows")
             for i in range(batch.num_rows):
-                if batch.column("shard")[i].as_py() != name:
-                    name = batch.column("shard")[i].as_py()
-                    rows = batch.column("rows")[i].values
-                    tree = KDTree(rows.field("vec_id").to_numpy(), _matrix(rows.field("v")), settings.leaf_rows)
-                queries = batch.column("queries")[i].values
-                ids, matrix = queries.field("vec_id").to_numpy(), _matrix(queries.field("v"))
-                kth = queries.field("kth").to_numpy(zero_copy_only=False)
+                part = rows[i].values
+                ids, matrix = part.field("vec_id").to_numpy(), _matrix(part.field("v"))
+                if kind[i] == 0:
+                    name, tree = shard[i], KDTree(ids, matrix, settings.leaf_rows)
+                    continue
+                if shard[i] != name:
+                    continue
+                kth = part.field("kth").to_numpy(zero_copy_only=False)
                 bounds = tree.bounds(matrix)
                 found = [(int(q), -v, s) for j, q in enumerate(ids) for s, v in tree.search(int(q), matrix[j], bounds[j], settings.k, -np.inf if np.isnan(kth[j]) else kth[j])]
-                q, v, s = zip(*found) if found else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
+                if found:
+                    q, v, s = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    return pairs.select("shard", "rows", "queries").mapInArrow(search, "query_id long, vec_id long, score long")
+    both = trees.select("shard", F.lit(0).alias("kind"), F.lit(0).alias("block"), "rows").unionByName(blocks.select("shard", F.lit(1).alias("kind"), "block", "rows"))
+    placed = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "block")
+    return placed.select("shard", "kind", "rows").mapInArrow(search, "query_id long, vec_id long, score long")
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
@@ -140,25 +149,24 @@ def top_neighbours(embeddings: DataFrame, is_query: Column, settings: TopkSettin
     vectors = stored(whole_vectors(embeddings, settings).distinct())
     rows = vectors.count()
     shards = max(1, -(-rows // settings.shard_rows))
-    placed = vectors.withColumn("shard", F.concat_ws(":", "dims", F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.lit(shards))))
+    placed = vectors.withColumn("shard", F.concat_ws(":", "dims", F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.lit(shards)).cast("int")))
     queries = vectors.where(is_query)
     blocks = max(1, -(-queries.count() // settings.block_queries))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)))
-    trees = stored(placed.groupBy("shard", "dims").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int"))
+    none = F.lit(float("nan"))
+    trees = stored(placed.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "v", none.alias("kth"))).alias("rows")))
 
     def blocked(named: DataFrame) -> DataFrame:
-        return named.groupBy("dims", "block").agg(F.collect_list(F.struct("vec_id", "v", "kth")).alias("queries"))
+        return named.groupBy("dims", "block").agg(F.collect_list(F.struct("vec_id", "v", "kth")).alias("rows"))
 
-    none = F.lit(float("nan"))
-    homes = F.concat_ws(":", "dims", F.pmod(F.col("block"), F.lit(shards)))
-    first = blocked(queries.withColumn("kth", none)).withColumn("shard", homes)
-    started = stored(searched(trees.drop("dims").join(first, "shard"), settings))
+    home = F.pmod("block", F.lit(shards))
+    first = blocked(queries.withColumn("kth", none)).withColumn("shard", F.concat_ws(":", "dims", home))
+    started = stored(searched(trees, first, shards, settings))
     kth = started.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least")).select(
         F.col("query_id").alias("vec_id"), F.when(F.col("n") >= settings.k, F.col("least")).otherwise(none).alias("kth"))
-    known = queries.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", none))
-    rest = stored(blocked(known).withColumn("home", homes))
-    pairs = trees.join(rest, (trees["dims"] == rest["dims"]) & (trees["shard"] != rest["home"])).select("shard", "rows", "queries")
-    spread = pairs if shards == 1 else pairs.repartition(min(shards * blocks, 20 * shards), "shard")
-    found = started.unionByName(searched(spread, settings))
+    known = blocked(queries.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", none)))
+    others = F.array_except(F.sequence(F.lit(0), F.lit(shards - 1)), F.array(home))
+    rest = known.withColumn("other", F.explode(others)).withColumn("shard", F.concat_ws(":", "dims", "other"))
+    found = started.unionByName(searched(trees, rest, shards, settings))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= settings.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
