@@ -42,9 +42,22 @@ def bounded_sample(df: DataFrame, group: Column, order: Column, bound: int) -> D
 
     Groups are counted over all rows; a group of n rows keeps those whose hash
     lies below bound / n, so no group is sorted or sent to one task.  Groups
-    of up to ``bound`` rows stay whole.
+    of up to ``bound`` rows stay whole.  The counts are stored, so Spark knows
+    their size and broadcasts them unless the groups are very many.
     """
     keyed = df.withColumn("_group", group)
-    counts = keyed.groupBy("_group").agg(F.count("*").alias("_rows")).withColumnRenamed("_group", "_key")
+    counts = stored(keyed.groupBy("_group").agg(F.count("*").alias("_rows")).withColumnRenamed("_group", "_key"))
     joined = keyed.join(counts, F.col("_group").eqNullSafe(F.col("_key")))
     return joined.where(uniform(order) * F.col("_rows") < F.lit(float(bound))).drop("_group", "_key", "_rows")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, eligible: Column, bound: int) -> DataFrame:
+    """doc_id, text and label of a bounded sample per class (0 and 1) of the labelled rows where ``eligible`` holds.
+
+    ``eligible`` is a condition on doc_id, so the sample is chosen among the
+    labels alone; at most about twice ``bound`` ids are broadcast and texts
+    are read where they lie.  Of several labels of one id the largest counts.
+    """
+    truth = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & eligible).groupBy("doc_id").agg(F.max(label).alias(label))
+    chosen = bounded_sample(truth, F.col(label), F.col("doc_id"), bound)
+    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

@@ -38,7 +38,7 @@ class LanguageSettings:
     sample: int = 800
     rounds: int = 6
     windows: tuple[int, ...] = (40, 160, 640)
-    slack: float = 0.4
+    slack: float = 0.25
 
 
 @dataclass

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import bounded_sample, remainder
+from bidlake.llm.common import labelled_sample, remainder
 from bidlake.llm.wordhash import U64, mix
 
 _RUNS = re.compile(r"(?P<U>[A-ZÀ-ÖØ-Þ]+)|(?P<l>[^\W\d_A-ZÀ-ÖØ-Þ]+)|(?P<d>\d+)|(?P<s>([\W_])\5*)")
@@ -130,9 +130,7 @@ def margin(found: np.ndarray, model: QualityModel) -> float:
 def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: QualitySettings = QualitySettings()) -> QualityModel:
     """Fit on a bounded sample of the labelled rows where ``eligible`` holds; the driver gets its indicators."""
     model = QualityModel(settings)
-    truth = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.where(eligible & F.col("text").isNotNull()).select("doc_id", "text").join(truth, "doc_id")
-    sample = bounded_sample(rows, F.col("quality"), F.col("doc_id"), settings.sample)
+    sample = labelled_sample(docs, labels, "quality", eligible, settings.sample)
 
     def indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Indicators(settings)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import bounded_sample, remainder, stored
+from bidlake.llm.common import labelled_sample, remainder, stored
 
 TOKEN = re.compile(r"[^\W_]+")
 STEMS = (3, 4, 5, 6)
@@ -149,9 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: Toxici
     probability scale.  Only words with evidence reach the driver.
     """
     model = ToxicityModel(settings)
-    truth = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(eligible & F.col("text").isNotNull()).select("doc_id", "text").join(truth, "doc_id")
-    sample = stored(bounded_sample(rows, F.col("toxic"), F.col("doc_id"), settings.sample).withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) == 0).cast("int")))
+    rows = labelled_sample(docs, labels, "toxic", eligible, settings.sample)
+    sample = stored(rows.withColumn("part", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) == 0).cast("int")))
     sizes = {(r["toxic"], r["part"]): r["n"] for r in sample.groupBy("toxic", "part").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get((1, 0), 0), sizes.get((0, 0), 0)
     if not bad or not good:
