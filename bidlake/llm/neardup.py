@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidlake.llm.common import stored
@@ -106,22 +106,52 @@ def signed_documents(docs: DataFrame, settings: DedupSettings) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")).mapInArrow(sign, _SIGNED)
 
 
+FILTER_BITS = 26
+
+
+def _probes(h: Column, bits: int) -> list[Column]:
+    """Three places of a hash in a filter of 2^bits bits."""
+    one, two = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    return [(one + two * i).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(3)]
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the doc_ids: about ten bits each, 2^26 bits (8 MB) at most; a full one lets more through."""
+    bits = min(FILTER_BITS, max(10, (10 * ids.count()).bit_length()))
+    places = ids.select(F.explode(F.array(*_probes(F.xxhash64("doc_id"), bits))).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    table = np.zeros(1 << (bits - 6), dtype=np.int64)
+    for row in words.collect():
+        table[row["word"]] = row["bits"]
+    return table.view(np.uint64)
+
+
 def shingle_table(docs: DataFrame, wanted: DataFrame, settings: DedupSettings, repeated: bool) -> DataFrame:
     """set_id and shingles (8 bytes each, sorted) of the sets in ``wanted`` (set_id, doc_id of one holder).
 
-    Rows of a repeated id may hold another set; each is hashed again and only
-    the wanted one stays.  ``repeated``: an id and set occur on several rows.
+    Texts are hashed again where they lie: a bounded Bloom filter of the
+    wanted ids passes few others, and an exact join takes those out.
+    ``repeated``: an id and set occur on several rows.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        mask = U64(64 * len(table) - 1)
         for batch in batches:
-            sets = [shingle_set(data or b"", settings.words) for data in batch.column("data").to_pylist()]
-            same = [set_hash(x) == wanted_id for x, wanted_id in zip(sets, batch.column("set_id").to_pylist())]
-            out = pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array([x.tobytes() for x in sets], pa.binary())], names=["set_id", "shingles"])
-            yield out.filter(pa.array(same, pa.bool_()))
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
-    found = texts.join(wanted, "doc_id").select("set_id", "data").mapInArrow(cut, "set_id long, shingles binary")
+            h = batch.column("h").to_numpy().view(np.uint64)
+            one, two = h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
+            hit = np.ones(len(h), dtype=bool)
+            for i in range(3):
+                place = (one + two * U64(i)) & mask
+                hit &= (table[place >> U64(6)] >> (place & U64(63)) & U64(1)) == 1
+            some = batch.filter(pa.array(hit))
+            sets = [shingle_set(data or b"", settings.words) for data in some.column("data").to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array([set_hash(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                                             names=["doc_id", "set_id", "shingles"])
+
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")).withColumn("h", F.xxhash64("doc_id"))
+    found = texts.mapInArrow(cut, "doc_id long, set_id long, shingles binary").join(wanted.hint("merge"), ["set_id", "doc_id"]).select("set_id", "shingles")
     return found.groupBy("set_id").agg(F.first("shingles").alias("shingles")) if repeated else found
 
 
