@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +52,18 @@ class KDTree:
         self._build(0, len(order), leaf_rows)
         self.ids, self.rows = ids[self.order], rows[self.order]
         self.low, self.high = np.stack(self.low), np.stack(self.high)
+        self.largest = int(np.abs(self.rows).max(initial=0))
+        self._doubles: KDTree | None = None
+
+    def suited(self, queries: np.ndarray) -> tuple["KDTree", np.ndarray]:
+        """Tree and queries as doubles, whose products are fast, where no sum can pass 2^52; else as they are."""
+        if self.largest * int(np.abs(queries).max(initial=0)) * queries.shape[1] >= 2 ** 52:
+            return self, queries
+        if self._doubles is None:
+            self._doubles = copy(self)
+            for name in ("rows", "low", "high"):
+                setattr(self._doubles, name, getattr(self, name).astype(np.float64))
+        return self._doubles, queries.astype(np.float64)
 
     def _build(self, start: int, end: int, leaf_rows: int) -> int:
         node, part = len(self.span), self._rows[self.order[start:end]]
@@ -118,8 +131,9 @@ def searched(trees: DataFrame, blocks: DataFrame, shards: int, settings: TopkSet
                 if shard[i] != name:
                     continue
                 kth = part.field("kth").to_numpy(zero_copy_only=False)
-                bounds = tree.bounds(matrix)
-                found = [(int(q), -v, s) for j, q in enumerate(ids) for s, v in tree.search(int(q), matrix[j], bounds[j], settings.k, -np.inf if np.isnan(kth[j]) else kth[j])]
+                own, matrix = tree.suited(matrix)
+                bounds = own.bounds(matrix)
+                found = [(int(q), -v, s) for j, q in enumerate(ids) for s, v in own.search(int(q), matrix[j], bounds[j], settings.k, -np.inf if np.isnan(kth[j]) else kth[j])]
                 if found:
                     q, v, s = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
@@ -130,10 +144,8 @@ def searched(trees: DataFrame, blocks: DataFrame, shards: int, settings: TopkSet
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
-    """Rows of equal length; as doubles (exact) where no product sum can pass 2^53, else as integers."""
-    flat = lists.flatten().to_numpy().reshape(len(lists), -1)
-    largest = int(np.abs(flat).max(initial=0))
-    return flat.astype(np.float64) if largest * largest * max(flat.shape[1], 1) < 2 ** 52 else flat
+    """Rows of equal length as integers."""
+    return lists.flatten().to_numpy().reshape(len(lists), -1)
 
 
 def top_neighbours(embeddings: DataFrame, is_query: Column, settings: TopkSettings = TopkSettings()) -> DataFrame:

@@ -21,7 +21,7 @@ def brute(rows, k, scale=64):
 def test_against_every_pair(spark):
     pick = random.Random(9)
     rows = [(i, [pick.choice([-1.5, -0.25, 0.0, 0.5, 1.25]) for _ in range(6)]) for i in range(300)]  # many ties
-    rows += [(300 + i, list(rows[i][1])) for i in range(40)] + [(7, rows[7][1]), (None, [1.0] * 6), (400, None), (405, []), (410, [1.0, None, 0, 0, 0, 0]),
+    rows += [(300 + i, list(rows[i][1])) for i in range(40)] + [(7, rows[7][1]), (None, [1.0] * 6), (400, None), (405, []), (410, [1.0, None, 0.0, 0.0, 0.0, 0.0]),
              (415, [float("nan")] * 6), (420, [float("inf")] * 6), (425, [1.0, 2.0]), (430, [3.0, -1.0]), (435, [1e7] * 6), (440, [-1e7] * 6)]
     table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, score string")
     got = topk.top_neighbours(table, F.col("vec_id") % 5 == 0, topk.TopkSettings(k=7, shard_rows=60, block_queries=9, leaf_rows=8))
