@@ -9,9 +9,11 @@ from bidlake.functions.text import col_
 from bidlake.functions.udfs import make_lenient_date_udf
 
 # --- fixed values -----------------------------------------------------------
-# Day-first layouts parsed natively, tried in order.  Anything else goes to
+# Day-first layouts parsed natively, tried in order (day-first also after a
+# leading year, wherever the last part can be a month).  Anything else goes to
 # the lenient helper.  ``d``/``M`` accept one or two digits.
 DEADLINE_PATTERNS: tuple[str, ...] = (
+    "yyyy-d-M",
     "yyyy-M-d",
     "MMMM d, yyyy",
     "MMM d, yyyy",
@@ -55,10 +57,16 @@ def deadline_fallback(publisher_iso: Column | str, deadline_text: Column | str,
 def mail_date(date_header: Column | str) -> Column:
     """RFC-2822 ``Date`` header -> calendar date in the sender's own offset.
 
-    The ``d MMM yyyy`` part is read as written (no UTC shift); '' when absent.
+    Day, month name and year (two-digit years as in RFC 2822: below 69 in this
+    century) are read as written, whatever blanks or hyphens lie between (no
+    UTC shift); '' when absent.
     """
-    part = F.regexp_extract(F.coalesce(col_(date_header), F.lit("")), r"(\d{1,2} [A-Za-z]{3} \d{4})", 1)
-    return F.coalesce(F.date_format(F.try_to_date(part, "d MMM yyyy"), "yyyy-MM-dd"), F.lit(""))
+    text = F.coalesce(col_(date_header), F.lit(""))
+    layout = r"(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*[\s-]+(\d{4}|\d{2})\b"
+    day, month, year = (F.regexp_extract(text, layout, i) for i in (1, 2, 3))
+    century = F.when(F.length(year) == 4, F.lit("")).when(year < "69", F.lit("20")).otherwise(F.lit("19"))
+    spelled = F.concat_ws(" ", day, F.initcap(month), F.concat(century, year))
+    return F.coalesce(F.date_format(F.try_to_date(spelled, "d MMM yyyy"), "yyyy-MM-dd"), F.lit(""))
 
 
 def base64url_text(body: Column | str) -> Column:

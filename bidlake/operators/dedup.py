@@ -89,12 +89,27 @@ def strict_cap(df: DataFrame, n: int | None, order_col: str = "ord", materialize
 def stable_order(df: DataFrame, sort_cols: list[Column], position_col: str | None = "row_pos") -> DataFrame:
     """O1: stable sort; with ``position_col`` also the 1-based output position.
 
-    Only use the position on a capped batch: a global window runs in one task.
+    Rows are range-partitioned and sorted by the columns and written once; a
+    row's position is its place in its partition plus the rows of the
+    partitions before, so no task sees more than its range.  The driver gets
+    one count per partition.
     """
     if position_col is None:
         return df.orderBy(*sort_cols)
-    w = Window.orderBy(*sort_cols)
-    return df.withColumn(position_col, F.row_number().over(w).cast("bigint")).orderBy(position_col)
+    from bidlake.session import cut_lineage
+
+    ranged = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+    placed = cut_lineage(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    before, rows = [], 0
+    for number, n in sizes:
+        before.append((number, rows))
+        rows += n
+    starts = F.broadcast(df.sparkSession.createDataFrame(before, "_part bigint, _start bigint"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.withColumn("_part", part).join(starts, "_part")
+            .withColumn(position_col, F.col("_start") + within + 1).drop("_part", "_start", "_place"))
 
 
 def first_ordinals(df: DataFrame, key_col: str, order_col: str = "ord") -> DataFrame:

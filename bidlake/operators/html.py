@@ -51,7 +51,7 @@ STRINGS_SCHEMA = "doc_id string, seq int, parent_id int, kind string, text strin
 
 class _Node:
     __slots__ = ("node_id", "parent", "tag", "child_pos", "tag_pos", "href", "pieces", "cells",
-                 "n_children", "tag_counts", "anc", "link_seq")
+                 "n_children", "tag_counts", "anc", "link_seq", "slots")
 
     def __init__(self, node_id, parent, tag, href):
         self.node_id = node_id
@@ -107,6 +107,10 @@ class _Flattener(HTMLParser):
         node.tag_pos = parent.tag_counts.get(tag, 0)
         parent.tag_counts[tag] = node.tag_pos + 1
         node.anc = list(reversed(self.stack))
+        if tag == "td":  # a cell stands where it starts, before the cells nested in it
+            node.slots = [(a.cells, len(a.cells)) for a in node.anc if a.cells is not None]
+            for cells, _ in node.slots:
+                cells.append("")
         if tag == "a" and href is not None:
             node.link_seq = self.n_links
             self.n_links += 1
@@ -120,9 +124,8 @@ class _Flattener(HTMLParser):
         parent.pieces.extend(node.pieces)
         if node.tag == "td":
             text = "".join(node.pieces)
-            for a in node.anc:
-                if a.cells is not None:
-                    a.cells.append(text)
+            for cells, place in node.slots:
+                cells[place] = text
         self.done.append(node)
 
     def handle_starttag(self, tag, attrs):

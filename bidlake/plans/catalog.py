@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bidlake.plans import notices as PN
 from bidlake.plans import oracle as O
-from bidlake.settings import DEFAULT_MAX_RECORDS, NOTICE_COLUMNS
+from bidlake.settings import NOTICE_COLUMNS
 from bidlake.sources import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,7 @@ register("notice_ingest", f"""
 WITH {O.ITEMS_CTE.strip()},
 {O.MASTER_CTE.strip()},
 {O.PASSED_CTE.strip()},
-{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS)}
+{O.accepted_cte(None, S.STANDIN_RUN_TS)}
 SELECT {_OWNED},
        CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos
 FROM accepted
@@ -107,7 +107,7 @@ SELECT ord, noticeId, postedDate FROM accepted
 
 _PS = PN.STANDIN_SETTINGS.page_size
 register("stable_sort_pages", f"""{_NOTICE_BASE},
-{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS)},
+{O.accepted_cte(None, S.STANDIN_RUN_TS)},
 pos AS (SELECT *, CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos FROM accepted)
 SELECT noticeId, postedDate, row_pos, CAST(floor((row_pos - 1) / {_PS}) AS BIGINT) AS page,
        CAST((row_pos - 1) % {_PS} AS BIGINT) AS slot
@@ -115,7 +115,7 @@ FROM pos
 """)(PN.stable_sort_pages)
 
 _AGENCY_COUNTS = f"""{_NOTICE_BASE},
-{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS, agency='organizationCode')},
+{O.accepted_cte(None, S.STANDIN_RUN_TS, agency='organizationCode')},
 codes_q AS (SELECT CAST(r_regionkey AS BIGINT) AS code_seq, CAST(r_regionkey AS VARCHAR) AS agencyCode FROM region),
 counted AS (SELECT agencyCodeQueried AS agencyCode, count(*) AS n FROM accepted GROUP BY 1),
 agency_counts AS (
@@ -143,7 +143,7 @@ _OLD_MASTER_COLS = [c for c in NOTICE_COLUMNS if c not in ("deadline", "oppUrl")
     "fitLabel", "reviewSummary", "deadlineNote", "deadlineISO", "reviewedAtUTC", "emailedAtUTC"]
 _EVOLVED = _OLD_MASTER_COLS + ["oppUrl", "deadline"]
 register("schema_evolution_union", f"""{_NOTICE_BASE},
-{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS)}
+{O.accepted_cte(None, S.STANDIN_RUN_TS)}
 SELECT {', '.join(_OLD_MASTER_COLS)}, '' AS oppUrl, '' AS deadline FROM master
 UNION ALL
 SELECT {', '.join(c if c in NOTICE_COLUMNS else "'' AS " + c for c in _EVOLVED)} FROM accepted
@@ -361,7 +361,9 @@ SELECT o_orderkey,
                             WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%-d/%-m/%Y')
                             WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d')
                             ELSE '' END AS deadline,
-       CASE WHEN o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d')
+       CASE WHEN o_orderstatus <> 'P' AND o_orderpriority = '4-NOT SPECIFIED' AND day(o_orderdate) <= 12
+              THEN strftime(o_orderdate, '%Y-%d-%m')  -- day first: the last part is a month
+            WHEN o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d')
             ELSE '' END AS deadlineISO
 FROM orders
 """)(PX.deadline_iso)
@@ -435,7 +437,7 @@ _LANDED_PASSED = _NOTICE_BASE.replace(
     "keyed AS (SELECT *,").replace("FROM items),\npassed AS", "FROM agency_ord),\npassed AS")
 
 register("landed_notice_batch", f"""{_LANDED_PASSED},
-{O.accepted_cte(DEFAULT_MAX_RECORDS, S.STANDIN_RUN_TS, agency='organizationCode')}
+{O.accepted_cte(None, S.STANDIN_RUN_TS, agency='organizationCode')}
 SELECT {_OWNED},
        CAST(row_number() OVER (ORDER BY postedDate DESC, ord) AS BIGINT) AS row_pos
 FROM accepted

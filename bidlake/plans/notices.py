@@ -211,14 +211,15 @@ def ingest_landed_notices(spark: SparkSession, landing: str, master_path: str, r
     ordered = notices.sort_batch(batch, with_position=settings.max_records is not None)
     tables.append_batch(ordered, master_path, header, batch_id)
 
-    written = spark.read.parquet(master_path).where(F.col(tables.BATCH_COL) == batch_id)
+    stored = tables.open_or_create(spark, master_path, [*header, tables.BATCH_COL])
+    written = stored.where(F.col(tables.BATCH_COL) == batch_id)
     if codes is None:
         seeded = [(i, c) for i, c in enumerate(settings.agency_codes)] or [(0, "ALL")]
         codes = spark.createDataFrame(seeded, "code_seq bigint, agencyCode string")
     counts = aggregates.per_agency_counts(written, codes)
     log = aggregates.run_log_row(counts, run_date, run_ts, settings.days_back, settings.keyword,
                                  unrestricted=not settings.agency_codes)
-    tables.append_run_log(log, run_log_path)
+    tables.append_run_log(log, run_log_path, batch_id)
     row = log.first()
     return {c: row[c] for c in RUN_LOG_COLUMNS}
 

@@ -42,9 +42,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores``.
 
@@ -61,28 +58,6 @@ def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20)
     }
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Guarantee scan parallelism: round-robin repartition only when the scan
-    yields fewer partitions than the cluster can run at once *and* holds
-    enough data (optimizer size estimate) for the split to pay off.
-
-    Large tables arrive in many file splits and pass through untouched; a
-    single-row-group file (one split, one task) is spread so per-row work
-    (regex, Python helpers, HTML parsing) uses every core; a tiny table is
-    left alone (it is broadcast or aggregated in one cheap task anyway).
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - no statistics: spread
-        size = min_bytes
-    if size < min_bytes:
-        return df
-    return df.repartition(target)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared lineage-cut folder named by the cluster.
 

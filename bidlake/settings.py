@@ -65,7 +65,6 @@ OPP_URL_SUFFIX = "/view"
 # Defaults of the scheduled runs.
 DEFAULT_DAYS_BACK = 7
 DEFAULT_PAGE_SIZE = 200
-DEFAULT_MAX_RECORDS = 20000
 DEFAULT_MIN_TITLE_LEN = 15
 PREVIEW_ROWS = 30
 # ---------------------------------------------------------------------------
@@ -78,7 +77,7 @@ class JobSettings:
     agency_codes: tuple[str, ...] = ()
     days_back: int = DEFAULT_DAYS_BACK
     page_size: int = DEFAULT_PAGE_SIZE
-    max_records: int | None = DEFAULT_MAX_RECORDS
+    max_records: int | None = None
     excluded_codes: tuple[str, ...] = EXCLUDED_CODES
     excluded_prefixes: tuple[str, ...] = EXCLUDED_SECTOR_PREFIXES
     excluded_departments: tuple[str, ...] = EXCLUDED_DEPARTMENTS

@@ -1,11 +1,13 @@
 """Landed notice pages (S1..S3).
 
 Landing layout: JSON lines, one object per fetched page:
-``{"agency_seq", "agency_code", "offset", "totalRecords", "opportunitiesData": [...]}``.
-A page walk stops at the first empty page or once ``offset >= totalRecords``
-of the agency's first page; pages past either point are ignored, exactly as
-the walk would never have fetched them.  The arrival ordinal of an item is
-``(agency_seq, offset + position in page)`` packed into one bigint.
+``{"run_seq", "agency_seq", "agency_code", "offset", "totalRecords", "opportunitiesData": [...]}``.
+A run walks an agency's pages until the first empty page or once ``offset >=
+totalRecords`` of its own first page; pages past either point are ignored,
+exactly as the walk would never have fetched them, and other runs are not
+concerned.  Pages without ``run_seq`` belong to run 0.  The arrival ordinal of
+an item is ``(run_seq, agency_seq, offset + position in page)`` packed into one
+bigint.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ ITEM_FIELDS = ("noticeId", "title", "solicitationNumber", "postedDate", "respons
                "setAside", "naicsCode", "fullParentPathName", "fullParentPathCode")
 ITEM_SCHEMA = StructType([StructField(f, StringType()) for f in ITEM_FIELDS])
 PAGE_SCHEMA = StructType([
+    StructField("run_seq", IntegerType()),
     StructField("agency_seq", IntegerType()),
     StructField("agency_code", StringType()),
     StructField("offset", LongType()),
@@ -25,20 +28,21 @@ PAGE_SCHEMA = StructType([
     StructField("opportunitiesData", ArrayType(ITEM_SCHEMA)),
 ])
 AGENCY_STRIDE = 1_000_000_000_000
+RUN_STRIDE = 1000 * AGENCY_STRIDE
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Raw page envelopes (explicit schema: no inference, codes stay strings)."""
-    return spark.read.schema(PAGE_SCHEMA).json(path)
+    return spark.read.schema(PAGE_SCHEMA).json(path).withColumn("run_seq", F.coalesce("run_seq", F.lit(0)))
 
 
 def walked_pages(pages: DataFrame) -> DataFrame:
-    """The pages a walk would have consumed, per agency."""
-    per_agency = pages.groupBy("agency_seq").agg(
+    """The pages a walk would have consumed, per run and agency."""
+    per_agency = pages.groupBy("run_seq", "agency_seq").agg(
         F.max(F.when(F.col("offset") == 0, F.col("totalRecords"))).alias("_total"),
         F.min(F.when(F.coalesce(F.size("opportunitiesData"), F.lit(0)) <= 0, F.col("offset"))).alias("_empty_at"),
     )
-    kept = pages.join(per_agency, "agency_seq")
+    kept = pages.join(per_agency, ["run_seq", "agency_seq"])
     cond = (F.col("offset") < F.coalesce(F.col("_total"), F.lit(0))) & (
         F.col("_empty_at").isNull() | (F.col("offset") < F.col("_empty_at")))
     return kept.where(cond).drop("_total", "_empty_at")
@@ -47,9 +51,10 @@ def walked_pages(pages: DataFrame) -> DataFrame:
 def items(pages: DataFrame) -> DataFrame:
     """Items of the walked pages, flattened, with their arrival ordinal."""
     walked = walked_pages(pages)
-    exploded = walked.select("agency_seq", "agency_code", "offset",
+    exploded = walked.select("run_seq", "agency_seq", "agency_code", "offset",
                              F.posexplode("opportunitiesData").alias("_pos", "_item"))
-    ordinal = F.col("agency_seq").cast("bigint") * F.lit(AGENCY_STRIDE) + F.col("offset") + F.col("_pos")
+    ordinal = (F.col("run_seq").cast("bigint") * F.lit(RUN_STRIDE) + F.col("agency_seq").cast("bigint") * F.lit(AGENCY_STRIDE)
+               + F.col("offset") + F.col("_pos"))
     return exploded.select(ordinal.alias("ord"), F.col("agency_code").alias("organizationCode"), "_item.*")
 
 

@@ -45,28 +45,9 @@ DRIVER_TABLES = (
 )
 
 
-# Dimension tables of fixed size (25 nations, 5 regions): read as they are.
-FIXED_SIZE_TABLES = ("region", "nation")
-
-
-_READS: dict[tuple[str, int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; data tables get at least one partition per core (``spread``).
-
-    One DataFrame per (session, file): every query built in the session
-    shares the same relation, so footers are read once and identical
-    exchanges are recognised and reused.
-    """
-    from bidlake.session import spread
-
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        _READS[key] = df if name in FIXED_SIZE_TABLES else spread(df)
-    return _READS[key]
+    """A driver table, read by Spark as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _code_at(idx: Column) -> Column:

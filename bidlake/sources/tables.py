@@ -10,6 +10,7 @@ instead of duplicating rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -24,15 +25,18 @@ def string_schema(columns) -> StructType:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does a table folder exist (on whatever file system the path names)?"""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Does the folder hold a data file (on whatever file system the path names)?"""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        return not files.load(path).select("path").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def open_or_create(spark: SparkSession, path: str, columns) -> DataFrame:
-    """S8 + S11: the table's rows, or an empty table with ``columns``.
+    """S8 + S11: the table's rows, or an empty table with ``columns`` (also when only empty batches were written).
 
     ``mergeSchema`` reunites batches written under older headers.
     """
@@ -97,9 +101,9 @@ def latest_snapshot(spark: SparkSession, path: str) -> str | None:
     return found
 
 
-def append_run_log(row: DataFrame, path: str) -> None:
-    """Append the run's audit row; read newest first via ``runAtUTC``."""
-    row.select(*RUN_LOG_COLUMNS).write.mode("append").parquet(path)
+def append_run_log(row: DataFrame, path: str, batch_id: int) -> None:
+    """The run's audit row as its batch's partition, so a retried run replaces its row; read newest first via ``runAtUTC``."""
+    append_batch(row, path, RUN_LOG_COLUMNS, batch_id)
 
 
 def save_bucketed_master(df: DataFrame, table: str, key_col: str, buckets: int) -> None:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
 from bidlake.operators import extract, html
-from tests.fixtures import DA_HTML, DA_SUBJECT, DEVEX_HTML, DEVEX_SUBJECT
+from tests.fixtures import FIRST, FIRST_HTML, FIRST_SUBJECT, SECOND, SECOND_HTML, SECOND_SUBJECT, Listing, first_alert
 
 RUN_DATE = "2026-07-16"
 
@@ -13,74 +13,60 @@ def _docs(spark, body, subject):
     return spark.createDataFrame([("m1", subject, body)], "doc_id string, subject string, html string")
 
 
-def _devex(spark, subject=DEVEX_SUBJECT):
-    docs = _docs(spark, DEVEX_HTML, subject)
-    rows = extract.devex_listings(html.dom_nodes(docs), docs).orderBy("link_pos").collect()
-    return [r.asDict() for r in rows]
+def _first(spark, body=FIRST_HTML, subject=FIRST_SUBJECT):
+    docs = _docs(spark, body, subject)
+    return [r.asDict() for r in extract.devex_listings(html.dom_nodes(docs), docs).orderBy("link_pos").collect()]
 
 
-def _da(spark):
-    docs = _docs(spark, DA_HTML, DA_SUBJECT)
+def _second(spark):
+    docs = _docs(spark, SECOND_HTML, SECOND_SUBJECT)
     out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE)
     return [r.asDict() for r in out.orderBy("link_pos").collect()]
 
 
 def test_alert_names(spark):
-    df = spark.createDataFrame(
-        [("3 new reports for your Business Alert: DOS",), ("Business Alert: Consulting LAC, MEX, USA",),
-         ("No match here",)], "s string")
-    got = [r[0] for r in df.select(T.alert_name("s", "Business Alert")).collect()]
-    assert got == ["DOS", "Consulting LAC, MEX, USA", ""]
-    da = spark.createDataFrame([(DA_SUBJECT,)], "s string").select(T.alert_name("s", "DevelopmentAid")).first()[0]
-    assert da == "LAC Contracts"
-
-
-def test_devex_two_listings_with_metadata(spark):
-    rows = _devex(spark)
-    assert len(rows) == 2
-    first, second = rows
-    assert "Governance Reform" in first["opportunityTitle"]
-    assert (first["donorClient"], first["countryRegion"], first["deadline"], first["status"]) == (
-        "USAID", "Ecuador", "August 15, 2026", "OPEN")
-    assert "Justice Sector" in second["opportunityTitle"]
-    assert (second["donorClient"], second["countryRegion"], second["deadline"], second["status"]) == (
-        "State Department / INL", "Mexico", "September 1, 2026", "FORECAST")
-    assert all(r["opportunityType"] == "Tenders & Grants" for r in rows)
-    assert all(len(r["opportunityTitle"]) >= 15 for r in rows)
-    assert all(r["alertName"] == "DOS" for r in rows)
-
-
-def test_devex_skips_navigation(spark):
-    urls = [r["url"] for r in _devex(spark, "Business Alert: DOS")]
-    assert not any("unsubscribe" in u or "twitter" in u or "/home" in u for u in urls)
-
-
-def test_da_two_listings_with_fields(spark):
-    rows = _da(spark)
-    assert len(rows) == 2
-    first, second = rows
-    assert "Seguridad" in first["opportunityTitle"]
-    assert (first["donorClient"], first["countryRegion"], first["deadline"], first["deadlineISO"]) == (
-        "UNDP", "Honduras", "01 Sep, 2026", "2026-09-01")
-    assert "MELoS" in second["opportunityTitle"]
-    assert (second["donorClient"], second["countryRegion"], second["deadline"], second["deadlineISO"]) == (
-        "World Bank Group", "Latin America", "30 Aug, 2026", "2026-08-30")
-    assert all(r["opportunityType"] == "Tender" for r in rows)
-    assert all(r["alertName"] == "LAC Contracts" for r in rows)
-    # "Open" is neither in the link's parent nor grandparent text
-    assert all(r["status"] == "" for r in rows)
-
-
-def test_da_skips_navigation(spark):
-    urls = [r["url"] for r in _da(spark)]
-    assert not any("login" in u or "mailto" in u for u in urls)
+    subjects = {FIRST_SUBJECT: "Island Water", "Business Alert:  Roads, Rail ": "Roads, Rail", "Weekly digest": ""}
+    df = spark.createDataFrame([(s,) for s in subjects], "s string")
+    assert [r[0] for r in df.select(T.alert_name("s", "Business Alert")).collect()] == list(subjects.values())
+    assert spark.createDataFrame([(SECOND_SUBJECT,)], "s string").select(T.alert_name("s", "DevelopmentAid")).first()[0] == "Works and Goods"
+
+
+def test_first_publisher_rows(spark):
+    rows = _first(spark)
+    assert [(r["opportunityTitle"], r["url"], r["donorClient"], r["countryRegion"], r["deadline"], r["status"]) for r in rows] == [
+        (x.title, x.url, x.donor, x.country, x.deadline, x.status) for x in FIRST]
+    assert {(r["opportunityType"], r["alertName"]) for r in rows} == {("Tenders & Grants", "Island Water")}
+
+
+def test_first_publisher_missing_rows_and_quotes(spark):
+    lone = Listing("Evaluation of seed banks in three provinces", "https://www.devex.com/en/opportunity/seed-banks-1")
+    body = first_alert(FIRST[:1], quote="'") + f"<table><tr><td><a href={lone.url}>{lone.title}</a></td></tr><tr><td>Seed Trust</td></tr></table>"
+    rows = _first(spark, body)
+    assert [(r["url"], r["donorClient"], r["countryRegion"], r["deadline"], r["status"]) for r in rows] == [
+        (FIRST[0].url, FIRST[0].donor, FIRST[0].country, FIRST[0].deadline, FIRST[0].status), (lone.url, "Seed Trust", "", "", "")]
+
+
+def test_first_publisher_status_is_the_second_cell_in_document_order(spark):
+    x = FIRST[0]
+    body = f"<table><tr><td><table><tr><td><a href='{x.url}'>{x.title}</a></td><td>SOON</td></tr></table></td><td>LATER</td></tr></table>"
+    assert [r["status"] for r in _first(spark, body)] == ["SOON"]
+    f = html.flatten("<table><tr><td>A<table><tr><td>B</td></tr></table></td><td>C</td></tr></table>")
+    outer = min((n for n in f.done if n.tag == "tr"), key=lambda n: n.node_id)
+    assert outer.cells == ["AB", "B", "C"]
+
+
+def test_second_publisher_rows(spark):
+    rows = _second(spark)
+    assert [(r["opportunityTitle"], r["url"], r["donorClient"], r["countryRegion"], r["deadline"], r["deadlineISO"]) for r in rows] == [
+        (x.title, x.url, x.donor, x.country, x.deadline, x.iso) for x in SECOND]
+    assert {(r["opportunityType"], r["alertName"], r["status"]) for r in rows} == {("Tender", "Works and Goods", "")}
 
 
 def test_da_open_section_scopes_links(spark):
     body = ("<html><body><p>Closed</p><div><a href='https://developmentaid.org/tenders/view/x-1'>"
             "Closed listing number one here</a></div><h3>Open</h3><div><a href="
             "'https://developmentaid.org/tenders/view/y-2'>Open listing number two here</a></div></body></html>")
-    docs = _docs(spark, body, DA_SUBJECT)
+    docs = _docs(spark, body, SECOND_SUBJECT)
     out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE).collect()
     assert [r["url"] for r in out] == ["https://developmentaid.org/tenders/view/y-2"]
 
@@ -89,7 +75,7 @@ def test_da_open_section_without_listings_searches_everything(spark):
     body = ("<html><body><h3>Open</h3><div><a href='https://example.org/x'>not a listing link at all</a></div>"
             "<a href='https://developmentaid.org/grants/view/z?utm_source=m&id=3'>Grant listing outside section</a>"
             "</body></html>")
-    docs = _docs(spark, body, DA_SUBJECT)
+    docs = _docs(spark, body, SECOND_SUBJECT)
     out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE).collect()
     assert [r["url"] for r in out] == ["https://developmentaid.org/grants/view/z&id=3"]
     assert out[0]["opportunityType"] == "Opportunity"

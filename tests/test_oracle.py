@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from bidlake.plans.catalog import REGISTRY
 from bidlake.sources.standins import DRIVER_TABLES
 from tests.conftest import SF001
 from tools.oracle_check import digest
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {name: fn for name, (fn, _sql) in REGISTRY.items()}
+SQL = {name: sql for name, (_fn, sql) in REGISTRY.items() if sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,7 @@ def duck():
 
 
 def test_every_query_is_registered_with_sql_or_listed():
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"dom_da_listings"}
     assert len(QUERIES) >= 47

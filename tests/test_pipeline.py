@@ -17,7 +17,7 @@ from bidlake.sources import standins as S
 from bidlake.functions import text as T
 from bidlake.sources import tables
 from tests.conftest import SF001
-from tests.fixtures import DA_HTML, DA_SUBJECT, DEVEX_HTML, DEVEX_SUBJECT
+from tests.fixtures import COASTAL, FIRST_HTML, FIRST_SUBJECT, RURAL_WATER, SCHOOLS, SECOND_HTML, SECOND_SUBJECT, VACCINES
 
 
 def scratch():
@@ -121,7 +121,7 @@ def test_landed_notice_ingest_end_to_end(spark):
     table = spark.read.parquet(master)
     assert table.count() == r1["newRows"]
     assert table.select("noticeId").distinct().count() == r1["newRows"]
-    assert spark.read.parquet(log).count() == 3
+    assert sorted(r["batch_id"] for r in spark.read.parquet(log).collect()) == [1, 2]  # a retried run replaces its row
     assert [c for c in table.columns if c != "batch_id"] == list(NOTICE_COLUMNS)
 
 
@@ -149,22 +149,22 @@ def _b64(s):
 def _land_mail(base):
     msgs = [
         {"source": None, "id": "m1", "headers": [
-            {"name": "Subject", "value": DEVEX_SUBJECT}, {"name": "From", "value": "Devex <alerts@devex.com>"},
+            {"name": "Subject", "value": FIRST_SUBJECT}, {"name": "From", "value": "Devex <alerts@devex.com>"},
             {"name": "Date", "value": "Thu, 16 Jul 2026 23:30:00 -0500"}]},
         {"source": None, "id": "m2", "headers": [
-            {"name": "subject", "value": "old"}, {"name": "Subject", "value": DA_SUBJECT},
+            {"name": "subject", "value": "old"}, {"name": "Subject", "value": SECOND_SUBJECT},
             {"name": "From", "value": "alerts@developmentaid.org"}, {"name": "Date", "value": "Wed, 15 Jul 2026 08:00:00 +0000"}]},
         {"source": None, "id": "m3", "headers": [
-            {"name": "Subject", "value": DEVEX_SUBJECT}, {"name": "From", "value": "alerts@devex.com"},
+            {"name": "Subject", "value": FIRST_SUBJECT}, {"name": "From", "value": "alerts@devex.com"},
             {"name": "Date", "value": "Mon, 01 Jun 2026 08:00:00 +0000"}]},   # outside the look-back
     ]
     parts = [
         {"message_id": "m1", "part_seq": 0, "mime_type": "multipart/alternative", "body_b64": ""},
         {"message_id": "m1", "part_seq": 1, "mime_type": "text/plain", "body_b64": _b64("plain")},
-        {"message_id": "m1", "part_seq": 2, "mime_type": "text/html", "body_b64": _b64(DEVEX_HTML)},
+        {"message_id": "m1", "part_seq": 2, "mime_type": "text/html", "body_b64": _b64(FIRST_HTML)},
         {"message_id": "m2", "part_seq": 0, "mime_type": "text/html", "body_b64": ""},
-        {"message_id": "m2", "part_seq": 1, "mime_type": "text/html", "body_b64": _b64(DA_HTML)},
-        {"message_id": "m3", "part_seq": 0, "mime_type": "text/html", "body_b64": _b64(DEVEX_HTML)},
+        {"message_id": "m2", "part_seq": 1, "mime_type": "text/html", "body_b64": _b64(SECOND_HTML)},
+        {"message_id": "m3", "part_seq": 0, "mime_type": "text/html", "body_b64": _b64(FIRST_HTML)},
     ]
     mp, pp = os.path.join(base, "messages.json"), os.path.join(base, "parts.json")
     with open(mp, "w") as f:
@@ -182,7 +182,7 @@ def test_mail_records(spark):
                                                    "2026-07-16", 7).collect()}
     assert set(recs) == {"m1", "m2"}
     assert recs["m1"]["source"] == "devex" and recs["m1"]["email_date"] == "2026-07-16"
-    assert recs["m2"]["subject"] == DA_SUBJECT   # last duplicate header wins
+    assert recs["m2"]["subject"] == SECOND_SUBJECT   # last duplicate header wins
     assert recs["m2"]["source"] == "developmentaid" and "Tender Alert" in recs["m2"]["html_body"]
 
 
@@ -193,14 +193,12 @@ def test_mail_ingest_end_to_end(spark):
     r1 = PM.ingest_landed_mail(spark, mp, pp, table, "2026-07-16", "2026-07-16T12:00:00+00:00", 1)
     assert (r1["appended"], r1["skipped"], r1["total_processed"]) == (4, 0, 4)
     rows = {r["opportunityTitle"]: r for r in spark.read.parquet(table).collect()}
-    ecuador = rows["Consulting Services for Governance Reform in Ecuador"]
-    assert ecuador["duplicateKey"] == "devex | consulting services for governance reform in ecuador | usaid | ecuador"
-    assert (ecuador["deadlineISO"], ecuador["language"], ecuador["pipelineStatus"]) == ("2026-08-15", "English", "New")
-    honduras = rows["Servicios de Consultoría para Seguridad Ciudadana en Honduras"]
-    assert honduras["language"] == "Spanish" and honduras["deadlineISO"] == "2026-09-01"
-    assert "consultori a" in honduras["duplicateKey"]
-    melos = rows["Monitoring, Evaluation, Learning and Sharing (MELoS) for LAC Region"]
-    assert melos["language"] == "English"
+    assert set(rows) == {x.title for x in (RURAL_WATER, COASTAL, SCHOOLS, VACCINES)}
+    water, schools = rows[RURAL_WATER.title], rows[SCHOOLS.title]
+    assert water["duplicateKey"] == "devex | rural water supply design services for the upper valley districts | nordic green fund | bhutan"
+    assert (water["deadlineISO"], water["language"], water["pipelineStatus"]) == (RURAL_WATER.iso, "English", "New")
+    assert (schools["language"], schools["deadlineISO"]) == ("Spanish", SCHOOLS.iso) and "supervisio n de obras" in schools["duplicateKey"]
+    assert rows[VACCINES.title]["language"] == "English"
     r2 = PM.ingest_landed_mail(spark, mp, pp, table, "2026-07-16", "2026-07-16T12:00:00+00:00", 2)
     assert (r2["appended"], r2["skipped"], r2["total_processed"]) == (0, 4, 4)
     assert spark.read.parquet(table).count() == 4
@@ -263,3 +261,45 @@ def test_recheck_precondition_is_a_noop(spark):
     assert recheck.upsert(partial, fresh, S.STANDIN_RUN_DATE) is partial
     c = recheck.counts(partial, fresh, S.STANDIN_RUN_DATE).first()
     assert (c["checked"], c["updated"]) == (0, 0)
+
+
+def _write_lines(path, rows):
+    os.makedirs(path)
+    with open(os.path.join(path, "pages.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def _page(run, agency, offset, total, ids):
+    return {"run_seq": run, "agency_seq": agency, "agency_code": str(agency), "offset": offset, "totalRecords": total,
+            "opportunitiesData": [{"noticeId": i, "title": f"Notice {i}", "postedDate": "2026-07-15"} for i in ids]}
+
+
+def test_page_walks_of_several_runs_do_not_mix(spark):
+    path = os.path.join(scratch(), "pages")
+    _write_lines(path, [_page(0, 0, 0, 0, []), _page(1, 0, 0, 3, ["a", "b"]), _page(1, 0, 2, 3, ["c"]), _page(1, 0, 4, 3, ["never"]),
+                        _page(2, 0, 0, 9, ["d"]), _page(2, 0, 1, 9, []), _page(2, 0, 2, 9, ["never"]), _page(0, 1, 0, 1, ["e"])])
+    got = [r["noticeId"] for r in landed.items(landed.read_pages(spark, path)).orderBy("ord").collect()]
+    assert got == ["e", "a", "b", "c", "d"]
+
+
+def test_quiet_first_run_leaves_a_usable_table(spark):
+    base = scratch()
+    quiet, busy, master, log = (os.path.join(base, n) for n in ("quiet", "busy", "master", "run_log"))
+    _write_lines(quiet, [_page(0, 0, 0, 0, [])])
+    _write_lines(busy, [_page(1, 0, 0, 2, ["n1", "n2"])])
+    run = lambda landing, batch: PN.ingest_landed_notices(spark, landing, master, log, JobSettings(), "2026-07-16", f"2026-07-16T0{batch}:00:00+00:00", batch)
+    assert run(quiet, 1)["newRows"] == 0
+    assert run(quiet, 2)["newRows"] == 0
+    assert run(busy, 3)["newRows"] == 2
+    assert run(busy, 4)["newRows"] == 0
+    assert spark.read.parquet(master).count() == 2
+    assert sorted(r["newRows"] for r in spark.read.parquet(log).collect()) == [0, 0, 0, 2]
+
+
+def test_positions_over_many_partitions(spark):
+    rows = [(i, f"2026-01-{i * 7 % 28 + 1:02d}") for i in range(500)]
+    df = spark.createDataFrame(rows, "ord bigint, postedDate string").repartition(9)
+    out = dedup.stable_order(df, [F.col("postedDate").desc(), F.col("ord").asc()])
+    got = [(r["ord"], r["postedDate"]) for r in sorted(out.collect(), key=lambda r: r["row_pos"])]
+    assert got == sorted(sorted(rows), key=lambda r: r[1], reverse=True)
+    assert sorted(r["row_pos"] for r in out.collect()) == list(range(1, 501))

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
+from bidlake.plans.catalog import REGISTRY
 from tests.conftest import SF001
 
-QUERIES = E.queries()
+QUERIES = {name: fn for name, (fn, _sql) in REGISTRY.items()}
 
 
 def plan_of(df):
