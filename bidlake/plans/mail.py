@@ -70,13 +70,14 @@ def append_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
     """P5/P6 per record by source, then U2: the extracted opportunities of all
-    records with arrival ordinal (source_seq, message_id, link_pos)."""
+    records with arrival ordinal (source_seq, message_seq, message_id, link_pos)."""
     from bidlake.operators import extract, html
     from bidlake.session import cut_lineage
 
     docs = recs.select(
         F.concat_ws(":", "source", "message_id").alias("doc_id"), "subject",
-        F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq")
+        F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq",
+        F.coalesce("message_seq", F.lit((1 << 62))).alias("message_seq"))
     # read four times below (facts, two publishers, context): decode the bodies once
     docs = cut_lineage(docs.where(F.col("html") != ""))
     nodes, strings = html.dom_facts(docs)
@@ -86,9 +87,9 @@ def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
     da = extract.da_listings(nodes, strings, da_docs, run_date)
     opps = dx.unionByName(da, allowMissingColumns=True)
     ctx = docs.select("doc_id", F.col("source").alias("mailSource"), F.col("email_date").alias("emailDate"),
-                      F.col("subject").alias("emailSubject"), "source_seq", "message_id")
+                      F.col("subject").alias("emailSubject"), "source_seq", "message_seq", "message_id")
     out = opps.join(ctx, "doc_id")
-    return out.withColumn("ord", F.struct("source_seq", "message_id", "link_pos"))
+    return out.withColumn("ord", F.struct("source_seq", "message_seq", "message_id", "link_pos"))
 
 
 def ingest_landed_mail(spark: SparkSession, messages_path: str, parts_path: str, table_path: str,

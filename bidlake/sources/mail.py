@@ -2,7 +2,9 @@
 
 Landing layout (JSON lines, one file set per fetch):
 
-* messages: ``{"source", "id", "headers": [{"name", "value"}, ...]}``
+* messages: ``{"source", "id", "message_seq", "received", "headers": [{"name", "value"}, ...]}``
+  with ``message_seq`` the place in the mailbox's answer and ``received`` an ISO
+  date; both may be missing (then the id orders and the Date header dates)
 * parts:    ``{"message_id", "part_seq", "mime_type", "body_b64"}`` with
   ``part_seq`` the depth-first pre-order position of the part in the MIME
   tree (the tree is flattened when landing; Spark has no recursive types).
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from bidlake.functions import dates as D
 from bidlake.functions import text as T
@@ -24,6 +26,8 @@ from bidlake.operators import siblings
 MESSAGE_SCHEMA = StructType([
     StructField("source", StringType()),
     StructField("id", StringType()),
+    StructField("message_seq", LongType()),
+    StructField("received", StringType()),
     StructField("headers", ArrayType(StructType([
         StructField("name", StringType()), StructField("value", StringType())]))),
 ])
@@ -58,19 +62,29 @@ def header(headers: Column | str, name: str) -> Column:
     return F.coalesce(F.try_element_at(matching, F.lit(-1))["value"], F.lit(""))
 
 
-def search(messages: DataFrame, source: str, run_date: str, days: int) -> DataFrame:
-    """The messages a source's search returns (sender / phrase, ``newer_than:Nd``)."""
-    rule = SOURCE_RULES[source]
+def search(messages: DataFrame, source: str, run_date: str, days: int, parts: DataFrame | None = None,
+           rules: dict[str, dict] = SOURCE_RULES) -> DataFrame:
+    """The messages a source's search returns (sender / phrase, ``newer_than:Nd``).
+
+    The phrase may stand in the subject, the sender or, with ``parts``, in any
+    text part.  The window tests the day of receipt, else the Date header; a
+    message that tells neither is returned.
+    """
+    rule = rules[source]
     sender = F.lower(header("headers", "from"))
-    cond = F.lit(True)
-    if rule["sender"]:
-        cond = cond & sender.contains(rule["sender"].lower())
+    day = F.try_to_date(F.coalesce(F.substring("received", 1, 10), D.mail_date(header("headers", "date"))), "yyyy-MM-dd")
+    recent = F.coalesce(day >= F.date_sub(F.to_date(F.lit(run_date)), days), F.lit(True))
+    found = messages.where(recent & sender.contains(rule["sender"].lower()) if rule["sender"] else recent)
     if rule["phrase"]:
-        blob = F.lower(F.concat_ws(" ", header("headers", "subject"), sender))
-        cond = cond & blob.contains(rule["phrase"].lower())
-    day = F.try_to_date(D.mail_date(header("headers", "date")), "yyyy-MM-dd")
-    recent = day >= F.date_sub(F.to_date(F.lit(run_date)), days)
-    return messages.where(cond & F.coalesce(recent, F.lit(False))).withColumn("source", F.lit(source))
+        phrase = rule["phrase"].lower()
+        named = F.lower(F.concat_ws(" ", header("headers", "subject"), sender)).contains(phrase)
+        if parts is None:
+            found = found.where(named)
+        else:
+            texts = parts.where(F.col("mime_type").startswith("text/") & F.lower(D.base64url_text("body_b64")).contains(phrase))
+            holders = texts.select(F.col("message_id").alias("id"), F.lit(True).alias("_held")).distinct()
+            found = found.join(holders, "id", "left").where(named | F.coalesce("_held", F.lit(False))).select(*messages.columns)
+    return found.withColumn("source", F.lit(source))
 
 
 def first_html_bodies(parts: DataFrame) -> DataFrame:
@@ -81,8 +95,9 @@ def first_html_bodies(parts: DataFrame) -> DataFrame:
 
 def records(messages: DataFrame, parts: DataFrame) -> DataFrame:
     """S5 + S6 + J6: messages -> (source, message_id, subject, email_date, sender, html_body)."""
+    order = [c for c in ("source_seq", "message_seq") if c in messages.columns]
     meta = messages.select(
-        "source",
+        "source", *order,
         F.col("id").alias("message_id"),
         header("headers", "subject").alias("subject"),
         D.mail_date(header("headers", "date")).alias("email_date"),
@@ -91,20 +106,18 @@ def records(messages: DataFrame, parts: DataFrame) -> DataFrame:
     bodies = first_html_bodies(parts)
     return meta.join(bodies, "message_id", "left").select(
         "source", "message_id", "subject", "email_date", "sender",
-        F.coalesce(F.col("html_body"), F.lit("")).alias("html_body"))
+        F.coalesce(F.col("html_body"), F.lit("")).alias("html_body"), *order)
 
 
 def fetch(messages: DataFrame, parts: DataFrame, run_date: str, days: int = 7, limit: int | None = None,
-          source_filter: str = "all") -> DataFrame:
+          source_filter: str = "all", rules: dict[str, dict] = SOURCE_RULES) -> DataFrame:
     """S4 + S5 + F16 + W9 + U2: records of every selected source (a message matching
-    both searches appears once per source), at most ``limit`` per source."""
+    both searches appears once per source), at most ``limit`` per source in order of arrival."""
     from bidlake.operators.dedup import first_n
 
-    sources = list(SOURCE_RULES) if source_filter == "all" else [source_filter]
+    sources = list(rules) if source_filter == "all" else [source_filter]
     found = None
     for seq, src in enumerate(sources):
-        part = search(messages, src, run_date, days).withColumn("source_seq", F.lit(seq))
+        part = search(messages, src, run_date, days, parts, rules).withColumn("source_seq", F.lit(seq))
         found = part if found is None else found.unionByName(part)
-    found = first_n(found, ["source"], [F.col("id")], limit)
-    return records(found.drop("source_seq"), parts).join(
-        found.select(F.col("id").alias("message_id"), "source", "source_seq"), ["message_id", "source"])
+    return records(first_n(found, ["source"], [F.col("message_seq").asc_nulls_last(), F.col("id")], limit), parts)

@@ -186,6 +186,24 @@ def test_mail_records(spark):
     assert recs["m2"]["source"] == "developmentaid" and "Tender Alert" in recs["m2"]["html_body"]
 
 
+def test_mail_search_order_and_dates(spark):
+    from bidlake.sources import mail
+
+    def message(i, seq, date, sender="desk@example.org", subject="Weekly list", received=None):
+        return {"id": str(i), "message_seq": seq, "received": received, "headers": [{"name": "From", "value": sender}, {"name": "Subject", "value": subject}, {"name": "Date", "value": date}]}
+
+    rows = [message(10, 2, "Thu, 16  Jul 2026 10:00:00 +0000"), message(2, 3, "16 Jul 26 10:00:00 GMT"), message(3, 1, "not a date"), message(4, 4, "not a date", received="2026-01-01T00:00:00Z"),
+            message(5, 5, "Thu, 16 Jul 2026 10:00:00 +0000", subject="from DEVELOPMENTAID today"), message(6, 6, "Thu, 16 Jul 2026 10:00:00 +0000"), message(7, 0, "Wed, 15 Jul 2026 10:00:00 +0000", sender="News <alerts@devex.com>")]
+    parts = [(str(i), 0, "text/plain", _b64("sent by DevelopmentAid")) for i in (10, 2, 3, 4, 7)] + [("6", 0, "image/png", _b64("DevelopmentAid"))]
+    messages = spark.read.schema(mail.MESSAGE_SCHEMA).json(spark.sparkContext.parallelize([json.dumps(r) for r in rows]))
+    part_rows = spark.createDataFrame(parts, mail.PART_SCHEMA)
+    fetch = lambda **k: sorted((r["source"], r["message_seq"], r["message_id"], r["email_date"]) for r in mail.fetch(messages, part_rows, "2026-07-17", 7, **k).collect())
+    aid = [("developmentaid", 0, "7", "2026-07-15"), ("developmentaid", 1, "3", ""), ("developmentaid", 2, "10", "2026-07-16"), ("developmentaid", 3, "2", "2026-07-16"), ("developmentaid", 5, "5", "2026-07-16")]
+    assert fetch() == aid + [("devex", 0, "7", "2026-07-15")]
+    assert fetch(limit=2) == aid[:2] + [("devex", 0, "7", "2026-07-15")]
+    assert fetch(source_filter="desk", rules={"desk": {"sender": "desk@example.org", "phrase": "today"}}) == [("desk", 5, "5", "2026-07-16")]
+
+
 def test_mail_ingest_end_to_end(spark):
     base = scratch()
     mp, pp = _land_mail(base)
