@@ -8,12 +8,13 @@ logic afterwards is ordinary joins, aggregates and filters in Spark.
 ``nodes``   one row per element, plus a root row (node_id -1) per document:
             doc_id, node_id (pre-order), parent_id, tag, child_pos (index
             among element siblings), tag_pos (index among same-tag element
-            siblings), href, text_sp (text nodes stripped, blanks dropped,
-            joined by " "), text_cat (same, joined by ""), anc_chain (all
-            ancestor ids, nearest first, root last), tr_chain / table_chain
-            (ancestor ``tr`` / ``table`` ids, nearest first), cells (for a
-            ``tr``: text_cat of every descendant ``td``, document order),
-            link_seq (ordinal of an ``a`` with ``href`` among those of its document).
+            siblings), href, text_sp (of links, their parents and
+            grandparents, and table rows: text nodes stripped, blanks dropped,
+            joined by " "), anc_chain (all ancestor ids, nearest first, root
+            last), tr_chain / table_chain (ancestor ``tr`` / ``table`` ids,
+            nearest first), cells (for a ``tr``: the text of its first two
+            descendant ``td``, in order of their starts), link_seq (ordinal of
+            an ``a`` with ``href`` among those of its document).
 ``strings`` one row per string node: doc_id, seq, parent_id, kind
             (text / script / comment), text.
 
@@ -43,7 +44,7 @@ ROOT_TAG = "[document]"
 
 NODES_SCHEMA = (
     "doc_id string, node_id int, parent_id int, tag string, child_pos int, tag_pos int, href string, "
-    "text_sp string, text_cat string, anc_chain array<int>, tr_chain array<int>, table_chain array<int>, "
+    "text_sp string, anc_chain array<int>, tr_chain array<int>, table_chain array<int>, "
     "cells array<string>, link_seq int"
 )
 STRINGS_SCHEMA = "doc_id string, seq int, parent_id int, kind string, text string"
@@ -170,43 +171,54 @@ def flatten(html: str | None) -> _Flattener:
     return f
 
 
+KEPT_CELLS = 2
+BATCH_CHARS = 4_000_000
+
+
 def _node_rows(doc_id: str, f: _Flattener):
+    """Facts per element.  Text goes with the elements that rules read (links, their parents and
+    grandparents, table rows), and a row keeps its first two cells, so nesting does not repeat it."""
+    read = {x.node_id for n in f.done if n.tag == "a" and n.href is not None for x in (n, *n.anc[:2])}
     for n in f.done:
         yield (
             doc_id, n.node_id, None if n.parent is None else n.parent.node_id, n.tag,
-            n.child_pos, n.tag_pos, n.href, " ".join(n.pieces), "".join(n.pieces),
+            n.child_pos, n.tag_pos, n.href, " ".join(n.pieces) if n.tag == "tr" or n.node_id in read else None,
             [a.node_id for a in n.anc],
             [a.node_id for a in n.anc if a.tag == "tr"],
             [a.node_id for a in n.anc if a.tag == "table"],
-            n.cells, n.link_seq,
+            None if n.cells is None else n.cells[:KEPT_CELLS], n.link_seq,
         )
 
 
-_NODE_COLS = ["doc_id", "node_id", "parent_id", "tag", "child_pos", "tag_pos", "href", "text_sp", "text_cat",
+def _framed(rows: Iterator[tuple], columns: list[str], ints: tuple[str, ...]) -> Iterator[pd.DataFrame]:
+    """Frames of rows, each of bounded text."""
+    part, chars = [], 0
+    for row in rows:
+        part.append(row)
+        chars += 100 + sum(len(x) for x in row if isinstance(x, str))
+        if chars > BATCH_CHARS:
+            yield pd.DataFrame(part, columns=columns).astype(dict.fromkeys(ints, "Int32"))
+            part, chars = [], 0
+    yield pd.DataFrame(part, columns=columns).astype(dict.fromkeys(ints, "Int32"))
+
+
+_NODE_COLS = ["doc_id", "node_id", "parent_id", "tag", "child_pos", "tag_pos", "href", "text_sp",
               "anc_chain", "tr_chain", "table_chain", "cells", "link_seq"]
 
 
+_NODE_INTS = ("node_id", "parent_id", "child_pos", "tag_pos", "link_seq")
+
+
 def _nodes_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for doc_id, html in zip(pdf["doc_id"], pdf["html"]):
-            rows.extend(_node_rows(str(doc_id), flatten(html)))
-        out = pd.DataFrame(rows, columns=_NODE_COLS)
-        for c in ("node_id", "parent_id", "child_pos", "tag_pos", "link_seq"):
-            out[c] = out[c].astype("Int32")
-        yield out
+        rows = (r for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for r in _node_rows(str(doc_id), flatten(html)))
+        yield from _framed(rows, _NODE_COLS, _NODE_INTS)
 
 
 def _strings_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for doc_id, html in zip(pdf["doc_id"], pdf["html"]):
-            for seq, parent_id, kind, text in flatten(html).strings:
-                rows.append((str(doc_id), seq, parent_id, kind, text))
-        out = pd.DataFrame(rows, columns=["doc_id", "seq", "parent_id", "kind", "text"])
-        out["seq"] = out["seq"].astype("Int32")
-        out["parent_id"] = out["parent_id"].astype("Int32")
-        yield out
+        rows = ((str(doc_id), *s) for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for s in flatten(html).strings)
+        yield from _framed(rows, ["doc_id", "seq", "parent_id", "kind", "text"], ("seq", "parent_id"))
 
 
 def dom_nodes(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
@@ -228,25 +240,25 @@ def anchors(nodes: DataFrame) -> DataFrame:
 
 FACTS_SCHEMA = (
     "fact string, doc_id string, node_id int, parent_id int, tag string, child_pos int, tag_pos int, "
-    "href string, text_sp string, text_cat string, anc_chain array<int>, tr_chain array<int>, "
+    "href string, text_sp string, anc_chain array<int>, tr_chain array<int>, "
     "table_chain array<int>, cells array<string>, link_seq int, seq int, kind string, text string"
 )
 _FACT_COLS = ["fact"] + _NODE_COLS + ["seq", "kind", "text"]
 
 
+def _fact_rows(doc: str, html: str | None) -> Iterator[tuple]:
+    f = flatten(html)
+    for r in _node_rows(doc, f):
+        yield ("node", *r, None, None, None)
+    blank = (None,) * (len(_NODE_COLS) - 3)
+    for seq, parent_id, kind, text in f.strings:
+        yield ("string", doc, None, parent_id, *blank, seq, kind, text)
+
+
 def _facts_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for doc_id, html in zip(pdf["doc_id"], pdf["html"]):
-            f = flatten(html)
-            doc = str(doc_id)
-            rows.extend(("node", *r, None, None, None) for r in _node_rows(doc, f))
-            rows.extend(("string", doc, None, parent_id, None, None, None, None, None, None, None, None, None,
-                         None, None, seq, kind, text) for seq, parent_id, kind, text in f.strings)
-        out = pd.DataFrame(rows, columns=_FACT_COLS)
-        for c in ("node_id", "parent_id", "child_pos", "tag_pos", "link_seq", "seq"):
-            out[c] = out[c].astype("Int32")
-        yield out
+        rows = (r for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for r in _fact_rows(str(doc_id), html))
+        yield from _framed(rows, _FACT_COLS, (*_NODE_INTS, "seq"))
 
 
 def dom_facts(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html",
