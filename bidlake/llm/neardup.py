@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,6 +127,26 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def _hits(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes (of doc_ids) may be in a filter."""
+    mask, one, two = U64(64 * len(table) - 1), h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
+    hit = np.ones(len(h), dtype=bool)
+    for i in range(3):
+        place = (one + two * U64(i)) & mask
+        hit &= (table[place >> U64(6)] >> (place & U64(63)) & U64(1)) == 1
+    return hit
+
+
+def _passes(shared):
+    """The filter's test as a column function of the hash."""
+
+    def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for h in batches:
+            yield pd.Series(_hits(shared.value, h.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    return F.pandas_udf(test, "boolean")
+
+
 def shingle_table(docs: DataFrame, wanted: DataFrame, settings: DedupSettings, repeated: bool) -> DataFrame:
     """set_id and shingles (8 bytes each, sorted) of the sets in ``wanted`` (set_id, doc_id of one holder).
 
@@ -136,16 +157,8 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, settings: DedupSettings, r
     shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        mask = U64(64 * len(table) - 1)
         for batch in batches:
-            h = batch.column("h").to_numpy().view(np.uint64)
-            one, two = h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
-            hit = np.ones(len(h), dtype=bool)
-            for i in range(3):
-                place = (one + two * U64(i)) & mask
-                hit &= (table[place >> U64(6)] >> (place & U64(63)) & U64(1)) == 1
-            some = batch.filter(pa.array(hit))
+            some = batch.filter(pa.array(_hits(shared.value, batch.column("h").to_numpy().view(np.uint64))))
             sets = [shingle_set(data or b"", settings.words) for data in some.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array([set_hash(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
                                              names=["doc_id", "set_id", "shingles"])
@@ -245,13 +258,19 @@ def _pairs(compared: DataFrame, settings: DedupSettings) -> DataFrame:
 def deduplicated(docs: DataFrame, settings: DedupSettings = DedupSettings()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the smallest doc_id's.
 
-    Of repeated rows of one id, the one with the smallest hash of its text
-    stays.  Rows without words or with a null doc_id have no duplicates and
+    Rows that a bounded Bloom filter of the dropped ids rules out are kept where
+    they lie; only the others are shuffled, for an exact join.  Of repeated rows
+    of one id, the one with the smallest hash of its text stays.  Rows without words or with a null doc_id have no duplicates and
     all stay.
     """
     found = stored(near_duplicates(docs, settings))
-    dropped = found.where("not kept").select("doc_id").distinct()
-    rest = docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    dropped = stored(found.where("not kept").select("doc_id").distinct())
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    perhaps = _passes(docs.sparkSession.sparkContext.broadcast(id_filter(dropped)))(F.xxhash64(F.col("doc_id").cast("long")))
+    marked = docs.select(F.struct(*columns).alias("row"), F.coalesce(F.col("doc_id").isNotNull() & perhaps, F.lit(False)).alias("perhaps"))
+    sure = marked.where("not perhaps").select("row.*")
+    checked = marked.where("perhaps").select("row.*").join(dropped.hint("merge"), "doc_id", "left_anti").select(*columns)
+    rest = sure.unionByName(checked)
     repeated = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     repeated = stored(repeated)
     if repeated.isEmpty():
