@@ -5,9 +5,10 @@ bin copies the value of a full one along a pseudorandom order of bins that is
 the same for all texts.  Bands of bins give buckets.  Texts with the same
 shingle set are one vertex from the start.  In a bucket, links are star
 shaped: every member is compared with one centre, on full shingle sets.
-Buckets that still hold several components get further centres, until a turn
-links nothing more; pairs stay bounded by members times a constant, not by
-members squared.
+Buckets that still hold several components get further centres for a few
+turns, while a turn links something.  What is still apart in a shared bucket
+then goes through an exact prefix-filter join on the full shingle sets, so no
+link depends on which members became centres.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import stored
+from bidlake.llm.common import stored, uniform
 from bidlake.llm.components import components
 from bidlake.llm.wordhash import U64, mix, shingle_set
 
@@ -30,7 +31,7 @@ BINS = 256
 
 @dataclass(frozen=True)
 class DedupSettings:
-    """Shingle length, link threshold in percent, bins per band, components of a bucket compared in one turn.
+    """Shingle length, link threshold in percent, bins per band, components of a bucket compared in one turn (and turns).
 
     With 6 of 256 bins a band, two texts at similarity 0.85 share no bucket
     with probability 3e-9, at 0.8 with 3e-6.
@@ -223,29 +224,120 @@ def _labels(nodes: DataFrame, ranked: DataFrame, sets: DataFrame, settings: Dedu
     bands: copies of one text, however they differ among each other, have that
     text as the centre.  Later turns look at buckets that hold several
     components: up to ``centres`` of them are all compared with the other
-    members, in more divided buckets the next one, as long as a turn links
-    something.
+    members, in more divided buckets the best one not tried before, while a
+    turn links something, for ``centres`` turns at most.  They only save work:
+    ``_closed`` finds every link that is left.
     """
     first = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
     links = stored(confirmed(_pairs(ranked.join(first, "bucket").where("rank.set_id != centre.set_id"), settings), sets, settings))
     root = components(links).withColumnRenamed("vertex", "set_id")
     labels = stored(nodes.select("set_id", "least_id").join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
-    turn = 0
-    while True:
-        turn += 1
+    tried = first.select("bucket", F.col("centre.set_id").alias("tried"))
+    for _turn in range(settings.centres):
         labelled = ranked.join(labels.select("set_id", "root"), F.col("rank.set_id") == F.col("set_id")).select("bucket", "root", "rank")
         parts = labelled.groupBy("bucket", "root").agg(F.max("rank").alias("centre")).withColumnRenamed("root", "centre_root")
-        bucket = Window.partitionBy("bucket")
-        parts = parts.withColumn("_parts", F.count("*").over(bucket)).withColumn("_place", F.row_number().over(bucket.orderBy(F.desc("centre"))))
-        chosen = parts.where((F.col("_parts") > 1) & ((F.col("_parts") <= settings.centres) | (F.col("_place") == turn + 1))).drop("_parts", "_place")
-        pairs = _pairs(labelled.join(chosen, "bucket").where("root != centre_root"), settings)
-        new = stored(confirmed(pairs, sets, settings))
+        divided = parts.groupBy("bucket").agg(F.count("*").alias("_parts")).where("_parts > 1")
+        untried = parts.join(divided, "bucket").join(tried, (parts["bucket"] == tried["bucket"]) & (F.col("centre.set_id") == F.col("tried")), "left_anti")
+        several = untried.where(F.col("_parts") <= settings.centres).select("bucket", "centre_root", "centre")
+        best = untried.where(F.col("_parts") > settings.centres).groupBy("bucket").agg(F.max(F.struct("centre", "centre_root")).alias("_best"))
+        chosen = stored(several.unionByName(best.select("bucket", "_best.centre_root", "_best.centre")))
+        tried = tried.unionByName(chosen.select("bucket", F.col("centre.set_id").alias("tried")))
+        new = stored(confirmed(_pairs(labelled.join(chosen, "bucket").where("root != centre_root"), settings), sets, settings))
         if new.isEmpty():
-            return labels
-        ends = [labels.select(F.col("set_id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
-        joined = components(new.join(ends[0], "a").join(ends[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        joined = stored(joined.select(F.col("vertex").alias("root"), F.col("root").alias("_joined")))
-        labels = stored(labels.join(joined, "root", "left").select("set_id", "least_id", F.coalesce("_joined", "root").alias("root")))
+            break
+        labels = _merged(labels, new)
+    return _closed(labels, ranked, sets, settings)
+
+
+def _merged(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """``labels`` after the links in ``new`` have joined components."""
+    ends = [labels.select(F.col("set_id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
+    joined = components(new.join(ends[0], "a").join(ends[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    joined = stored(joined.select(F.col("vertex").alias("root"), F.col("root").alias("_joined")))
+    return stored(labels.join(joined, "root", "left").select("set_id", "least_id", F.coalesce("_joined", "root").alias("root")))
+
+
+def _closed(labels: DataFrame, ranked: DataFrame, sets: DataFrame, settings: DedupSettings) -> DataFrame:
+    """``labels`` after every remaining link among the members of buckets that hold several components.
+
+    The candidates are exact (see ``_candidates``).  They are compared in
+    growing shares, each only while its ends are apart, so a large group is
+    joined from few of its pairs and no pair is left out.
+    """
+    labelled = ranked.select("bucket", "rank.set_id").join(labels.select("set_id", "root"), "set_id")
+    divided = labelled.groupBy("bucket").agg(F.min("root").alias("_one"), F.max("root").alias("_other")).where("_one != _other").select("bucket")
+    apart = stored(labelled.join(divided, "bucket").select("set_id", "root").distinct())
+    if apart.isEmpty():
+        return labels
+    candidates = stored(_candidates(apart, sets, settings))
+    low = 0.0
+    for high in (1 / 64, 1 / 8, 1.0):
+        share = uniform(F.col("a"), F.col("b"))
+        roots = [labels.select(F.col("set_id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
+        pairs = candidates.where((share >= low) & (share < high)).join(roots[0], "a").join(roots[1], "b").where("root_a != root_b").select("a", "b")
+        new = stored(confirmed(pairs, sets, settings))
+        if not new.isEmpty():
+            labels = _merged(labels, new)
+        low = high
+    return labels
+
+
+ORDER_BITS = 20
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall into each of 2^20 hash places (4 MB); only used as an order, rare ones first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        for batch in batches:
+            for data in batch.column("shingles").to_pylist():
+                np.add.at(total, _places(np.frombuffer(data, dtype=np.uint64)), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["place", "n"])
+
+    found = sets.select("shingles").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    table[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return table
+
+
+def _places(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) >> U64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _candidates(apart: DataFrame, sets: DataFrame, settings: DedupSettings) -> DataFrame:
+    """Distinct pairs (a, b) of sets of different roots that may reach the threshold; every pair that does is there.
+
+    With shingles of all sets in one order, two sets of x and y shingles that
+    share the needed p (x + y) / (100 + p) or more have their first common one
+    with at least that many left in both; the order by frequency makes the
+    first ones rare, so texts that differ around a common template rarely meet.
+    """
+    p = settings.percent
+    shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                sizes, tokens = [], []
+                for data in piece.column("shingles").to_pylist():
+                    shingles = np.frombuffer(data, dtype=np.uint64)
+                    frequency = shared.value[_places(shingles)]
+                    ordered = np.lexsort((shingles, frequency))[:(100 - p) * len(shingles) // 100 + 1]
+                    sizes.append(len(shingles))
+                    tokens.append(shingles[ordered].view(np.int64))
+                yield pa.RecordBatch.from_arrays([piece.column("set_id"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["set_id", "n", "tokens"])
+
+    heads = sets.select("set_id", "shingles").mapInArrow(cut, "set_id long, n long, tokens array<long>").join(apart, "set_id")
+    entries = stored(heads.select("set_id", "root", "n", F.posexplode("tokens").alias("place", "token")))
+    shared_tokens = entries.groupBy("token").agg(F.min("root").alias("_one"), F.max("root").alias("_other")).where("_one != _other").select("token")
+    entries = stored(entries.join(shared_tokens, "token"))
+    one, other = (entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("set_id", "root", "n", "place")]) for x in ("a", "b"))
+    needed = p * (F.col("n_a") + F.col("n_b"))
+    room = (100 + p) * F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    met = one.join(other.hint("merge"), "token").where((F.col("set_id_a") > F.col("set_id_b")) & (F.col("root_a") != F.col("root_b")) & (needed <= room))
+    return met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
 
 
 def _pairs(compared: DataFrame, settings: DedupSettings) -> DataFrame:

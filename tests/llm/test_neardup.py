@@ -105,3 +105,19 @@ def test_awkward_rows(spark):
     kept = neardup.deduplicated(awkward.documents(spark))
     assert kept.columns == awkward.documents(spark).columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "4", "5", "None", "None", "6", "7", "8", "9", "10"])
+
+
+def test_links_in_a_bucket_whose_best_members_link_nothing(spark):
+    """One bucket of texts around a long template: the members with most company are alone, and pairs are further down."""
+    template = [f"t{i}" for i in range(300)]
+    texts = [" ".join(template + [f"lone{k}x{i}" for i in range(56)]) for k in range(12)]
+    texts += [" ".join(template + [f"p{k}x{i}" for i in range(50)] + [f"p{k}c{copy}y{i}" for i in range(6)]) for k in range(10) for copy in range(2)]
+    settings = neardup.DedupSettings(3, 85)
+    found = [shingle_set(t.encode(), 3) for t in texts]
+    sets = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(found)], "set_id long, shingles binary")
+    nodes = spark.createDataFrame([(k, k, 1) for k in range(len(texts))], "set_id long, least_id long, reach long")
+    ranked = spark.createDataFrame([(7, (len(texts) - k, k, len(x))) for k, x in enumerate(found)], "bucket long, rank struct<reach: long, set_id: long, n_shingles: long>")
+    roots = {r["set_id"]: r["root"] for r in neardup._labels(nodes, ranked, sets, settings).collect()}
+    want = brute(list(enumerate(texts)), 3, 85)
+    assert len(set(want.values())) == 22
+    assert all((roots[a] == roots[b]) == (want[a] == want[b]) for a, b in combinations(roots, 2))
