@@ -3,9 +3,9 @@
 A text's n-grams (2 and 3 bytes of its lower-cased letters, other ASCII as
 one space) are counted into hashed dimensions, damped, weighted by inverse
 document frequency and normalised.  Each language has several centroids from
-spherical k-means; the nearest one by cosine names the language, and a text
-that is farther from it than the centroid's own documents ever are is
-rejected.
+spherical k-means; the nearest one by cosine names the language.  A text is
+rejected if it is farther from it than all but a few in a thousand of the
+training texts of that length and language which no centroid was fitted on.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import bounded_sample, remainder
+from bidlake.llm.common import bounded_sample, remainder, stored, uniform
 
 UNDETERMINED = "und"
 HAS_LETTER = re.compile(r"[^\W\d_]")
@@ -32,13 +32,19 @@ _FOLD[128:] = np.arange(128, 256)
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """``sample`` bounds the documents per language that centroids are fitted on; document frequencies count all."""
+    """``sample`` bounds the documents per language that centroids are fitted on; document frequencies count all.
+
+    ``lengths`` are the least bytes of the length classes, ``quantile`` the
+    share of held-back texts below a floor, ``least`` the texts it needs.
+    """
     dimensions: int = 8192
     centroids: int = 4
     sample: int = 800
     rounds: int = 6
     windows: tuple[int, ...] = (40, 160, 640)
-    slack: float = 0.25
+    lengths: tuple[int, ...] = (8, 20, 50, 125, 312, 780)
+    quantile: float = 0.003
+    least: int = 300
 
 
 @dataclass
@@ -46,8 +52,19 @@ class LanguageModel:
     languages: list[str]
     centroids: np.ndarray  # one row per centroid
     owner: np.ndarray      # index of its language
-    floor: np.ndarray      # least cosine accepted
+    floor: np.ndarray      # least cosine accepted, one row per centroid and one column per length class
     weight: np.ndarray     # inverse document frequency
+    lengths: tuple[int, ...] = LanguageSettings.lengths
+
+    def least_cosine(self, centroid: int, size: int) -> float:
+        """The floor of a text of ``size`` bytes; none for texts below the first class."""
+        k = length_class(size, self.lengths)
+        return self.floor[centroid, k] if k >= 0 else 0.0
+
+
+def length_class(size: int, lengths: tuple[int, ...]) -> int:
+    """The last class whose least length is reached, -1 if none is."""
+    return int(np.searchsorted(lengths, size, side="right")) - 1
 
 
 def ngram_counts(data: bytes, dimensions: int) -> np.ndarray:
@@ -92,8 +109,9 @@ def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = Langua
     """Fit on the rows of ``docs`` where ``eligible`` holds and text and lang are usable.
 
     Document frequencies come from all of them, summed per task before they
-    are shuffled; centroids from a bounded sample per language, one language
-    per task.  The driver receives the frequencies and centroids alone.
+    are shuffled; centroids from a bounded sample per language of four fifths
+    of the rows, one language per task; floors from all rows outside the
+    sample.  The driver receives frequencies, centroids and histograms alone.
     """
     dims = settings.dimensions
     usable = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
@@ -111,23 +129,68 @@ def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = Langua
     sums = {r["dim"]: r["n"] for r in usable.select("data").mapInArrow(frequencies, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()}
     rows = sums.pop(-1, 0)
     if not rows:
-        return LanguageModel([], np.zeros((0, dims), np.float32), np.zeros(0, int), np.zeros(0), np.ones(dims, np.float32))
+        return LanguageModel([], np.zeros((0, dims), np.float32), np.zeros(0, int), np.zeros((0, len(settings.lengths))), np.ones(dims, np.float32), settings.lengths)
     frequency = np.zeros(dims)
     frequency[list(sums)] = list(sums.values())
     weight = np.log(1 + (1 + rows) / (1 + frequency)).astype(np.float32)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         vectors = np.stack([unit_vector(x, weight) for data in frame.sort_values("order")["data"] for x in windows_of(data, settings)])
-        centres, cosines = cluster(vectors, settings)
-        own = cosines.argmax(axis=1)
-        floors = [settings.slack * float(cosines[own == i, i].min()) if (own == i).any() else 0.0 for i in range(len(centres))]
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [c.tobytes() for c in centres], "floor": floors})
+        centres, _cosines = cluster(vectors, settings)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [c.tobytes() for c in centres]})
 
-    sample = bounded_sample(usable, F.col("lang"), F.col("doc_id"), settings.sample).withColumn("order", F.xxhash64("doc_id", "data"))
-    fitted = sorted(map(tuple, sample.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, floor double").collect()))
+    keyed = usable.withColumn("order", F.xxhash64("doc_id", "data"))
+    sample = stored(bounded_sample(keyed.where(uniform(F.col("order")) < 0.8), F.col("lang"), F.col("doc_id"), settings.sample))
+    fitted = sorted(map(tuple, sample.groupBy("lang").applyInPandas(fit, "lang string, centroid binary").collect()))
     languages = sorted({r[0] for r in fitted})
-    return LanguageModel(languages, np.stack([np.frombuffer(r[1], np.float32) for r in fitted]),
-                         np.array([languages.index(r[0]) for r in fitted]), np.array([r[2] for r in fitted]), weight)
+    centroids = np.stack([np.frombuffer(r[1], np.float32) for r in fitted]) if fitted else np.zeros((0, dims), np.float32)
+    owner = np.array([languages.index(r[0]) for r in fitted], dtype=int)
+    held_back = keyed.join(F.broadcast(sample.select("order").distinct()), "order", "left_anti")
+    return LanguageModel(languages, centroids, owner, _floors(held_back, languages, centroids, owner, weight, settings), weight, settings.lengths)
+
+
+STEPS = 1000  # cosines are counted in thousandths
+
+
+def _floors(rows: DataFrame, languages: list[str], centroids: np.ndarray, owner: np.ndarray, weight: np.ndarray, settings: LanguageSettings) -> np.ndarray:
+    """Per centroid and length class a low quantile of the cosines of ``rows`` whose nearest centroid is one of their language.
+
+    Each text counts as a whole and by a piece of each shorter class.  A
+    centroid with few of them takes the quantile of its language, a language
+    with few the one of all; with nothing held back every text is accepted.
+    """
+    lengths, classes = settings.lengths, len(settings.lengths)
+    known = {name: i for i, name in enumerate(languages)}
+    shape = (len(owner), classes, STEPS + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape, dtype=np.int64)
+        for batch in batches:
+            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist()):
+                half = len(data) // 2
+                for piece in (data, *(data[half - n // 2:half - n // 2 + n] for n in lengths if n < len(data))):
+                    k = length_class(len(piece), lengths)
+                    if k < 0 or not (_FOLD[np.frombuffer(piece, dtype=np.uint8)] != 32).any():
+                        continue
+                    cosine = centroids @ unit_vector(piece, weight)
+                    best = int(cosine.argmax()) if len(cosine) else -1
+                    if best >= 0 and owner[best] == known.get(lang, -1):
+                        total[best, k, int(min(max(cosine[best], 0.0), 1.0) * STEPS)] += 1
+        flat = total.ravel()
+        seen = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(flat[seen])], names=["cell", "n"])
+
+    total = np.zeros(shape, dtype=np.int64)
+    for row in rows.select("lang", "data").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total.flat[row["cell"]] = row["n"]
+    floor = np.zeros(shape[:2])
+    for c in range(len(owner)):
+        for k in range(classes):
+            groups = total[c, k], total[owner == owner[c], k].sum(axis=0), total[:, k].sum(axis=0)
+            counts = next((g for g in groups if g.sum() >= settings.least), groups[-1])
+            if counts.any():
+                floor[c, k] = int((np.cumsum(counts) > settings.quantile * counts.sum()).argmax()) / STEPS
+    return floor
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -146,11 +209,12 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 if text is None or not len(model.languages) or not HAS_LETTER.search(text):
                     names.append(UNDETERMINED), scores.append(0.0), rejected.append(True)
                     continue
-                cosine = model.centroids @ unit_vector(text.encode(), model.weight)
+                data = text.encode()
+                cosine = model.centroids @ unit_vector(data, model.weight)
                 best = int(cosine.argmax())
                 names.append(model.languages[model.owner[best]])
                 scores.append(float(min(max(cosine[best], 0.0), 1.0)))
-                rejected.append(bool(cosine[best] < model.floor[best]))
+                rejected.append(bool(cosine[best] < model.least_cosine(best, len(data))))
             yield pd.DataFrame({"lang_pred": names, "score": scores, "rejected": rejected})
 
     predicted = F.pandas_udf(predict, "lang_pred string, score double, rejected boolean")

@@ -21,6 +21,17 @@ def test_far_texts_are_rejected(spark):
     assert all(r["rejected"] for r in langid.identify(far, model).collect())
 
 
+def test_unlearned_latin_languages_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = langid.train(docs, remainder(5) != 0)
+    far = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, ja heille on annettu järki ja omatunto.",
+           "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar, akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşçe davranmalıdırlar.",
+           "Minden emberi lény szabadon születik és egyenlő méltósága és joga van, az emberek ésszel és lelkiismerettel bírnak.",
+           "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi, mọi con người đều được tạo hóa ban cho lý trí."]
+    rows = langid.identify(spark.createDataFrame(list(enumerate(far)), "doc_id long, text string"), model).collect()
+    assert all(r["rejected"] for r in rows), [(r["doc_id"], r["lang_pred"], r["score"]) for r in rows]
+
+
 def test_awkward_rows(spark):
     docs = awkward.documents(spark)
     rows = langid.language_ids(docs).collect()
