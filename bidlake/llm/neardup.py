@@ -194,10 +194,17 @@ def near_duplicates(docs: DataFrame, settings: DedupSettings = DedupSettings())
     A text of fewer words than a shingle is one shingle as a whole.  Null and
     empty texts and those without words have 0 shingles, are linked with
     nothing and kept.  Rows with a null doc_id are linked with nothing, with
-    component_id null and kept true.  Repeated rows of one id share a
-    component; each comes back.  An empty table gives an empty result; other
-    columns of ``docs`` are not read.
+    component_id null and kept true.  Repeated rows of one id and text share a
+    component; each comes back.  Different texts of one id are judged each by
+    itself; if the id is the smallest of both their groups, both groups bear
+    it.  An empty table gives an empty result; other columns of ``docs`` are
+    not read.
     """
+    return _grouped(docs, settings).drop("set_id")
+
+
+def _grouped(docs: DataFrame, settings: DedupSettings) -> DataFrame:
+    """The rows of ``near_duplicates`` with their set_id."""
     signed = stored(signed_documents(docs, settings))
     linked = signed.where("set_id is not null and doc_id is not null")
     vertices = stored(linked.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets")))
@@ -212,9 +219,9 @@ def near_duplicates(docs: DataFrame, settings: DedupSettings = DedupSettings())
     smallest = labels.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = labels.join(smallest, "root").select("set_id", "component_id")
     classes = vertices.select("set_id", "least_id").join(classes, "set_id", "left").select("set_id", F.coalesce("component_id", "least_id").alias("component_id"))
-    named = linked.select("doc_id", "n_shingles", "set_id").join(classes, "set_id").select("doc_id", "n_shingles", "component_id")
-    alone = signed.where("set_id is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return named.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    named = linked.select("doc_id", "n_shingles", "set_id").join(classes, "set_id").select("doc_id", "set_id", "n_shingles", "component_id")
+    alone = signed.where("set_id is null or doc_id is null").select("doc_id", "set_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return named.unionByName(alone).select("doc_id", "set_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def _labels(nodes: DataFrame, ranked: DataFrame, sets: DataFrame, settings: DedupSettings) -> DataFrame:
@@ -347,27 +354,40 @@ def _pairs(compared: DataFrame, settings: DedupSettings) -> DataFrame:
     return compared.where(sizes).select(F.greatest(mine["set_id"], other["set_id"]).alias("a"), F.least(mine["set_id"], other["set_id"]).alias("b")).distinct()
 
 
+def _set_ids(settings: DedupSettings):
+    """The hash of a text's shingle set as a column function of its bytes."""
+
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([set_hash(shingle_set(data or b"", settings.words)) for data in texts], dtype="Int64")
+
+    return F.pandas_udf(read, "long")
+
+
 def deduplicated(docs: DataFrame, settings: DedupSettings = DedupSettings()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the smallest doc_id's.
 
     Rows that a bounded Bloom filter of the dropped ids rules out are kept where
-    they lie; only the others are shuffled, for an exact join.  Of repeated rows
-    of one id, the one with the smallest hash of its text stays.  Rows without words or with a null doc_id have no duplicates and
-    all stay.
+    they lie; only the others are shuffled, for an exact join by id and shingle
+    set.  Of repeated rows of one id and shingle set, the one with the smallest
+    hash of its text stays; other texts of the id are judged by themselves.
+    Rows without words or with a null doc_id have no duplicates and all stay.
     """
-    found = stored(near_duplicates(docs, settings))
-    dropped = stored(found.where("not kept").select("doc_id").distinct())
+    found = stored(_grouped(docs, settings))
+    dropped = stored(found.where("not kept").select("doc_id", "set_id").distinct())
+    set_id = _set_ids(settings)(F.col("text").cast("binary"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    perhaps = _passes(docs.sparkSession.sparkContext.broadcast(id_filter(dropped)))(F.xxhash64(F.col("doc_id").cast("long")))
+    perhaps = _passes(docs.sparkSession.sparkContext.broadcast(id_filter(dropped.select("doc_id"))))(F.xxhash64(F.col("doc_id").cast("long")))
     marked = docs.select(F.struct(*columns).alias("row"), F.coalesce(F.col("doc_id").isNotNull() & perhaps, F.lit(False)).alias("perhaps"))
     sure = marked.where("not perhaps").select("row.*")
-    checked = marked.where("perhaps").select("row.*").join(dropped.hint("merge"), "doc_id", "left_anti").select(*columns)
+    named = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").isNotNull() & perhaps, F.lit(False)).alias("perhaps"))
+    checked = named.where("perhaps").select("row", "doc_id", set_id.alias("set_id")).join(dropped.hint("merge"), ["doc_id", "set_id"], "left_anti").select("row.*")
     rest = sure.unionByName(checked)
-    repeated = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id", "set_id").count().where("count > 1").select("doc_id").distinct()
     repeated = stored(repeated)
     if repeated.isEmpty():
         return rest
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     single = rest.join(repeated, "doc_id", "left_anti").select(*rest.columns).unionByName(rest.where(~worded).join(repeated, "doc_id", "left_semi").select(*rest.columns))
-    several = rest.where(worded).join(repeated, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), F.xxhash64("text").alias("order"))
-    return single.unionByName(several.groupBy("row.doc_id").agg(F.min_by("row", "order").alias("row")).select("row.*"))
+    several = rest.where(worded).join(repeated, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), F.xxhash64("text").alias("order"), set_id.alias("set_id"))
+    return single.unionByName(several.groupBy("row.doc_id", "set_id").agg(F.min_by("row", "order").alias("row")).select("row.*"))

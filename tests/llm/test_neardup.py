@@ -121,3 +121,10 @@ def test_links_in_a_bucket_whose_best_members_link_nothing(spark):
     want = brute(list(enumerate(texts)), 3, 85)
     assert len(set(want.values())) == 22
     assert all((roots[a] == roots[b]) == (want[a] == want[b]) for a, b in combinations(roots, 2))
+
+
+def test_different_texts_of_one_id_are_dropped_each_by_itself(spark):
+    one, two, three, four = (" ".join(f"{name}{i}" for i in range(20)) for name in "abcd")
+    rows = [(3, one), (5, one), (3, two), (2, two), (7, three), (7, four), (7, four)]
+    kept = neardup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted([(3, one), (2, two), (7, three), (7, four)])
