@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlake.llm import decontam, htmltext, langid, lmscore, mixing, neardup, quality, topk, toxicity, urlfilter
+from bidlake.llm import angular, decontam, htmltext, langid, lmscore, mixing, neardup, packing, quality, simplex, topk, toxicity, urlfilter
 from bidlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,71 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_lm_score")
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(table(spark, sf_dir, "documents"))
+
+
+_WHOLE = "CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)"
+
+_OP11_SQL = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: {_WHOLE}) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+
+@register("op11_hard_negatives", _OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return angular.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@register("op12_sequence_packing")
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        tokenizer = file.read()
+    return packing.piece_rows(packing.packed(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN))
+
+
+def _op13_sql(rounds: int = 5) -> str:
+    """The rounds written out one after the other."""
+    near = """d{r} AS MATERIALIZED (
+  SELECT n, v, CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d, k FROM v, c{r}),
+a{r} AS MATERIALIZED (SELECT n, v, k, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, k) = 1),"""
+    move = """c{s} AS MATERIALIZED (
+  SELECT k, coalesce(list(m ORDER BY j), any_value(c)) AS c FROM c{r} LEFT JOIN (
+    SELECT k, j, CAST((t - ((t % n) + n) % n) // n AS BIGINT) AS m FROM (
+      SELECT k, j, sum(x) AS t, count(*) AS n FROM (SELECT k, unnest(v) AS x, unnest(range(64)) AS j FROM a{r}) GROUP BY k, j)) USING (k)
+  GROUP BY k),"""
+    steps = "\n".join(near.format(r=r) + (move.format(r=r, s=r + 1) if r < rounds else "") for r in range(rounds + 1))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: {_WHOLE}) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k, v AS c FROM v WHERE vec_id IS NOT NULL
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id), v) <= 40),
+{steps}
+i AS (SELECT k, sum(d) AS own, any_value(sha256(array_to_string(c, ','))) AS sha FROM a{rounds} JOIN c{rounds} USING (k) GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(own AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(own) FROM i) AS BIGINT) AS inertia, sha AS centroid_sha256
+FROM a{rounds} JOIN i USING (k) JOIN v USING (n)
+"""
+
+
+@register("op13_centroid_clustering", _op13_sql())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex.clusters(table(spark, sf_dir, "embeddings"))
