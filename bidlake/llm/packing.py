@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ class PackSettings:
     window: int = 1024
     end_id: int = 0
     open_windows: int = 2048
-    remembered: int = 300_000
+    remembered: int = 600_000
 
 
 @dataclass
@@ -152,8 +153,8 @@ class Encoder:
         self.number: dict[str, int] = {}
         self.first, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.number]
@@ -161,36 +162,56 @@ class Encoder:
             return
         found = self._whole(new)
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        length = np.array([len(f) for f in found], dtype=np.int64)
+        length = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, *found])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(length.sum()))])
 
-    def part(self, text: str) -> np.ndarray:
-        if self.words is None or not _PLAIN.fullmatch(text) or any(a in text for a in self.added):
-            return self._whole([text])[0]
-        words = self.words(text)
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that are held in memory together, as words."""
+        plain = [bool(self.words) and bool(_PLAIN.fullmatch(t)) and not any(a in t for a in self.added) for t in texts]
+        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+        cut = [self.words(t) if p else [] for t, p in zip(texts, plain)]
         if len(self.number) > self.remembered:
             self._forget()
-        self._learn(set(words))
-        number = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-        length = self.length[number]
-        place = np.repeat(self.first[number] - (np.cumsum(length) - length), length)
-        place += np.arange(len(place))
-        return self.flat[place]
-
-    def ids(self, text: str) -> np.ndarray:
-        """Ids of a text; one far over ``PART`` is cut where a word begins after a single blank, which no token spans."""
-        if len(text) <= 2 * PART or self.words is None:
-            return self.part(text)
+        self._learn(set().union(*cut))
+        found = []
+        for words, p in zip(cut, plain):
+            if not p:
+                found.append(np.array(next(whole), dtype=np.uint32))
+                continue
+            number = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+            length = self.length[number]
+            place = np.repeat(self.first[number] - (np.cumsum(length) - length), length)
+            place += np.arange(len(place))
+            found.append(self.flat[place])
+        return found
+
+    def _long(self, text: str) -> np.ndarray:
+        """Ids of a long text, cut where a word begins after a single blank, which no token spans."""
         parts, at = [], 0
         while at < len(text):
             seam = _SEAM.search(text, at + PART)
             end = seam.start() if seam else len(text)
-            parts.append(self.part(text[at:end]))
+            parts += self._together([text[at:end]])
             at = end
         return np.concatenate(parts)
 
+    def ids(self, texts: Iterator[str]) -> Iterator[np.ndarray]:
+        """Ids of each text in order; about ``PART`` characters are held as words at once."""
+        waiting: list[str] = []
+        for text in texts:
+            if len(text) > 2 * PART and self.words:
+                yield from self._together(waiting)
+                waiting = []
+                yield self._long(text)
+                continue
+            waiting.append(text)
+            if sum(map(len, waiting)) >= PART or len(waiting) >= 500:
+                yield from self._together(waiting)
+                waiting = []
+        yield from self._together(waiting)
+
 
 _PACKED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
                      ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -220,10 +241,10 @@ def packed(docs: DataFrame, tokenizer_json: bytes, pattern: str | None = None, s
 
         def windows() -> Iterator[list[Piece]]:
             for batch in batches:
-                doc_ids, texts = batch.column("doc_id"), batch.column("text")
-                for i in range(batch.num_rows):
-                    ids = np.concatenate([encoder.ids(texts[i].as_py() or ""), ending])
-                    yield from packer.put(Piece(doc_ids[i].as_py(), len(ids), 0, ids))
+                texts = (text.as_py() or "" for text in batch.column("text"))
+                for doc_id, found in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts)):
+                    ids = np.append(found, ending)
+                    yield from packer.put(Piece(doc_id, len(ids), 0, ids))
             yield from packer.finish()
 
         def table() -> pa.RecordBatch:
