@@ -72,21 +72,31 @@ ODD = ["it's we'll I'd  two  blanks\n\n\nlines \t tabs", "a<|endoftext|>b", "na
        "don’t – “quoted” … 12345,678.9", "á combining", "І Ї є ѓ ј"]
 
 
-def test_remembered_words_equal_whole_texts(tokenizer_json):
+def test_merged_ranks_equal_the_tokenizer(tokenizer_json):
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encoder = packing.Encoder(tokenizer_json, public_tokenizers.PATTERN, 50)
+    encoder = packing.Encoder(tokenizer_json, public_tokenizers.PATTERN)
     pick = random.Random(1)
     texts = ODD + ["".join(pick.choice(ODD + [" ", "\n", "' ", "word", "ß", "7"]) for _ in range(6)) for _ in range(200)]
     for text in texts:
-        assert next(encoder.ids(iter([text]))).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_are_not_merged_by_rank():
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        with open(public_tokenizers.path(name), "rb") as file:
+            data = file.read()
+        encoder = packing.Encoder(data, public_tokenizers.PATTERN)
+        assert (encoder.fast is not None) == name.startswith("byte")
+        for text in ODD:
+            assert encoder.ids(text).tolist() == Tokenizer.from_buffer(data).encode(text, add_special_tokens=False).ids
 
 
 def test_long_text_is_cut_at_seams(tokenizer_json, monkeypatch):
     monkeypatch.setattr(packing, "PART", 700)
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encoder = packing.Encoder(tokenizer_json, public_tokenizers.PATTERN, 300_000)
+    encoder = packing.Encoder(tokenizer_json, public_tokenizers.PATTERN)
     for text in (LONG[:60_000], ("It's  a line,\n\n with 's ends.  " * 300), "y" * 5000):
-        assert next(encoder.ids(iter([text]))).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_choice_is_least_sum_of_squares():
