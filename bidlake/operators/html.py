@@ -1,34 +1,38 @@
 """HTML documents -> flat "DOM fact" tables, one Arrow pass per batch.
 
 Spark cannot hold a recursive tree, so each document is walked once (stdlib
-``html.parser``) and flattened into two tables; every axis the extractors
-need (ancestor, sibling, descendant) becomes a column, and all extraction
-logic afterwards is ordinary joins, aggregates and filters in Spark.
+``html.parser``) and flattened into two tables.  Elements are numbered in
+document order and keep the number of the last element inside them (nested
+sets), strings are numbered too and every element keeps the range of its
+strings.  So "inside" is a range test, the facts are linear in the page, and
+all extraction logic afterwards is ordinary joins, aggregates and filters.
 
 ``nodes``   one row per element, plus a root row (node_id -1) per document:
-            doc_id, node_id (pre-order), parent_id, tag, child_pos (index
-            among element siblings), tag_pos (index among same-tag element
-            siblings), href, text_sp (of links, their parents and
-            grandparents, and table rows: text nodes stripped, blanks dropped,
-            joined by " "), anc_chain (all ancestor ids, nearest first, root
-            last), tr_chain / table_chain (ancestor ``tr`` / ``table`` ids,
-            nearest first), cells (for a ``tr``: the text of its first two
-            descendant ``td``, in order of their starts), link_seq (ordinal of
-            an ``a`` with ``href`` among those of its document).
-``strings`` one row per string node: doc_id, seq, parent_id, kind
-            (text / script / comment), text.
+            doc_id, node_id (pre-order), last_id (of the last element inside,
+            or its own), parent_id, tag, child_pos (index among element
+            siblings), tag_pos (index among same-tag element siblings),
+            first_seq / end_seq (its strings: first_seq <= seq < end_seq),
+            href, link_seq (ordinal of an ``a`` with ``href`` among those of
+            its document), text (of an ``a`` with ``href``: its text nodes
+            stripped, blanks dropped, joined by " "), tr_id / table_id
+            (nearest enclosing ``tr`` / ``table``), cells (for a ``tr``: the
+            string ranges of its first two ``td``, in order of their starts).
+``strings`` one row per string node that is not blank: doc_id, seq, parent_id,
+            kind (text / script / comment), text (stripped).
 
 Tree rules: an end tag closes up to its nearest open match (unmatched end
 tags are ignored); void elements never open; script, style and template
-text and comments do not count as element text.
+text and comments do not count as element text.  Markup that the parser
+rejects is passed over to its ``>``, else to the next ``<``, and reading goes on.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,240 +46,247 @@ ROOT_ID = -1
 ROOT_TAG = "[document]"
 # ---------------------------------------------------------------------------
 
-NODES_SCHEMA = (
-    "doc_id string, node_id int, parent_id int, tag string, child_pos int, tag_pos int, href string, "
-    "text_sp string, anc_chain array<int>, tr_chain array<int>, table_chain array<int>, "
-    "cells array<string>, link_seq int"
-)
-STRINGS_SCHEMA = "doc_id string, seq int, parent_id int, kind string, text string"
-
-
-class _Node:
-    __slots__ = ("node_id", "parent", "tag", "child_pos", "tag_pos", "href", "pieces", "cells",
-                 "n_children", "tag_counts", "anc", "link_seq", "slots")
-
-    def __init__(self, node_id, parent, tag, href):
-        self.node_id = node_id
-        self.parent = parent
-        self.tag = tag
-        self.href = href
-        self.pieces: list[str] = []
-        self.cells: list[str] | None = [] if tag == "tr" else None
-        self.n_children = 0
-        self.tag_counts: dict[str, int] = {}
-        self.anc: list[_Node] = []
-        self.child_pos = 0
-        self.tag_pos = 0
-        self.link_seq = None
-
-
-class _Flattener(HTMLParser):
+KEPT_CELLS = 2
+
+_CELLS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+_FACTS = pa.schema([
+    ("fact", pa.string()), ("doc_id", pa.string()), ("node_id", pa.int32()), ("last_id", pa.int32()), ("parent_id", pa.int32()), ("tag", pa.string()),
+    ("child_pos", pa.int32()), ("tag_pos", pa.int32()), ("first_seq", pa.int32()), ("end_seq", pa.int32()), ("href", pa.string()), ("link_seq", pa.int32()),
+    ("tr_id", pa.int32()), ("table_id", pa.int32()), ("cells", _CELLS), ("seq", pa.int32()), ("kind", pa.string()), ("text", pa.string())])
+FACTS_SCHEMA = (
+    "fact string, doc_id string, node_id int, last_id int, parent_id int, tag string, child_pos int, tag_pos int, first_seq int, end_seq int, "
+    "href string, link_seq int, tr_id int, table_id int, cells array<struct<first: int, end: int>>, seq int, kind string, text string")
+NODE_COLUMNS = ["doc_id", "node_id", "last_id", "parent_id", "tag", "child_pos", "tag_pos", "first_seq", "end_seq", "href", "link_seq", "text", "tr_id", "table_id", "cells"]
+STRING_COLUMNS = ["doc_id", "seq", "parent_id", "kind", "text"]
+
+
+class Flattener(HTMLParser):
+    """Facts of one document as columns: place i of each list belongs to element i."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node(ROOT_ID, None, ROOT_TAG, None)
-        self.stack = [self.root]
-        self.done: list[_Node] = []
-        self.strings: list[tuple[int, int, str, str]] = []
-        self.next_id = 0
-        self.pending: list[str] = []
-        self.n_links = 0
-
-    def _flush(self):
+        self.tag: list[str] = []
+        self.parent: list[int] = []
+        self.last: list[int] = []
+        self.child_pos: list[int] = []
+        self.tag_pos: list[int] = []
+        self.first_seq: list[int] = []
+        self.end_seq: list[int] = []
+        self.href: list[str | None] = []
+        self.link: list[int | None] = []
+        self.tr: list[int | None] = []
+        self.table: list[int | None] = []
+        self.cells: list[list[int] | None] = []
+        self.strings: list[tuple[int, str, str]] = []      # parent, kind, text
+        self.skipped = 0                                   # markup the parser rejected
+        self._stack: list[tuple[int, Counter]] = [(ROOT_ID, Counter())]  # open elements with their children per tag
+        self._children = [0]
+        self._open: Counter = Counter()
+        self._rows: list[int] = []                         # open tr
+        self._tables: list[int] = []
+        self._hungry: list[int] = []                       # open tr with fewer than KEPT_CELLS cells
+        self._pending: list[str] = []
+        self._links = 0
+
+    def _flush(self) -> None:
         """Adjacent data chunks form one string node (as in a parsed tree)."""
-        if not self.pending:
-            return
-        data = "".join(self.pending)
-        self.pending = []
-        top = self.stack[-1]
-        kind = "script" if top.tag in RAW_TEXT_TAGS else "text"
-        self.strings.append((len(self.strings), top.node_id, kind, data))
-        if kind == "text":
-            s = data.strip()
-            if s:
-                top.pieces.append(s)
-
-    def _open(self, tag, attrs, void: bool):
+        if self._pending:
+            text, self._pending = "".join(self._pending).strip(), []
+            if text:
+                top = self._stack[-1][0]
+                self.strings.append((top, "script" if top >= 0 and self.tag[top] in RAW_TEXT_TAGS else "text", text))
+
+    def _start(self, tag: str, attrs, void: bool) -> None:
         self._flush()
-        parent = self.stack[-1]
+        parent, counts = self._stack[-1]
+        number = len(self.tag)
         href = None
         for k, v in attrs:
             if k == "href":
                 href = v if v is not None else ""
-        node = _Node(self.next_id, parent, tag, href)
-        self.next_id += 1
-        node.child_pos = parent.n_children
-        parent.n_children += 1
-        node.tag_pos = parent.tag_counts.get(tag, 0)
-        parent.tag_counts[tag] = node.tag_pos + 1
-        node.anc = list(reversed(self.stack))
-        if tag == "td":  # a cell stands where it starts, before the cells nested in it
-            node.slots = [(a.cells, len(a.cells)) for a in node.anc if a.cells is not None]
-            for cells, _ in node.slots:
-                cells.append("")
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.last.append(number)
+        self.child_pos.append(self._children[-1])
+        self.tag_pos.append(counts[tag])
+        self._children[-1] += 1
+        counts[tag] += 1
+        self.first_seq.append(len(self.strings))
+        self.end_seq.append(len(self.strings))
+        self.href.append(href)
+        self.link.append(None)
+        self.tr.append(self._rows[-1] if self._rows else None)
+        self.table.append(self._tables[-1] if self._tables else None)
+        self.cells.append([] if tag == "tr" else None)
         if tag == "a" and href is not None:
-            node.link_seq = self.n_links
-            self.n_links += 1
+            self.link[number] = self._links
+            self._links += 1
+        if tag == "td":  # a cell stands where it starts, before the cells nested in it
+            for row in self._hungry:
+                self.cells[row].append(number)
+            self._hungry = [row for row in self._hungry if len(self.cells[row]) < KEPT_CELLS]
         if void:
-            self._close(node)
-        else:
-            self.stack.append(node)
-
-    def _close(self, node: _Node):
-        parent = node.parent
-        parent.pieces.extend(node.pieces)
-        if node.tag == "td":
-            text = "".join(node.pieces)
-            for cells, place in node.slots:
-                cells[place] = text
-        self.done.append(node)
+            return
+        self._stack.append((number, Counter()))
+        self._children.append(0)
+        self._open[tag] += 1
+        if tag == "tr":
+            self._rows.append(number)
+            self._hungry.append(number)
+        elif tag == "table":
+            self._tables.append(number)
+
+    def _end(self) -> str:
+        """Closes the innermost open element."""
+        number, _ = self._stack.pop()
+        self._children.pop()
+        tag = self.tag[number]
+        self._open[tag] -= 1
+        self.last[number], self.end_seq[number] = len(self.tag) - 1, len(self.strings)
+        if tag == "tr":
+            self._rows.pop()
+            if self._hungry and self._hungry[-1] == number:
+                self._hungry.pop()
+        elif tag == "table":
+            self._tables.pop()
+        return tag
 
     def handle_starttag(self, tag, attrs):
-        self._open(tag, attrs, tag in VOID_TAGS)
+        self._start(tag, attrs, tag in VOID_TAGS)
 
     def handle_startendtag(self, tag, attrs):
-        self._open(tag, attrs, True)
+        self._start(tag, attrs, True)
 
     def handle_endtag(self, tag):
         self._flush()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self._close(self.stack.pop())
-                return
+        if self._open[tag]:
+            while self._end() != tag:
+                pass
 
     def handle_data(self, data):
-        self.pending.append(data)
+        self._pending.append(data)
 
     def handle_comment(self, data):
         self._flush()
-        self.strings.append((len(self.strings), self.stack[-1].node_id, "comment", data))
-
-    def finish(self):
-        self._flush()
-        while len(self.stack) > 1:
-            self._close(self.stack.pop())
-        self.done.append(self.root)
-
-
-def flatten(html: str | None) -> _Flattener:
-    """One document -> its facts.  Markup the parser rejects ends the document
-    there (open elements are closed) instead of failing the whole job."""
-    f = _Flattener()
-    try:
-        if html:
-            f.feed(html)
-        f.close()
-    except Exception:  # noqa: BLE001 - malformed input: keep what was read
-        pass
-    f.finish()
-    return f
-
-
-KEPT_CELLS = 2
-BATCH_CHARS = 4_000_000
-
-
-def _node_rows(doc_id: str, f: _Flattener):
-    """Facts per element.  Text goes with the elements that rules read (links, their parents and
-    grandparents, table rows), and a row keeps its first two cells, so nesting does not repeat it."""
-    read = {x.node_id for n in f.done if n.tag == "a" and n.href is not None for x in (n, *n.anc[:2])}
-    for n in f.done:
-        yield (
-            doc_id, n.node_id, None if n.parent is None else n.parent.node_id, n.tag,
-            n.child_pos, n.tag_pos, n.href, " ".join(n.pieces) if n.tag == "tr" or n.node_id in read else None,
-            [a.node_id for a in n.anc],
-            [a.node_id for a in n.anc if a.tag == "tr"],
-            [a.node_id for a in n.anc if a.tag == "table"],
-            None if n.cells is None else n.cells[:KEPT_CELLS], n.link_seq,
-        )
+        if data.strip():
+            self.strings.append((self._stack[-1][0], "comment", data.strip()))
 
+    def _rest_after(self, read, i: int) -> int:
+        """Where reading goes on; a token that the parser rejects is passed over: to its ``>``, else to the next ``<``."""
+        try:
+            return read(i)
+        except Exception:  # noqa: BLE001 - the parser's own checks raise several kinds
+            self.skipped += 1
+            closed, opened = (self.rawdata.find(c, i + 1) for c in "><")
+            if closed >= 0 and (opened < 0 or closed < opened):
+                return closed + 1
+            return opened if opened >= 0 else len(self.rawdata)
 
-def _framed(rows: Iterator[tuple], columns: list[str], ints: tuple[str, ...]) -> Iterator[pd.DataFrame]:
-    """Frames of rows, each of bounded text."""
-    part, chars = [], 0
-    for row in rows:
-        part.append(row)
-        chars += 100 + sum(len(x) for x in row if isinstance(x, str))
-        if chars > BATCH_CHARS:
-            yield pd.DataFrame(part, columns=columns).astype(dict.fromkeys(ints, "Int32"))
-            part, chars = [], 0
-    yield pd.DataFrame(part, columns=columns).astype(dict.fromkeys(ints, "Int32"))
+    def parse_starttag(self, i):
+        return self._rest_after(super().parse_starttag, i)
 
+    def parse_endtag(self, i):
+        return self._rest_after(super().parse_endtag, i)
 
-_NODE_COLS = ["doc_id", "node_id", "parent_id", "tag", "child_pos", "tag_pos", "href", "text_sp",
-              "anc_chain", "tr_chain", "table_chain", "cells", "link_seq"]
+    def parse_pi(self, i):
+        return self._rest_after(super().parse_pi, i)
 
+    def parse_html_declaration(self, i):
+        return self._rest_after(super().parse_html_declaration, i)
 
-_NODE_INTS = ("node_id", "parent_id", "child_pos", "tag_pos", "link_seq")
-
-
-def _nodes_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = (r for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for r in _node_rows(str(doc_id), flatten(html)))
-        yield from _framed(rows, _NODE_COLS, _NODE_INTS)
+    def finish(self) -> None:
+        self._flush()
+        while len(self._stack) > 1:
+            self._end()
 
+    def text_of(self, number: int, separator: str = " ") -> str:
+        return separator.join(text for _, kind, text in self.strings[self.first_seq[number]:self.end_seq[number]] if kind == "text")
 
-def _strings_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = ((str(doc_id), *s) for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for s in flatten(html).strings)
-        yield from _framed(rows, ["doc_id", "seq", "parent_id", "kind", "text"], ("seq", "parent_id"))
 
+def flatten(html: str | None) -> Flattener:
+    """One document -> its facts; a null document has a root and nothing else."""
+    f = Flattener()
+    if html:
+        f.feed(html)
+    f.close()
+    f.finish()
+    return f
 
-def dom_nodes(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """The ``nodes`` fact table of every document (see module doc)."""
-    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(html_col).alias("html"))
-    return src.mapInPandas(_nodes_batches, NODES_SCHEMA)
 
+def _batch(columns: dict[str, list], rows: int) -> pa.RecordBatch:
+    """A batch of facts; columns that are not named are null."""
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in _FACTS], schema=_FACTS)
 
-def dom_strings(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """The ``strings`` fact table of every document (see module doc)."""
-    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(html_col).alias("html"))
-    return src.mapInPandas(_strings_batches, STRINGS_SCHEMA)
 
+def _document_batches(doc_id: str, html: str | None) -> Iterator[pa.RecordBatch]:
+    f = flatten(html)
+    n = len(f.tag)
 
-def anchors(nodes: DataFrame) -> DataFrame:
-    """Elements ``a`` carrying an ``href`` attribute, in document order (node_id)."""
-    return nodes.where((F.col("tag") == "a") & F.col("href").isNotNull())
+    def ranges(cells: list[int] | None):
+        return None if cells is None else [{"first": f.first_seq[c], "end": f.end_seq[c]} for c in cells]
 
+    yield _batch({
+        "fact": ["node"] * (n + 1), "doc_id": [doc_id] * (n + 1), "node_id": [*range(n), ROOT_ID], "last_id": [*f.last, n - 1], "parent_id": [*f.parent, None],
+        "tag": [*f.tag, ROOT_TAG], "child_pos": [*f.child_pos, 0], "tag_pos": [*f.tag_pos, 0], "first_seq": [*f.first_seq, 0],
+        "end_seq": [*f.end_seq, len(f.strings)], "href": [*f.href, None], "link_seq": [*f.link, None],
+        "text": [*(None if link is None else f.text_of(i) for i, link in enumerate(f.link)), None], "tr_id": [*f.tr, None], "table_id": [*f.table, None],
+        "cells": [*map(ranges, f.cells), None]}, n + 1)
+    if f.strings:
+        parents, kinds, texts = zip(*f.strings)
+        yield _batch({"fact": ["string"] * len(texts), "doc_id": [doc_id] * len(texts), "parent_id": parents, "kind": kinds, "text": texts, "seq": range(len(texts))}, len(texts))
 
-FACTS_SCHEMA = (
-    "fact string, doc_id string, node_id int, parent_id int, tag string, child_pos int, tag_pos int, "
-    "href string, text_sp string, anc_chain array<int>, tr_chain array<int>, "
-    "table_chain array<int>, cells array<string>, link_seq int, seq int, kind string, text string"
-)
-_FACT_COLS = ["fact"] + _NODE_COLS + ["seq", "kind", "text"]
 
+BATCH_BYTES = 8 << 20
 
-def _fact_rows(doc: str, html: str | None) -> Iterator[tuple]:
-    f = flatten(html)
-    for r in _node_rows(doc, f):
-        yield ("node", *r, None, None, None)
-    blank = (None,) * (len(_NODE_COLS) - 3)
-    for seq, parent_id, kind, text in f.strings:
-        yield ("string", doc, None, parent_id, *blank, seq, kind, text)
 
-
-def _facts_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = (r for doc_id, html in zip(pdf["doc_id"], pdf["html"]) for r in _fact_rows(str(doc_id), html))
-        yield from _framed(rows, _FACT_COLS, (*_NODE_INTS, "seq"))
+def _facts_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Facts of the documents, gathered into batches of bounded bytes."""
+    part: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for doc_id, html in zip(batch.column("doc_id"), batch.column("html")):
+            for facts in _document_batches(doc_id.as_py(), html.as_py()):
+                part.append(facts)
+                size += facts.nbytes
+            if size > BATCH_BYTES:
+                yield from pa.Table.from_batches(part).combine_chunks().to_batches()
+                part, size = [], 0
+    if part:
+        yield from pa.Table.from_batches(part).combine_chunks().to_batches()
 
 
 def dom_facts(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html",
               materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(nodes, strings)`` from ONE parse of every document.
 
-    Extraction plans read the facts many times (anchors, rows, tables,
-    parents); with ``materialize`` the facts are written once to the
-    session's shared checkpoint folder, so the Python parse never reruns and
-    a lost executor re-reads files instead of re-parsing.
+    Extraction plans read the facts many times; with ``materialize`` they are
+    written once as Parquet into the session's shared checkpoint folder, the
+    two kinds apart, so the parse never reruns, scans read only the columns
+    they need, and a lost executor re-reads files instead of re-parsing.
     """
-    from bidlake.session import cut_lineage
+    from bidlake.session import stored
 
-    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(html_col).alias("html"))
-    facts = src.mapInPandas(_facts_batches, FACTS_SCHEMA)
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(html_col).cast("string").alias("html"))
+    facts = src.mapInArrow(_facts_batches, FACTS_SCHEMA)
     if materialize:
-        facts = cut_lineage(facts)
-    nodes = facts.where(F.col("fact") == "node").select(*_NODE_COLS)
-    strings = facts.where(F.col("fact") == "string").select("doc_id", "seq", "parent_id", "kind", "text")
+        facts = stored(facts, partition_by="fact")
+    nodes = facts.where(F.col("fact") == "node").select(*NODE_COLUMNS)
+    strings = facts.where(F.col("fact") == "string").select(*STRING_COLUMNS)
     return nodes, strings
+
+
+def anchors(nodes: DataFrame) -> DataFrame:
+    """Elements ``a`` carrying an ``href`` attribute, in document order (node_id)."""
+    return nodes.where(F.col("link_seq").isNotNull())
+
+
+def texts_of(strings: DataFrame, ranges: DataFrame, keys: list[str], separator: str = " ", out_col: str = "text") -> DataFrame:
+    """The keys and the text of string ranges (doc_id, first_seq, end_seq and the keys).
+
+    A range names its strings one by one, so the join is by (doc_id, seq) and
+    makes one row per string wanted.  Ranges without text give no row.
+    """
+    wanted = ranges.where("first_seq < end_seq").select("doc_id", *keys, F.explode(F.sequence("first_seq", F.col("end_seq") - 1)).alias("seq"))
+    found = wanted.join(strings.where("kind = 'text'").select("doc_id", "seq", "text"), ["doc_id", "seq"])
+    pieces = F.array_sort(F.collect_list(F.struct("seq", "text")))  # the strings of one element
+    return found.groupBy("doc_id", *keys).agg(F.concat_ws(separator, F.transform(pieces, lambda p: p["text"])).alias(out_col))

@@ -405,7 +405,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY page_id, _tkey ORDER BY link_pos
 WHERE _rn = 1
 """)(PP.dom_devex_listings)
 
-register("dom_da_listings", None)(PP.dom_da_listings)
+# no page says "open" or holds a table, so every listing link of the page counts and its fields are empty
+register("dom_da_listings", f"""{_LINKS},
+abs_links AS (SELECT page_id, link_pos, {O.strip_sql(O.q(PP.DA_LISTING_BASE) + ' || href')} AS href, text FROM links),
+kept AS (
+  SELECT page_id, link_pos, href, {_generic_sql('text', _F.GENERIC_TITLES_DA)} AS title FROM abs_links
+  WHERE NOT regexp_matches(href, {O.q(_U.DA_SKIP_PATTERN)}) AND regexp_matches(href, {O.q(_U.DA_LISTING_PATTERN)})
+),
+ok AS (SELECT *, {O.clean_url_sql('href')} AS url FROM kept WHERE title <> '' AND length(title) >= {PP.PAGES_MIN_TITLE_LEN})
+SELECT page_id, link_pos, title AS opportunityTitle, t.url, '' AS donorClient, '' AS countryRegion, '' AS deadline, '' AS deadlineISO,
+       CASE WHEN regexp_matches(coalesce(html, ''), '(?i)tender alert') THEN 'Tender' WHEN regexp_matches(coalesce(html, ''), '(?i)grant alert') THEN 'Grant'
+            ELSE 'Opportunity' END AS opportunityType,
+       '' AS status, '' AS alertName
+FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY link_pos) AS _rn FROM ok) t JOIN pages USING (page_id)
+WHERE _rn = 1
+""")(PP.dom_da_listings)
 
 # --- streaming -----------------------------------------------------------------
 
@@ -492,3 +506,11 @@ FROM firsts
 
 
 register("mail_pipeline_pages", _mail_pages_sql())(PM.mail_pipeline_pages)
+
+# --- the stand-in mailbox: listings of both publishers ----------------------------
+
+from bidlake.plans import oracle_mail as OM  # noqa: E402
+
+register("mail_listings_devex", OM.DEVEX_SQL)(PM.mail_listings_devex)
+register("mail_listings_da", OM.DA_SQL)(PM.mail_listings_da)
+register("mail_pipeline_listings", OM.PIPELINE_SQL)(PM.mail_pipeline_listings)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from bidlake.functions import normalize as N
 from bidlake.operators import dedup, mail
 from bidlake.settings import PIPELINE_COLUMNS
+from bidlake.sources import standin_mail as SM
 from bidlake.sources import standins as S
+from bidlake.sources.standin_mail import base64url
 
 
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,18 +74,18 @@ def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
     """P5/P6 per record by source, then U2: the extracted opportunities of all
     records with arrival ordinal (source_seq, message_seq, message_id, link_pos)."""
     from bidlake.operators import extract, html
-    from bidlake.session import cut_lineage
+    from bidlake.session import stored
 
     docs = recs.select(
         F.concat_ws(":", "source", "message_id").alias("doc_id"), "subject",
         F.col("html_body").alias("html"), "source", "message_id", "email_date", "source_seq",
         F.coalesce("message_seq", F.lit((1 << 62))).alias("message_seq"))
     # read four times below (facts, two publishers, context): decode the bodies once
-    docs = cut_lineage(docs.where(F.col("html") != ""))
+    docs = stored(docs.where(F.col("html") != ""))
     nodes, strings = html.dom_facts(docs)
     devex_docs = docs.where(F.col("source") == "devex")
     da_docs = docs.where(F.col("source") == "developmentaid")
-    dx = extract.devex_listings(nodes, devex_docs)
+    dx = extract.devex_listings(nodes, strings, devex_docs)
     da = extract.da_listings(nodes, strings, da_docs, run_date)
     opps = dx.unionByName(da, allowMissingColumns=True)
     ctx = docs.select("doc_id", F.col("source").alias("mailSource"), F.col("email_date").alias("emailDate"),
@@ -158,10 +160,6 @@ SUBJECT_PREFIX = "Business Alert: "
 TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
 
 
-def _b64url(c):
-    return F.regexp_replace(F.translate(F.base64(F.encode(c, "UTF-8")), "+/", "-_"), "=+$", "")
-
-
 def land_pages_as_mail(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Every page as one alert e-mail of the first publisher: headers plus a
     three-part MIME tree (container, plain-text URL, HTML body), landed as
@@ -183,8 +181,8 @@ def land_pages_as_mail(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         mid.alias("message_id"), F.lit(seq).alias("part_seq"), F.lit(mime).alias("mime_type"), body.alias("body_b64"))
     parts = pages.select(F.explode(F.array(
         part(0, "multipart/alternative", F.lit("")),
-        part(1, "text/plain", _b64url(F.col("url"))),
-        part(2, "text/html", _b64url(F.col("html"))),
+        part(1, "text/plain", base64url(F.col("url"))),
+        part(2, "text/html", base64url(F.col("html"))),
     )).alias("p")).select("p.*")
     base = os.path.join(checkpoint_dir(spark), f"landing-mail-{uuid.uuid4().hex}")
     messages.write.json(os.path.join(base, "messages"))
@@ -205,3 +203,47 @@ def mail_pipeline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = dedup.new_rows(enriched, empty, "duplicateKey", "ord")
     return fresh.select(F.col("ord.message_id").alias("message_id"), F.col("ord.link_pos").alias("link_pos"),
                         *PIPELINE_COLUMNS)
+
+
+# --- the stand-in mailbox: listings of both publishers, known by construction ------
+
+def _landed_records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    from bidlake.sources import mail as mail_src
+
+    messages, parts = SM.land(spark, sf_dir)
+    return mail_src.fetch(mail_src.read_messages(spark, messages), mail_src.read_parts(spark, parts), SM.RUN_DATE, 7, None, source)
+
+
+def _listing_docs(recs: DataFrame) -> DataFrame:
+    from bidlake.session import stored
+
+    return stored(recs.select(F.col("message_id").alias("doc_id"), "subject", F.col("html_body").alias("html")).where("html != ''"))
+
+
+def mail_listings_devex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4..S7 + P5 (F6, F9..F11, W3, J5, W5, X12, X14, X16, X17): the first publisher's listings."""
+    from bidlake.operators import extract, html
+
+    docs = _listing_docs(_landed_records(spark, sf_dir, "devex"))
+    return extract.devex_listings(*html.dom_facts(docs), docs).withColumnRenamed("doc_id", "message_id")
+
+
+def mail_listings_da(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4..S7 + P6 (F7..F9, F13, W4, W6, A8, X12, X13, X15, X18..X20): the second publisher's listings."""
+    from bidlake.operators import extract, html
+
+    docs = _listing_docs(_landed_records(spark, sf_dir, "developmentaid"))
+    return extract.da_listings(*html.dom_facts(docs), docs, SM.RUN_DATE).withColumnRenamed("doc_id", "message_id")
+
+
+def _listing_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bidlake.session import stored
+
+    return stored(mail.enrich(extract_records(_landed_records(spark, sf_dir, "all"), SM.RUN_DATE), SM.RUN_DATE, SM.RUN_TS))
+
+
+def mail_pipeline_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 + P3 + X6 + X7 + W2: both sources in one run, the rows appended to an empty table with their place."""
+    enriched = _listing_batch(spark, sf_dir)
+    fresh = dedup.new_rows(enriched, spark.createDataFrame([], "duplicateKey string"), "duplicateKey", "ord")
+    return fresh.select(F.col("ord.message_id").alias("message_id"), F.col("ord.link_pos").alias("link_pos"), *PIPELINE_COLUMNS)

@@ -64,19 +64,9 @@ def link_dedup_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "link_pos", "url", "title")
 
 
-def _page_docs(spark: SparkSession, sf_dir: str, href_prefix: str | None = None) -> DataFrame:
+def _page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = S.table(spark, sf_dir, "pages")
-    return pages.select(F.col("page_id").cast("string").alias("doc_id"), F.lit("").alias("subject"),
-                        F.col("html"))
-
-
-def _facts(docs: DataFrame, href_prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
-    from bidlake.operators import html
-
-    nodes, strings = html.dom_facts(docs)
-    if href_prefix:
-        nodes = nodes.withColumn("href", F.when(F.col("href").isNotNull(), F.concat(F.lit(href_prefix), "href")))
-    return nodes, strings
+    return pages.select(F.col("page_id").cast("string").alias("doc_id"), F.lit("").alias("subject"), F.col("html"))
 
 
 def dom_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,26 +74,27 @@ def dom_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bidlake.functions import text as T
     from bidlake.operators import html
 
-    a = html.anchors(_facts(_page_docs(spark, sf_dir))[0])
+    a = html.anchors(html.dom_facts(_page_docs(spark, sf_dir), materialize=False)[0])  # read once
     return a.select(F.col("doc_id").cast("bigint").alias("page_id"), F.col("link_seq").cast("bigint").alias("link_pos"),
-                    "href", T.collapse_ws("text_sp").alias("title"))
+                    "href", T.collapse_ws("text").alias("title"))
 
 
 def dom_devex_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 over pages through the DOM facts (title row metadata is '' where pages have no tables)."""
-    from bidlake.operators import extract
+    from bidlake.operators import extract, html
 
     docs = _page_docs(spark, sf_dir)
-    out = extract.devex_listings(_facts(docs)[0], docs, PAGES_MIN_TITLE_LEN)
+    out = extract.devex_listings(*html.dom_facts(docs), docs, PAGES_MIN_TITLE_LEN)
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumnRenamed("doc_id", "page_id")
 
 
 def dom_da_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 over pages through the DOM facts, anchors placed under a listing section;
     scoping to the "Open" section (F13) applies where a page's text says open."""
-    from bidlake.operators import extract
+    from bidlake.operators import extract, html
 
     docs = _page_docs(spark, sf_dir)
-    nodes, strings = _facts(docs, DA_LISTING_BASE)
+    nodes, strings = html.dom_facts(docs)
+    nodes = nodes.withColumn("href", F.concat(F.lit(DA_LISTING_BASE), "href"))
     out = extract.da_listings(nodes, strings, docs, S.STANDIN_RUN_DATE, PAGES_MIN_TITLE_LEN)
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumnRenamed("doc_id", "page_id")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +85,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet into the shared checkpoint folder and read back.
+
+    Cuts the lineage like ``cut_lineage`` and survives lost executors the same
+    way; unlike a checkpoint the files keep column pruning, filters that skip
+    folders (``partition_by``) and size statistics, from which Spark decides
+    on broadcasts.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

