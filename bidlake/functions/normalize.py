@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bidlake.functions.text import WORD, col_
-from bidlake.functions.udfs import nfkd_normal_form
+from bidlake.functions.udfs import PART, nfkd_normal_form, nfkd_normal_forms
 
 # --- fixed values -----------------------------------------------------------
 # Words marking a Spanish title (matched case-insensitively as whole words).
@@ -74,9 +74,14 @@ def duplicate_key(source: Column | str, title: Column | str, donor: Column | str
 
     The fallback always has three separators: blanks stay as empty parts.
     """
-    src = normalize_text(source)
-    parts = F.concat_ws(KEY_SEPARATOR, src, normalize_text(title), normalize_text(donor), normalize_text(country))
+    parts = [F.replace(F.coalesce(col_(c), F.lit("")), F.lit(PART), F.lit(" ")) for c in (source, title, donor, country)]
+    joined = F.concat_ws(PART, *parts)
+    ascii_row = is_ascii(joined)
+    # one pass over all parts; the helper sees the rows that are not ASCII, once
+    jvm = F.regexp_replace(F.lower(joined), f"[^a-z0-9_{PART}]+", " ")
+    forms = F.transform(F.split(F.when(ascii_row, jvm).otherwise(nfkd_normal_forms(F.when(~ascii_row, joined))), PART), lambda part: F.trim(part))
+    whole = F.array_join(forms, KEY_SEPARATOR)
     if url is None:
-        return parts
+        return whole
     sid = stable_id(url)
-    return F.when(sid != "", F.concat(src, F.lit(KEY_SEPARATOR), sid)).otherwise(parts)
+    return F.when(sid != "", F.concat(F.element_at(forms, 1), F.lit(KEY_SEPARATOR), sid)).otherwise(whole)

@@ -1,19 +1,17 @@
-"""The only Python functions of the engine, all Arrow-batched Pandas UDFs.
+"""The only Python functions of the engine, both Arrow-batched Pandas UDFs.
 
-Each is a small per-value helper for something Spark has no built-in for:
-Unicode NFKD decomposition and lenient day-first date parsing.  Callers
-pass NULL for rows that do not need the helper (a UDF under ``when`` still
-runs for every row), so the Python side only sees the residue.
+They hold the one thing Spark has no built-in for: Unicode NFKD
+decomposition.  Callers pass NULL for rows that do not need the helper (a UDF
+under ``when`` still runs for every row), so the Python side only sees the
+residue.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from datetime import datetime
 
 import pandas as pd
-from dateutil import parser as dateparser
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -35,27 +33,10 @@ def nfkd_normal_form(values: pd.Series) -> pd.Series:
     return values.map(lambda v: _normal_form(v) if isinstance(v, str) else None)
 
 
-def lenient_day_first(text: str | None, default: datetime) -> str | None:
-    """Day-first lenient parse (``dateutil``) -> ISO date, or None.
+PART = "\x1f"  # between the parts of a key; inside a part it counts as any other sign
 
-    Parts missing from the text default to the run instant, not the wall
-    clock, so reruns agree.  Only the residue the native patterns miss
-    gets here.
-    """
-    if not isinstance(text, str) or not text:
-        return None
-    try:
-        parsed = dateparser.parse(text, dayfirst=True, default=default)
-    except (ValueError, OverflowError, TypeError):
-        return None
-    return parsed.date().isoformat() if parsed else None
-
-
-def make_lenient_date_udf(run_date: str):
-    default = datetime.fromisoformat(run_date)
 
-    @F.pandas_udf(StringType())
-    def lenient_date(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: lenient_day_first(v, default))
-
-    return lenient_date
+@F.pandas_udf(StringType())
+def nfkd_normal_forms(values: pd.Series) -> pd.Series:
+    """The normal form of each ``PART``-separated part, in the same layout."""
+    return values.map(lambda v: PART.join(map(_normal_form, v.split(PART))) if isinstance(v, str) else None)

@@ -145,11 +145,23 @@ def classify_append(df: DataFrame, master: DataFrame, key_col: str = "duplicateK
 def new_rows(df: DataFrame, master: DataFrame, key_col: str = "duplicateKey", order_col: str = "ord") -> DataFrame:
     """W2 + J2: the rows an append writes: first copy of each key not yet in the master.
 
-    One pass over ``df``: first-wins (partial ``WindowGroupLimit`` before the
-    shuffle, so a hot key ships one row per map task) then the anti-join.
+    First-wins (partial ``WindowGroupLimit`` before the shuffle, so a hot key
+    ships one row per map task) sorts by a hash of the key.  The master then
+    sends the hashes of its keys, not the texts; only rows whose hash it knows
+    are compared with it by their whole keys.
     """
-    keys = key_set(master, key_col, strip=False)
-    return first_wins(df, [key_col], order_col).join(keys, on=key_col, how="left_anti")
+    from bidlake.session import stored
+
+    firsts = stored(first_wins(df.withColumn("_hash", F.xxhash64(key_col)), ["_hash", key_col], order_col))
+    keys = key_set(master, key_col, strip=False).withColumn("_hash", F.xxhash64(key_col))
+    return firsts.join(known_rows(firsts, keys, key_col, order_col), on=order_col, how="left_anti").drop("_hash")
+
+
+def known_rows(firsts: DataFrame, keys: DataFrame, key_col: str, order_col: str) -> DataFrame:
+    """The ordinals of the rows (with ``_hash``) whose keys are among ``keys`` (with ``_hash``): by hash first, then whole."""
+    perhaps = firsts.select("_hash", key_col, order_col).join(keys.select("_hash").distinct(), "_hash", "left_semi")
+    asked = keys.join(perhaps.select("_hash").distinct(), "_hash", "left_semi")
+    return perhaps.join(asked, ["_hash", key_col], "left_semi").select(order_col)
 
 
 def append_summary(df: DataFrame, master: DataFrame, key_col: str = "duplicateKey", order_col: str = "ord") -> DataFrame:

@@ -71,11 +71,13 @@ def filter_notices(df: DataFrame, excluded_prefixes, excluded_codes, excluded_de
 def filter_departments_by_table(df: DataFrame, departments: DataFrame, path_col: str = "fullParentPathName") -> DataFrame:
     """F5 as a join: anti-join the top department against an exclusion table.
 
-    The table is a configured list (tens of rows), so it is broadcast.
+    The table is the caller's; it is stored, and its size decides whether
+    Spark broadcasts it.
     """
+    from bidlake.session import stored
+
     keyed = df.withColumn("_top", top_department(path_col))
-    excluded = F.broadcast(
-        departments.select(F.col(departments.columns[0]).alias("_top")).distinct().withColumn("_excluded", F.lit(True)))
+    excluded = stored(departments.select(F.col(departments.columns[0]).alias("_top")).distinct().withColumn("_excluded", F.lit(True)))
     flagged = keyed.join(excluded, "_top", "left")
     keep = (F.coalesce(F.col(path_col), F.lit("")) == "") | F.col("_excluded").isNull()
     return flagged.where(keep).drop("_top", "_excluded")

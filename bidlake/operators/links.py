@@ -1,8 +1,8 @@
 """Anchor-level extraction for both publishers (F6..F11, W3, W4, X14..X16).
 
-``anchors`` is the native path: when only links are needed, four
-``regexp_extract_all`` passes over the HTML find every ``<a href>`` and its
-inner text without leaving the JVM.  Table-structured fields (sibling rows,
+``anchors`` is the native path: when only links are needed, one
+``regexp_extract_all`` pass over the HTML finds every ``<a href>`` and short
+patterns on each match give its link and inner text, without leaving the JVM.  Table-structured fields (sibling rows,
 label/value cells) need the DOM facts of ``bidlake.operators.html``.
 """
 
@@ -39,16 +39,11 @@ def anchor_text(inner: Column) -> Column:
 
 def anchors(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Every anchor with an href: (id, link_pos, href, raw_text), document order."""
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    found = pages.select(
-        F.col(id_col),
-        F.arrays_zip(
-            *[F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), i + 1).alias(n) for i, n in enumerate(("double", "single", "bare", "inner"))],
-        ).alias("_a"),
-    )
-    return found.select(F.col(id_col), F.posexplode("_a").alias("link_pos", "_x")).select(
+    whole = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(ANCHOR_PATTERN), 0)
+    found = pages.select(F.col(id_col), F.posexplode(whole).alias("link_pos", "_a"))
+    return found.select(
         F.col(id_col), F.col("link_pos").cast("bigint").alias("link_pos"),
-        F.concat("_x.double", "_x.single", "_x.bare").alias("href"), anchor_text(F.col("_x.inner")).alias("text"))
+        F.regexp_replace("_a", ANCHOR_PATTERN, "$1$2$3").alias("href"), anchor_text(F.regexp_replace("_a", ANCHOR_PATTERN, "$4")).alias("text"))
 
 
 def devex_listings(links: DataFrame, min_len: int, alert: Column | None = None,

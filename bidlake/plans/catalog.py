@@ -368,6 +368,23 @@ SELECT o_orderkey,
 FROM orders
 """)(PX.deadline_iso)
 
+# the date as written; numbers alone are day first where both can be meant, missing parts are the run's
+register("deadline_lenient", f"""
+SELECT o_orderkey,
+       CASE form WHEN 0 THEN strftime(d, '%A, %-d %B %Y') || ' 17:00 UTC' WHEN 1 THEN strftime(d, '%-d') || 'th of ' || strftime(d, '%B, %Y')
+                 WHEN 2 THEN strftime(d, '%Y %b %-d') WHEN 3 THEN strftime(d, '%b. %-d %Y') || ' at 5pm' WHEN 4 THEN strftime(d, '%Y%m%d')
+                 WHEN 5 THEN strftime(d, '%-d-%b-%y') WHEN 6 THEN strftime(d, '%m/%d/%Y') WHEN 7 THEN strftime(d, '%-d . %-m . %Y')
+                 WHEN 8 THEN strftime(d, '%B %Y') WHEN 9 THEN strftime(d, '%-d %B') WHEN 10 THEN 'closes ' || strftime(d, '%-d %B %Y')
+                 ELSE strftime(d, '%-d %B %Y') || ' 12 13' END AS deadline,
+       CASE WHEN form >= 10 THEN ''
+            WHEN form IN (4, 6) AND day(d) <= 12 THEN strftime(d, '%Y-%d-%m')
+            WHEN form = 8 THEN strftime(d, '%Y-%m-') || '{S.STANDIN_RUN_DATE[8:]}'
+            WHEN form = 9 AND month(d) = 2 AND day(d) = 29 THEN ''
+            WHEN form = 9 THEN '{S.STANDIN_RUN_DATE[:4]}' || strftime(d, '-%m-%d')
+            ELSE strftime(d, '%Y-%m-%d') END AS deadlineISO
+FROM (SELECT o_orderkey, o_orderkey % 12 AS form, o_orderdate AS d FROM orders)
+""")(PX.deadline_lenient)
+
 _PV = ", ".join(f"rpad(substr({O.q('')} || {c}, 1, {cut}), {w}, ' ') AS {c}" for c, (cut, w) in PX.PREVIEW_WIDTHS.items())
 register("preview", f"""{_MAIL_BASE},
 pv AS (

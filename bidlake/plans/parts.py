@@ -134,6 +134,27 @@ def deadline_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
                     D.deadline_fallback("publisherISO", "deadline", S.STANDIN_RUN_DATE).alias("deadlineISO"))
 
 
+def deadline_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9 + K3: order dates written in free forms, read back (a form per order key)."""
+    orders = S.table(spark, sf_dir, "orders")
+    d, form = F.col("o_orderdate"), F.col("o_orderkey") % 12
+    as_ = lambda layout: F.date_format(d, layout)
+    text = (
+        F.when(form == 0, F.concat(as_("EEEE"), F.lit(", "), as_("d MMMM yyyy"), F.lit(" 17:00 UTC")))
+        .when(form == 1, F.concat(as_("d"), F.lit("th of "), as_("MMMM, yyyy")))
+        .when(form == 2, as_("yyyy MMM d"))
+        .when(form == 3, F.concat(as_("MMM. d yyyy"), F.lit(" at 5pm")))
+        .when(form == 4, as_("yyyyMMdd"))
+        .when(form == 5, as_("d-MMM-yy"))
+        .when(form == 6, as_("MM/dd/yyyy"))
+        .when(form == 7, as_("d . M . yyyy"))
+        .when(form == 8, as_("MMMM yyyy"))
+        .when(form == 9, as_("d MMMM"))
+        .when(form == 10, F.concat(F.lit("closes "), as_("d MMMM yyyy")))
+        .otherwise(F.concat(as_("d MMMM yyyy"), F.lit(" 12 13"))))
+    return orders.select("o_orderkey", text.alias("deadline")).select("o_orderkey", "deadline", D.deadline_iso("deadline", S.STANDIN_RUN_DATE).alias("deadlineISO"))
+
+
 PREVIEW_WIDTHS = {"source": (15, 15), "emailDate": (12, 12), "alertName": (18, 20),
                   "opportunityTitle": (38, 40), "url": (28, 30)}
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from bidlake.session import stored
+
 ITEM_FIELDS = ("noticeId", "title", "solicitationNumber", "postedDate", "responseDeadLine", "type",
                "setAside", "naicsCode", "fullParentPathName", "fullParentPathCode")
 ITEM_SCHEMA = StructType([StructField(f, StringType()) for f in ITEM_FIELDS])
@@ -42,7 +44,8 @@ def walked_pages(pages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("offset") == 0, F.col("totalRecords"))).alias("_total"),
         F.min(F.when(F.coalesce(F.size("opportunitiesData"), F.lit(0)) <= 0, F.col("offset"))).alias("_empty_at"),
     )
-    kept = pages.join(per_agency, ["run_seq", "agency_seq"])
+    # a few numbers per run and agency: stored, so their size decides whether the pages stay where they are
+    kept = pages.join(stored(per_agency), ["run_seq", "agency_seq"])
     cond = (F.col("offset") < F.coalesce(F.col("_total"), F.lit(0))) & (
         F.col("_empty_at").isNull() | (F.col("offset") < F.col("_empty_at")))
     return kept.where(cond).drop("_total", "_empty_at")

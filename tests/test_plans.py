@@ -15,10 +15,28 @@ def plan_of(df):
 def test_first_wins_limits_before_the_shuffle(spark):
     plan = plan_of(QUERIES["first_wins_dedup"](spark, SF001))
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
-    plan = plan_of(QUERIES["mail_new_rows"](spark, SF001))
+    from bidlake.operators import dedup
+    from bidlake.plans import mail
+
+    plan = plan_of(dedup.first_wins(mail._enriched(spark, SF001), ["duplicateKey"], "ord"))
     assert "row_number(), 1, Partial" in plan
 
 
+def test_master_keys_travel_as_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from bidlake.operators import dedup
+
+    rows = spark.range(50).selectExpr("id as ord", "repeat(cast(id % 40 as string), 200) as duplicateKey")
+    master = spark.range(20, 60).selectExpr("repeat(cast(id as string), 200) as duplicateKey")
+    fresh = dedup.new_rows(rows, master, "duplicateKey", "ord")
+    assert sorted(r["ord"] for r in fresh.collect()) == list(range(20))
+    # a hash that two keys share is settled by the keys themselves
+    one_hash = rows.where("ord < 40").withColumn("_hash", F.lit(7).cast("long"))
+    keys = master.withColumn("_hash", F.lit(7).cast("long"))
+    assert sorted(r["ord"] for r in dedup.known_rows(one_hash, keys, "duplicateKey", "ord").collect()) == list(range(20, 40))
+
+
 def test_scans_read_only_needed_columns(spark):
     plan = plan_of(QUERIES["first_wins_dedup"](spark, SF001))
     orders_scans = [l for l in plan.split("\n") if "FileScan parquet" in l and "orders.parquet" in l]
