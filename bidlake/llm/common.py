@@ -15,18 +15,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, and keeps column pruning and
     size statistics, from which Spark decides on broadcasts before it runs.
+    ``batch_bytes`` bounds the batches that Python functions in ``df`` get
+    meanwhile (by default the session's 64 MB, once in the JVM and once or
+    twice in each Python worker).
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_BYTES, None)
+    if batch_bytes:
+        spark.conf.set(_BATCH_BYTES, str(batch_bytes))
+    try:
+        df.write.parquet(path)
+    finally:
+        if batch_bytes:
+            spark.conf.set(_BATCH_BYTES, before) if before else spark.conf.unset(_BATCH_BYTES)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+HOT_SHARE = 64
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``facts``, which has one row a key.
+
+    Keys that hold more than a 64th of the rows (fewer than 64 of them,
+    counted first) are joined where their rows lie, by broadcast of their
+    facts alone; the others by a shuffle.  So no key's rows meet in one task.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    top = sizes.orderBy(F.desc("_rows")).limit(HOT_SHARE).collect()
+    least = rows.count() / HOT_SHARE if top and top[0]["_rows"] > 1 else 0
+    hot = [r[key] for r in top if r["_rows"] > max(least, 100) and r[key] is not None]
+    if not hot:
+        return rows.join(facts, key)
+    often = F.col(key).isin(hot)
+    return rows.where(often).join(F.broadcast(facts.where(often)), key).unionByName(rows.where(~often).join(facts, key))
+
+
 def remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")

@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import stored, uniform
+from bidlake.llm.common import looked_up, stored, uniform
 from bidlake.llm.components import components
 from bidlake.llm.wordhash import U64, mix, shingle_set
 
 BINS = 256
+BATCH_BYTES = 8 << 20  # of texts and shingle sets in one batch of a Python function
+SLICE = 250            # sets that a batch gives back at once
 
 
 @dataclass(frozen=True)
@@ -92,8 +94,8 @@ def signed_documents(docs: DataFrame, settings: DedupSettings) -> DataFrame:
         orders = bin_orders()
         for batch in batches:
             sets, sizes, keys = [], [], []
-            for data in batch.column("data").to_pylist():
-                shingles = shingle_set(data or b"", settings.words)
+            for data in batch.column("data"):
+                shingles = shingle_set(data.as_py() or b"", settings.words)
                 sizes.append(len(shingles))
                 if len(shingles):
                     sets.append(set_hash(shingles))
@@ -160,9 +162,10 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, settings: DedupSettings, r
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(pa.array(_hits(shared.value, batch.column("h").to_numpy().view(np.uint64))))
-            sets = [shingle_set(data or b"", settings.words) for data in some.column("data").to_pylist()]
-            yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array([set_hash(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
-                                             names=["doc_id", "set_id", "shingles"])
+            for i in range(0, some.num_rows, SLICE):
+                part = some.slice(i, SLICE)
+                sets = [shingle_set(data.as_py() or b"", settings.words) for data in part.column("data")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([set_hash(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "set_id", "shingles"])
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")).withColumn("h", F.xxhash64("doc_id"))
     found = texts.mapInArrow(cut, "doc_id long, set_id long, shingles binary").join(wanted.hint("merge"), ["set_id", "doc_id"]).select("set_id", "shingles")
@@ -175,8 +178,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: DedupSettings) -> Dat
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for one, other in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist()):
-                x, y = np.frombuffer(one, dtype=np.uint64), np.frombuffer(other, dtype=np.uint64)
+            for one, other in zip(batch.column("one"), batch.column("other")):
+                x, y = np.frombuffer(one.as_buffer(), dtype=np.uint64), np.frombuffer(other.as_buffer(), dtype=np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= settings.percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -205,7 +208,7 @@ def near_duplicates(docs: DataFrame, settings: DedupSettings = DedupSettings())
 
 def _grouped(docs: DataFrame, settings: DedupSettings) -> DataFrame:
     """The rows of ``near_duplicates`` with their set_id."""
-    signed = stored(signed_documents(docs, settings))
+    signed = stored(signed_documents(docs, settings), BATCH_BYTES)
     linked = signed.where("set_id is not null and doc_id is not null")
     vertices = stored(linked.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets")))
     entries = vertices.select("set_id", "least_id", "n_shingles", F.explode("buckets").alias("bucket"))
@@ -213,7 +216,7 @@ def _grouped(docs: DataFrame, settings: DedupSettings) -> DataFrame:
     members = stored(entries.join(shared, "bucket"))
     nodes = stored(members.groupBy("set_id").agg(F.first("least_id").alias("least_id"), F.sum("n").alias("reach")))
     repeated = not linked.groupBy("doc_id", "set_id").count().where("count > 1").isEmpty()
-    sets = stored(shingle_table(docs, nodes.select("set_id", F.col("least_id").alias("doc_id")), settings, repeated))
+    sets = stored(shingle_table(docs, nodes.select("set_id", F.col("least_id").alias("doc_id")), settings, repeated), BATCH_BYTES)
     ranked = stored(members.join(nodes.select("set_id", "reach"), "set_id").select("bucket", F.struct("reach", "set_id", "n_shingles").alias("rank")))
     labels = _labels(nodes, ranked, sets, settings)
     smallest = labels.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -236,7 +239,7 @@ def _labels(nodes: DataFrame, ranked: DataFrame, sets: DataFrame, settings: Dedu
     ``_closed`` finds every link that is left.
     """
     first = ranked.groupBy("bucket").agg(F.max("rank").alias("centre"))
-    links = stored(confirmed(_pairs(ranked.join(first, "bucket").where("rank.set_id != centre.set_id"), settings), sets, settings))
+    links = stored(confirmed(_pairs(looked_up(ranked, first, "bucket").where("rank.set_id != centre.set_id"), settings), sets, settings), BATCH_BYTES)
     root = components(links).withColumnRenamed("vertex", "set_id")
     labels = stored(nodes.select("set_id", "least_id").join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
     tried = first.select("bucket", F.col("centre.set_id").alias("tried"))
@@ -249,7 +252,7 @@ def _labels(nodes: DataFrame, ranked: DataFrame, sets: DataFrame, settings: Dedu
         best = untried.where(F.col("_parts") > settings.centres).groupBy("bucket").agg(F.max(F.struct("centre", "centre_root")).alias("_best"))
         chosen = stored(several.unionByName(best.select("bucket", "_best.centre_root", "_best.centre")))
         tried = tried.unionByName(chosen.select("bucket", F.col("centre.set_id").alias("tried")))
-        new = stored(confirmed(_pairs(labelled.join(chosen, "bucket").where("root != centre_root"), settings), sets, settings))
+        new = stored(confirmed(_pairs(labelled.join(chosen, "bucket").where("root != centre_root"), settings), sets, settings), BATCH_BYTES)
         if new.isEmpty():
             break
         labels = _merged(labels, new)
@@ -276,13 +279,13 @@ def _closed(labels: DataFrame, ranked: DataFrame, sets: DataFrame, settings: Ded
     apart = stored(labelled.join(divided, "bucket").select("set_id", "root").distinct())
     if apart.isEmpty():
         return labels
-    candidates = stored(_candidates(apart, sets, settings))
+    candidates = stored(_candidates(apart, sets, settings), BATCH_BYTES)
     low = 0.0
     for high in (1 / 64, 1 / 8, 1.0):
         share = uniform(F.col("a"), F.col("b"))
         roots = [labels.select(F.col("set_id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
         pairs = candidates.where((share >= low) & (share < high)).join(roots[0], "a").join(roots[1], "b").where("root_a != root_b").select("a", "b")
-        new = stored(confirmed(pairs, sets, settings))
+        new = stored(confirmed(pairs, sets, settings), BATCH_BYTES)
         if not new.isEmpty():
             labels = _merged(labels, new)
         low = high
@@ -298,8 +301,8 @@ def _frequencies(sets: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << ORDER_BITS, dtype=np.int64)
         for batch in batches:
-            for data in batch.column("shingles").to_pylist():
-                np.add.at(total, _places(np.frombuffer(data, dtype=np.uint64)), 1)
+            for data in batch.column("shingles"):
+                np.add.at(total, _places(np.frombuffer(data.as_buffer(), dtype=np.uint64)), 1)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["place", "n"])
 
@@ -326,10 +329,10 @@ def _candidates(apart: DataFrame, sets: DataFrame, settings: DedupSettings) -> D
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
                 sizes, tokens = [], []
-                for data in piece.column("shingles").to_pylist():
-                    shingles = np.frombuffer(data, dtype=np.uint64)
+                for data in piece.column("shingles"):
+                    shingles = np.frombuffer(data.as_buffer(), dtype=np.uint64)
                     frequency = shared.value[_places(shingles)]
                     ordered = np.lexsort((shingles, frequency))[:(100 - p) * len(shingles) // 100 + 1]
                     sizes.append(len(shingles))
@@ -337,7 +340,7 @@ def _candidates(apart: DataFrame, sets: DataFrame, settings: DedupSettings) -> D
                 yield pa.RecordBatch.from_arrays([piece.column("set_id"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["set_id", "n", "tokens"])
 
     heads = sets.select("set_id", "shingles").mapInArrow(cut, "set_id long, n long, tokens array<long>").join(apart, "set_id")
-    entries = stored(heads.select("set_id", "root", "n", F.posexplode("tokens").alias("place", "token")))
+    entries = stored(heads.select("set_id", "root", "n", F.posexplode("tokens").alias("place", "token")), BATCH_BYTES)
     shared_tokens = entries.groupBy("token").agg(F.min("root").alias("_one"), F.max("root").alias("_other")).where("_one != _other").select("token")
     entries = stored(entries.join(shared_tokens, "token"))
     one, other = (entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("set_id", "root", "n", "place")]) for x in ("a", "b"))
@@ -388,6 +391,6 @@ def deduplicated(docs: DataFrame, settings: DedupSettings = DedupSettings()) ->
     if repeated.isEmpty():
         return rest
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    single = rest.join(repeated, "doc_id", "left_anti").select(*rest.columns).unionByName(rest.where(~worded).join(repeated, "doc_id", "left_semi").select(*rest.columns))
+    single = rest.join(repeated, "doc_id", "left_anti").select(*columns).unionByName(rest.where(~worded).join(repeated, "doc_id", "left_semi").select(*columns))
     several = rest.where(worded).join(repeated, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), F.xxhash64("text").alias("order"), set_id.alias("set_id"))
     return single.unionByName(several.groupBy("row.doc_id", "set_id").agg(F.min_by("row", "order").alias("row")).select("row.*"))

@@ -91,7 +91,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     unlisted = [F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")]
     if not count:
         return out.select("*", *unlisted)
-    own = out.columns
+    own = [F.col(f"`{c}`") for c in out.columns]
     keyed = out.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     filter_table = bloom_blocks(listed, blocks)
     if blocks <= INLINE_BLOCKS:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from bidlake.llm import neardup
+from bidlake.llm.common import looked_up
 from bidlake.llm.components import components
 from bidlake.llm.wordhash import shingle_set, word_hashes
 from tests.conftest import SF001
@@ -94,6 +95,23 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_vertex_and_a_bucket_that_hold_most_rows(spark):
+    star = [(0, i) for i in range(1, 900)] + [(1000 + i, 1001 + i) for i in range(0, 20, 2)] + [(5, 2000)]
+    got = {r["vertex"]: r["root"] for r in components(spark.createDataFrame(star, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(900)) and got[2000] == 0 and got[1003] == 1002
+    rows = spark.createDataFrame([(i if i < 30 else 7, i) for i in range(1000)] + [(None, -1)], "k long, n long")
+    facts = spark.createDataFrame([(i, f"fact {i}") for i in range(20)], "k long, fact string")
+    found = looked_up(rows, facts, "k")
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["n"], r["fact"]) for r in found.collect()) == sorted((n, f"fact {n if n < 30 else 7}") for n in range(1000) if n < 20 or n >= 30)
+
+
+def test_columns_with_dots(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, text, "y")], ["doc_id", "text", "a.b"])
+    assert [tuple(r) for r in neardup.deduplicated(docs).collect()] == [(1, text, "x")]
+
+
 def test_awkward_rows(spark):
     rows = neardup.near_duplicates(awkward.documents(spark)).collect()
     assert len(rows) == len(awkward.ROWS)
