@@ -32,7 +32,6 @@ class MixSettings:
     shard_slots: int = 65536
     most_passes: int = 3
     weights: tuple[int, ...] = (1, 2, 3)
-    order_buckets: int = 1024
     seed: int = 17
 
 
@@ -44,7 +43,7 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 
 
 def source_targets(sized: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """One row per source: source_no, source, source_size, weight, target, blocks.
+    """One row per source: source_no, source, source_size, weight, target, blocks, buckets.
 
     Sources in code-point order, null last, take the weights in turn.  Targets
     share all words by weight; one that would pass ``most_passes`` times its
@@ -54,7 +53,7 @@ def source_targets(sized: DataFrame, settings: MixSettings = MixSettings()) -> D
     windows run over one row per source, never over documents.
     """
     cap = float(settings.most_passes)
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(w) for w in settings.weights])
     numbered = (per.withColumn("source_no", F.row_number().over(by_name) - 1)
@@ -73,7 +72,7 @@ def source_targets(sized: DataFrame, settings: MixSettings = MixSettings()) -> D
     return shared.select(
         "source_no", "source", "source_size", "weight",
         F.when(F.col("_held"), size * cap).otherwise(F.col("_free") * F.col("weight") / F.col("_free_weights")).alias("target"),
-        F.ceil(F.col("source_size") / settings.block_words).cast("long").alias("blocks"))
+        F.ceil(F.col("source_size") / settings.block_words).cast("long").alias("blocks"), F.ceil(F.sqrt("documents")).cast("long").alias("buckets"))
 
 
 def placed_documents(sized: DataFrame, targets: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
@@ -81,11 +80,13 @@ def placed_documents(sized: DataFrame, targets: DataFrame, settings: MixSettings
 
     A source is ordered by (hash bucket, doc_id, size): totals per bucket give
     each bucket's start, and only documents of one bucket are sorted together,
-    so a source with a third of all rows still spreads over every task.
+    so a source with a third of all rows still spreads over every task.  A
+    source of n documents has about as many buckets as documents in one: the
+    root of n.
     """
     numbered = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
         "doc_id", "size", "source_no", "source_size", "target", "blocks",
-        F.pmod(F.xxhash64("doc_id", "size"), F.lit(settings.order_buckets)).cast("int").alias("bucket"))
+        F.pmod(F.xxhash64("doc_id", "size"), F.col("buckets")).alias("bucket"))
     totals = numbered.groupBy("source_no", "bucket").agg(F.sum("size").alias("_words"))
     earlier = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("source_no", "bucket", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_bucket_start"))
@@ -101,6 +102,8 @@ def drawn_slots(targets: DataFrame, settings: MixSettings = MixSettings()) -> Da
 
     A source is expected to fill target / source_size passes over its blocks.
     Draws past ``most_passes`` passes, which rounding could add, are not made.
+    The counts per shard are dealt to as many tasks as there are shards before
+    they become slots.
     """
     live = targets.where(F.col("source_size") > 0).withColumn("_slots", F.col("target") / F.col("source_size") * F.col("blocks"))
     total = Window.partitionBy()
@@ -115,7 +118,9 @@ def drawn_slots(targets: DataFrame, settings: MixSettings = MixSettings()) -> Da
 
     counts = shards.withColumn("_from", drawn(F.col("shard"))).withColumn("_to", drawn(F.col("shard") + 1))
     counts = counts.where(F.col("_to") > F.col("_from"))
-    slots = counts.select("shard", "source_no", "blocks", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("draw"))
+    tasks = live.agg(F.max("_shards")).first()[0] or 1  # one row per source is read
+    dealt = counts.select("shard", "source_no", "blocks", "_from", "_to").repartition(tasks, "shard", "source_no")
+    slots = dealt.select("shard", "source_no", "blocks", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("draw"))
     return slots.select("shard", "source_no", "draw", permuted(F.col("draw"), F.col("blocks"), F.col("source_no"), settings.seed).alias("block"))
 
 
