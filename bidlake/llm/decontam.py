@@ -9,6 +9,7 @@ that reach the bound are verified by an alignment inside the band.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bidlake.llm.common import stored
+
 Q = 10
 FOUND = "array<struct<item_id: long, first: int, last: int, distance: int>>"
 
@@ -53,8 +56,18 @@ def qgram_hashes(points: np.ndarray) -> np.ndarray:
     return (eight[:len(p) - Q + 1] * np.uint64(0xD6E8FEB86659FD93) + two[8:]) * np.uint64(0x9E3779B97F4A7C15)
 
 
+REPEATED = 8      # places of one q-gram in an item from which on it is left out of the counts
+CHUNK = 1 << 16   # diagonals that are aligned at once
+
+
 class ItemIndex:
-    """q-gram postings of a bounded block of items."""
+    """q-gram postings of a bounded block of items.
+
+    A q-gram that stands often in one item would be paired with each of its
+    places in a text.  Such places are left out of the postings and taken off
+    the item's bound; an item with nothing left to count (a rule of dashes) is
+    aligned against the whole stretches of a text that hold its q-grams.
+    """
 
     BITS = 22
 
@@ -62,21 +75,25 @@ class ItemIndex:
         self.ids, self.texts = [i for i, _ in items], [t for _, t in items]
         lengths = np.array([len(t) for t in self.texts], dtype=np.int64)
         self.budget = np.minimum((lengths * settings.rate).astype(np.int64), (lengths - Q) // Q)
-        self.least = lengths - Q + 1 - self.budget * Q
         grams = [qgram_hashes(code_points(t)) for t in self.texts]
-        hashes = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)])
+        light = [_times(g) < REPEATED for g in grams]
+        self.least = lengths - Q + 1 - self.budget * Q - np.array([int((~x).sum()) for x in light], dtype=np.int64)
+        whole = np.flatnonzero(self.least < 1)
+        self.repetitive = {int(i): np.unique(grams[i]) for i in whole}
+        light = [np.zeros(len(x), bool) if i in self.repetitive else x for i, x in enumerate(light)]
+        hashes = np.concatenate([*(g[x] for g, x in zip(grams, light)), np.zeros(0, np.uint64)])
+        item = np.repeat(np.arange(len(grams)), [int(x.sum()) for x in light])
+        place = np.concatenate([*map(np.flatnonzero, light), np.zeros(0, np.int64)])
         order = np.argsort(hashes, kind="stable")
         self.hashes, first, count = np.unique(hashes[order], return_index=True, return_counts=True)
         self.item, self.place, self.first, self.count = item[order], place[order].astype(np.int64), first, count
         self.maybe = np.zeros(1 << self.BITS, dtype=bool)
-        self.maybe[self.hashes >> np.uint64(64 - self.BITS)] = True
+        for known in (self.hashes, *self.repetitive.values()):
+            self.maybe[known >> np.uint64(64 - self.BITS)] = True
 
-    def candidates(self, hashes: np.ndarray) -> list[tuple[int, int]]:
-        """(item, first diagonal of the band) of the bands that reach the bound."""
-        spots = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - self.BITS)])
-        if not len(spots):
+    def candidates(self, hashes: np.ndarray, spots: np.ndarray) -> list[tuple[int, int]]:
+        """(item, first diagonal of the band) of the bands that reach the bound; ``spots`` are the places to look at."""
+        if not len(spots) or not len(self.hashes):
             return []
         at = np.minimum(np.searchsorted(self.hashes, hashes[spots]), len(self.hashes) - 1)
         same = self.hashes[at] == hashes[spots]
@@ -95,26 +112,68 @@ class ItemIndex:
         bands, shared = np.unique(keys[:, :2], axis=0, return_counts=True)
         return [(int(i), int(b * (self.budget[i] + 1))) for (i, b), n in zip(bands, shared) if n >= self.least[i]]
 
+    def stretches(self, hashes: np.ndarray, spots: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first diagonal, number of diagonals) that hold every match of the repetitive items."""
+        for i, known in self.repetitive.items():
+            hit = spots[np.isin(hashes[spots], known)]
+            if not len(hit):
+                continue
+            reach = len(self.texts[i]) + int(self.budget[i])
+            cut = np.flatnonzero(np.diff(hit) > reach) + 1
+            for part in np.split(hit, cut):
+                low, high = int(part[0]) - reach, int(part[-1]) + reach
+                for start in range(low, high, CHUNK):  # a match keeps to budget + 1 diagonals: parts overlap by twice as many
+                    yield i, start, min(CHUNK + 2 * (int(self.budget[i]) + 1), high - start)
+
     def search(self, text: str | None) -> list[dict]:
-        """The best match of each item found in the text, with its place in the normalised text."""
-        if not len(self.hashes):
-            return []
+        """Every item found in the text with its places in the normalised text: the best ones that do not overlap, in order."""
         flat = normalised(text)
         points = code_points(flat)
-        best: dict[int, tuple[int, int, int]] = {}
-        for item, diagonal in self.candidates(qgram_hashes(points)):
+        hashes = qgram_hashes(points)
+        spots = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - self.BITS)])
+        found: dict[int, set[tuple[int, int, int]]] = {}
+        for item, diagonal in self.candidates(hashes, spots):
             budget, sought = int(self.budget[item]), self.texts[item]
-            if item in best and best[item][0] == 0:
-                continue
             at = flat.find(sought, max(diagonal, 0), max(diagonal + 2 * (budget + 1) + len(sought), 0))
             match = (0, at, at + len(sought) - 1) if at >= 0 else banded_match(code_points(sought), points, diagonal, 2 * (budget + 1))
-            if match[0] <= budget and (item not in best or match < best[item]):
-                best[item] = match
-        return [{"item_id": self.ids[i], "first": f, "last": t, "distance": d} for i, (d, f, t) in sorted(best.items())]
+            if match[0] <= budget:
+                found.setdefault(item, set()).add(match)
+        for item, diagonal, width in self.stretches(hashes, spots):
+            cost, first, last = banded_ends(code_points(self.texts[item]), points, diagonal, width)
+            good = np.flatnonzero(cost <= self.budget[item])
+            found.setdefault(item, set()).update(zip(cost[good].tolist(), first[good].tolist(), last[good].tolist()))
+        return [{"item_id": self.ids[i], "first": f, "last": t, "distance": d} for i in sorted(found) for d, f, t in apart(found[i])]
+
+
+def _times(grams: np.ndarray) -> np.ndarray:
+    """How often each q-gram of an item stands in it."""
+    if not len(grams):
+        return np.zeros(0, dtype=np.int64)
+    _, place, count = np.unique(grams, return_inverse=True, return_counts=True)
+    return count[place]
+
+
+def apart(matches: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The matches (edits, first, last) without those that overlap a better one, in the text's order."""
+    starts: list[int] = []
+    kept: list[tuple[int, int, int]] = []
+    for match in sorted(matches):
+        k = bisect_left(starts, match[1])
+        if (k == 0 or kept[k - 1][2] < match[1]) and (k == len(kept) or match[2] < kept[k][1]):
+            starts.insert(k, match[1])
+            kept.insert(k, match)
+    return kept
 
 
 def banded_match(item: np.ndarray, text: np.ndarray, diagonal: int, width: int) -> tuple[int, int, int]:
-    """Least edits of the whole item against any stretch of the text inside a band of diagonals; with the stretch.
+    """Least edits of the whole item against any stretch of the text inside a band of diagonals; with the stretch."""
+    cost, first, last = banded_ends(item, text, diagonal, width)
+    best = int(cost.argmin())
+    return int(cost[best]), int(first[best]), int(last[best])
+
+
+def banded_ends(item: np.ndarray, text: np.ndarray, diagonal: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per end of a stretch inside a band of diagonals, the least edits of the whole item, and the stretch (first, last).
 
     Row i holds, per diagonal d, the edits of the item's first i characters
     against a stretch that ends before text position i + d; ends are free.
@@ -135,50 +194,68 @@ def banded_match(item: np.ndarray, text: np.ndarray, diagonal: int, width: int)
         lowest = np.minimum.accumulate(row - steps) + steps
         source = np.maximum.accumulate(np.where(row - steps == lowest - steps, steps, -1))
         cost, begin = np.minimum(lowest, far), origin[np.maximum(source, 0)]
-    end = int(cost.argmin())
-    return int(cost[end]), int(max(begin[end], 0)), int(min(len(item) + diagonal + end, len(text)) - 1)
+    return cost, np.maximum(begin, 0), np.minimum(len(item) + diagonal + steps, len(text)) - 1
 
 
-def item_indexes(benchmark: DataFrame, settings: DecontamSettings) -> list[ItemIndex]:
-    """Indexes of all items, in blocks of bounded size."""
+def item_blocks(benchmark: DataFrame, settings: DecontamSettings) -> Iterator[ItemIndex]:
+    """Indexes of all items, one block of bounded size after the other."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // settings.block_chars
-    found = []
+    if blocks > 1:
+        items = stored(items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")))
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
+        rows = (items.where(F.col("_block") == b) if blocks > 1 else items).collect()
         texts = sorted({(r["item_id"], normalised(r["text"])) for r in rows})
-        found.append(ItemIndex([x for x in texts if len(x[1]) >= Q], settings))
-    return found
+        yield ItemIndex([x for x in texts if len(x[1]) >= Q], settings)
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, settings: DecontamSettings = DecontamSettings()) -> DataFrame:
-    """``docs`` with ``matches``: per item found, item_id, first and last character in the normalised text, edits.
+def _searched(index: ItemIndex):
+    """The search of one block's items as a column function of the text."""
 
-    Only the items travel; each text is searched whole where it lies.  Null
-    and empty texts match nothing, as does an empty benchmark.  Repeated rows
-    are searched each by itself; items with the same id and text count once;
-    an empty table gives an empty result; a column named ``matches`` is
-    replaced.
-    """
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([index.search(t) for t in texts], dtype=object)
 
-    def searched(index: ItemIndex):
-        def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([index.search(t) for t in texts], dtype=object)
-        return F.pandas_udf(search, FOUND)
+    return F.pandas_udf(search, FOUND)
 
+
+def with_matches(docs: DataFrame, benchmark: DataFrame, settings: DecontamSettings = DecontamSettings()) -> DataFrame:
+    """``docs`` with ``matches``: per place of an item, item_id, first and last character in the normalised text, edits.
+
+    Of an item's places that overlap, the best one is given.  Only the items
+    travel, a block of bounded size at a time: a benchmark of several blocks
+    takes a pass over the texts for each, whose rows are stored before the
+    next block is read, so neither the driver nor a task holds two.  Each text
+    is searched whole where it lies.  Null and empty texts match nothing, as
+    does an empty benchmark.  Repeated rows are searched each by itself; items
+    with the same id and text count once; an empty table gives an empty
+    result; a column named ``matches`` is replaced.
+    """
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "matches"]
-    parts = [searched(index)("text") for index in item_indexes(benchmark, settings)]
-    return docs.select(*kept, (F.concat(*parts) if len(parts) > 1 else parts[0]).alias("matches"))
+    found = None
+    for index in item_blocks(benchmark, settings):
+        if found is None:
+            found = docs.select(*kept, _searched(index)("text").alias("matches"))
+        else:
+            found = stored(found).select(*kept, F.concat("matches", _searched(index)("text")).alias("matches"))
+    return found
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, settings: DecontamSettings = DecontamSettings()) -> DataFrame:
-    """doc_id, item_id, first, last, distance of every benchmark item found in a document."""
-    return with_matches(docs.select("doc_id", "text"), benchmark, settings).select("doc_id", F.inline("matches"))
+    """doc_id, item_id, first, last, distance of every place of a benchmark item in a document."""
+    found = None
+    for index in item_blocks(benchmark, settings):
+        block = docs.select("doc_id", _searched(index)("text").alias("matches")).select("doc_id", F.inline("matches"))
+        found = block if found is None else stored(found).unionByName(stored(block))
+    return found
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, settings: DecontamSettings = DecontamSettings()) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item; each block of items takes its rows out before the next is read."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return with_matches(docs.withColumn("_row", F.struct(*columns)).select("_row", "text"), benchmark, settings).where(F.size("matches") == 0).select("_row.*")
+    left = None
+    for index in item_blocks(benchmark, settings):
+        rows = docs if left is None else stored(left)
+        left = rows.select(F.struct(*columns).alias("_row"), _searched(index)("text").alias("matches")).where(F.size("matches") == 0).select("_row.*")
+    return left

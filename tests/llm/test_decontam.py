@@ -1,4 +1,6 @@
 import random
+import time
+from collections import Counter
 
 import numpy as np
 
@@ -40,7 +42,7 @@ def test_every_match_within_the_budget_is_found():
         i, item = pick.choice(items)
         budget = int(index.budget[i])
         text = decontam.normalised(filler(pick.randrange(30)) + " " + edited(item, pick.randrange(budget + 3), pick) + " " + filler(pick.randrange(30)))
-        found = {m["item_id"]: m for m in index.search(text)}
+        found = {m["item_id"]: m for m in sorted(index.search(text), key=lambda m: -m["distance"])}
         for j, other in items:
             edits = least_edits(other, text)
             assert (j in found) == (edits <= index.budget[j]), (n, j, edits, index.budget[j])
@@ -58,12 +60,45 @@ def test_banded_match_agrees_inside_a_wide_band():
         assert got[0] == least_edits(item, text)
 
 
+def test_every_copy_is_reported():
+    pick = random.Random(5)
+    item = decontam.normalised(" ".join(pick.choice(["river", "stone", "cloud", "lamp", "field"]) + str(pick.randrange(99)) for _ in range(30)))
+    index = decontam.ItemIndex([(1, item)], decontam.DecontamSettings())
+    other = lambda: " ".join(f"x{pick.randrange(10 ** 6)}" for _ in range(pick.randrange(1, 40)))
+    copies = [edited(item, pick.randrange(0, 4), pick) for _ in range(20)]
+    text = decontam.normalised(" ".join(part for c in copies for part in (other(), c)))
+    found = index.search(text)
+    assert len(found) == 20 and all(a["last"] < b["first"] for a, b in zip(found, found[1:]))
+    assert index.search(item + item) and [m["first"] for m in index.search(item + item)] == [0, len(item)]
+
+
+def test_repetitive_items():
+    """Items with few different q-grams: found as the full table says, in bounded time and memory."""
+    pick = random.Random(6)
+    items = [(1, "-" * 60), (2, "ab" * 40), (3, "abcdefghijkl " * 6 + "end"), (4, ". " * 30 + "and then a sentence that is like no other one here")]
+    items = [(i, decontam.normalised(t)) for i, t in items]
+    index = decontam.ItemIndex(items, decontam.DecontamSettings())
+    assert set(index.repetitive) >= {0, 1}
+    for n in range(60):
+        i, item = pick.choice(items)
+        middle = edited(item, pick.randrange(int(index.budget[i - 1]) + 3), pick)
+        text = decontam.normalised(pick.choice(["", "some words ", "-" * 30 + " x "]) + middle + pick.choice(["", " more", " " + "-" * 45 + " ab ab"]))
+        found = {m["item_id"] for m in index.search(text)}
+        assert found == {j for j, t in items if least_edits(t, text) <= index.budget[j - 1]}, (n, text)
+    index = decontam.ItemIndex([(1, "-" * 400), (2, "_ " * 150), (3, "=" * 300)], decontam.DecontamSettings())
+    began = time.time()
+    found = index.search("start " + "-" * 100_000 + " end " + "= " * 5000)
+    assert time.time() - began < 20 and len(found) == 250 and all(m["distance"] == 0 and m["item_id"] == 1 for m in found)
+
+
 def test_planted_passages_of_documents(spark):
     docs, benchmark = spark.read.parquet(f"{SF001}/documents.parquet"), spark.read.parquet(f"{SF001}/benchmark.parquet")
     items = {r["item_id"]: decontam.normalised(r["text"]) for r in benchmark.collect()}
     exact = {(r["doc_id"], i) for r in docs.collect() for i, t in items.items() if t in decontam.normalised(r["text"])}
     got = decontam.contaminated(docs, benchmark).collect()
     assert exact == {(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0}
+    places = Counter((r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0)
+    assert places == {(r["doc_id"], i): n for r in docs.collect() for i, t in items.items() if (n := decontam.normalised(r["text"]).count(t))}
     kept = decontam.decontaminated(docs, benchmark)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in got}
 
@@ -78,7 +113,8 @@ def test_awkward_rows(spark):
     docs = awkward.documents(spark)
     items = spark.createDataFrame([(1, "Quick brown  FOX jumps over the lazy dog"), (1, "Quick brown  FOX jumps over the lazy dog"), (2, None), (3, ""), (4, "short"), (None, "x" * 50), (5, awkward.LONG[:500])], "item_id long, text string")
     got = decontam.contaminated(docs, items).collect()
-    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (7, 5)]
+    repeats = decontam.normalised(awkward.LONG).count(decontam.normalised(awkward.LONG[:500]))
+    assert repeats > 30 and sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (1, 1), (2, 1)] + [(7, 5)] * repeats
     kept = decontam.decontaminated(docs, items)
     assert kept.columns == docs.columns and kept.count() == len(awkward.ROWS) - 4
     assert decontam.decontaminated(docs, items.limit(0)).count() == len(awkward.ROWS)
