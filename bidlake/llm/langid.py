@@ -100,7 +100,8 @@ def cluster(vectors: np.ndarray, settings: LanguageSettings) -> tuple[np.ndarray
     for _ in range(settings.rounds):
         c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
         nearest = (vectors @ c.T).argmax(axis=1)
-        c = np.stack([vectors[nearest == i].sum(axis=0) if (nearest == i).any() else c[i] for i in range(len(c))])
+        members = (nearest == np.arange(len(c))[:, None]).astype(np.float32)  # sums without copies of the vectors
+        c = np.where(members.any(axis=1)[:, None], members @ vectors, c)
     c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
     return c.astype(np.float32), vectors @ c.T
 
@@ -135,7 +136,10 @@ def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = Langua
     weight = np.log(1 + (1 + rows) / (1 + frequency)).astype(np.float32)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.stack([unit_vector(x, weight) for data in frame.sort_values("order")["data"] for x in windows_of(data, settings)])
+        texts = [frame["data"].iloc[i] for i in np.argsort(frame["order"].to_numpy(), kind="stable")]
+        vectors = np.empty((sum(len(windows_of(data, settings)) for data in texts), dims), dtype=np.float32)  # one copy: a bounded sample
+        for i, piece in enumerate(x for data in texts for x in windows_of(data, settings)):
+            vectors[i] = unit_vector(piece, weight)
         centres, _cosines = cluster(vectors, settings)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [c.tobytes() for c in centres]})
 
