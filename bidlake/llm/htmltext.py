@@ -16,7 +16,7 @@ main elements hold at least half of the varying text, what stands outside of
 them is no article (on pages that have text in one).  Elements that hold no article text by the
 meaning of HTML (scripts, forms, navigation, footers, ...) go.  Class and id
 names only break ties: they drop a node that the counts say nothing about,
-never one that holds the main region.
+and none that holds the main region of ``least_pages`` pages or more.
 
 The text of a page is what its slots hold, read through the wrapper.
 """
@@ -403,13 +403,13 @@ def decide(template: Template, constant: dict[int, list[int]], slots: dict[int,
     while stack:
         n, inside, dropped = stack.pop()
         inside = inside or n.is_main
-        if n.number not in path and not dropped:
-            chars, linked, links = sums[n.number]
-            beside = not inside and not region.number < n.number <= last[region.number]
-            menu = beside and links >= settings.menu_links * max(n.pages, 1) and linked >= settings.menu_share * chars > 0
+        below = region.number < n.number <= last[region.number]
+        menu = [not inside and not below and links >= settings.menu_links * max(n.pages, 1) and linked >= settings.menu_share * chars > 0
+                for chars, linked, links in (sums[n.number], slots.get(n.number, (0, 0, 0)))]  # of all inside, of its own texts
+        if not dropped and (n.number not in path or template.pages < settings.least_pages):  # few pages are no evidence against a name
             tie = bool(n.mark) and not n.is_main and (named_furniture(n.mark) or (not inside and "header" in _NAME.findall(n.mark)))
-            dropped = n.tag in FURNITURE_TAGS or (n.tag == "header" and not inside) or menu or tie
-        n.kept = 0 if dropped else 1 if inside or not article_alone else 2
+            dropped = n.tag in FURNITURE_TAGS or (n.tag == "header" and not inside) or tie or (menu[0] and n.number not in path)
+        n.kept = 0 if dropped or menu[1] else 1 if inside or not article_alone else 2
         stack.extend((c, inside, dropped) for c in n.children)
 
 

@@ -28,14 +28,15 @@ def test_names_of_furniture():
 
 
 def test_names_only_break_ties():
-    body = "<body><div class='{0}'><p>Some words of the page</p><p>and a few more of them</p></div><div class='{1}'><p>beside</p></div></body>"
-    whole, kept = "Some words of the page\n\nand a few more of them\n\nbeside", "Some words of the page\n\nand a few more of them"
+    body = "<body><div class='{0}'><p>Some words of page {2}</p><p>and a few more of {2}</p></div><div class='{1}'><p>beside {2}</p></div></body>"
+    whole, kept = "Some words of page 9\n\nand a few more of 9\n\nbeside 9", "Some words of page 9\n\nand a few more of 9"
+    read = lambda *names: text(body.format(*names, 9), htmltext.wrapper([body.format(*names, n) for n in range(7, 10)], SETTINGS))
     for name in ("commentary", "page no-sidebar", "menu", "comments"):  # what holds the text stays, whatever its name
-        assert text(body.format(name, "x")) == whole
+        assert read(name, "x") == whole
     for name in ("comments no-js", "sidebar has-background", "mainmenu", "sitefooter", "cookie-bar", "userComments"):
-        assert text(body.format("x", name)) == kept
+        assert read("x", name) == kept
     for name in ("commentary", "with-sidebar", "no-comments", "documents", "adder"):
-        assert text(body.format("x", name)) == whole
+        assert read("x", name) == text(body.format("x", name, 9)) == whole
 
 
 def test_pages_without_telling_names():
