@@ -16,7 +16,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
@@ -176,3 +176,19 @@ def append_summary(df: DataFrame, master: DataFrame, key_col: str = "duplicateKe
         F.coalesce(total - appended, F.lit(0).cast("bigint")).alias("skipped"),
         F.coalesce(total, F.lit(0).cast("bigint")).alias("total_processed"),
     )
+
+
+def append_new(df: DataFrame, master: DataFrame, write, key_col: str = "duplicateKey", order_col: str = "ord") -> dict:
+    """S14 + S19 + A3: the append and its counts from the writes themselves.
+
+    ``write`` gets the new rows in order and stores them.  The processed rows
+    are counted as they enter the first-wins pass and the appended ones as
+    they leave the last write, by observations of the two jobs: nothing is
+    computed again, and only tasks that took part in a result are counted.
+    """
+    processed, appended = Observation("processed"), Observation("appended")
+    counted = F.count(F.lit(1)).alias("n")
+    fresh = new_rows(df.observe(processed, counted), master, key_col, order_col)
+    write(fresh.orderBy(order_col).observe(appended, counted))  # above the sort, whose sampling reads its input twice
+    total, new = processed.get["n"], appended.get["n"]
+    return {"appended": new, "skipped": total - new, "total_processed": total}

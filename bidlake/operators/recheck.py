@@ -2,21 +2,23 @@
 
 One set-based join replaces one source request per row:
 
-    master.filter(F14)  --J4 (id equi-join + posted-date range)-->  fresh
-        --W8 first fresh by arrival--> --J7 null-safe diff--> --S15 upsert
+    master.filter(F14)  --J4 + W8 (first fresh of an id posted at or after)-->
+        --J7 null-safe diff--> --S15 upsert
 
 Scale: fresh rows are first reduced to the earliest arrival per
 (id, posted date) with a partial aggregate, so a hot id cannot pile up in
-one task; rows that are not high priority never shuffle (they bypass the
+one task; reviewed rows and fresh days of an id then go into one order and a
+running minimum answers all of them, in place of a join of each with each; rows that are not high priority never shuffle (they bypass the
 join and are unioned back untouched).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
+from bidlake.operators import intervals
 from bidlake.operators.filters import high_priority
 from bidlake.operators.notices import fresh_projection
 from bidlake.settings import DIFF_FIELDS, RESCORE_FIELDS
@@ -40,18 +42,16 @@ def matched_fresh(master: DataFrame, fresh_items: DataFrame, run_date: str) -> D
     fresh = fresh_projection(fresh_items).withColumn("_fposted", F.try_to_date(F.col("postedDate"), "yyyy-MM-dd"))
     fresh = fresh.where(F.col("_fposted") <= F.to_date(F.lit(run_date)))
     # Earliest arrival per (id, posted day): partial aggregation before any shuffle.
-    per_day = fresh.groupBy("noticeId", "_fposted").agg(
-        F.min_by(F.struct("title", "naicsCode", "type", "deadline", "ord"), F.col("ord")).alias("_f"))
+    per_day = fresh.groupBy("noticeId", F.col("_fposted").alias("_day")).agg(F.min(F.struct("ord", "title", "naicsCode", "type", "deadline")).alias("_f"))
     keys = high_rows(master).select(
         F.col("noticeId"), F.coalesce(F.col("postedDate"), F.lit("")).alias("_mposted")).distinct()
-    keys = keys.withColumn("_from", T.iso_date_or_fallback("_mposted", run_date))
-    joined = keys.join(per_day, on="noticeId").where(F.col("_fposted") >= F.col("_from"))
-    w = Window.partitionBy("noticeId", "_mposted").orderBy(F.col("_f.ord"))
-    first = joined.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    keys = keys.withColumn("_day", T.iso_date_or_fallback("_mposted", run_date))
+    # keys and days of an id in one order, never multiplied
+    first = intervals.first_at_or_after(keys, per_day, ["noticeId"], "_day", F.col("_f"), "_first").where(F.col("_first").isNotNull())
     return first.select(
         "noticeId", "_mposted",
-        F.col("_f.ord").alias("fresh_ord"),
-        *[F.col(f"_f.{c}").alias(f"fresh_{c}") for c in DIFF_FIELDS],
+        F.col("_first.ord").alias("fresh_ord"),
+        *[F.col(f"_first.{c}").alias(f"fresh_{c}") for c in DIFF_FIELDS],
     )
 
 

@@ -449,9 +449,24 @@ WHERE _rn = 1
 """)(PS.stream_dedup_master)
 
 register("stream_dedup_watermark", """
-SELECT DISTINCT user_id, event_type FROM events
+SELECT user_id, event_type, CAST(1 AS BIGINT) AS written FROM events GROUP BY user_id, event_type
 """)(PS.stream_dedup_watermark)
 
+register("stream_keyed_first_wins", f"""
+SELECT event_id, user_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+                           ORDER BY CAST(floor(event_id * {PS.CHUNKS} / ((SELECT max(event_id) FROM events) + 1)) AS BIGINT), ts, event_id) = 1
+""")(PS.stream_keyed_first_wins)
+
+register("stream_page_walk", f"""WITH {O.ITEMS_CTE.strip()},
+placed AS (
+  SELECT *, CAST(organizationCode AS BIGINT) AS agency, row_number() OVER (PARTITION BY organizationCode ORDER BY ord) - 1 AS pos,
+         count(*) OVER (PARTITION BY organizationCode) AS n FROM items)
+SELECT agency * 1000000000000 + pos AS ord, organizationCode, noticeId FROM placed
+WHERE pos < CASE WHEN agency % 2 = 0 THEN CAST(ceil(greatest(n - 250, 0) / {PS.PAGE_SIZE}.0) AS BIGINT) * {PS.PAGE_SIZE}
+                 ELSE n // 2 // {PS.PAGE_SIZE} * {PS.PAGE_SIZE} END
+""")(PS.stream_page_walk)
+
 register("mail_source_counts", f"""{_MAIL_BASE}
 SELECT mailSource AS source, CAST(count(*) AS BIGINT) AS opportunities, CAST(count(DISTINCT doc_id) AS BIGINT) AS messages
 FROM mail_keyed GROUP BY mailSource
@@ -531,3 +546,12 @@ from bidlake.plans import oracle_mail as OM  # noqa: E402
 register("mail_listings_devex", OM.DEVEX_SQL)(PM.mail_listings_devex)
 register("mail_listings_da", OM.DA_SQL)(PM.mail_listings_da)
 register("mail_pipeline_listings", OM.PIPELINE_SQL)(PM.mail_pipeline_listings)
+register("mail_run_summary", OM.SUMMARY_SQL)(PM.mail_run_summary)
+
+# --- stored tables and landings --------------------------------------------------------
+
+register("recheck_stored", REGISTRY["recheck_upsert"][1])(PN.recheck_stored)
+register("lookback_landed", f"""WITH {O.ITEMS_CTE.strip()}
+SELECT ord, noticeId, postedDate FROM items
+WHERE substr(coalesce(postedDate, ''), 1, 10) BETWEEN '{_days_before(S.STANDIN_RUN_DATE, PN.STANDIN_SETTINGS.days_back)}' AND '{S.STANDIN_RUN_DATE}'
+""")(PN.lookback_landed)

@@ -100,24 +100,19 @@ def ingest_landed_mail(spark: SparkSession, messages_path: str, parts_path: str,
     """Feed B end to end: search -> fetch -> extract -> enrich -> first-wins
     append against the opportunity table.  Returns appended/skipped/total.
 
-    The enriched batch is cut from its lineage once (checkpoint in the
-    cluster's shared folder) so the append and the summary reuse it.
+    The counts are observed on the append itself, so the batch is computed once.
     """
-    from bidlake.session import cut_lineage
     from bidlake.sources import mail as mail_src
     from bidlake.sources import tables
 
     recs = mail_src.fetch(mail_src.read_messages(spark, messages_path), mail_src.read_parts(spark, parts_path),
                           run_date, days, limit, source_filter)
-    enriched = cut_lineage(mail.enrich(extract_records(recs, run_date), run_date, run_ts))
+    enriched = mail.enrich(extract_records(recs, run_date), run_date, run_ts)
     master = tables.open_or_create(spark, table_path, PIPELINE_COLUMNS)
     if tables.BATCH_COL in master.columns:
         master = master.where(F.col(tables.BATCH_COL) != batch_id)
     header = tables.evolve_header([c for c in master.columns if c != tables.BATCH_COL], PIPELINE_COLUMNS)
-    fresh = dedup.new_rows(enriched, master, "duplicateKey", "ord")
-    tables.append_batch(fresh.orderBy("ord"), table_path, header, batch_id)
-    row = dedup.append_summary(enriched, master, "duplicateKey", "ord").first()
-    return row.asDict()
+    return dedup.append_new(enriched, master, lambda fresh: tables.append_batch(fresh, table_path, header, batch_id))
 
 
 def dry_run(spark: SparkSession, messages_path: str, parts_path: str, run_date: str, run_ts: str,
@@ -247,3 +242,16 @@ def mail_pipeline_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = _listing_batch(spark, sf_dir)
     fresh = dedup.new_rows(enriched, spark.createDataFrame([], "duplicateKey string"), "duplicateKey", "ord")
     return fresh.select(F.col("ord.message_id").alias("message_id"), F.col("ord.link_pos").alias("link_pos"), *PIPELINE_COLUMNS)
+
+
+def mail_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S19 + A3 + S14: the whole run over the stand-in mailbox into a new table, counted on the write."""
+    import os
+    import uuid
+
+    from bidlake.session import checkpoint_dir
+
+    messages, parts = SM.land(spark, sf_dir)
+    table = os.path.join(checkpoint_dir(spark), f"opportunities-{uuid.uuid4().hex}")
+    counts = ingest_landed_mail(spark, messages, parts, table, SM.RUN_DATE, SM.RUN_TS, 1)
+    return spark.createDataFrame([tuple(counts[c] for c in ("appended", "skipped", "total_processed"))], "appended bigint, skipped bigint, total_processed bigint")

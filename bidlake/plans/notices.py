@@ -227,15 +227,10 @@ def ingest_landed_notices(spark: SparkSession, landing: str, master_path: str, r
 LANDED_AGENCIES = ("0", "1", "2", "3", "4")
 
 
-def land_standin_pages(spark: SparkSession, sf_dir: str, page_size: int = STANDIN_SETTINGS.page_size) -> str:
-    """Write the stand-in notices as landed JSON pages (one folder per call,
-    under the session's shared checkpoint folder); returns the folder."""
-    import os
-    import uuid
-
+def standin_pages(spark: SparkSession, sf_dir: str, page_size: int = STANDIN_SETTINGS.page_size) -> DataFrame:
+    """The stand-in notices as page envelopes."""
     from pyspark.sql import Window
 
-    from bidlake.session import checkpoint_dir
     from bidlake.sources import notices as landed
 
     items = S.notice_items(spark, sf_dir)
@@ -243,11 +238,71 @@ def land_standin_pages(spark: SparkSession, sf_dir: str, page_size: int = STANDI
     pos = F.row_number().over(Window.partitionBy("organizationCode").orderBy("ord")) - 1
     shaped = items.select(F.col("organizationCode").cast("int").alias("agency_seq"),
                           F.col("organizationCode").alias("agency_code"), pos.alias("pos"), *landed.ITEM_FIELDS)
-    path = os.path.join(checkpoint_dir(spark), f"landing-notices-{uuid.uuid4().hex}")
-    landed.landing_pages_from(shaped, page_size).write.json(path)
+    return landed.landing_pages_from(shaped, page_size)
+
+
+def land_standin_pages(spark: SparkSession, sf_dir: str, page_size: int = STANDIN_SETTINGS.page_size) -> str:
+    """Write the stand-in notices as landed JSON pages (one folder per call,
+    under the session's shared checkpoint folder); returns the folder."""
+    path = _scratch_path(spark, "landing-notices")
+    standin_pages(spark, sf_dir, page_size).write.json(path)
     return path
 
 
+def _scratch_path(spark: SparkSession, name: str) -> str:
+    import os
+    import uuid
+
+    from bidlake.session import checkpoint_dir
+
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def lookback_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S3 over a landing by posted day: a window of seven days reads eight folders."""
+    from datetime import date, timedelta
+
+    from bidlake.sources import notices as landed
+
+    path = _scratch_path(spark, "landing-days")
+    raw = S.notice_items(spark, sf_dir).select("ord", "noticeId", "postedDate")
+    landed.land_by_day(raw, path)
+    start = (date.fromisoformat(S.STANDIN_RUN_DATE) - timedelta(days=STANDIN_SETTINGS.days_back)).isoformat()
+    return landed.landed_days(spark, path, raw.schema, start, S.STANDIN_RUN_DATE)
+
+
+def recheck_table(spark: SparkSession, table_path: str, fresh_items: DataFrame, run_date: str) -> dict:
+    """Feed C end to end over a stored table: read, compare, rewrite the touched batches alone, publish.
+
+    Returns checked and updated.  A table without the needed columns is left
+    as it is; a second run finds nothing to update.
+    """
+    from bidlake.session import stored
+    from bidlake.sources import tables
+
+    master = tables.open_or_create(spark, table_path, NOTICE_COLUMNS)
+    if not recheck.has_needed_columns(master):
+        return {"checked": 0, "updated": 0}
+    found = stored(recheck.diff(master, recheck.matched_fresh(master, fresh_items, run_date)).select("changed", tables.BATCH_COL))
+    per_batch = found.groupBy(tables.BATCH_COL).agg(F.count("*").alias("checked"), F.count_if("changed").alias("updated")).collect()  # a row a batch
+    touched = sorted(r[tables.BATCH_COL] for r in per_batch if r["updated"])
+    if touched:
+        part = master.where(F.col(tables.BATCH_COL).isin(touched))
+        tables.rewrite_batches(recheck.upsert(part, fresh_items, run_date), table_path, touched)
+    return {"checked": sum(r["checked"] for r in per_batch), "updated": sum(r["updated"] for r in per_batch)}
+
+
+def recheck_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S11 + S15 + J4 + J7: the re-check run over a stored master (a batch a posted year), read back."""
+    from bidlake.sources import tables
+
+    master, fresh = _recheck_inputs(spark, sf_dir)
+    path = _scratch_path(spark, "master")
+    master.withColumn(tables.BATCH_COL, F.substring("postedDate", 1, 4).cast("bigint")).write.partitionBy(tables.BATCH_COL).parquet(path)
+    recheck_table(spark, path, fresh, S.STANDIN_RUN_DATE)
+    return tables.open_or_create(spark, path, master.columns).select(*master.columns)
+
+
 def landed_notice_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + X23 + S3 + feed A: landed JSON pages walked, flattened and run
     through filters, first-wins, anti-join, cap and ordering (per-agency

@@ -12,6 +12,9 @@ bigint.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -53,7 +56,11 @@ def walked_pages(pages: DataFrame) -> DataFrame:
 
 def items(pages: DataFrame) -> DataFrame:
     """Items of the walked pages, flattened, with their arrival ordinal."""
-    walked = walked_pages(pages)
+    return flattened(walked_pages(pages))
+
+
+def flattened(walked: DataFrame) -> DataFrame:
+    """Items of pages with their arrival ordinal (batch or stream)."""
     exploded = walked.select("run_seq", "agency_seq", "agency_code", "offset",
                              F.posexplode("opportunitiesData").alias("_pos", "_item"))
     ordinal = (F.col("run_seq").cast("bigint") * F.lit(RUN_STRIDE) + F.col("agency_seq").cast("bigint") * F.lit(AGENCY_STRIDE)
@@ -75,3 +82,72 @@ def landing_pages_from(items_df: DataFrame, page_size: int) -> DataFrame:
     return grouped.join(totals, "agency_seq").select(
         "agency_seq", "agency_code", "offset", "totalRecords",
         F.transform("_items", lambda x: x["item"]).alias("opportunitiesData"))
+
+
+NO_EMPTY_PAGE = 1 << 62
+WALK_STATE = "total bigint, empty_at bigint, waiting string"
+WALKED = "run_seq int, agency_seq int, agency_code string, offset bigint, payload string"
+
+
+def walk_step(key: tuple, frames, state):
+    """S1 for one run and agency and the pages that arrived in one trigger: the pages that the walk takes.
+
+    State: the total its first page told (-1 before), the offset of its first
+    empty page, and pages that came before the first one.
+    """
+    total, empty_at, waiting = state.get if state.exists else (-1, NO_EMPTY_PAGE, "[]")
+    pages = json.loads(waiting)
+    for frame in frames:
+        for code, offset, told, size, payload in zip(frame["agency_code"], frame["offset"], frame["told"], frame["size"], frame["payload"]):
+            if offset == 0:
+                total = max(total, int(told))
+            if size <= 0:
+                empty_at = min(empty_at, int(offset))
+            else:
+                pages.append([code, int(offset), payload])
+    state.update((total, empty_at, json.dumps([] if total >= 0 else pages)))
+    taken = sorted((p for p in pages if p[1] < min(total, empty_at)), key=lambda p: p[1])
+    if taken:
+        yield pd.DataFrame({"run_seq": [key[0]] * len(taken), "agency_seq": [key[1]] * len(taken), "agency_code": [p[0] for p in taken],
+                            "offset": [p[1] for p in taken], "payload": [p[2] for p in taken]})
+
+
+def walked_stream(pages: DataFrame) -> DataFrame:
+    """S1 + T1: the pages a walk takes, from a stream of landed pages, as soon as they are known to belong to it.
+
+    One small state per (run, agency).  Pages of an agency arrive in the order
+    of their offsets (the walk fetches them so); a page past the total or past
+    an empty page is left out, as in ``walked_pages``.
+    """
+    sent = pages.select(
+        F.coalesce("run_seq", F.lit(0)).alias("run_seq"), "agency_seq", "agency_code", "offset", F.coalesce("totalRecords", F.lit(0).cast("long")).alias("told"),
+        F.coalesce(F.size("opportunitiesData"), F.lit(0)).alias("size"), F.to_json("opportunitiesData", {"ignoreNullFields": "false"}).alias("payload"))
+    taken = sent.groupBy("run_seq", "agency_seq").applyInPandasWithState(walk_step, WALKED, WALK_STATE, "append", "NoTimeout")
+    return taken.select("run_seq", "agency_seq", "agency_code", "offset", F.from_json("payload", ArrayType(ITEM_SCHEMA)).alias("opportunitiesData"))
+
+
+def page_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages as a file stream."""
+    reader = spark.readStream.schema(PAGE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(path)
+
+
+DAY_COL = "posted_day"
+
+
+def land_by_day(items_df: DataFrame, path: str) -> None:
+    """S2 + S3: items landed in one folder per posted day (the first ten characters; blank ones under a folder of their own)."""
+    day = F.substring(F.coalesce(F.col("postedDate").cast("string"), F.lit("")), 1, 10)
+    days = items_df.withColumn(DAY_COL, F.when(day.rlike(r"^[\w-]+$"), day).otherwise(F.lit("none")))
+    # by range, so that a day stands in few files and one with very many items in several
+    tasks = int(items_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = days.repartitionByRange(tasks, DAY_COL, F.xxhash64(*[F.col(f"`{c}`") for c in items_df.columns]))
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COL).parquet(path)
+
+
+def landed_days(spark: SparkSession, path: str, schema: StructType, start: str, end: str) -> DataFrame:
+    """S2 + S3: the items posted from ``start`` to ``end``; only the folders of those days are read."""
+    whole = StructType([*schema.fields, StructField(DAY_COL, StringType())])
+    return spark.read.schema(whole).parquet(path).where(F.col(DAY_COL).between(start, end)).drop(DAY_COL)

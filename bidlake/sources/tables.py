@@ -1,5 +1,5 @@
 """Persistent tables (S8..S16): open-or-create, additive schema evolution,
-name-aligned appends, snapshot replacement and the run log.
+name-aligned appends, copy-on-write rewrites of batches and the run log.
 
 Tables are Parquet directories (or catalog tables); every column is a string.
 Rows are always aligned to the live header by *name* (``unionByName`` /
@@ -38,11 +38,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def open_or_create(spark: SparkSession, path: str, columns) -> DataFrame:
     """S8 + S11: the table's rows, or an empty table with ``columns`` (also when only empty batches were written).
 
-    ``mergeSchema`` reunites batches written under older headers.
+    ``mergeSchema`` reunites batches written under older headers.  Batches
+    that an upsert rewrote are read from the latest published version.
     """
-    if path_exists(spark, path):
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    return spark.createDataFrame([], string_schema(columns))
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], string_schema(columns))
+    written = spark.read.option("mergeSchema", "true").parquet(path)
+    for version, batches in sorted(rewritten(spark, path).items()):
+        folder = rewrites_path(path, version)
+        fresh = spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(*[f"{folder}/{BATCH_COL}={b}" for b in batches])
+        written = written.where(~F.col(BATCH_COL).isin(batches)).unionByName(fresh, allowMissingColumns=True)
+    return written
+
+
+def rewrites_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}.rewrites/v{version}"
+
+
+def published_version(spark: SparkSession, path: str) -> int:
+    """The latest published version of a table (0: as appended)."""
+    version = 0
+    while path_exists(spark, f"{path.rstrip('/')}.manifest/v{version + 1}"):
+        version += 1
+    return version
+
+
+def rewritten(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """The batches that are read from rewrites, by the version that holds them (one small row a batch)."""
+    version = published_version(spark, path)
+    found: dict[int, list[int]] = {}
+    if version:
+        for row in spark.read.schema("batch bigint, version bigint").parquet(f"{path.rstrip('/')}.manifest/v{version}").collect():
+            found.setdefault(row["version"], []).append(row["batch"])
+    return {v: sorted(b) for v, b in found.items()}
+
+
+def rewrite_batches(rows: DataFrame, path: str, batches: list[int]) -> int:
+    """S15 target, copy on write: the whole new contents of ``batches`` become the next version; other batches stay where they are.
+
+    The rewritten folders are written first, then a small manifest publishes
+    them: readers see the old version until it is there, and a run that died
+    in between is overwritten by the next.  One writer per table.
+    """
+    spark = rows.sparkSession
+    current = rewritten(spark, path)
+    version = published_version(spark, path) + 1
+    (rows.write.mode("overwrite").partitionBy(BATCH_COL).parquet(rewrites_path(path, version)))
+    entries = [(b, v) for v, held in current.items() for b in held if b not in batches] + [(b, version) for b in batches]
+    spark.createDataFrame(entries, "batch bigint, version bigint").coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.manifest/v{version}")
+    return version
 
 
 def evolve_header(existing, required) -> list[str]:
@@ -77,30 +121,6 @@ def ordered_view(master: DataFrame, sort_cols) -> DataFrame:
     return master.orderBy(F.col(BATCH_COL).desc(), *sort_cols)
 
 
-def replace_snapshot(df: DataFrame, path: str) -> str:
-    """S15 target: write a new snapshot directory next to the table and return it.
-
-    Readers switch to the returned path (one writer per table); the old
-    snapshot stays readable until the switch, so no reader sees half a write.
-    """
-    version = 0
-    base = path.rstrip("/")
-    while path_exists(df.sparkSession, f"{base}.v{version}"):
-        version += 1
-    target = f"{base}.v{version}"
-    df.write.mode("errorifexists").parquet(target)
-    return target
-
-
-def latest_snapshot(spark: SparkSession, path: str) -> str | None:
-    base = path.rstrip("/")
-    version, found = 0, None
-    while path_exists(spark, f"{base}.v{version}"):
-        found = f"{base}.v{version}"
-        version += 1
-    return found
-
-
 def append_run_log(row: DataFrame, path: str, batch_id: int) -> None:
     """The run's audit row as its batch's partition, so a retried run replaces its row; read newest first via ``runAtUTC``."""
     append_batch(row, path, RUN_LOG_COLUMNS, batch_id)

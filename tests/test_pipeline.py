@@ -234,10 +234,7 @@ def test_snapshot_and_prepend_view(spark):
     tables.append_batch(second, path, ["id", "postedDate"], 2)
     view = tables.ordered_view(spark.read.parquet(path), [F.col("postedDate").desc()])
     assert [r["id"] for r in view.collect()] == ["d", "c", "b", "a"]   # newest batch on top
-    v0 = tables.replace_snapshot(spark.read.parquet(path), path)
-    v1 = tables.replace_snapshot(spark.read.parquet(v0).where(F.col("id") != "a"), path)
-    assert tables.latest_snapshot(spark, path) == v1
-    assert spark.read.parquet(v1).count() == 3 and spark.read.parquet(v0).count() == 4
+    assert tables.published_version(spark, path) == 0
 
 
 def test_bucketed_master_anti_join_shuffles_only_the_batch(spark):
@@ -321,3 +318,63 @@ def test_positions_over_many_partitions(spark):
     got = [(r["ord"], r["postedDate"]) for r in sorted(out.collect(), key=lambda r: r["row_pos"])]
     assert got == sorted(sorted(rows), key=lambda r: r[1], reverse=True)
     assert sorted(r["row_pos"] for r in out.collect()) == list(range(1, 501))
+
+
+def test_copy_on_write_touches_only_the_batches_that_change(spark, tmp_path):
+    from bidlake.plans import notices as PN
+    from bidlake.settings import NOTICE_COLUMNS
+
+    path = str(tmp_path / "master")
+    row = lambda i, title, fit: (str(i), title, "1998-01-01", "F", "541611", "1998-02-01", fit, "text", "note", "at")
+    cols = ["noticeId", "title", "postedDate", "type", "naicsCode", "deadline", "fitLabel", "reviewSummary", "deadlineNote", "reviewedAtUTC"]
+    for batch, rows in {1: [row(1, "old", "high"), row(2, "same", "high")], 2: [row(3, "same", "High")], 3: [row(4, "old", "low")]}.items():
+        tables.append_batch(spark.createDataFrame(rows, cols), path, cols, batch)
+    fresh = spark.createDataFrame([(i, str(i), "new" if i in (1, 4) else "same", "1998-01-02", "541611", "F", "1998-02-01") for i in (1, 2, 3, 4)],
+                                  "ord long, noticeId string, title string, postedDate string, naicsCode string, type string, responseDeadLine string")
+    assert PN.recheck_table(spark, path, fresh, "1998-08-02") == {"checked": 3, "updated": 1}
+    after = tables.open_or_create(spark, path, NOTICE_COLUMNS)
+    got = {r["noticeId"]: (r["title"], r["fitLabel"], r["reviewSummary"], r["batch_id"]) for r in after.collect()}
+    assert got == {"1": ("new", "", "", 1), "2": ("same", "high", "text", 1), "3": ("same", "High", "text", 2), "4": ("old", "low", "text", 3)}
+    files = {r["noticeId"]: r["f"] for r in after.select("noticeId", F.input_file_name().alias("f")).collect()}
+    assert ".rewrites/v1/" in files["1"] and ".rewrites/v1/" in files["2"] and not any(".rewrites" in files[i] for i in "34")
+    assert tables.rewritten(spark, path) == {1: [1]}
+    assert PN.recheck_table(spark, path, fresh, "1998-08-02") == {"checked": 2, "updated": 0}  # the changed row lost its label
+    assert tables.published_version(spark, path) == 1
+    tables.append_batch(spark.createDataFrame([row(5, "later", "high")], cols), path, cols, 4)
+    again = fresh.unionByName(fresh.limit(1).selectExpr("9 as ord", "'5' as noticeId", "'moved' as title", "postedDate", "naicsCode", "type", "responseDeadLine"))
+    assert PN.recheck_table(spark, path, again, "1998-08-02") == {"checked": 3, "updated": 1}
+    assert tables.rewritten(spark, path) == {1: [1], 2: [4]}
+    assert {r["noticeId"]: r["title"] for r in tables.open_or_create(spark, path, NOTICE_COLUMNS).collect()} == {"1": "new", "2": "same", "3": "same", "4": "old", "5": "moved"}
+    # an unpublished rewrite is not read
+    spark.createDataFrame([row(1, "lost", "high")], cols).selectExpr("*", "cast(1 as bigint) as batch_id").write.partitionBy("batch_id").parquet(tables.rewrites_path(path, 3))
+    assert "lost" not in {r["title"] for r in tables.open_or_create(spark, path, NOTICE_COLUMNS).collect()}
+    bare = str(tmp_path / "bare")
+    tables.append_batch(spark.createDataFrame([("1",)], "noticeId string"), bare, ["noticeId"], 1)
+    assert PN.recheck_table(spark, bare, fresh, "1998-08-02") == {"checked": 0, "updated": 0}
+
+
+def test_a_window_reads_the_folders_of_its_days(spark, tmp_path):
+    from bidlake.sources import notices as landed
+
+    path = str(tmp_path / "days")
+    raw = spark.range(400).selectExpr("id as ord", "cast(date_add(date'1998-01-01', cast(id % 100 as int)) as string) as postedDate").unionByName(
+        spark.createDataFrame([(900, None), (901, ""), (902, "no / day")], "ord long, postedDate string"))
+    landed.land_by_day(raw, path)
+    window = landed.landed_days(spark, path, raw.schema, "1998-02-01", "1998-02-08")
+    assert window.count() == 32 and window.columns == raw.columns
+    plan = window._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(posted_day" in plan.toString() and "PushedFilters: []" in plan.toString()
+    assert len(window.collect()) == 32
+    assert plan.collectLeaves().head().metrics().apply("numPartitions").value() == 8  # folders read
+    landed.land_by_day(raw.where("postedDate = '1998-02-01'").limit(1), path)  # a day that is landed again replaces itself
+    assert landed.landed_days(spark, path, raw.schema, "1998-02-01", "1998-02-08").count() == 29
+    assert landed.landed_days(spark, path, raw.schema, "none", "none").count() == 3
+
+
+def test_counts_come_from_the_append_itself(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id as ord", "cast(id % 300 as string) as duplicateKey")
+    master = spark.range(250, 400).selectExpr("cast(id as string) as duplicateKey")
+    written = []
+    counts = dedup.append_new(rows, master, lambda fresh: written.append(fresh.write.parquet(str(tmp_path / "out"))))
+    assert counts == dedup.append_summary(rows, master, "duplicateKey", "ord").first().asDict() == {"appended": 250, "skipped": 750, "total_processed": 1000}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 250 and len(written) == 1

@@ -69,3 +69,57 @@ def test_pattern_of_one_file(spark):
     src = ingest.file_stream(spark, ingest.exactly(os.path.join(base, "events.parquet")), EVENTS_SCHEMA)
     ingest.run_first_wins_stream(spark, src, out, ["event_id"], [F.col("ts")], os.path.join(base, "ckpt"))
     assert spark.read.parquet(out).count() == table.num_rows
+
+
+def test_keyed_state_is_first_wins_and_replays_cleanly(spark):
+    base = tempfile.mkdtemp(prefix="bidlake-keyed-")
+    landing, out, ckpt = (os.path.join(base, n) for n in ("landing", "out", "ckpt"))
+    os.makedirs(landing)
+    assert _land_by_day(landing) > 5
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{SF001}/events.parquet")
+    want = sorted(map(tuple, dedup.first_wins(events, KEY, [F.col("ts"), F.col("event_id")]).collect()))
+    for _ in range(2):  # the second run finds nothing new
+        src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, max_files_per_trigger=8)
+        ingest.run_stateful(ingest.keyed_first_wins(src, KEY, ["ts", "event_id"]), out, ckpt)
+        assert sorted(map(tuple, spark.read.schema(EVENTS_SCHEMA).parquet(out).collect())) == want  # every column, every type
+    assert any(name.startswith("state") for name in os.listdir(ckpt))
+    # a replay of an epoch: its commit is lost, its rows are written once
+    commits = sorted((f for f in os.listdir(os.path.join(ckpt, "commits")) if f.isdigit()), key=int)
+    assert len(commits) > 2
+    os.remove(os.path.join(ckpt, "commits", commits[-1]))
+    if os.path.exists(os.path.join(ckpt, "commits", f".{commits[-1]}.crc")):
+        os.remove(os.path.join(ckpt, "commits", f".{commits[-1]}.crc"))
+    ingest.run_stateful(ingest.keyed_first_wins(ingest.file_stream(spark, landing, EVENTS_SCHEMA), KEY, ["ts", "event_id"]), out, ckpt)
+    assert sorted(map(tuple, spark.read.schema(EVENTS_SCHEMA).parquet(out).collect())) == want
+
+
+def test_page_walk_stream_equals_the_batch_walk(spark):
+    import json
+    import random
+    import time
+
+    from bidlake.sources import notices as landed
+
+    pick = random.Random(4)
+    base = tempfile.mkdtemp(prefix="bidlake-walk-")
+    landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+    os.makedirs(landing)
+    files: list[list[dict]] = [[], [], [], []]
+    for run in (None, 1):
+        for agency in range(6):
+            total = pick.choice([0, 3, 10, 25, None])
+            empty = pick.choice([None, None, 5, 15])
+            at = 0
+            for offset in range(0, 40, 5):
+                at = max(at, min(3, pick.randrange(0, 4)))  # pages of an agency arrive in order, over several landings
+                items = [] if offset == empty else [{"noticeId": f"{run}-{agency}-{offset + i}", "title": pick.choice([None, "a \"b\"", "ü"])} for i in range(5)]
+                files[at].append({"run_seq": run, "agency_seq": agency, "agency_code": str(agency), "offset": offset, "totalRecords": total if offset == 0 else 999, "opportunitiesData": items})
+    for i, pages in enumerate(files):
+        with open(os.path.join(landing, f"{i}.json"), "w") as f:
+            f.write("\n".join(map(json.dumps, pages)))
+        time.sleep(0.05)
+    want = landed.items(landed.read_pages(spark, landing))
+    stream = landed.flattened(landed.walked_stream(landed.page_stream(spark, landing, 1)))
+    ingest.run_stateful(stream, out, os.path.join(base, "ckpt"))
+    got = spark.read.schema(stream.schema).parquet(out)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
