@@ -41,7 +41,7 @@ class ToxicitySettings:
     tail_from: float = 1.0
     significant: float = 0.05
     threshold: float = 0.3
-    memo: int = 400_000
+    memo: int = 200_000
 
 
 @dataclass
@@ -141,6 +141,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float,
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
+HELD_UNITS = 300_000  # different words and beginnings that a task holds before it sends them on
+
+
 def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: ToxicitySettings = ToxicitySettings()) -> ToxicityModel:
     """Fit on labelled rows where ``eligible`` holds.
 
@@ -157,14 +160,22 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: Toxici
         return model
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def sent() -> pa.RecordBatch:
+            units = list(seen[0].keys() | seen[1].keys())
+            return pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array([seen[1][u] for u in units], pa.int64()), pa.array([seen[0][u] for u in units], pa.int64())], names=["unit", "bad", "good"])
+
         for batch in batches:
-            seen = (Counter(), Counter())
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                words = set(TOKEN.findall(text.lower()))
+            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+                words = set(TOKEN.findall(text.as_py().lower()))
                 seen[int(toxic == 1)].update(words)
                 seen[int(toxic == 1)].update({w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
-            units = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array([seen[1][u] for u in units], pa.int64()), pa.array([seen[0][u] for u in units], pa.int64())], names=["unit", "bad", "good"])
+                if len(seen[0]) + len(seen[1]) > HELD_UNITS:
+                    yield sent()
+                    seen = (Counter(), Counter())
+        if seen[0] or seen[1]:
+            yield sent()
 
     counted = stored(sample.where("part = 0").select("text", "toxic").mapInArrow(count, "unit string, bad long, good long")
                      .groupBy("unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") >= 1))
