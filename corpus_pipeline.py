@@ -20,25 +20,34 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
 
 
+def bounded(spark: SparkSession) -> None:
+    """Texts pass through Python in batches of 8 MB (the session's setting is 64 MB, held several times over by each task)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; learned from the rows outside the held-out fold of 5."""
+    bounded(spark)
     model = langid.train(docs, remainder(5) != 0)
     return langid.identify(_rows(docs), model).where(~F.col("rejected")).select("_row.*")
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic; learned from labelled rows outside the held-out fold of 4."""
+    bounded(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder(4) != 2)
     return toxicity.score_texts(_rows(docs), model).where("predicted = 0").select("_row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more)."""
+    bounded(spark)
     return neardup.deduplicated(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    bounded(spark)
     return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
