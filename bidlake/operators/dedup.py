@@ -10,8 +10,8 @@ Scale notes:
 * Master key sets are non-blank, distinct keys: the partial aggregate
   collapses hot keys before the shuffle; AQE then chooses broadcast (only
   when the measured size is under its threshold) or a shuffled join.
-* The cap collects only the ordinal column (``n`` longs per map task) to
-  find the n-th ordinal, then filters; the rows themselves never gather.
+* The cap finds the n-th ordinal by counts of ever finer ranges
+  (``selection.nth_smallest``), then filters: nothing gathers anywhere.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from bidlake.functions import text as T
+from bidlake.operators.selection import nth_smallest
 
 
 def first_wins(df: DataFrame, keys: list[str | Column], order: list[str | Column] | str = "ord") -> DataFrame:
@@ -65,25 +66,23 @@ def anti_join_master(incoming: DataFrame, master: DataFrame, key_col: str, maste
 
 
 def strict_cap(df: DataFrame, n: int | None, order_col: str = "ord", materialize: bool = True) -> DataFrame:
-    """The first ``n`` rows by a unique ordinal (no cap when ``n`` is None).
-
-    The n-th ordinal is found by a top-n over the single ordinal column (each
-    task ships at most ``n`` longs) and applied as a scalar-subquery
-    threshold, so the wide rows are never funnelled through one task.  With
-    ``materialize`` the uncapped rows are first written once to the shared
-    checkpoint folder, so the threshold and the rows read the same files
-    instead of recomputing the upstream plan twice.
+    """The first ``n`` rows by a unique integer ordinal (no cap when ``n`` is None).
+
+    The n-th ordinal comes from range counts, so neither rows nor ordinals
+    meet in one task, however large ``n`` is.  With ``materialize`` the
+    uncapped rows are first written once to the shared checkpoint folder:
+    the counting rounds then read the ordinal column alone.
     """
     if n is None:
         return df
     if n <= 0:
         return df.limit(0)
     if materialize:
-        from bidlake.session import cut_lineage
+        from bidlake.session import stored
 
-        df = cut_lineage(df)
-    nth = df.select(order_col).orderBy(order_col).limit(n).agg(F.max(order_col).alias("_nth"))
-    return df.where(F.col(order_col) <= nth.scalar())
+        df = stored(df)
+    last = nth_smallest(df, order_col, n)
+    return df if last is None else df.where(F.col(order_col) <= last)
 
 
 def stable_order(df: DataFrame, sort_cols: list[Column], position_col: str | None = "row_pos") -> DataFrame:
