@@ -555,3 +555,19 @@ register("lookback_landed", f"""WITH {O.ITEMS_CTE.strip()}
 SELECT ord, noticeId, postedDate FROM items
 WHERE substr(coalesce(postedDate, ''), 1, 10) BETWEEN '{_days_before(S.STANDIN_RUN_DATE, PN.STANDIN_SETTINGS.days_back)}' AND '{S.STANDIN_RUN_DATE}'
 """)(PN.lookback_landed)
+
+
+# --- phrases in whole texts, word by word ---------------------------------------------
+
+def _phrase_sql() -> str:
+    """Every place of a text's word list is compared with the phrase's word list."""
+    given = ", ".join(f"({O.q(p)})" for p in PM.PHRASES)
+    return f"""WITH phrases AS (SELECT col0 AS phrase, regexp_extract_all(lower(col0), '[\\p{{L}}\\p{{N}}]+') AS w FROM (VALUES {given})),
+texts AS (SELECT CAST(doc_id AS VARCHAR) AS message_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS l FROM documents
+          WHERE doc_id % 13 = 0 OR doc_id % 10 <= 7),
+found AS (SELECT phrase, message_id, len(list_filter(range(1, len(l) + 1), lambda i: l[i:i + len(w) - 1] = w)) AS places FROM texts, phrases)
+SELECT phrase, message_id, CAST(1 AS INTEGER) AS part_seq, CAST(places AS BIGINT) AS places FROM found WHERE places > 0
+"""
+
+
+register("mail_phrase_places", _phrase_sql())(PM.mail_phrase_places)

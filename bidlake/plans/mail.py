@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -255,3 +257,36 @@ def mail_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = os.path.join(checkpoint_dir(spark), f"opportunities-{uuid.uuid4().hex}")
     counts = ingest_landed_mail(spark, messages, parts, table, SM.RUN_DATE, SM.RUN_TS, 1)
     return spark.createDataFrame([tuple(counts[c] for c in ("appended", "skipped", "total_processed"))], "appended bigint, skipped bigint, total_processed bigint")
+
+
+# --- phrase search over a word index ------------------------------------------------
+
+PHRASES = ["of the", "De  la", "to be", "the the", "die", "no such phrase of words"]
+
+
+def land_documents_as_mail(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every document as a mail of its own: the source as subject, the whole text as one text part, received
+    up to nine days before the run; every thirteenth tells no day."""
+    docs = S.table(spark, sf_dir, "documents").where("doc_id is not null")
+    mid = F.col("doc_id").cast("string")
+    day = F.date_sub(F.to_date(F.lit(MAIL_RUN_DATE)), (F.col("doc_id") % 10).cast("int")).cast("string")
+    header = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
+    messages = docs.select(
+        F.lit(None).cast("string").alias("source"), mid.alias("id"), F.col("doc_id").alias("message_seq"),
+        F.when(F.col("doc_id") % 13 != 0, day).alias("received"), F.array(header("Subject", F.col("source")), header("From", F.lit(""))).alias("headers"))
+    parts = docs.select(mid.alias("message_id"), F.lit(1).alias("part_seq"), F.lit("text/plain").alias("mime_type"), base64url(F.col("text")).alias("body_b64"))
+    return messages, parts
+
+
+def mail_phrase_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a week with each phrase in their whole texts, and how often, from the word index."""
+    import os
+    import uuid
+
+    from bidlake.session import checkpoint_dir
+    from bidlake.sources import mail_index
+
+    path = os.path.join(checkpoint_dir(spark), f"words-{uuid.uuid4().hex}")
+    mail_index.land_index(*land_documents_as_mail(spark, sf_dir), path)
+    since = (date.fromisoformat(MAIL_RUN_DATE) - timedelta(days=7)).isoformat()
+    return mail_index.phrase_places(mail_index.read_index(spark, path), PHRASES, since)

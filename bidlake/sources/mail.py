@@ -15,6 +15,8 @@ Landing layout (JSON lines, one file set per fetch):
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -62,20 +64,31 @@ def header(headers: Column | str, name: str) -> Column:
     return F.coalesce(F.try_element_at(matching, F.lit(-1))["value"], F.lit(""))
 
 
+def received_day() -> Column:
+    """The day of receipt, else of the Date header; null if a message tells neither."""
+    return F.try_to_date(F.coalesce(F.substring("received", 1, 10), D.mail_date(header("headers", "date"))), "yyyy-MM-dd")
+
+
 def search(messages: DataFrame, source: str, run_date: str, days: int, parts: DataFrame | None = None,
-           rules: dict[str, dict] = SOURCE_RULES) -> DataFrame:
+           rules: dict[str, dict] = SOURCE_RULES, index: DataFrame | None = None) -> DataFrame:
     """The messages a source's search returns (sender / phrase, ``newer_than:Nd``).
 
     The phrase may stand in the subject, the sender or, with ``parts``, in any
     text part.  The window tests the day of receipt, else the Date header; a
-    message that tells neither is returned.
+    message that tells neither is returned.  With ``index``
+    (``mail_index.read_index``) the phrase is looked up word by word and no
+    body is read.
     """
     rule = rules[source]
     sender = F.lower(header("headers", "from"))
-    day = F.try_to_date(F.coalesce(F.substring("received", 1, 10), D.mail_date(header("headers", "date"))), "yyyy-MM-dd")
-    recent = F.coalesce(day >= F.date_sub(F.to_date(F.lit(run_date)), days), F.lit(True))
+    recent = F.coalesce(received_day() >= F.date_sub(F.to_date(F.lit(run_date)), days), F.lit(True))
     found = messages.where(recent & sender.contains(rule["sender"].lower()) if rule["sender"] else recent)
-    if rule["phrase"]:
+    if rule["phrase"] and index is not None:
+        from bidlake.sources.mail_index import phrase_holders
+
+        since = (date.fromisoformat(run_date) - timedelta(days=days)).isoformat()
+        found = found.join(phrase_holders(index, rule["phrase"], since).withColumnRenamed("message_id", "id"), "id", "left_semi").select(*messages.columns)
+    elif rule["phrase"]:
         phrase = rule["phrase"].lower()
         named = F.lower(F.concat_ws(" ", header("headers", "subject"), sender)).contains(phrase)
         if parts is None:
@@ -112,7 +125,7 @@ def records(messages: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def fetch(messages: DataFrame, parts: DataFrame, run_date: str, days: int = 7, limit: int | None = None,
-          source_filter: str = "all", rules: dict[str, dict] = SOURCE_RULES) -> DataFrame:
+          source_filter: str = "all", rules: dict[str, dict] = SOURCE_RULES, index: DataFrame | None = None) -> DataFrame:
     """S4 + S5 + F16 + W9 + U2: records of every selected source (a message matching
     both searches appears once per source), at most ``limit`` per source in order of arrival."""
     from bidlake.operators.dedup import first_n
@@ -120,6 +133,6 @@ def fetch(messages: DataFrame, parts: DataFrame, run_date: str, days: int = 7, l
     sources = list(rules) if source_filter == "all" else [source_filter]
     found = None
     for seq, src in enumerate(sources):
-        part = search(messages, src, run_date, days, parts, rules).withColumn("source_seq", F.lit(seq))
+        part = search(messages, src, run_date, days, parts, rules, index).withColumn("source_seq", F.lit(seq))
         found = part if found is None else found.unionByName(part)
     return records(first_n(found, ["source"], [F.col("message_seq").asc_nulls_last(), F.col("id")], limit), parts)
