@@ -1,11 +1,13 @@
 """Exact top-k by inner product with a KD-tree per shard.
 
-Vectors are dealt into shards of bounded size by a hash, queries into blocks.
-A shard's KD-tree splits at medians of its widest dimension and keeps the tight
-box of every node.  A query walks the tree best first: the box bounds the inner
-product from above, and nodes whose bound is below the query's k-th score so
-far are left out.  A first round searches each query in one shard; the k-th
-score found there goes with the query to all other shards.
+Rows are dealt into shards by median splits of the whole table (the planes come
+from a bounded sample, every row is dealt; a region that holds more rows than a
+shard is divided by a hash).  A shard's KD-tree splits at medians of its widest
+dimension and keeps the tight box of every node.  A query walks the tree best
+first: the box bounds the inner product from above, and nodes whose bound is
+below the query's k-th score so far are left out.  A first round searches each
+query in its own shard; the k-th score found there decides by the boxes of the
+other shards which of them the query is sent to.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import stored
+from bidlake.llm.common import stored, uniform
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,9 @@ class TopkSettings:
     shard_rows: int = 4096
     block_queries: int = 512
     leaf_rows: int = 128
+    sample: int = 4_000_000   # components of the rows that the splits between shards are fitted on
+    box_block: int = 1024     # shard boxes that a task compares with a block of queries at once
+    span_blocks: int = 64     # blocks of queries that one copy of a shard answers for
 
 
 def whole_vectors(embeddings: DataFrame, settings: TopkSettings) -> DataFrame:
@@ -111,24 +116,100 @@ class KDTree:
         return sorted(best, reverse=True)
 
 
-def searched(trees: DataFrame, blocks: DataFrame, shards: int, settings: TopkSettings) -> DataFrame:
-    """query_id, vec_id and score of the vectors in ``trees`` (shard, rows) for the query blocks sent to each shard.
+@dataclass(frozen=True)
+class Splits:
+    """Planes between regions of the vectors of one length: inner nodes send v[dim] >= cut to ``high``; leaves have dim -1."""
+    dim: np.ndarray
+    cut: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    region: np.ndarray
+
+    def place(self, rows: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(rows), dtype=np.int64)
+        while (inner := np.flatnonzero(self.dim[node] >= 0)).size:
+            at = node[inner]
+            node[inner] = np.where(rows[inner, self.dim[at]] >= self.cut[at], self.high[at], self.low[at])
+        return self.region[node]
+
+
+def fitted_splits(rows: np.ndarray, regions: int, least: int = 16) -> Splits:
+    """Median splits of the sample along its widest dimension until it has about ``regions`` parts or ``least`` rows a part."""
+    nodes: list[list[int]] = []
+    regions_made = 0
+
+    def build(part: np.ndarray, wanted: int) -> int:
+        nonlocal regions_made
+        number = len(nodes)
+        nodes.append([-1, 0, 0, 0, 0])
+        spread = part.max(axis=0) - part.min(axis=0) if len(part) else np.zeros(1)
+        widest = int(spread.argmax())
+        if wanted > 1 and len(part) >= 2 * least and spread[widest] > 0:
+            values = part[:, widest]
+            cut = int(np.partition(values, len(values) // 2)[len(values) // 2])
+            if cut == values.min():
+                cut = int(values[values > cut].min())
+            up = values >= cut
+            nodes[number][:2] = [widest, cut]
+            nodes[number][2] = build(part[~up], wanted // 2)
+            nodes[number][3] = build(part[up], wanted - wanted // 2)
+        else:
+            nodes[number][4] = regions_made
+            regions_made += 1
+        return number
+
+    build(rows, regions)
+    return Splits(*np.array(nodes, dtype=np.int64).T)
+
+
+def dealt(vectors: DataFrame, settings: TopkSettings) -> DataFrame:
+    """``vectors`` with shard: the region of their length that their place falls in, divided by a hash where it is too full.
+
+    Equal vectors share a region, so a region's rows are counted first; a shard
+    holds about ``shard_rows`` rows at most.
+    """
+    sizes = {r["dims"]: r["n"] for r in vectors.groupBy("dims").agg(F.count("*").alias("n")).where(F.col("n") > settings.shard_rows).collect()}
+    components = sum(dims * n for dims, n in sizes.items())
+    sample = vectors.where(F.col("dims").isin(list(sizes)) & (uniform(F.lit("split"), F.col("vec_id")) * components < settings.sample)) if sizes else vectors.limit(0)
+    rows: dict[int, list] = {}
+    for r in sample.select("dims", "v").toLocalIterator():
+        rows.setdefault(r["dims"], []).append(r["v"])
+    planes = {dims: fitted_splits(np.array(part, dtype=np.int64), -(-sizes[dims] // settings.shard_rows)) for dims, part in rows.items()}
+
+    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, dims = batch.column("v"), batch.column("dims").to_numpy()
+            found = np.zeros(batch.num_rows, dtype=np.int64)
+            for length in set(dims.tolist()) & set(planes):
+                at = np.flatnonzero(dims == length)
+                found[at] = planes[length].place(_matrix(v.take(pa.array(at))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["vec_id", "v", "dims", "region"])
+
+    placed = stored(vectors.mapInArrow(regions, "vec_id long, v array<bigint>, dims int, region long"))
+    full = stored(placed.groupBy("dims", "region").agg(F.ceil(F.count("*") / settings.shard_rows).alias("parts")))
+    part = F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.col("parts"))
+    return placed.join(full, ["dims", "region"]).select("vec_id", "v", "dims", F.concat_ws(":", "dims", "region", part).alias("shard"))
+
+
+def searched(trees: DataFrame, blocks: DataFrame, settings: TopkSettings) -> DataFrame:
+    """query_id, vec_id and score of the vectors in ``trees`` (shard, rows) for the query blocks (shard, block, rows) sent to each shard.
 
-    A task reads its shard's vectors, then the blocks one by one; it holds one
-    tree and one batch of blocks.
+    A task reads a shard's vectors, then the blocks one by one; it holds one
+    tree and one batch of blocks.  A shard that many blocks ask is copied, once
+    per ``span_blocks`` numbers of blocks, so that no task answers them all.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, tree = None, None
         for batch in batches:
-            shard, kind, rows = batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("rows")
+            copy_of, kind, rows = list(zip(batch.column("shard").to_pylist(), batch.column("span").to_pylist())), batch.column("kind").to_pylist(), batch.column("rows")
             for i in range(batch.num_rows):
                 part = rows[i].values
                 ids, matrix = part.field("vec_id").to_numpy(), _matrix(part.field("v"))
                 if kind[i] == 0:
-                    name, tree = shard[i], KDTree(ids, matrix, settings.leaf_rows)
+                    name, tree = copy_of[i], KDTree(ids, matrix, settings.leaf_rows)
                     continue
-                if shard[i] != name:
+                if copy_of[i] != name:
                     continue
                 kth = part.field("kth").to_numpy(zero_copy_only=False)
                 own, matrix = tree.suited(matrix)
@@ -138,9 +219,54 @@ def searched(trees: DataFrame, blocks: DataFrame, shards: int, settings: TopkSet
                     q, v, s = zip(*found)
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
 
-    both = trees.select("shard", F.lit(0).alias("kind"), F.lit(0).alias("block"), "rows").unionByName(blocks.select("shard", F.lit(1).alias("kind"), "block", "rows"))
-    placed = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "block")
-    return placed.select("shard", "kind", "rows").mapInArrow(search, "query_id long, vec_id long, score long")
+    asked = blocks.withColumn("span", F.floor(F.col("block") / settings.span_blocks))
+    copies = trees.join(asked.select("shard", "span").distinct(), "shard")
+    both = copies.select("shard", "span", F.lit(0).alias("kind"), F.lit(0).alias("block"), "rows").unionByName(asked.select("shard", "span", F.lit(1).alias("kind"), "block", "rows"))
+    placed = both.repartition("shard", "span").sortWithinPartitions("shard", "span", "kind", "block")
+    return placed.select("shard", "span", "kind", "rows").mapInArrow(search, "query_id long, vec_id long, score long")
+
+
+def shard_boxes(trees: DataFrame) -> DataFrame:
+    """shard, low, high: the tight box of each shard's vectors."""
+
+    def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrices = [_matrix(rows.values.field("v")) for rows in batch.column("rows")]
+            ends = [pa.array([list(f(axis=0)) for f in fs], pa.list_(pa.int64())) for fs in ([m.min for m in matrices], [m.max for m in matrices])]
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), *ends], names=["shard", "low", "high"])
+
+    return trees.select("shard", "rows").mapInArrow(box, "shard string, low array<bigint>, high array<bigint>")
+
+
+def reached(blocks: DataFrame, boxes: DataFrame, numbers: int, settings: TopkSettings) -> DataFrame:
+    """shard, block, rows: the queries of each block (dims, block, rows) that a shard's box lets hope for a place, their own shard left out.
+
+    ``boxes`` meet each of the ``numbers`` blocks in groups of ``box_block``;
+    that is one box, not its rows, per shard and block.
+    """
+    shards = boxes.count()
+    grouped = boxes.groupBy(F.substring_index("shard", ":", 1).cast("int").alias("dims"), F.pmod(F.xxhash64("shard"), F.lit(-(-shards // settings.box_block) or 1)).alias("group")).agg(
+        F.collect_list(F.struct("shard", "low", "high")).alias("boxes"))
+    meeting = grouped.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(numbers - 1)))).join(blocks, ["dims", "block"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, rows, near = batch.column("block")[i].as_py(), batch.column("rows")[i].values, batch.column("boxes")[i].values
+                queries, kth, home = _matrix(rows.field("v")), rows.field("kth").to_numpy(zero_copy_only=False), rows.field("home").to_pylist()
+                low, high, names = _matrix(near.field("low")), _matrix(near.field("high")), near.field("shard").to_pylist()
+                if max(int(np.abs(queries).max()), 1) * max(int(np.abs(low).max()), int(np.abs(high).max()), 1) * queries.shape[1] < 2 ** 52:
+                    queries, low, high = (x.astype(np.float64) for x in (queries, low, high))
+                bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+                hope = np.isnan(kth)[:, None] | (bounds >= kth[:, None])
+                hope &= np.array(home, dtype=object)[:, None] != np.array(names, dtype=object)[None, :]
+                for j in np.flatnonzero(hope.any(axis=0)):
+                    sent = rows.take(pa.array(np.flatnonzero(hope[:, j])))
+                    kept = pa.StructArray.from_arrays([sent.field(c) for c in ("vec_id", "v", "kth")], names=["vec_id", "v", "kth"])
+                    lists = pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept)
+                    yield pa.RecordBatch.from_arrays([pa.array([names[j]]), pa.array([block], pa.int32()), lists], names=["shard", "block", "rows"])
+
+    return meeting.select("block", "rows", "boxes").mapInArrow(send, "shard string, block int, rows array<struct<vec_id: long, v: array<bigint>, kth: double>>")
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
@@ -158,27 +284,20 @@ def top_neighbours(embeddings: DataFrame, is_query: Column, settings: TopkSettin
     compared.  Fewer candidates than k give fewer rows; an empty table gives
     an empty result; other columns are not read.
     """
-    vectors = stored(whole_vectors(embeddings, settings).distinct())
-    rows = vectors.count()
-    shards = max(1, -(-rows // settings.shard_rows))
-    placed = vectors.withColumn("shard", F.concat_ws(":", "dims", F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.lit(shards)).cast("int")))
-    queries = vectors.where(is_query)
-    blocks = max(1, -(-queries.count() // settings.block_queries))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int"))
+    vectors = dealt(stored(whole_vectors(embeddings, settings).distinct()), settings)
     none = F.lit(float("nan"))
-    trees = stored(placed.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "v", none.alias("kth"))).alias("rows")))
-
-    def blocked(named: DataFrame) -> DataFrame:
-        return named.groupBy("dims", "block").agg(F.collect_list(F.struct("vec_id", "v", "kth")).alias("rows"))
-
-    home = F.pmod("block", F.lit(shards))
-    first = blocked(queries.withColumn("kth", none)).withColumn("shard", F.concat_ws(":", "dims", home))
-    started = stored(searched(trees, first, shards, settings))
+    member = F.struct("vec_id", "v", "kth")
+    trees = stored(vectors.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "v", none.alias("kth"))).alias("rows")))
+    queries = stored(vectors.where(is_query))
+    numbers = max(1, -(-queries.count() // settings.block_queries))
+    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(numbers)).cast("int").alias("block")
+    first = queries.select("shard", block, "vec_id", "v", none.alias("kth")).groupBy("shard", "block").agg(F.collect_list(member).alias("rows"))
+    started = stored(searched(trees, first, settings))
     kth = started.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least")).select(
         F.col("query_id").alias("vec_id"), F.when(F.col("n") >= settings.k, F.col("least")).otherwise(none).alias("kth"))
-    known = blocked(queries.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", none)))
-    others = F.array_except(F.sequence(F.lit(0), F.lit(shards - 1)), F.array(home))
-    rest = known.withColumn("other", F.explode(others)).withColumn("shard", F.concat_ws(":", "dims", "other"))
-    found = started.unionByName(searched(trees, rest, shards, settings))
+    known = queries.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", none)).select("dims", block, "vec_id", "v", "kth", F.col("shard").alias("home"))
+    blocks = known.groupBy("dims", "block").agg(F.collect_list(F.struct("vec_id", "v", "kth", "home")).alias("rows"))
+    sent = stored(reached(blocks, stored(shard_boxes(trees)), numbers, settings))
+    found = started.unionByName(searched(trees, sent, settings))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= settings.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
