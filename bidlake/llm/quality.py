@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidlake.llm.common import labelled_sample, remainder
+from bidlake.llm.common import labelled_sample, remainder, stored, uniform
 from bidlake.llm.wordhash import U64, mix
 
 _RUNS = re.compile(r"(?P<U>[A-ZÀ-ÖØ-Þ]+)|(?P<l>[^\W\d_A-ZÀ-ÖØ-Þ]+)|(?P<d>\d+)|(?P<s>([\W_])\5*)")
@@ -29,8 +29,9 @@ _RUNS = re.compile(r"(?P<U>[A-ZÀ-ÖØ-Þ]+)|(?P<l>[^\W\d_A-ZÀ-ÖØ-Þ]+)|(?P<d
 
 @dataclass(frozen=True)
 class QualitySettings:
-    """``sample`` bounds the labelled documents per class that are fitted; ``bits`` sizes the indicator space."""
+    """``sample`` bounds the labelled documents per class that are fitted, ``fitted`` their indicators together; ``bits`` sizes the indicator space."""
     sample: int = 6000
+    fitted: int = 40_000_000
     bits: int = 18
     prior: float = 1.0
     cost: float = 1.0
@@ -106,7 +107,7 @@ def dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, setti
     w, bias = np.zeros(len(scale)), 0.0
     values = [scale[r] / max(np.linalg.norm(scale[r]), 1e-9) for r in rows]
     alpha = np.zeros(len(rows))
-    share = np.array([(y == t).mean() for t in y])
+    share = np.where(y > 0, (y > 0).mean(), (y < 0).mean())
     bound = settings.cost * 0.5 / np.maximum(share, 1e-9)
     order = np.random.default_rng(7)
     for _ in range(settings.rounds):
@@ -128,7 +129,12 @@ def margin(found: np.ndarray, model: QualityModel) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: QualitySettings = QualitySettings()) -> QualityModel:
-    """Fit on a bounded sample of the labelled rows where ``eligible`` holds; the driver gets its indicators."""
+    """Fit on a bounded sample of the labelled rows where ``eligible`` holds; the driver gets its indicators.
+
+    Where the sample's whole texts have more than ``fitted`` indicators, fewer
+    of its documents are fitted (chosen by a hash), so the driver holds about
+    that many at most (4 bytes each), however long the texts are.
+    """
     model = QualityModel(settings)
     sample = labelled_sample(docs, labels, "quality", eligible, settings.sample)
 
@@ -137,8 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, settings: Qualit
         for frame in batches:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "quality": frame["quality"].astype("int32"), "found": [make(t).astype("int32").tobytes() for t in frame["text"]]})
 
-    got = sample.select("doc_id", "quality", "text").mapInPandas(indicators, "doc_id long, quality int, found binary").collect()
-    got = sorted(((r["doc_id"], r["quality"], bytes(r["found"])) for r in got))
+    made = stored(sample.select("doc_id", "quality", "text").mapInPandas(indicators, "doc_id long, quality int, found binary"))
+    total = made.agg(F.sum(F.octet_length("found") / 4)).first()[0] or 0
+    got = made.where(uniform(F.lit("fitted"), F.col("doc_id")) * total < settings.fitted).collect()
+    got = sorted((r["doc_id"], r["quality"], bytes(r["found"])) for r in got)
     found = [np.frombuffer(x[2], dtype=np.int32).astype(np.int64) for x in got]
     y = np.array([1.0 if x[1] == 1 else -1.0 for x in got])
     if not (y == 1).any() or not (y == -1).any():

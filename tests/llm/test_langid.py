@@ -1,6 +1,10 @@
+import math
+import zlib
+from collections import Counter
+
 from bidlake.llm import langid
 from bidlake.llm.common import remainder
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.llm import awkward
 
 
@@ -45,3 +49,44 @@ def test_awkward_rows(spark):
 
 def test_ngrams_ignore_case_digits_and_signs():
     assert (langid.ngram_counts(b"AbC  12 d!", 8192) == langid.ngram_counts(b"abc d ", 8192)).sum() >= 8190
+
+
+def grams(data, dims):
+    """2- and 3-grams of a text by definition, counted by hashed dimension."""
+    x = [b if b >= 128 or 97 <= b < 123 else b + 32 if 65 <= b < 91 else 32 for b in data]
+    x = [32, *(c for i, c in enumerate(x) if i == 0 or c != 32 or x[i - 1] != 32), 32]
+    shift, counts = 32 - (dims.bit_length() - 1), Counter()
+    for i, (a, b) in enumerate(zip(x, x[1:])):
+        two = (a * 0x9E3779B1 + b * 0x85EBCA77) % 2 ** 32
+        counts[(two * 0x165667B1 % 2 ** 32) >> shift] += 1
+        if i + 2 < len(x):
+            three = (two * 0xC2B2AE3D + x[i + 2] * 0x27D4EB2F) % 2 ** 32
+            counts[(three * 0x165667B1 % 2 ** 32) >> shift] += 1
+    return counts
+
+
+def test_predictions_equal_cosines_by_definition(spark):
+    """Frequencies, weights, cosines, nearest centroid and rejection of whole texts, gram by gram."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang", "text")
+    settings = langid.LanguageSettings(dimensions=512, sample=10, centroids=3)
+    model = langid.train(docs, remainder(5) != 0, settings)
+    rows = [r for r in docs.collect() if r["text"]]
+    learned = [grams(r["text"].encode(), 512) for r in rows if r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 5 and langid.HAS_LETTER.search(r["text"])]
+    frequency = Counter(d for g in learned for d in g)
+    weight = [math.log(1 + (1 + len(learned)) / (1 + frequency[d])) for d in range(512)]
+    assert max(abs(a - b) for a, b in zip(weight, model.weight.tolist())) < 1e-5
+    assert all(abs(sum(x * x for x in c) - 1) < 1e-4 for c in model.centroids.tolist()) and len(model.languages) > 1
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    for r in rows:
+        v = {d: math.log(1 + n) * weight[d] for d, n in grams(r["text"].encode(), 512).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosines = [sum(x * float(c[d]) for d, x in v.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        told = got[r["doc_id"]]
+        assert abs(told["score"] - min(max(cosines[best], 0), 1)) < 1e-4
+        if sorted(cosines)[-1] - sorted(cosines)[-2] > 1e-4:
+            size = len(r["text"].encode())
+            reached = [k for k, least in enumerate(settings.lengths) if size >= least]
+            floor = model.floor[best][reached[-1]] if reached else 0.0
+            assert told["lang_pred"] == model.languages[model.owner[best]]
+            assert abs(cosines[best] - floor) < 1e-4 or told["rejected"] == (cosines[best] < floor)
