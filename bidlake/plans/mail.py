@@ -98,17 +98,19 @@ def extract_records(recs: DataFrame, run_date: str) -> DataFrame:
 
 def ingest_landed_mail(spark: SparkSession, messages_path: str, parts_path: str, table_path: str,
                        run_date: str, run_ts: str, batch_id: int, days: int = 7, limit: int | None = None,
-                       source_filter: str = "all") -> dict:
+                       source_filter: str = "all", index_path: str | None = None) -> dict:
     """Feed B end to end: search -> fetch -> extract -> enrich -> first-wins
     append against the opportunity table.  Returns appended/skipped/total.
 
     The counts are observed on the append itself, so the batch is computed once.
+    With ``index_path`` phrases are looked up in the word index of the landing.
     """
     from bidlake.sources import mail as mail_src
-    from bidlake.sources import tables
+    from bidlake.sources import mail_index, tables
 
+    index = mail_index.read_index(spark, index_path) if index_path else None
     recs = mail_src.fetch(mail_src.read_messages(spark, messages_path), mail_src.read_parts(spark, parts_path),
-                          run_date, days, limit, source_filter)
+                          run_date, days, limit, source_filter, index=index)
     enriched = mail.enrich(extract_records(recs, run_date), run_date, run_ts)
     master = tables.open_or_create(spark, table_path, PIPELINE_COLUMNS)
     if tables.BATCH_COL in master.columns:

@@ -83,3 +83,17 @@ def test_a_search_opens_its_days_and_words_alone(spark, tmp_path):
     assert {"2026-07-16", "__HIVE_DEFAULT_PARTITION__"} <= opened
     read = mail_index.read_index(spark, str(tmp_path)).where(F.col("day") >= F.lit("2026-07-16").cast("date"))
     assert len(mail_index.read_index(spark, str(tmp_path)).inputFiles()) > 3 and read.select(F.min("day").cast("string")).first()[0] == "2026-07-16"
+
+
+def test_a_run_by_index_appends_the_same_rows(spark, tmp_path):
+    from bidlake.plans import mail as plans
+
+    messages, parts = standin_mail.land(spark, SF001)
+    index = str(tmp_path / "words")
+    mail_index.land_index(mail.read_messages(spark, messages), mail.read_parts(spark, parts), index)
+    run = lambda name, **more: plans.ingest_landed_mail(
+        spark, messages, parts, str(tmp_path / name), standin_mail.RUN_DATE, standin_mail.RUN_TS, 1, source_filter="developmentaid", **more)
+    counts = run("plain")
+    assert counts["appended"] > 0 and run("by_index", index_path=index) == counts
+    keys = [{r["duplicateKey"] for r in spark.read.parquet(str(tmp_path / name)).select("duplicateKey").collect()} for name in ("plain", "by_index")]
+    assert keys[0] == keys[1] and len(keys[0]) == counts["appended"]
