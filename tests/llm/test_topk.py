@@ -44,8 +44,16 @@ def clustered(spark, n=6000):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
 
 
-def test_shards_are_bounded_and_boxes_spare_queries(spark):
+def test_shards_are_bounded_and_boxes_spare_queries(spark, monkeypatch):
     rows, table = clustered(spark)
+    seen, reached = [], topk.reached
+
+    def counted(blocks, boxes, numbers, settings):
+        out = reached(blocks, boxes, numbers, settings)
+        seen.append((out.agg(F.sum(F.size("rows"))).first()[0] or 0, blocks.agg(F.sum(F.size("rows"))).first()[0] * (boxes.count() - 1)))
+        return out
+
+    monkeypatch.setattr(topk, "reached", counted)
     settings = topk.TopkSettings(k=5, shard_rows=200, block_queries=50, leaf_rows=32, box_block=7, span_blocks=2)
     vectors = topk.dealt(topk.whole_vectors(table, settings), settings)
     sizes = [r["count"] for r in vectors.groupBy("shard").count().collect()]
@@ -58,6 +66,9 @@ def test_shards_are_bounded_and_boxes_spare_queries(spark):
         order = [j for j in np.lexsort((np.arange(len(rows)), -scores)) if j != q][:5]
         expected |= {(q, n + 1, int(j), int(scores[j])) for n, j in enumerate(order)}
     assert got == expected
+    sent, every = seen[0]
+    print("sent", sent, "of", every)
+    assert sent < every / 2
 
 
 def test_a_query_is_sent_where_its_bound_reaches(spark):
