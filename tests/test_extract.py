@@ -135,3 +135,30 @@ def test_native_anchors_take_every_quote_form(spark):
     docs = pages.selectExpr("cast(page_id as string) as doc_id", "'' as subject", "html")
     dom = [r["href"] for r in html.anchors(html.dom_facts(docs, materialize=False)[0]).orderBy("link_seq").collect()]
     assert got == [("/d?x=1", "Double"), ("/s", "Single one"), ("/b", "Bare"), ("", "Empty")] and [h for h, _ in got] == dom
+
+
+def test_stored_facts_are_joined_where_they_lie(spark):
+    docs = spark.createDataFrame([(str(i), "", f"<table><tr><td><a href='/{i}'>one</a></td></tr></table>" * (i % 4)) for i in range(300)] + [("x", "", None)], "doc_id string, subject string, html string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        nodes, strings = html.dom_facts(docs)
+        rows = nodes.where("tag = 'tr'").select("doc_id", F.col("node_id").alias("tr_id"), "first_seq", "end_seq")
+        found = html.texts_of(strings, html.anchors(nodes).select("doc_id", "tr_id").join(rows, ["doc_id", "tr_id"]), ["tr_id"])
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == sum(i % 4 for i in range(300))
+        plain_nodes, plain_strings = html.dom_facts(docs, materialize=False)
+        assert sorted(map(str, nodes.collect())) == sorted(map(str, plain_nodes.collect()))
+        assert sorted(map(str, strings.collect())) == sorted(map(str, plain_strings.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_mailbox_is_landed_compressed(spark):
+    import os
+
+    from bidlake.sources import standin_mail
+
+    for path in standin_mail.land(spark, "/root/testdata/sf0.001"):
+        files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+        assert files and all(f.endswith(".json.gz") for f in files)
