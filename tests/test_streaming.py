@@ -123,3 +123,49 @@ def test_page_walk_stream_equals_the_batch_walk(spark):
     ingest.run_stateful(stream, out, os.path.join(base, "ckpt"))
     got = spark.read.schema(stream.schema).parquet(out)
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+
+
+def test_keys_of_a_group_share_a_state(spark):
+    """Many keys in few groups, null keys and order values among them: each key's first row once, whatever the batches."""
+    base = tempfile.mkdtemp(prefix="bidlake-groups-")
+    landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+    first = [(i % 400 if i % 11 else None, f"t{i % 3}", i * 7919 % 1000 if i % 5 else None, i) for i in range(2000)]
+    later = [(i % 500, f"t{i % 3}", 0, 5000 + i) for i in range(1000)]
+    schema = "user_id long, event_type string, at long, event_id long"
+    for rows in (first, later):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    src = ingest.file_stream(spark, landing, spark.read.parquet(landing).schema, max_files_per_trigger=1)
+    found = ingest.keyed_first_wins(src, ["user_id", "event_type"], ["at", "event_id"])
+    assert ingest.KEY_GROUPS < 10_000 and "_group" in found._jdf.queryExecution().logical().toString()
+    ingest.run_stateful(found, out, os.path.join(base, "ckpt"), batch_rows=50)
+    want = {}
+    for rows in (first, later):
+        new = {}
+        for user, kind, at, event in rows:
+            if (user, kind) not in want:
+                new[user, kind] = min(new.get((user, kind), (True, 0, 1 << 40)), (at is None, at or 0, event))
+        want.update(new)
+    assert {(r["user_id"], r["event_type"]): r["event_id"] for r in spark.read.parquet(out).collect()} == {k: v[2] for k, v in want.items()}
+    assert spark.read.parquet(out).count() == len(want)
+
+
+def test_walked_pages_leave_a_few_at_a_time():
+    import pandas as pd
+
+    from bidlake.sources import notices as landed
+
+    class State:
+        exists, value = False, None
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+    def frame(offsets):
+        return pd.DataFrame({"agency_code": "a", "offset": offsets, "told": 1900, "size": [5 if o != 1500 else 0 for o in offsets], "payload": [f"é{o}" for o in offsets]})
+
+    state = State()
+    offsets = list(range(0, 2000, 5))
+    frames = list(landed.walk_step((0, 1), iter([frame(offsets[200:]), frame(offsets[:200])]), state))
+    assert max(map(len, frames)) <= 64 and state.value[:2] == (1900, 1500)
+    rows = pd.concat(frames)
+    assert rows["offset"].tolist() == list(range(0, 1500, 5)) and rows["payload"].tolist() == [f"é{o}" for o in range(0, 1500, 5)]
