@@ -90,20 +90,49 @@ def windows_of(data: bytes, settings: LanguageSettings) -> list[bytes]:
     return [data, *(data[half - n // 2:half + n // 2] for n in settings.windows if n < len(data))]
 
 
-def cluster(vectors: np.ndarray, settings: LanguageSettings) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from farthest-first starts: centroids and each row's cosine to its own."""
-    centres = [vectors.mean(axis=0)]
+class Vectors:
+    """Unit vectors of a bounded sample, held by their non-zero components; ``BLOCK`` of them are whole at a time."""
+
+    BLOCK = 128
+
+    def __init__(self, rows: Iterator[np.ndarray], dims: int):
+        self.dims = dims
+        self.rows = [(np.flatnonzero(v).astype(np.int32), v[v != 0]) for v in rows]
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def whole(self, i: int) -> np.ndarray:
+        return self.block(i, i + 1)[0]
+
+    def block(self, begin: int, end: int) -> np.ndarray:
+        found = np.zeros((min(end, len(self.rows)) - begin, self.dims), dtype=np.float32)
+        for v, (at, values) in zip(found, self.rows[begin:end]):
+            v[at] = values
+        return found
+
+    def cosines(self, centres: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.block(i, i + self.BLOCK) @ centres.T for i in range(0, len(self), self.BLOCK)])
+
+    def sums(self, members: np.ndarray) -> np.ndarray:
+        """The sum of the vectors of each row of ``members``, weighted by it."""
+        return sum(members[:, i:i + self.BLOCK] @ self.block(i, i + self.BLOCK) for i in range(0, len(self), self.BLOCK))
+
+
+def cluster(vectors: Vectors, settings: LanguageSettings) -> np.ndarray:
+    """Centroids by spherical k-means from farthest-first starts."""
+    centres = [vectors.sums(np.ones((1, len(vectors)), dtype=np.float32))[0] / len(vectors)]
     while len(centres) < min(settings.centroids, len(vectors)):
         normed = np.stack([c / max(np.linalg.norm(c), 1e-9) for c in centres])
-        centres.append(vectors[(vectors @ normed.T).max(axis=1).argmin()])
+        centres.append(vectors.whole(int(vectors.cosines(normed).max(axis=1).argmin())))
     c = np.stack(centres)
     for _ in range(settings.rounds):
         c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-        nearest = (vectors @ c.T).argmax(axis=1)
-        members = (nearest == np.arange(len(c))[:, None]).astype(np.float32)  # sums without copies of the vectors
-        c = np.where(members.any(axis=1)[:, None], members @ vectors, c)
+        nearest = vectors.cosines(c).argmax(axis=1)
+        members = (nearest == np.arange(len(c))[:, None]).astype(np.float32)
+        c = np.where(members.any(axis=1)[:, None], vectors.sums(members), c)
     c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    return c.astype(np.float32), vectors @ c.T
+    return c.astype(np.float32)
 
 
 def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = LanguageSettings()) -> LanguageModel:
@@ -137,10 +166,7 @@ def train(docs: DataFrame, eligible: Column, settings: LanguageSettings = Langua
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         texts = [frame["data"].iloc[i] for i in np.argsort(frame["order"].to_numpy(), kind="stable")]
-        vectors = np.empty((sum(len(windows_of(data, settings)) for data in texts), dims), dtype=np.float32)  # one copy: a bounded sample
-        for i, piece in enumerate(x for data in texts for x in windows_of(data, settings)):
-            vectors[i] = unit_vector(piece, weight)
-        centres, _cosines = cluster(vectors, settings)
+        centres = cluster(Vectors((unit_vector(x, weight) for data in texts for x in windows_of(data, settings)), dims), settings)
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [c.tobytes() for c in centres]})
 
     keyed = usable.withColumn("order", F.xxhash64("doc_id", "data"))

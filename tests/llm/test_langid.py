@@ -90,3 +90,16 @@ def test_predictions_equal_cosines_by_definition(spark):
             floor = model.floor[best][reached[-1]] if reached else 0.0
             assert told["lang_pred"] == model.languages[model.owner[best]]
             assert abs(cosines[best] - floor) < 1e-4 or told["rejected"] == (cosines[best] < floor)
+
+
+def test_sample_vectors_are_held_by_their_non_zero_components():
+    import numpy as np
+
+    pick = np.random.default_rng(3)
+    dense = np.where(pick.random((300, 512)) < 0.02, pick.random((300, 512)), 0).astype(np.float32)
+    vectors = langid.Vectors(iter(dense), 512)
+    assert sum(at.nbytes + v.nbytes for at, v in vectors.rows) < dense.nbytes / 10
+    centres, members = pick.random((4, 512)).astype(np.float32), pick.random((3, 300)).astype(np.float32)
+    assert np.allclose(vectors.cosines(centres), dense @ centres.T, atol=1e-4) and np.allclose(vectors.sums(members), members @ dense, atol=1e-3)
+    assert (vectors.whole(299) == dense[299]).all()
+    assert langid.cluster(vectors, langid.LanguageSettings()).shape == (4, 512)
