@@ -186,6 +186,33 @@ def test_context_counts_by_definition(spark):
         assert (got[name].reshape(-1, 2)[low] == counts.reshape(-1, 2)[low]).all() and got[name].max() <= lmscore.MOST
 
 
+def test_contexts_predict_every_decision_of_a_word(spark):
+    """A held-out text whose words follow each other as in training costs next to nothing, though each word's code is long."""
+    pick = random.Random(11)
+    names = [f"w{i}" for i in range(2048)]
+    follows = dict(zip(names, pick.sample(names, len(names))))
+
+    def chain(n):
+        out = [pick.choice(names)]
+        while len(out) < n:
+            out.append(follows[out[-1]] if pick.random() < 0.98 else pick.choice(names))
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(i, chain(150)) for i in range(1200)], "doc_id long, text string")
+    whole, four = (lmscore.score_documents(docs, settings=s).where("held_out").agg({"score": "sum", "n_tokens": "sum"}).first()
+                   for s in (lmscore.ScoreSettings(), lmscore.ScoreSettings(depth=4)))
+    assert -whole["sum(score)"] / math.log10(2) / whole["sum(n_tokens)"] < 0.6 * -four["sum(score)"] / math.log10(2) / four["sum(n_tokens)"]
+
+
+def test_no_code_is_cut():
+    """Weights of the longest codes there can be (Fibonacci numbers): every decision stands in the paths."""
+    weights = [1, 1]
+    while len(weights) < 60:
+        weights.append(weights[-1] + weights[-2])
+    codes = lmscore.Codes(weights, lmscore.ScoreSettings().depth)
+    assert codes.length.max() == 59 and not codes.tail.any()
+
+
 def test_mixers_are_fitted_to_all_training_rows(spark):
     """More rows than any sample of documents: the tables hold every decision, and the fit is that of one pass over all rows."""
     pick = random.Random(5)
