@@ -61,3 +61,15 @@ def test_no_cross_or_nested_loop_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SF001))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_facts_are_not_broadcast_on_the_size_of_their_files(spark):
+    """Facts and documents of any number stand in small files: no join may send them through the driver by that size."""
+    from bidlake.operators import extract, html
+
+    listing = "<table><tr><td><a href='https://developmentaid.org/tenders/view/lot-{0}'>equipment for districts, lot {0}</a></td><td>Open now</td></tr></table>"
+    docs = spark.createDataFrame([(str(i), "7 from DevelopmentAid: list", listing.format(i)) for i in range(60)], "doc_id string, subject string, html string").cache()
+    facts = html.dom_facts(docs)
+    for found in (extract.da_listings(*facts, docs, "2026-07-16"), extract.devex_listings(*facts, docs)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert extract.da_listings(*facts, docs, "2026-07-16").count() == 60
