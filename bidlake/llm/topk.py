@@ -8,6 +8,9 @@ first: the box bounds the inner product from above, and nodes whose bound is
 below the query's k-th score so far are left out.  A first round searches each
 query in its own shard; the k-th score found there decides by the boxes of the
 other shards which of them the query is sent to.
+
+Vectors are stored and sent one a row; a task gathers one shard's rows, or one
+block's, as they stream by, sorted, so its memory does not grow with the table.
 """
 
 from __future__ import annotations
@@ -191,43 +194,82 @@ def dealt(vectors: DataFrame, settings: TopkSettings) -> DataFrame:
     return placed.join(full, ["dims", "region"]).select("vec_id", "v", "dims", F.concat_ws(":", "dims", "region", part).alias("shard"))
 
 
-def searched(trees: DataFrame, blocks: DataFrame, settings: TopkSettings) -> DataFrame:
-    """query_id, vec_id and score of the vectors in ``trees`` (shard, rows) for the query blocks (shard, block, rows) sent to each shard.
+def searched(members: DataFrame, asked: DataFrame, settings: TopkSettings) -> DataFrame:
+    """query_id, vec_id and score of the vectors in ``members`` (shard, vec_id, v) for the queries (shard, block, vec_id, v, kth) sent to each shard.
 
-    A task reads a shard's vectors, then the blocks one by one; it holds one
-    tree and one batch of blocks.  A shard that many blocks ask is copied, once
-    per ``span_blocks`` numbers of blocks, so that no task answers them all.
+    A task reads a shard's vectors, then its queries block by block; it holds
+    one tree, one block and one batch of rows.  A shard that many blocks ask is
+    copied, once per ``span_blocks`` numbers of blocks, so that no task answers
+    them all.
     """
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, tree = None, None
-        for batch in batches:
-            copy_of, kind, rows = list(zip(batch.column("shard").to_pylist(), batch.column("span").to_pylist())), batch.column("kind").to_pylist(), batch.column("rows")
-            for i in range(batch.num_rows):
-                part = rows[i].values
-                ids, matrix = part.field("vec_id").to_numpy(), _matrix(part.field("v"))
-                if kind[i] == 0:
-                    name, tree = copy_of[i], KDTree(ids, matrix, settings.leaf_rows)
-                    continue
-                if copy_of[i] != name:
-                    continue
-                kth = part.field("kth").to_numpy(zero_copy_only=False)
-                own, matrix = tree.suited(matrix)
-                bounds = own.bounds(matrix)
-                found = [(int(q), -v, s) for j, q in enumerate(ids) for s, v in own.search(int(q), matrix[j], bounds[j], settings.k, -np.inf if np.isnan(kth[j]) else kth[j])]
-                if found:
-                    q, v, s = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
-
-    asked = blocks.withColumn("span", F.floor(F.col("block") / settings.span_blocks))
-    copies = trees.join(asked.select("shard", "span").distinct(), "shard")
-    both = copies.select("shard", "span", F.lit(0).alias("kind"), F.lit(0).alias("block"), "rows").unionByName(asked.select("shard", "span", F.lit(1).alias("kind"), "block", "rows"))
+        for (shard, span, kind, _block), parts in _gathered(batches, ["shard", "span", "kind", "block"]):
+            ids, matrix = (np.concatenate([p[c] for p in parts]) for c in ("vec_id", "v"))
+            if kind == 0:
+                name, tree = (shard, span), KDTree(ids, matrix, settings.leaf_rows)
+                continue
+            if (shard, span) != name:
+                continue
+            kth = np.concatenate([p["kth"] for p in parts])
+            own, matrix = tree.suited(matrix)
+            bounds = own.bounds(matrix)
+            found = [(int(q), -v, s) for j, q in enumerate(ids) for s, v in own.search(int(q), matrix[j], bounds[j], settings.k, -np.inf if np.isnan(kth[j]) else kth[j])]
+            if found:
+                q, v, s = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], names=["query_id", "vec_id", "score"])
+
+    blocks = asked.withColumn("span", F.floor(F.col("block") / settings.span_blocks))
+    copies = members.join(blocks.select("shard", "span").distinct(), "shard")
+    both = copies.select("shard", "span", F.lit(0).alias("kind"), F.lit(0).alias("block"), "vec_id", "v", F.lit(float("nan")).alias("kth")).unionByName(
+        blocks.select("shard", "span", F.lit(1).alias("kind"), "block", "vec_id", "v", "kth"))
     placed = both.repartition("shard", "span").sortWithinPartitions("shard", "span", "kind", "block")
-    return placed.select("shard", "span", "kind", "rows").mapInArrow(search, "query_id long, vec_id long, score long")
+    return placed.mapInArrow(search, "query_id long, vec_id long, score long")
+
+
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Where runs of equal keys begin, and the number of rows."""
+    change = np.zeros(batch.num_rows, dtype=bool)
+    change[:1] = True
+    for c in keys:
+        codes = batch.column(c).dictionary_encode().indices.to_numpy()
+        change[1:] |= codes[1:] != codes[:-1]
+    return np.append(np.flatnonzero(change), batch.num_rows)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict[str, np.ndarray]]]]:
+    """The rows of each key, which follow each other, as parts: vec_id, v (a matrix) and kth."""
+    at, parts = None, []
+    for batch in batches:
+        ends = _runs(batch, keys)
+        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            rows = batch.slice(start, end - start)
+            key = tuple(rows.column(c)[0].as_py() for c in keys)
+            if key != at:
+                if parts:
+                    yield at, parts
+                at, parts = key, []
+            parts.append({"vec_id": rows.column("vec_id").to_numpy(), "v": _matrix(rows.column("v")), "kth": rows.column("kth").to_numpy(zero_copy_only=False)})
+    if parts:
+        yield at, parts
+
+
+def pieces(members: DataFrame) -> DataFrame:
+    """``members`` (shard, vec_id, v, in order of their shards) as lists: shard, rows, several of them a shard."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ends = _runs(batch, ["shard"])
+                rows = pa.StructArray.from_arrays([batch.column("vec_id"), batch.column("v")], names=["vec_id", "v"])
+                yield pa.RecordBatch.from_arrays([batch.column("shard").take(pa.array(ends[:-1])), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=["shard", "rows"])
+
+    return members.select("shard", "vec_id", "v").mapInArrow(gather, "shard string, rows array<struct<vec_id: long, v: array<bigint>>>")
 
 
 def shard_boxes(trees: DataFrame) -> DataFrame:
-    """shard, low, high: the tight box of each shard's vectors."""
+    """shard, low, high: the tight box of each shard's vectors, from the boxes of its lists (shard, rows)."""
 
     def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +277,10 @@ def shard_boxes(trees: DataFrame) -> DataFrame:
             ends = [pa.array([list(f(axis=0)) for f in fs], pa.list_(pa.int64())) for fs in ([m.min for m in matrices], [m.max for m in matrices])]
             yield pa.RecordBatch.from_arrays([batch.column("shard"), *ends], names=["shard", "low", "high"])
 
-    return trees.select("shard", "rows").mapInArrow(box, "shard string, low array<bigint>, high array<bigint>")
+    parts = trees.select("shard", "rows").mapInArrow(box, "shard string, low array<bigint>, high array<bigint>")
+    both = parts.groupBy("shard").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))  # few a shard
+    joined = lambda c, f: F.aggregate(c, F.element_at(c, 1), lambda a, x: F.zip_with(a, x, f))
+    return both.select("shard", joined("lows", lambda x, y: F.least(x, y)).alias("low"), joined("highs", lambda x, y: F.greatest(x, y)).alias("high"))
 
 
 def reached(blocks: DataFrame, boxes: DataFrame, numbers: int, settings: TopkSettings) -> DataFrame:
@@ -269,6 +314,9 @@ def reached(blocks: DataFrame, boxes: DataFrame, numbers: int, settings: TopkSet
     return meeting.select("block", "rows", "boxes").mapInArrow(send, "shard string, block int, rows array<struct<vec_id: long, v: array<bigint>, kth: double>>")
 
 
+BATCH_BYTES = 8 << 20  # of rows in one batch of a Python function
+
+
 def _matrix(lists: pa.ListArray) -> np.ndarray:
     """Rows of equal length as integers."""
     return lists.flatten().to_numpy().reshape(len(lists), -1)
@@ -286,18 +334,17 @@ def top_neighbours(embeddings: DataFrame, is_query: Column, settings: TopkSettin
     """
     vectors = dealt(stored(whole_vectors(embeddings, settings).distinct()), settings)
     none = F.lit(float("nan"))
-    member = F.struct("vec_id", "v", "kth")
-    trees = stored(vectors.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "v", none.alias("kth"))).alias("rows")))
-    queries = stored(vectors.where(is_query))
+    members = stored(vectors.select("shard", "dims", "vec_id", "v").repartition("shard").sortWithinPartitions("shard"))
+    queries = stored(members.where(is_query))
     numbers = max(1, -(-queries.count() // settings.block_queries))
     block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(numbers)).cast("int").alias("block")
-    first = queries.select("shard", block, "vec_id", "v", none.alias("kth")).groupBy("shard", "block").agg(F.collect_list(member).alias("rows"))
-    started = stored(searched(trees, first, settings))
+    started = stored(searched(members, queries.select("shard", block, "vec_id", "v", none.alias("kth")), settings), BATCH_BYTES)
     kth = started.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least")).select(
         F.col("query_id").alias("vec_id"), F.when(F.col("n") >= settings.k, F.col("least")).otherwise(none).alias("kth"))
     known = queries.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", none)).select("dims", block, "vec_id", "v", "kth", F.col("shard").alias("home"))
     blocks = known.groupBy("dims", "block").agg(F.collect_list(F.struct("vec_id", "v", "kth", "home")).alias("rows"))
-    sent = stored(reached(blocks, stored(shard_boxes(trees)), numbers, settings))
-    found = started.unionByName(searched(trees, sent, settings))
+    boxes = stored(shard_boxes(pieces(members)), BATCH_BYTES)
+    sent = stored(reached(blocks, boxes, numbers, settings).select("shard", "block", F.inline("rows")), BATCH_BYTES)
+    found = started.unionByName(searched(members, sent, settings))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= settings.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -88,3 +88,17 @@ def test_splits_keep_equal_rows_together():
     where = splits.place(rows)
     assert len(set(where[:51].tolist())) == 1 and 4 <= len(set(where.tolist())) <= 8
     assert set(topk.fitted_splits(rows[:50], 8).place(rows).tolist()) == {0}
+
+
+def test_nothing_is_stored_as_a_list_of_a_shard_or_block(spark, monkeypatch):
+    """Readers take thousands of rows at once, so a row may hold a vector but no shard's or block's vectors."""
+    kinds, stored = [], topk.stored
+    monkeypatch.setattr(topk, "stored", lambda df, *more: kinds.append(df.dtypes) or stored(df, *more))
+    _, table = clustered(spark, 600)
+    topk.top_neighbours(table, F.col("vec_id") % 60 == 0, topk.TopkSettings(k=5, shard_rows=100, block_queries=5)).collect()
+    assert len(kinds) >= 6 and not any("struct" in kind or "array<array" in kind for columns in kinds for _, kind in columns)
+
+
+def test_boxes_of_a_shard_in_several_lists(spark):
+    trees = spark.createDataFrame([("2:0:0", [(1, [9, 1])]), ("2:0:0", [(2, [8, 3]), (3, [7, 2])])], "shard string, rows array<struct<vec_id: long, v: array<bigint>>>")
+    assert [tuple(r) for r in topk.shard_boxes(trees).collect()] == [("2:0:0", [7, 1], [9, 3])]
